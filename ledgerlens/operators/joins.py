@@ -181,8 +181,7 @@ def push_upsert(offline: DataFrame, online: DataFrame | None, pushed: DataFrame,
     """Append pushed rows to the offline table and replace online values where the pushed row is newer."""
     new_offline = offline.unionByName(pushed)
     base = online if online is not None else offline
-    new_online = latest_per_key(base.select(*keys, ts, *columns, *([tie_breaker] if tie_breaker else []))
-                                .unionByName(pushed.select(*keys, ts, *columns,
-                                                           *([tie_breaker] if tie_breaker else []))),
-                                keys, ts, columns, tie_breaker)
+    cols = list(dict.fromkeys([*keys, ts, *columns, *([tie_breaker] if tie_breaker else [])]))
+    new_online = latest_per_key(base.select(*cols).unionByName(pushed.select(*cols)), keys, ts,
+                                [c for c in columns if c not in keys and c != ts], tie_breaker)
     return new_offline, new_online

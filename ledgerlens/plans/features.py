@@ -1 +1,118 @@
-"""placeholder"""
+"""Feature-store queries: point-in-time join, batch scoring at a time, latest values, lookup, push."""
+
+from __future__ import annotations
+
+from datetime import timedelta
+
+from pyspark.sql import functions as F
+
+from ledgerlens.functions.scoring import is_large_tx
+from ledgerlens.operators.joins import (FeatureView, latest_per_key, online_lookup, point_in_time_join,
+                                        point_in_time_now, push_upsert)
+from ledgerlens.plans.common import EVENTS_FEATURES_SQL, LARGE, D
+from ledgerlens.plans.registry import register
+from ledgerlens.sources import testdata as T
+
+AS_OF = "2024-01-31 00:00:00"      # batch-scoring time just after the stand-in data ends
+PUSH_FROM = "2024-01-20 00:00:00"  # rows from here on arrive as pushed rows
+
+
+def _views(spark, sf):
+    f = T.events_features(spark, sf)
+    tx = FeatureView("tx_features", f.filter(F.col("event_type").isin("view", "click")), ["customer_id"], "ts",
+                     ["tx_amount", "tx_time_seconds"], ttl=timedelta(days=2), tie_breaker="event_id")
+    lab = FeatureView("fraud_labels", f.filter(F.col("event_type").isin("error", "signup")), ["customer_id"], "ts",
+                      ["tx_fraud"], ttl=timedelta(days=365), tie_breaker="event_id")
+    return tx, lab
+
+
+def _pit_view_sql(name, types, ttl_days, cols):
+    sel = ", ".join(f"f.{c}" for c in cols)
+    kinds = ", ".join(f"'{t}'" for t in types)
+    return f"""{name} AS (SELECT * FROM (SELECT e.event_id, {sel},
+        row_number() OVER (PARTITION BY e.event_id ORDER BY f.ts DESC, f.event_id DESC) AS rn
+      FROM e JOIN f ON f.customer_id = e.customer_id AND f.ts <= e.event_timestamp
+                   AND f.ts >= e.event_timestamp - INTERVAL {ttl_days} DAY
+      WHERE f.event_type IN ({kinds})) WHERE rn = 1)"""
+
+
+PIT_SQL = f"""
+WITH f AS ({EVENTS_FEATURES_SQL}),
+e AS (SELECT event_id, user_id AS customer_id, ts AS event_timestamp FROM events WHERE event_type = 'purchase'),
+{_pit_view_sql('v1', ['view', 'click'], 2, ['tx_amount', 'tx_time_seconds'])},
+{_pit_view_sql('v2', ['error', 'signup'], 365, ['tx_fraud'])}
+SELECT e.event_id, e.customer_id, e.event_timestamp, v1.tx_amount, v1.tx_time_seconds, v2.tx_fraud,
+       CAST(v1.tx_amount > {D(LARGE)} AS INTEGER) AS is_large_tx
+FROM e LEFT JOIN v1 ON v1.event_id = e.event_id LEFT JOIN v2 ON v2.event_id = e.event_id"""
+
+
+@register("point_in_time_join", PIT_SQL)
+def q_point_in_time_join(spark, sf):
+    ev = T.table(spark, sf, "events").filter(F.col("event_type") == "purchase")
+    ent = ev.select("event_id", F.col("user_id").alias("customer_id"), F.col("ts").alias("event_timestamp"))
+    out = point_in_time_join(ent, list(_views(spark, sf)), "event_timestamp")
+    return out.withColumn("is_large_tx", is_large_tx("tx_amount", LARGE))   # on-demand feature
+
+
+_LATEST_ALL_SQL = f"""
+SELECT customer_id, ts, tx_amount, tx_time_seconds FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM ({EVENTS_FEATURES_SQL}) WHERE ts <= TIMESTAMP '{AS_OF}' AND ts >= TIMESTAMP '{AS_OF}' - INTERVAL 365 DAY)
+WHERE rn = 1"""
+
+PIT_NOW_SQL = f"""
+SELECT k.customer_id, TIMESTAMP '{AS_OF}' AS event_timestamp, l.tx_amount, l.tx_time_seconds
+FROM (SELECT DISTINCT o_custkey AS customer_id FROM orders) k LEFT JOIN ({_LATEST_ALL_SQL}) l USING (customer_id)"""
+
+
+def _pit_now(spark, sf):
+    f = T.events_features(spark, sf)
+    view = FeatureView("tx_features", f, ["customer_id"], "ts", ["tx_amount", "tx_time_seconds"],
+                       ttl=timedelta(days=365), tie_breaker="event_id")
+    keys = T.table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id"))
+    return point_in_time_now(keys, view, as_of=AS_OF)
+
+
+@register("point_in_time_now", PIT_NOW_SQL)
+def q_point_in_time_now(spark, sf):
+    return _pit_now(spark, sf)
+
+
+@register("sort_by_key", PIT_NOW_SQL + "\nORDER BY customer_id")
+def q_sort_by_key(spark, sf):
+    return _pit_now(spark, sf).orderBy("customer_id")
+
+
+def _latest_sql(where: str = "TRUE") -> str:
+    return f"""
+SELECT customer_id, ts, tx_amount, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY ts DESC, event_id DESC) AS rn
+  FROM ({EVENTS_FEATURES_SQL}) WHERE {where}) WHERE rn = 1"""
+
+
+@register("latest_per_key", _latest_sql(f"ts <= TIMESTAMP '{PUSH_FROM}'"))
+def q_latest_per_key(spark, sf):
+    return latest_per_key(T.events_features(spark, sf), ["customer_id"], "ts", ["tx_amount", "event_type"],
+                          tie_breaker="event_id", end=PUSH_FROM)
+
+
+@register("online_lookup", f"""
+SELECT k.customer_id, l.ts, l.tx_amount, l.event_type
+FROM (SELECT DISTINCT o_custkey AS customer_id FROM orders) k LEFT JOIN ({_latest_sql()}) l USING (customer_id)""")
+def q_online_lookup(spark, sf):
+    online = latest_per_key(T.events_features(spark, sf), ["customer_id"], "ts", ["tx_amount", "event_type"],
+                            tie_breaker="event_id")
+    keys = T.table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id")).distinct()
+    return online_lookup(keys, online, ["customer_id"])
+
+
+@register("push_upsert", _latest_sql())
+def q_push_upsert(spark, sf):
+    f = T.events_features(spark, sf).select("customer_id", "ts", "tx_amount", "event_type", "event_id")
+    offline = f.filter(F.col("ts") < F.lit(PUSH_FROM).cast("timestamp_ntz"))
+    pushed = f.filter(F.col("ts") >= F.lit(PUSH_FROM).cast("timestamp_ntz"))
+    online = latest_per_key(offline, ["customer_id"], "ts", ["tx_amount", "event_type", "event_id"],
+                            tie_breaker="event_id")
+    _, new_online = push_upsert(offline, online, pushed, ["customer_id"], "ts", ["tx_amount", "event_type", "event_id"],
+                                tie_breaker="event_id")
+    return new_online.drop("event_id")
