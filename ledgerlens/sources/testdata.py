@@ -187,21 +187,26 @@ FROM labels"""
 
 
 # --------------------------------------------------------------------------------------------------------------
-# offsets: one sample per (topic, partition, hour) from events
+# offsets: one sample per (topic, partition) at the end of every hour of the data
 #   topic = event_type, partition = user_id mod 3, end = events up to the end of the hour,
-#   committed = end one hour earlier (the consumer is one hour behind); topic 'signup' never committed
+#   committed = end one hour earlier (the consumer is one hour behind); topic 'signup' is never committed
 # --------------------------------------------------------------------------------------------------------------
 
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window as W
-    ev = table(spark, sf_dir, "events")
-    per_hour = (ev.groupBy(F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
-                           F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
-                .agg(F.count(F.lit(1)).alias("n")))
-    # one row per hour and partition: the window holds hours of history, not rows of data
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+    per_hour = ev.groupBy("topic", "partition", "hour").agg(F.count(F.lit(1)).alias("n"))
+    bounds = ev.agg(F.min("hour").alias("_mn"), F.max("hour").alias("_mx"))
+    # hourly grid per (topic, partition): its size is hours x partitions, independent of the row count
+    grid = (ev.select("topic", "partition").distinct().crossJoin(F.broadcast(bounds))
+            .select("topic", "partition",
+                    F.explode(F.sequence("_mn", "_mx", F.expr("INTERVAL 1 HOUR"))).alias("hour")))
+    filled = grid.join(per_hour, ["topic", "partition", "hour"], "left").fillna(0, ["n"])
     w = W.partitionBy("topic", "partition").orderBy("hour").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum("n").over(w)
-    return per_hour.select(
+    return filled.select(
         "topic", "partition",
         F.when(F.col("topic") == "signup", F.lit(None).cast("bigint")).otherwise(end - F.col("n")).alias("committed"),
         end.alias("end"),
@@ -209,13 +214,16 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OFFSETS_SQL = """
-SELECT topic, "partition",
-       CASE WHEN topic = 'signup' THEN NULL ELSE e - n END AS committed, e AS "end", hour + INTERVAL 1 HOUR AS sampled_at
-FROM (SELECT topic, "partition", hour, n,
-             CAST(sum(n) OVER (PARTITION BY topic, "partition" ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS e
-      FROM (SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", date_trunc('hour', ts) AS hour,
-                   count(*) AS n
-            FROM events GROUP BY ALL))"""
+WITH ph AS (SELECT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", date_trunc('hour', ts) AS hour,
+                   count(*) AS n FROM events GROUP BY ALL),
+b AS (SELECT min(date_trunc('hour', ts)) AS mn, max(date_trunc('hour', ts)) AS mx FROM events),
+g AS (SELECT tp.topic, tp."partition", unnest(generate_series(b.mn, b.mx, INTERVAL 1 HOUR)) AS hour
+      FROM (SELECT DISTINCT event_type AS topic, CAST(user_id % 3 AS INTEGER) AS "partition" FROM events) tp, b),
+x AS (SELECT g.topic, g."partition", g.hour, coalesce(ph.n, 0) AS n FROM g LEFT JOIN ph USING (topic, "partition", hour)),
+c AS (SELECT *, CAST(sum(n) OVER (PARTITION BY topic, "partition" ORDER BY hour) AS BIGINT) AS e FROM x)
+SELECT topic, "partition", CASE WHEN topic = 'signup' THEN NULL ELSE e - n END AS committed, e AS "end",
+       hour + INTERVAL 1 HOUR AS sampled_at
+FROM c"""
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
