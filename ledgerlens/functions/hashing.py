@@ -65,3 +65,10 @@ def sql_poisson1(u_sql: str, kmax: int = 20) -> str:
     cdf = poisson1_cdf(kmax)
     whens = " ".join(f"WHEN {u_sql} < {sql_double(cdf[k])} THEN {k}" for k in range(kmax))
     return f"(CASE {whens} ELSE {kmax} END)"
+
+
+def md5_unit(text: str, salt: str | int = 42) -> float:
+    """Python twin of :func:`uniform` for driver-side choices over small parameter lists and for pandas code."""
+    import hashlib
+    h = hashlib.md5(f"{text}:{salt}".encode()).hexdigest()
+    return int(h[:8], 16) / TWO_32

@@ -1 +1,93 @@
-"""placeholder"""
+"""MLlib queries.  Model outputs depend on the tree learner, so only ``assemble_scale`` and ``char_counts`` have
+an SQL twin; the others are checked by row count (a deterministic hash split fixes the test set)."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import labels as L
+from ledgerlens.operators import ml as ML
+from ledgerlens.operators.cleaning import clean_transactions
+from ledgerlens.plans.common import URLS_SQL, clean_sql
+from ledgerlens.plans.registry import register
+from ledgerlens.sources import testdata as T
+
+FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days", "tx_fraud_scenario"]
+
+
+def _clean(spark, sf):
+    return clean_transactions(T.raw_transactions(spark, sf))
+
+
+def _scaled_sql():
+    stats = ", ".join(f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in FEATURES)
+    cols = ", ".join(f"round(CASE WHEN s.{c}_s IS NULL OR s.{c}_s = 0 THEN 0.0 ELSE (t.{c} - s.{c}_m) / s.{c}_s END, 6)"
+                     f" AS scaled_{c}" for c in FEATURES)
+    return f"WITH t AS ({clean_sql()}), s AS (SELECT {stats} FROM t) SELECT t.transaction_id, {cols} FROM t, s"
+
+
+@register("assemble_scale", _scaled_sql())
+def q_assemble_scale(spark, sf):
+    clean = _clean(spark, sf)
+    feats = L.select_features(clean, target="tx_fraud")
+    out = ML.assemble_scale(clean, feats).select("transaction_id", vector_to_array("features").alias("v"))
+    return out.select("transaction_id", *[F.round(F.col("v")[i], 6).alias(f"scaled_{c}") for i, c in enumerate(feats)])
+
+
+def _split(spark, sf):
+    return L.random_split(_clean(spark, sf), "transaction_id", (0.8, 0.2), 42)
+
+
+@register("train_forest")
+def q_train_forest(spark, sf):
+    train, test = _split(spark, sf)
+    model = ML.train_forest(train, FEATURES, "tx_fraud", num_trees=10, max_depth=5)
+    return ML.batch_predict(model, test).select("transaction_id", "tx_fraud", "prediction", "probability_1")
+
+
+@register("train_forest_candidate")
+def q_train_forest_candidate(spark, sf):
+    train, test = _split(spark, sf)
+    model = ML.train_forest(train, FEATURES, "tx_fraud", num_trees=20, max_depth=8, min_instances=2)
+    return ML.batch_predict(model, test).select("transaction_id", "tx_fraud", "prediction", "probability_1")
+
+
+@register("batch_predict")
+def q_batch_predict(spark, sf):
+    train, _ = _split(spark, sf)
+    model = ML.train_forest(train, FEATURES, "tx_fraud")
+    return ML.batch_predict(model, _clean(spark, sf)).select("transaction_id", "prediction", "probability_1")
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf):
+    train, test = _split(spark, sf)
+    model = ML.train_forest(train, FEATURES, "tx_fraud")
+    return ML.model_metrics(model.transform(test), "tx_fraud")
+
+
+@register("char_counts", f"""
+SELECT page_id, ch, count(*) AS n FROM (SELECT page_id, unnest(string_split(lower(url), '')) AS ch FROM ({URLS_SQL}))
+GROUP BY page_id, ch""")
+def q_char_counts(spark, sf):
+    return ML.char_counts(T.labelled_urls(spark, sf), "url", "page_id")
+
+
+def _urls(spark, sf):
+    u = T.labelled_urls(spark, sf).withColumn("label_enc", L.encode_label("label").cast("double"))
+    return u.filter(F.col("label_enc").isNotNull())
+
+
+@register("url_classifier")
+def q_url_classifier(spark, sf):
+    train, test = L.random_split(_urls(spark, sf), "page_id", (0.7, 0.3), 42)
+    model = ML.url_pipeline("label_enc").fit(train)
+    return model.transform(test).select("page_id", "label_enc", "prediction")
+
+
+@register("random_search")
+def q_random_search(spark, sf):
+    train, _ = L.random_split(_urls(spark, sf), "page_id", (0.7, 0.3), 42)
+    _, res = ML.random_search(train, ML.url_pipeline("label_enc"), n_iter=50, folds=3, parallelism=8)
+    return res

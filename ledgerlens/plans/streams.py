@@ -1 +1,203 @@
-"""placeholder"""
+"""Streaming queries.  History is stored as Kafka-shaped record files and replayed through Structured Streaming
+file sources (the Kafka connector is not installed here); each query drains the replay with ``availableNow``
+and returns what its sink holds, so the stream answer can be compared with the batch answer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlens.functions import scoring as S
+from ledgerlens.operators import labels as L
+from ledgerlens.operators import ml as ML
+from ledgerlens.operators.cleaning import clean_transactions
+from ledgerlens.plans.common import HUGE, LARGE, MEDIUM, RAW_TX_SQL, TX_SQL, D
+from ledgerlens.plans.registry import register
+from ledgerlens.schemas import CLICK_SCHEMA
+from ledgerlens.session import scratch_path
+from ledgerlens.sources import testdata as T
+from ledgerlens.streaming import io as IO
+from ledgerlens.streaming.jobs import parse_stream, score_with_heuristic_udf, to_envelope
+from ledgerlens.streaming.udfs import external_scoring, request_scorer
+from ledgerlens.functions.hashing import sql_uniform
+
+N_FILES = 8
+FILES_PER_TRIGGER = 2
+_dirs: dict = {}
+
+
+def _records(spark, sf, kind: str = "tx", sample_n: int | None = None) -> str:
+    key = (kind, sf, sample_n, id(spark))
+    if key not in _dirs:
+        src = T.transactions(spark, sf) if kind == "tx" else T.raw_transactions(spark, sf)
+        if sample_n:
+            src = L.sample_n(src, sample_n, "transaction_id", 42)
+        df = src.select("*", to_envelope(src).alias("_value"),
+                        F.to_timestamp("tx_datetime", "yyyy-MM-dd HH:mm:ss").alias("_ts"),
+                        F.pmod(F.col("customer_id"), F.lit(3)).alias("_part"))
+        path = scratch_path(spark, f"records-{kind}")
+        IO.write_records(df, path, "transaction_id", "_value", "transactions-input", "_part", "transaction_id", "_ts",
+                         N_FILES)
+        _dirs[key] = path
+    return _dirs[key]
+
+
+def _drain(df, name):
+    spark = df.sparkSession
+    out = scratch_path(spark, f"sink-{name}")
+    IO.run_to_parquet(df, out)
+    return spark.read.parquet(out)
+
+
+_PARSED_COLS = """CAST(transaction_id AS VARCHAR) AS transaction_id, tx_datetime, customer_id, terminal_id, tx_amount,
+       tx_time_seconds, tx_time_days, tx_fraud, tx_fraud_scenario"""
+_META_COLS = """CAST(transaction_id AS VARCHAR) AS kafka_key, CAST(customer_id % 3 AS INTEGER) AS "partition",
+       CAST(transaction_id AS BIGINT) AS "offset", strptime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS kafka_timestamp"""
+PARSED_SQL = f"SELECT {_PARSED_COLS}, {_META_COLS} FROM ({TX_SQL})"
+
+
+def _parsed_stream(spark, sf, kind="tx", files_per_trigger=FILES_PER_TRIGGER, sample_n=None):
+    src = IO.replay_source(spark, _records(spark, sf, kind, sample_n), files_per_trigger)
+    return parse_stream(src, nested=True)
+
+
+@register("parse_stream", PARSED_SQL)
+def q_parse_stream(spark, sf):
+    return _drain(_parsed_stream(spark, sf), "parse")
+
+
+@register("replay_source", f"""
+SELECT {_PARSED_COLS}, {_META_COLS} FROM ({TX_SQL})
+ORDER BY {sql_uniform('transaction_id', 42)}, transaction_id LIMIT 1000""")
+def q_replay_source(spark, sf):
+    return _drain(_parsed_stream(spark, sf, sample_n=1000), "replay")
+
+
+@register("bounded_run", PARSED_SQL)
+def q_bounded_run(spark, sf):
+    df = _parsed_stream(spark, sf)
+    out = scratch_path(spark, "sink-bounded")
+    q = (df.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(processingTime="1 second").start())
+    IO.bounded_run(q, timeout_s=300, drain=True)
+    return spark.read.parquet(out)
+
+
+@register("foreach_batch_sink", f"SELECT {_PARSED_COLS} FROM ({TX_SQL})")
+def q_foreach_batch_sink(spark, sf):
+    df = _parsed_stream(spark, sf).select("transaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_amount",
+                                          "tx_time_seconds", "tx_time_days", "tx_fraud", "tx_fraud_scenario")
+    out = scratch_path(spark, "sink-foreach")
+    IO.foreach_batch_sink(df, IO.idempotent_batch_writer(out))
+    return spark.read.parquet(out).drop("batch_id")
+
+
+_HP, _HQ = S.stream_heuristic_sql("tx_amount", "transaction_id", HUGE)
+
+
+@register("stream_score_udf", f"""
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, {_HP} AS fraud_prediction, {_HQ} AS fraud_probability,
+       CASE WHEN {_HP} >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS fraud_label
+FROM ({TX_SQL})""")
+def q_stream_score_udf(spark, sf):
+    scored = score_with_heuristic_udf(_parsed_stream(spark, sf), large=HUGE)
+    return _drain(scored.select("transaction_id", "fraud_prediction", "fraud_probability", "fraud_label"), "udf")
+
+
+FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days", "tx_fraud_scenario"]
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    train, _ = L.random_split(clean_transactions(T.raw_transactions(spark, sf)), "transaction_id", (0.8, 0.2), 42)
+    model = ML.train_forest(train, FEATURES, "tx_fraud")
+    from pyspark.ml.functions import vector_to_array
+    s = model.transform(_parsed_stream(spark, sf))
+    out = s.select("transaction_id", "tx_amount", F.col("customer_id").cast("string").alias("account_id"),
+                   F.col("terminal_id").cast("string").alias("merchant_id"),
+                   F.to_timestamp("tx_datetime", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                   F.col("prediction").alias("fraud_prediction"),
+                   S.fraud_label(F.col("prediction"), exact_one=True).alias("fraud_label"),
+                   vector_to_array("probability")[1].alias("fraud_probability"),
+                   "kafka_timestamp", "offset", "partition")
+    return _drain(out, "model")
+
+
+_SCORED_SCHEMA = "transaction_id string, success boolean, fraud_probability double, error string, latency_ms double"
+
+
+def _external(spark, sf):
+    df = _parsed_stream(spark, sf, kind="raw")
+    out = scratch_path(spark, "sink-external")
+    writer = IO.idempotent_batch_writer(out)
+    scorer = request_scorer(large=LARGE, medium=MEDIUM)
+
+    def per_batch(batch_df, batch_id):
+        writer(batch_df.mapInPandas(external_scoring(scorer), _SCORED_SCHEMA), batch_id)
+
+    IO.foreach_batch_sink(df, per_batch)
+    return spark.read.parquet(out)
+
+
+_REQ_P = S.request_risk_score_sql("tx_amount", "tx_time_seconds", "customer_id", large=LARGE, medium=MEDIUM)
+
+
+@register("score_batch_external", f"""
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, v = '' AS success,
+       CASE WHEN v = '' THEN round(p, 6) END AS fraud_probability,
+       CASE WHEN v <> '' THEN 'invalid request: ' || v END AS error
+FROM (SELECT *, {S.request_violations_sql()} AS v, {_REQ_P} AS p FROM ({RAW_TX_SQL}))""")
+def q_score_batch_external(spark, sf):
+    r = _external(spark, sf)
+    return r.select("transaction_id", "success", F.round("fraud_probability", 6).alias("fraud_probability"), "error")
+
+
+@register("batch_outcome_stats")
+def q_batch_outcome_stats(spark, sf):
+    r = _external(spark, sf)
+    return r.groupBy("batch_id").agg(F.count_if("success").alias("success"), F.count_if(~F.col("success")).alias("failure"),
+                                     F.avg("latency_ms").alias("mean_latency_ms"))
+
+
+@register("progress_table")
+def q_progress_table(spark, sf):
+    df = _parsed_stream(spark, sf, files_per_trigger=1)
+    q = IO.run_to_parquet(df, scratch_path(spark, "sink-progress"))
+    return IO.progress_table(spark, q).filter(F.col("num_input_rows") > 0)
+
+
+@register("throttled_trigger")
+def q_throttled_trigger(spark, sf):
+    df = _parsed_stream(spark, sf, files_per_trigger=1)
+    q = (df.writeStream.format("parquet").option("path", scratch_path(spark, "sink-throttled"))
+         .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(processingTime="2 seconds").start())
+    IO.bounded_run(q, timeout_s=300, drain=True)
+    return IO.progress_table(spark, q).filter(F.col("num_input_rows") > 0).select("batch_id", "num_input_rows")
+
+
+def _clicks_dir(spark, sf):
+    key = ("clicks", sf, id(spark))
+    if key not in _dirs:
+        ev = T.table(spark, sf, "events").filter(F.col("event_type") == "click")
+        page = F.get_json_object("props", "$.k").cast("long")
+        value = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                                   F.col("user_id"), page.alias("page_id")))
+        df = ev.select(page.alias("_page"), value.alias("_value"), "event_id", F.col("ts").cast("timestamp").alias("_ts"),
+                       F.pmod(page, F.lit(3)).alias("_part"))
+        path = scratch_path(spark, "records-clicks")
+        IO.write_records(df, path, "_page", "_value", "clicks", "_part", "event_id", "_ts", N_FILES)
+        _dirs[key] = path
+    return _dirs[key]
+
+
+@register("click_consumer", """
+SELECT 'clicks' AS topic, CAST(CAST(props->>'k' AS BIGINT) % 3 AS INTEGER) AS "partition", event_id AS "offset",
+       props->>'k' AS "key", ts, user_id, CAST(props->>'k' AS BIGINT) AS page_id
+FROM events WHERE event_type = 'click'""")
+def q_click_consumer(spark, sf):
+    src = IO.replay_source(spark, _clicks_dir(spark, sf), FILES_PER_TRIGGER)
+    dec = src.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
+                     F.from_json(F.col("value").cast("string"), CLICK_SCHEMA).alias("c"))
+    out = dec.select("topic", "partition", "offset", "key",
+                     F.to_timestamp("c.ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").cast("timestamp_ntz").alias("ts"),
+                     "c.user_id", "c.page_id")
+    return _drain(out, "clicks")
