@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of a plan (file sizes x projection), or None when unknown."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(v if isinstance(v, int) else v.toString())
     except Exception:  # pragma: no cover - plan stats unavailable (e.g. Spark Connect)
         return None
 

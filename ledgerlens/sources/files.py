@@ -23,9 +23,10 @@ def read_transactions(spark: SparkSession, path: str, schema: T.StructType = TRA
     lines = spark.read.text(path)
     n_fields = F.size(F.split(F.col("value"), re.escape(sep), -1))
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    # inline(array(struct)) is a Generate: later filters on the parsed fields cannot be pushed below it, so each
+    # line is parsed once (a plain projection would be inlined into every filter reference of every field)
     parsed = (lines.filter(n_fields == len(schema.fields))
-              .select(F.from_csv(F.col("value"), ddl, {"sep": sep, "mode": "PERMISSIVE"}).alias("r"))
-              .select("r.*"))
+              .select(F.inline(F.array(F.from_csv(F.col("value"), ddl, {"sep": sep, "mode": "PERMISSIVE"})))))
     return drop_header(parsed, schema.fields[0].name) if drop_header_rows else parsed
 
 
