@@ -37,8 +37,8 @@ def approx_percentile(df: DataFrame, column: str, q: float = 0.98, rel_error: fl
 
 
 def exact_percentile(df: DataFrame, column: str, q: float = 0.98) -> DataFrame:
-    """Exact, linearly interpolated quantile (holds a group's values in memory: for tests and small groups)."""
-    return df.agg(F.percentile(column, F.lit(q)).alias(f"p{int(q*100)}"))
+    """Exact, linearly interpolated quantile over the whole table (see :func:`exact_quantile`)."""
+    return exact_quantile(df, column, q, name=f"p{int(q*100)}")
 
 
 def equal_width_histogram(df: DataFrame, column: str, n: int = 100, spark=None) -> DataFrame:
@@ -98,3 +98,43 @@ def label_share(df: DataFrame, label: str = "fraud_label") -> DataFrame:
     g = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(W.partitionBy())
     return g.select(label, "n", F.round(F.col("n").cast("double") / total, 6).alias("share"))
+
+
+def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None = None, buckets: int = 4096,
+                   name: str = "quantile") -> DataFrame:
+    """Exact linearly interpolated quantile per group without holding a group's values in one buffer.
+
+    1. one row per distinct (group, value) with its count (partial aggregation);
+    2. the group's value range is cut into ``buckets`` equal slices; a prefix sum over at most ``buckets`` slice
+       counts locates the slices holding ranks floor(q(n-1)) and ceil(q(n-1));
+    3. only those slices' distinct values are ranked (a window per group and slice) to read the two order
+       statistics, which are interpolated as the SQL ``percentile`` / ``quantile_cont`` do.
+    """
+    from ledgerlens.operators.joins import broadcast_if_small
+    g = list(groups or [])
+    v = F.col(value).cast("double")
+    counts = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(*g, "_v") \
+               .agg(F.count(F.lit(1)).alias("_c"))
+    st = counts.groupBy(*g).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+    pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
+    st = st.withColumn("_lo", F.floor(pos)).withColumn("_hi", F.ceil(pos)).withColumn("_pos", pos)
+    width = F.col("_mx") - F.col("_mn")
+    bk = F.when(width == 0, F.lit(0)).otherwise(
+        F.least(F.floor((F.col("_v") - F.col("_mn")) / width * F.lit(buckets)), F.lit(buckets - 1))).cast("int")
+    stb = broadcast_if_small(st)
+    cb = (counts.crossJoin(stb) if not g else counts.join(stb, g)).withColumn("_bk", bk)
+    per_b = cb.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
+    wb = W.partitionBy(*g).orderBy("_bk").rowsBetween(W.unboundedPreceding, W.currentRow)
+    per_b = per_b.withColumn("_end", F.sum("_bc").over(wb)).withColumn("_start", F.col("_end") - F.col("_bc"))
+    joined_b = per_b.crossJoin(stb) if not g else per_b.join(stb, g)
+    holds = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) < F.col("_end"))
+    need = joined_b.filter(holds("_lo") | holds("_hi")).select(*g, "_bk", F.col("_start").alias("_bstart"))
+    cand = cb.join(need, [*g, "_bk"])
+    wv = W.partitionBy(*g, "_bk").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    cand = cand.withColumn("_end", F.col("_bstart") + F.sum("_c").over(wv)).withColumn("_start", F.col("_end") - F.col("_c"))
+    picked = cand.groupBy(*g).agg(F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
+                                  F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"),
+                                  F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
+    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
+    return picked.select(*g, val.alias(name))

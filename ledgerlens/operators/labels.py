@@ -85,10 +85,12 @@ def label_from_scenario(df: DataFrame, target: str = "tx_fraud", scenario: str =
     return df.withColumn(target, F.when(F.col(scenario) > 0, 1).otherwise(0))
 
 
-def _amount_quantile(col: str, q: float, rel_error: float, exact: bool) -> Column:
+def _amount_quantile(df: DataFrame, col: str, q: float, rel_error: float, exact: bool) -> DataFrame:
+    """One-row table ``_pq``: the approximate (GK sketch) or exact quantile of the column."""
     if exact:
-        return F.percentile(F.col(col), F.lit(q))
-    return F.percentile_approx(F.col(col), F.lit(q), F.lit(int(round(1.0 / rel_error))))
+        from ledgerlens.operators.aggregates import exact_quantile
+        return exact_quantile(df, col, q, name="_pq")
+    return df.agg(F.percentile_approx(F.col(col), F.lit(q), F.lit(int(round(1.0 / rel_error)))).alias("_pq"))
 
 
 def synth_labels(df: DataFrame, target: str = "tx_fraud", amount: str = "tx_amount", key: str = "transaction_id",
@@ -96,7 +98,7 @@ def synth_labels(df: DataFrame, target: str = "tx_fraud", amount: str = "tx_amou
                  exact: bool = False) -> DataFrame:
     """label = amount above the q-quantile, or a stable 0.5 % draw.  The quantile is a one-row aggregate
     joined back by broadcast (no driver round trip); ``exact`` switches to the exact percentile."""
-    pq = df.agg(_amount_quantile(amount, q, rel_error, exact).alias("_pq"))
+    pq = _amount_quantile(df, amount, q, rel_error, exact)
     lab = ((F.col(amount) > F.col("_pq")) | (uniform(key, seed) < random_rate)).cast("int")
     return df.crossJoin(F.broadcast(pq)).withColumn(target, lab).drop("_pq")
 
@@ -108,8 +110,8 @@ def prepare_labels(df: DataFrame, target: str = "tx_fraud", scenario: str = "tx_
     """Three-way fallback in one declarative plan: keep the labels if any positive exists, else use
     scenario > 0 if any, else synthesise (amount quantile or stable draw).  Adds ``label_source``."""
     flags = df.agg(F.max((F.col(target) == 1).cast("int")).alias("_has_pos"),
-                   F.max((F.col(scenario) > 0).cast("int")).alias("_has_scen"),
-                   _amount_quantile(amount, q, rel_error, exact).alias("_pq"))
+                   F.max((F.col(scenario) > 0).cast("int")).alias("_has_scen")) \
+              .crossJoin(_amount_quantile(df, amount, q, rel_error, exact))
     synth = ((F.col(amount) > F.col("_pq")) | (uniform(key, seed) < random_rate)).cast("int")
     label = (F.when(F.col("_has_pos") == 1, F.col(target))
              .when(F.col("_has_scen") == 1, (F.col(scenario) > 0).cast("int"))
