@@ -92,57 +92,77 @@ def _feature_struct(view: FeatureView) -> Column:
 def point_in_time_join(entities: DataFrame, views: list[FeatureView], event_ts: str = "event_timestamp",
                        bucket_seconds: int = 3600, full_feature_names: bool = False) -> DataFrame:
     """For each entity row: per view, the newest feature row with ts <= event time and ts >= event time - TTL
-    (inclusive at both ends); none -> nulls.  Ties on time are broken by the view's ``tie_breaker``."""
+    (inclusive at both ends); none -> nulls.  Ties on time are broken by the view's ``tie_breaker``.
+
+    Views that share their key columns are answered in one pass: one shuffle and sort of entities plus all their
+    feature rows by (key, time bucket)."""
+    by_keys: dict[tuple, list[FeatureView]] = {}
+    for v in views:
+        by_keys.setdefault(tuple(v.keys), []).append(v)
     out = entities
-    b_us = int(bucket_seconds) * 1_000_000
-    for view in views:
-        ent_cols = out.columns
-        keys = view.keys
-        fs = _feature_struct(view)
-        ev_us = _micros(event_ts)
-
-        ent = out.select(*ent_cols, F.floor(ev_us / F.lit(b_us)).alias("_b"), F.lit(1).alias("_kind"),
-                         F.col(event_ts).cast("timestamp_ntz").alias("_ets"))
-        src = view.source.select(*[F.col(k) for k in keys], fs.alias("_f"),
-                                 F.floor(_micros(view.ts) / F.lit(b_us)).alias("_b"))
-
-        # (1) newest feature in the event's own bucket, at or before the event time
-        feat_rows = src.select(*[F.col(k) for k in keys], "_b", F.lit(0).alias("_kind"),
-                               F.col("_f._fts").alias("_ets"), "_f", F.col("_f._ftb").alias("_otb"))
-        # both sides carry the same columns so they can be unioned by name
-        key_set = set(keys)
-        other = [c for c in ent_cols if c not in key_set]
-        feat_side = feat_rows.select(*keys, "_b", "_kind", "_ets", "_otb", "_f",
-                                     *[F.lit(None).cast(out.schema[c].dataType).alias(c) for c in other])
-        ent_side = ent.select(*keys, "_b", "_kind", "_ets", F.lit(None).cast("long").alias("_otb"),
-                              F.lit(None).cast(src.schema["_f"].dataType).alias("_f"), *other)
-        w_in = (W.partitionBy(*keys, "_b").orderBy("_ets", "_kind", "_otb")
-                .rowsBetween(W.unboundedPreceding, W.currentRow))
-        in_bucket = (feat_side.unionByName(ent_side)
-                     .withColumn("_in", F.last("_f", ignorenulls=True).over(w_in))
-                     .filter(F.col("_kind") == 1).drop("_f", "_otb", "_kind"))
-
-        # (2) newest feature of any earlier bucket: per-bucket summaries carried forward per key
-        summary = src.groupBy(*keys, "_b").agg(F.max("_f").alias("_f"))   # struct max = newest (ts, tie)
-        ent_buckets = ent.select(*keys, "_b").distinct()
-        w_prev = W.partitionBy(*keys).orderBy("_b", "_k2").rowsBetween(W.unboundedPreceding, W.currentRow)
-        prior = (ent_buckets.select(*keys, "_b", F.lit(0).alias("_k2"),
-                                    F.lit(None).cast(src.schema["_f"].dataType).alias("_f"))
-                 .unionByName(summary.select(*keys, "_b", F.lit(1).alias("_k2"), "_f"))
-                 .withColumn("_prev", F.last("_f", ignorenulls=True).over(w_prev))
-                 .filter(F.col("_k2") == 0).select(*keys, "_b", "_prev"))
-
-        joined = in_bucket.join(prior, on=[*keys, "_b"], how="left")
-        best = F.coalesce(F.col("_in"), F.col("_prev"))
-        if view.ttl is not None:
-            ttl_us = int(view.ttl.total_seconds() * 1_000_000)
-            fresh = _micros(best["_fts"]) >= _micros("_ets") - F.lit(ttl_us)
-            best = F.when(fresh, best)
-        names = {f: (f"{view.name}__{f}" if full_feature_names else view.rename.get(f, f)) for f in view.features}
-        out = joined.select(*ent_cols, *[best[f].alias(names[f]) for f in view.features])
+    for keys, vs in by_keys.items():
+        out = _pit_pass(out, list(keys), vs, event_ts, bucket_seconds, full_feature_names)
     return out
 
 
+def _pit_pass(ent_df: DataFrame, keys: list[str], views: list[FeatureView], event_ts: str, bucket_seconds: int,
+              full_feature_names: bool) -> DataFrame:
+    b_us = int(bucket_seconds) * 1_000_000
+    ent_cols = ent_df.columns
+    other = [c for c in ent_cols if c not in set(keys)]
+    structs = [_feature_struct(v) for v in views]
+    srcs = [v.source.select(*keys, s.alias("_f")) for v, s in zip(views, structs)]
+    ftypes = [src.schema["_f"].dataType for src in srcs]
+    n = len(views)
+    null_f = [F.lit(None).cast(t) for t in ftypes]
+
+    def fcols(i: int | None, value=None):
+        return [(value if j == i else null_f[j]).alias(f"_f{j}") for j in range(n)]
+
+    def tiecols(i: int | None):
+        return [(F.col("_f._ftb") if j == i else F.lit(None).cast("long")).alias(f"_t{j}") for j in range(n)]
+
+    ent_side = ent_df.select(*keys, F.floor(_micros(event_ts) / F.lit(b_us)).alias("_b"), F.lit(1).alias("_kind"),
+                             F.col(event_ts).cast("timestamp_ntz").alias("_ets"), *tiecols(None), *fcols(None), *other)
+    sides = [ent_side]
+    for i, src in enumerate(srcs):
+        sides.append(src.select(*keys, F.floor(_micros(F.col("_f._fts")) / F.lit(b_us)).alias("_b"),
+                                F.lit(0).alias("_kind"), F.col("_f._fts").alias("_ets"), *tiecols(i),
+                                *fcols(i, F.col("_f")),
+                                *[F.lit(None).cast(ent_df.schema[c].dataType).alias(c) for c in other]))
+    rows = sides[0]
+    for s_ in sides[1:]:
+        rows = rows.unionByName(s_)
+
+    # (1) one window per (key, bucket): newest feature of each view at or before every row; the bucket's last row
+    #     carries the newest feature of the whole bucket (its summary)
+    order = [F.col("_ets"), F.col("_kind"), *[F.col(f"_t{j}") for j in range(n)]]
+    w_run = W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    w_ord = W.partitionBy(*keys, "_b").orderBy(*order)
+    rows = rows.select(*keys, "_b", "_kind", "_ets", *other,
+                       *[F.last(f"_f{j}", ignorenulls=True).over(w_run).alias(f"_in{j}") for j in range(n)],
+                       F.lead(F.lit(1)).over(w_ord).isNull().alias("_is_last"))
+
+    # (2) newest feature of earlier buckets: per-key window over bucket summaries (one row per bucket)
+    summary = rows.filter("_is_last").select(*keys, "_b", *[F.col(f"_in{j}").alias(f"_s{j}") for j in range(n)])
+    w_prev = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    prior = summary.select(*keys, "_b", *[F.last(f"_s{j}", ignorenulls=True).over(w_prev).alias(f"_p{j}")
+                                          for j in range(n)])
+
+    joined = rows.filter(F.col("_kind") == 1).join(prior, [*keys, "_b"], "left")
+    feats = []
+    for j, v in enumerate(views):
+        best = F.coalesce(F.col(f"_in{j}"), F.col(f"_p{j}"))
+        if v.ttl is not None:
+            ttl_us = int(v.ttl.total_seconds() * 1_000_000)
+            best = F.when(_micros(best["_fts"]) >= _micros("_ets") - F.lit(ttl_us), best)
+        for f in v.features:
+            nm = f"{v.name}__{f}" if full_feature_names else v.rename.get(f, f)
+            feats.append(best[f].alias(nm))
+    return joined.select(*[F.col(c) for c in ent_cols if c in keys or c in other], *feats).select(*ent_cols, *[
+        c for c in [f"{v.name}__{f}" if full_feature_names else v.rename.get(f, f) for v in views for f in v.features]])
+
+
 def latest_per_key(df: DataFrame, keys: list[str], ts: str, columns: list[str], tie_breaker: str | None = None,
                    start=None, end=None) -> DataFrame:
     """Newest row per key with ``start < ts <= end`` (either bound optional).
