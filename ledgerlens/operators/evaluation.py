@@ -124,10 +124,11 @@ def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], ke
         for name, cond in (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p)):
             aggs.append(F.sum(F.when(cond, F.col("_w")).otherwise(0)).alias(f"{m}__{name}"))
     cells = rep.groupBy("replicate").agg(*aggs)
-    per_model = [cells.select(F.lit(m).alias("model"), "replicate",
-                              *[F.col(f"{m}__{c}").alias(c) for c in ("tp", "fp", "fn", "tn")])
-                 for m in predictions]
-    long = reduce(DataFrame.unionByName, per_model)
+    # unpivot models with a Generate (one lineage) rather than a union of per-model selects
+    per_model = F.explode(F.array(*[F.struct(F.lit(m).alias("model"),
+                                             *[F.col(f"{m}__{c}").alias(c) for c in ("tp", "fp", "fn", "tn")])
+                                    for m in predictions])).alias("_m")
+    long = cells.select("replicate", per_model).select("_m.model", "replicate", "_m.tp", "_m.fp", "_m.fn", "_m.tn")
     valid = long.filter((F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0))
     return binary_metrics(valid).select("model", "replicate", "f1", "precision", "recall", "auc")
 
@@ -135,13 +136,18 @@ def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], ke
 METRICS = ("f1", "precision", "recall", "auc")
 
 
+def _long(reps: DataFrame, metrics, keep=("model",)) -> DataFrame:
+    """(model, metric, v) rows from the wide replicate table via one Generate."""
+    arr = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in metrics])
+    return reps.select(*keep, F.explode(arr).alias("_x")).select(*keep, "_x.metric", "_x.v")
+
+
 def metric_interval(reps: DataFrame, metrics=METRICS, confidence: float = 0.95, base: str = "base",
                     cand: str = "cand") -> DataFrame:
     """Per metric and model: mean, std, normal interval mean +- z*std, t interval of the mean; plus whether the
     two models' t intervals overlap."""
     z = NormalDist().inv_cdf(0.5 + confidence / 2)
-    long = reduce(DataFrame.unionByName,
-                  [reps.select("model", F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics])
+    long = _long(reps, metrics)
     g = long.groupBy("model", "metric").agg(F.count("v").alias("n"), F.avg("v").alias("mean"),
                                             F.stddev_samp("v").alias("std"))
     tq = t_quantile(0.5 + confidence / 2, F.col("n") - 1)
@@ -162,8 +168,7 @@ def t_test(reps: DataFrame, metrics=("f1", "precision"), alpha: float = 0.01, ba
            cand: str = "cand") -> DataFrame:
     """Pooled two-sample t-test (base vs candidate) per metric, with Cohen's d and improvement.
     A 0/0 statistic (no spread, equal means) gives t = 0 and p = 1."""
-    long = reduce(DataFrame.unionByName,
-                  [reps.select("model", F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics])
+    long = _long(reps, metrics)
     g = long.groupBy("metric").agg(
         F.count(F.when(F.col("model") == base, F.col("v"))).alias("n1"),
         F.avg(F.when(F.col("model") == base, F.col("v"))).alias("m1"),
@@ -198,8 +203,7 @@ def effect_band(d: Column, medium: float = 0.5, large: float = 0.8) -> Column:
 
 def cohens_d(reps: DataFrame, metrics=METRICS, base: str = "base", cand: str = "cand") -> DataFrame:
     """|mean difference| / sqrt(mean of the two variances); 0 without spread; size band."""
-    long = reduce(DataFrame.unionByName,
-                  [reps.select("model", F.lit(m).alias("metric"), F.col(m).alias("v")) for m in metrics])
+    long = _long(reps, metrics)
     g = long.groupBy("metric").agg(
         F.avg(F.when(F.col("model") == base, F.col("v"))).alias("m1"),
         F.var_samp(F.when(F.col("model") == base, F.col("v"))).alias("v1"),
@@ -214,9 +218,7 @@ def sample_size(reps: DataFrame, metrics=METRICS, delta: float = 0.01, alpha: fl
                 model: str = "base") -> DataFrame:
     """n = 2 (z_{1-alpha/2} + z_power)^2 sigma^2 / delta^2 per metric, sigma from the bootstrap spread."""
     zs = NormalDist().inv_cdf(1 - alpha / 2) + NormalDist().inv_cdf(power)
-    long = reduce(DataFrame.unionByName,
-                  [reps.filter(F.col("model") == model).select(F.lit(m).alias("metric"), F.col(m).alias("v"))
-                   for m in metrics])
+    long = _long(reps.filter(F.col("model") == model), metrics, keep=())
     g = long.groupBy("metric").agg(F.stddev_samp("v").alias("sigma"))
     n = F.lit(2 * zs * zs) * F.pow(F.col("sigma"), 2) / F.lit(delta * delta)
     return g.select("metric", F.round("sigma", 6).alias("sigma"), F.ceil(n).cast("long").alias("n_required"))
