@@ -57,3 +57,14 @@ def score_with_heuristic_udf(df: DataFrame, amount: str = "tx_amount", key: str
             .withColumn("fraud_probability", F.col("ml_result.probability"))
             .withColumn("fraud_label", fraud_label(F.col("fraud_prediction")))
             .drop("ml_result"))
+
+
+def windowed_rates(df: DataFrame, ts: str, width: str = "5 minutes", watermark: str = "10 minutes",
+                   label: str | None = None) -> DataFrame:
+    """Addition (not a reference operator): tumbling event-time counts per window (and label), with a
+    watermark so state for closed windows is dropped; in append mode each window is emitted once it closes."""
+    d = df.withWatermark(ts, watermark)
+    keys = [F.window(F.col(ts), width).alias("w")] + ([F.col(label)] if label else [])
+    g = d.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    *([label] if label else []), "n")
