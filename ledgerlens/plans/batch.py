@@ -390,8 +390,9 @@ def q_balance_risk_score(spark, sf):
 
 @register("threshold_score", f"""
 SELECT transaction_id, {S.threshold_is_fraud_sql('tx_amount', 'tx_fraud_scenario', LARGE)} AS is_fraud,
-       CASE WHEN {S.threshold_is_fraud_sql('tx_amount', 'tx_fraud_scenario', LARGE)} THEN 0.8 ELSE 0.2 END AS fraud_probability,
-       0.9 AS confidence
+       CASE WHEN {S.threshold_is_fraud_sql('tx_amount', 'tx_fraud_scenario', LARGE)} THEN {D(0.8)} ELSE {D(0.2)} END
+         AS fraud_probability,
+       {D(0.9)} AS confidence
 FROM ({TX_SQL})""")
 def q_threshold_score(spark, sf):
     tx = T.transactions(spark, sf)

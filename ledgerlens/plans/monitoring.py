@@ -94,7 +94,7 @@ def q_lag_advice(spark, sf):
 @register("lag_summary", f"""
 WITH h AS ({_health_sql()}), c AS (SELECT DISTINCT sampled_at, overall_health FROM h),
 g AS (SELECT overall_health, count(*) AS checks FROM c GROUP BY overall_health)
-SELECT overall_health, checks, sum(checks) OVER () AS total_checks, round(checks * 100.0 / sum(checks) OVER (), 6) AS pct,
+SELECT overall_health, checks, CAST(sum(checks) OVER () AS BIGINT) AS total_checks, round(checks * 100.0 / sum(checks) OVER (), 6) AS pct,
        sum(CASE WHEN overall_health = 'critical' THEN checks ELSE 0 END) OVER () > sum(checks) OVER () * 0.1
          AS frequent_critical
 FROM g""")
@@ -147,7 +147,7 @@ r AS (SELECT s.phase_index, s.phase, s.target_tps, coalesce(c.rows, 0) AS rows,
       FROM s CROSS JOIN b LEFT JOIN c ON c.phase_index = s.phase_index),
 q AS (SELECT phase_index, phase, target_tps, rows, CASE WHEN secs > 0 THEN rows / secs ELSE 0.0 END AS reached FROM r)
 SELECT phase_index, phase, target_tps, rows, round(reached, 6) AS reached_tps, reached >= target_tps * {tol} AS ok,
-       sum(CAST(reached >= target_tps * {tol} AS BIGINT)) OVER () AS phases_ok,
+       CAST(sum(CAST(reached >= target_tps * {tol} AS BIGINT)) OVER () AS BIGINT) AS phases_ok,
        sum(CAST(reached >= target_tps * {tol} AS BIGINT)) OVER () >= {min_ok} AS attack_success
 FROM q"""
 

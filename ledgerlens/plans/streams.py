@@ -57,7 +57,8 @@ PARSED_SQL = f"SELECT {_PARSED_COLS}, {_META_COLS} FROM ({TX_SQL})"
 
 def _parsed_stream(spark, sf, kind="tx", files_per_trigger=FILES_PER_TRIGGER, sample_n=None):
     src = IO.replay_source(spark, _records(spark, sf, kind, sample_n), files_per_trigger)
-    return parse_stream(src, nested=True)
+    # the record time is an instant; shown as UTC wall-clock time like the tables' timestamps
+    return parse_stream(src, nested=True).withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
 
 
 @register("parse_stream", PARSED_SQL)

@@ -57,6 +57,17 @@ def rows(df: pd.DataFrame) -> list[tuple]:
     return sorted(out, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "smallint": "SMALLINT", "date": "DATE"}
+
+
+def type_mismatches(spark_dtypes: list[tuple[str, str]], con, sql: str) -> list[str]:
+    """Columns whose Spark type does not correspond to the DuckDB result type."""
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [f"{c}: spark {t} vs duck {duck_types.get(c)}" for c, t in spark_dtypes
+            if SPARK_TO_DUCK.get(t, t) != duck_types.get(c)]
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> tuple[bool, str]:
     if sorted(spark_pdf.columns) != sorted(duck_pdf.columns):
         return False, f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(duck_pdf.columns)}"
@@ -101,6 +112,9 @@ def main(argv):
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             continue
         ok, msg = compare(spdf, dpdf)
+        if ok:
+            tm = type_mismatches(sdf.dtypes, con, oracle[name])
+            ok, msg = (False, "types: " + "; ".join(tm)) if tm else (True, "ok")
         if not ok:
             bad += 1
             print(f"FAIL {name}: {msg}")

@@ -3,7 +3,7 @@
 import pytest
 
 from tests.conftest import SF_SMALL
-from tests.oracle_check import compare, duck
+from tests.oracle_check import compare, duck, type_mismatches
 
 import __spark_entry__ as E
 
@@ -18,10 +18,12 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SF_SMALL).toPandas()
+    sdf = QUERIES[name](spark, SF_SMALL)
+    got = sdf.toPandas()
     want = con.execute(ORACLE[name]).df()
     ok, msg = compare(got, want)
     assert ok, msg
+    assert not type_mismatches(sdf.dtypes, con, ORACLE[name])
 
 
 def test_every_oracle_has_a_query():
