@@ -80,17 +80,26 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """count, mean, std, min, 25%, 50%, 75%, max per column (pandas ``describe`` layout: one row per statistic).
-    Quantiles are exact (linear interpolation) for small metric tables, approximate when ``exact=False``."""
-    def q(c, p):
-        return F.percentile(F.col(c), F.lit(p)) if exact else F.percentile_approx(F.col(c), F.lit(p), F.lit(10000))
-    stats = [("count", lambda c: F.count(c).cast("double")), ("mean", lambda c: F.avg(c)),
-             ("std", lambda c: F.stddev_samp(c)), ("min", lambda c: F.min(c).cast("double")),
-             ("25%", lambda c: q(c, 0.25)), ("50%", lambda c: q(c, 0.5)), ("75%", lambda c: q(c, 0.75)),
-             ("max", lambda c: F.max(c).cast("double"))]
-    one = df.agg(*[fn(c).alias(f"{s}__{c}") for s, fn in stats for c in columns])
-    rows = [F.struct(F.lit(s).alias("statistic"), *[F.round(F.col(f"`{s}__{c}`"), 6).alias(c) for c in columns])
-            for s, _ in stats]
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+    Columns are unpivoted into (metric, v) rows; moments are one grouped aggregate, quantiles are exact
+    (:func:`exact_quantile`, no whole-group buffer) or GK-sketch approximations when ``exact=False``."""
+    arr = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns])
+    long = df.select(F.explode(arr).alias("_x")).select("_x.metric", "_x.v")
+    qs = [(0.25, "25%"), (0.5, "50%"), (0.75, "75%")]
+    aggs = [F.count("v").cast("double").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
+            F.min("v").alias("min"), F.max("v").alias("max")]
+    if not exact:
+        aggs += [F.percentile_approx("v", F.lit(p), F.lit(10000)).alias(n) for p, n in qs]
+    per = long.groupBy("metric").agg(*aggs)
+    if exact:
+        for p, n in qs:
+            per = per.join(exact_quantile(long, "v", p, ["metric"], name=n), "metric", "left")
+    stats = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
+    rows = per.select("metric", F.explode(F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(f"`{s}`").alias("value"))
+                                                    for s in stats])).alias("_r"))
+    wide = (rows.select("metric", "_r.statistic", "_r.value").groupBy("statistic")
+            .pivot("metric", list(columns)).agg(F.first("value")))
+    return wide.select("statistic", *[F.round(F.col(f"`{c}`"), 6).alias(c) for c in columns])
 
 
 def label_share(df: DataFrame, label: str = "fraud_label") -> DataFrame:

@@ -179,3 +179,27 @@ def test_broadcast_only_when_small(spark):
     big = spark.range(10).withColumn("x", F.lit("x" * 100))
     assert "broadcast" in str(broadcast_if_small(small, 10**9)._jdf.queryExecution().logical()).lower()
     assert "broadcast" not in str(broadcast_if_small(big, 1)._jdf.queryExecution().logical()).lower()
+
+
+def test_approx_percentile_rank_error_within_one_percent(spark):
+    import random
+    from ledgerlens.operators.aggregates import approx_percentile, exact_quantile
+    rnd = random.Random(5)
+    vals = [rnd.lognormvariate(3, 1) for _ in range(20000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    a = approx_percentile(df, "x", 0.98, 0.01).collect()[0][0]
+    srt = sorted(vals)
+    rank = sum(1 for v in srt if v <= a) / len(srt)
+    assert abs(rank - 0.98) <= 0.01
+    ex = exact_quantile(df, "x", 0.98).collect()[0][0]
+    pos = 0.98 * (len(srt) - 1)
+    lo, hi = int(pos), min(int(pos) + 1, len(srt) - 1)
+    assert abs(ex - (srt[lo] + (srt[hi] - srt[lo]) * (pos - lo))) < 1e-9
+
+
+def test_exact_quantile_groups_and_ties(spark):
+    from ledgerlens.operators.aggregates import exact_quantile
+    rows = [("a", float(v)) for v in [1, 1, 1, 2, 10]] + [("b", 5.0)] + [("c", float(v)) for v in range(100)]
+    got = {r.g: r.q for r in exact_quantile(spark.createDataFrame(rows, "g string, v double"), "v", 0.5, ["g"],
+                                             buckets=4, name="q").collect()}
+    assert got == {"a": 1.0, "b": 5.0, "c": 49.5}
