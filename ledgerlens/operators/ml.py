@@ -12,7 +12,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -103,18 +103,29 @@ def sample_grid(space: dict, n_iter: int, seed: int = 42) -> list[dict]:
 
 def random_search(train: DataFrame, pipeline: Pipeline, space: dict = SEARCH_SPACE, n_iter: int = 50,
                   folds: int = 3, label: str = "label_enc", seed: int = 42, parallelism: int = 4
-                  ) -> tuple[CrossValidatorModel, DataFrame]:
-    """k-fold search scored by the F1 of class 1; returns the refit model and one row per combination."""
-    rf = pipeline.getStages()[-1]
-    combos = sample_grid(space, n_iter, seed)
-    maps = [{rf.getParam(k): v for k, v in c.items()} for c in combos]
-    ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                           metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    model = cv.fit(train)
+                  ) -> tuple[PipelineModel, DataFrame]:
+    """k-fold search scored by the F1 of class 1; returns the refit pipeline and one row per combination.
+
+    The feature stages (all but the last) carry no searched parameter: they are fitted once, their output is
+    persisted for the k x combinations forest fits, and only the forest is cross-validated."""
+    from pyspark import StorageLevel
+    stages = pipeline.getStages()
+    rf = stages[-1]
+    feat_model = Pipeline(stages=stages[:-1]).fit(train)
+    feats = feat_model.transform(train).select(rf.getFeaturesCol(), rf.getLabelCol()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        combos = sample_grid(space, n_iter, seed)
+        maps = [{rf.getParam(k): v for k, v in c.items()} for c in combos]
+        ev = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
+                                               metricName="fMeasureByLabel", metricLabel=1.0)
+        cv = CrossValidator(estimator=rf, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=seed,
+                            parallelism=parallelism)
+        cv_model = cv.fit(feats)
+    finally:
+        feats.unpersist()
+    model = PipelineModel(stages=[*feat_model.stages, cv_model.bestModel])
     rows = [(c["numTrees"], c["maxDepth"], c["minInstancesPerNode"], c["featureSubsetStrategy"], float(m))
-            for c, m in zip(combos, model.avgMetrics)]
+            for c, m in zip(combos, cv_model.avgMetrics)]
     res = train.sparkSession.createDataFrame(
         rows, "num_trees int, max_depth int, min_instances int, feature_subset string, mean_f1 double")
     return model, res
