@@ -203,3 +203,12 @@ def test_exact_quantile_groups_and_ties(spark):
     got = {r.g: r.q for r in exact_quantile(spark.createDataFrame(rows, "g string, v double"), "v", 0.5, ["g"],
                                              buckets=4, name="q").collect()}
     assert got == {"a": 1.0, "b": 5.0, "c": 49.5}
+
+
+def test_months_udf_matches_native_floor(spark):
+    from ledgerlens.functions.timefix import to_months_native, to_months_udf
+    df = spark.createDataFrame([(0,), (31536000000 * 12 - 1,), (31536000000 * 12,), (987654321012345,), (-5,)],
+                               "ms long")
+    got = df.select(to_months_udf()(F.col("ms")).alias("u"), to_months_native("ms").alias("n")).collect()
+    assert all(r.u == r.n for r in got)
+    assert [r.u for r in got] == [0, 0, 1, 987654321012345 // 31536000000 // 12, -1]

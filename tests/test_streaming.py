@@ -41,7 +41,11 @@ def test_windowed_rates_stream_matches_batch_for_closed_windows(spark):
     t0 = datetime(2024, 1, 1)
     rows = [(t0 + timedelta(seconds=37 * i), "FRAUD" if i % 5 == 0 else "NORMAL") for i in range(400)]
     src_dir = scratch_path(spark, "win-src")
-    spark.createDataFrame(rows, "ts timestamp, fraud_label string").repartitionByRange(4, "ts").write.parquet(src_dir)
+    import time
+    for k in range(4):   # time slices written one after another, so file modification order is time order
+        part = rows[k * 100:(k + 1) * 100]
+        spark.createDataFrame(part, "ts timestamp, fraud_label string").coalesce(1).write.mode("append").parquet(src_dir)
+        time.sleep(1.1)
     stream = spark.readStream.schema("ts timestamp, fraud_label string").option("maxFilesPerTrigger", "1").parquet(src_dir)
     out = scratch_path(spark, "win-out")
     IO.run_to_parquet(windowed_rates(stream, "ts", "5 minutes", "0 seconds", "fraud_label"), out)
