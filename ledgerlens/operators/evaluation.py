@@ -32,18 +32,20 @@ def confusion_cells(df: DataFrame, label: str, prediction: str, weight: Column |
     return df.groupBy(*(by or [])).agg(*aggs)
 
 
-def binary_metrics(cells: DataFrame) -> DataFrame:
+def binary_metrics(cells: DataFrame, digits: int | None = 6) -> DataFrame:
     """precision, recall, F1 of class 1 (0 when undefined, as the reference's defaults) and hard-label AUC
-    (TPR + TNR) / 2 (null when a class is missing)."""
+    (TPR + TNR) / 2 (null when a class is missing).  ``digits=None`` keeps full precision (for values that are
+    aggregated further, so no rounding happens before the last step)."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     tpr = _safe_div(tp, tp + fn, None)
     tnr = _safe_div(tn, tn + fp, None)
+    r = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     return cells.select(
         *[c for c in cells.columns if c not in ("tp", "fp", "fn", "tn")], "tp", "fp", "fn", "tn",
-        F.round(_safe_div(tp, tp + fp), 6).alias("precision"),
-        F.round(_safe_div(tp, tp + fn), 6).alias("recall"),
-        F.round(_safe_div(2 * tp, 2 * tp + fp + fn), 6).alias("f1"),
-        F.round((tpr + tnr) / 2, 6).alias("auc"))
+        r(_safe_div(tp, tp + fp)).alias("precision"),
+        r(_safe_div(tp, tp + fn)).alias("recall"),
+        r(_safe_div(2 * tp, 2 * tp + fp + fn)).alias("f1"),
+        r((tpr + tnr) / 2).alias("auc"))
 
 
 def eval_binary(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -105,7 +107,7 @@ def eval_auc_score(df: DataFrame, label: str, score: str, buckets: int = 1 << 16
 # ---- bootstrap and comparison ------------------------------------------------------------------------------
 
 def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], key: str, n_iter: int = 100,
-                      seed: int = 42) -> DataFrame:
+                      seed: int = 42, digits: int | None = None) -> DataFrame:
     """Per model and replicate: F1, precision, recall, hard-label AUC under Poisson(1) resampling weights.
 
     Each (row, replicate) weight is a stable hash draw, so replicates are repeatable and survive task retries.
@@ -130,7 +132,7 @@ def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], ke
                                     for m in predictions])).alias("_m")
     long = cells.select("replicate", per_model).select("_m.model", "replicate", "_m.tp", "_m.fp", "_m.fn", "_m.tn")
     valid = long.filter((F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0))
-    return binary_metrics(valid).select("model", "replicate", "f1", "precision", "recall", "auc")
+    return binary_metrics(valid, digits).select("model", "replicate", "f1", "precision", "recall", "auc")
 
 
 METRICS = ("f1", "precision", "recall", "auc")

@@ -21,14 +21,14 @@ PREDICTIONS = {"base": "y_pred_base", "cand": "y_pred_cand"}
 METRICS = ("f1", "precision", "recall", "auc")
 
 
-def _metrics_sql(src: str, keep: str) -> str:
+def _metrics_sql(src: str, keep: str, digits: int | None = 6) -> str:
+    r = (lambda e: f"round({e}, {digits})") if digits is not None else (lambda e: e)
     return f"""
 SELECT {keep}, tp, fp, fn, tn,
-       round(CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END, 6) AS precision,
-       round(CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END, 6) AS recall,
-       round(CASE WHEN 2 * tp + fp + fn <> 0 THEN CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0.0 END, 6) AS f1,
-       round(((CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END)
-            + (CASE WHEN tn + fp <> 0 THEN CAST(tn AS DOUBLE) / CAST(tn + fp AS DOUBLE) END)) / 2, 6) AS auc
+       {r("CASE WHEN tp + fp <> 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fp AS DOUBLE) ELSE 0.0 END")} AS precision,
+       {r("CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) ELSE 0.0 END")} AS recall,
+       {r("CASE WHEN 2 * tp + fp + fn <> 0 THEN CAST(2 * tp AS DOUBLE) / CAST(2 * tp + fp + fn AS DOUBLE) ELSE 0.0 END")} AS f1,
+       {r("((CASE WHEN tp + fn <> 0 THEN CAST(tp AS DOUBLE) / CAST(tp + fn AS DOUBLE) END) + (CASE WHEN tn + fp <> 0 THEN CAST(tn AS DOUBLE) / CAST(tn + fp AS DOUBLE) END)) / 2")} AS auc
 FROM ({src})"""
 
 
@@ -100,20 +100,24 @@ def _boot_sql():
            f"CROSS JOIN range({N_ITER}) g)")
     weighted = f"(SELECT *, {w} AS w FROM {rep})"
     cells = " UNION ALL ".join(_cells_sql(weighted, p, "w", "replicate", m) for m, p in PREDICTIONS.items())
-    metrics = _metrics_sql(cells, "model, replicate")
+    metrics = _metrics_sql(cells, "model, replicate", None)
     return f"SELECT model, replicate, f1, precision, recall, auc FROM ({metrics}) WHERE tp + fn > 0 AND tn + fp > 0"
 
 
+# full-precision replicate metrics feed the comparisons; only the bootstrap query itself shows rounded values
 BOOT_SQL = _boot_sql()
+BOOT_SQL_ROUNDED = ("SELECT model, replicate, round(f1, 6) AS f1, round(precision, 6) AS precision, "
+                    f"round(recall, 6) AS recall, round(auc, 6) AS auc FROM ({BOOT_SQL})")
 
 
 def _boot(spark, sf):
     return E.bootstrap_metrics(_eval(spark, sf), "y_test", PREDICTIONS, "doc_id", N_ITER, SEED)
 
 
-@register("bootstrap_metrics", BOOT_SQL)
+@register("bootstrap_metrics", BOOT_SQL_ROUNDED)
 def q_bootstrap_metrics(spark, sf):
-    return _boot(spark, sf)
+    b = _boot(spark, sf)
+    return b.select("model", "replicate", *[F.round(m, 6).alias(m) for m in METRICS])
 
 
 def _long_sql(metrics=METRICS, model_filter: str = "TRUE"):
