@@ -208,6 +208,17 @@ def no_data_alert(df: DataFrame, ts: str, width_seconds: int = 600) -> DataFrame
             .withColumn("no_data", F.col("predictions") == 0))
 
 
+def queue_stalled(offsets: DataFrame, ts: str = "sampled_at") -> DataFrame:
+    """Per topic and check: messages consumed since the previous check (committed offset growth) and waiting
+    messages; ``stalled`` when nothing was consumed while messages wait.  A topic never committed consumes 0."""
+    g = offsets.groupBy("topic", ts).agg(F.sum(F.coalesce(F.col("committed"), F.lit(0))).alias("_c"),
+                                         F.sum(F.col("end") - F.coalesce(F.col("committed"), F.lit(0))).alias("queue"))
+    w = W.partitionBy("topic").orderBy(ts)
+    g = g.withColumn("consumed", F.col("_c") - F.lag("_c").over(w))
+    return g.select("topic", ts, "consumed", "queue",
+                    ((F.coalesce(F.col("consumed"), F.lit(0)) == 0) & (F.col("queue") > 0)).alias("stalled"))
+
+
 def threshold_alert(gauges: DataFrame, limits: dict[str, float]) -> DataFrame:
     """Gauge samples (ts, metric, value) with their limit and whether they exceed it."""
     lim = F.lit(None).cast("double")

@@ -216,6 +216,16 @@ def q_no_data_alert(spark, sf):
     return M.no_data_alert(ev, "ts", 600)
 
 
+@register("queue_stalled", f"""
+WITH g AS (SELECT topic, sampled_at, CAST(sum(coalesce(committed, 0)) AS BIGINT) AS c,
+                  CAST(sum("end" - coalesce(committed, 0)) AS BIGINT) AS queue
+           FROM ({OFFSETS_SQL}) GROUP BY topic, sampled_at),
+l AS (SELECT *, c - lag(c) OVER (PARTITION BY topic ORDER BY sampled_at) AS consumed FROM g)
+SELECT topic, sampled_at, consumed, queue, coalesce(consumed, 0) = 0 AND queue > 0 AS stalled FROM l""")
+def q_queue_stalled(spark, sf):
+    return M.queue_stalled(T.offsets(spark, sf))
+
+
 def _gauges(spark, sf):
     o = T.offsets(spark, sf)
     g = o.groupBy("sampled_at").agg(

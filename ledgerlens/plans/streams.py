@@ -127,16 +127,24 @@ _SCORED_SCHEMA = "transaction_id string, success boolean, fraud_probability doub
 
 
 def _external(spark, sf):
+    """Score each micro-batch with the injected scorer; successes go to the results table, failures to a side
+    table.  The scored batch is persisted so the external scorer is called once per row."""
+    from pyspark import StorageLevel
     df = _parsed_stream(spark, sf, kind="raw")
-    out = scratch_path(spark, "sink-external")
-    writer = IO.idempotent_batch_writer(out)
+    results, errors = scratch_path(spark, "sink-external"), scratch_path(spark, "sink-external-errors")
+    write_ok, write_err = IO.idempotent_batch_writer(results), IO.idempotent_batch_writer(errors)
     scorer = request_scorer(large=LARGE, medium=MEDIUM)
 
     def per_batch(batch_df, batch_id):
-        writer(batch_df.mapInPandas(external_scoring(scorer), _SCORED_SCHEMA), batch_id)
+        scored = batch_df.mapInPandas(external_scoring(scorer), _SCORED_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_ok(scored.filter("success"), batch_id)
+            write_err(scored.filter("NOT success"), batch_id)
+        finally:
+            scored.unpersist()
 
     IO.foreach_batch_sink(df, per_batch)
-    return spark.read.parquet(out)
+    return spark.read.parquet(results).unionByName(spark.read.parquet(errors))
 
 
 _REQ_P = S.request_risk_score_sql("tx_amount", "tx_time_seconds", "customer_id", large=LARGE, medium=MEDIUM)
