@@ -169,18 +169,24 @@ def error_rate_alert(df: DataFrame, ts: str, is_error: Column, width_seconds: in
 
 def latency_alert(df: DataFrame, ts: str, latency: str, width_seconds: int = 300, p95_limit: float = 2.0,
                   mean_limit: float = 1.0, exact: bool = False) -> DataFrame:
-    """p95 and mean latency per window.  The default p95 is the bounded-memory GK sketch; ``exact`` computes the
-    exact interpolated quantile per window with :func:`exact_quantile` (no group is buffered whole)."""
+    """p95 and mean latency (seconds) per window.
+
+    The mean is computed in integer microseconds (exact sum, half-up integer division), so it does not depend
+    on the order partial sums arrive in and is identical across re-runs and retries.  The default p95 is the
+    bounded-memory GK sketch; ``exact`` computes the exact interpolated quantile per window with
+    :func:`exact_quantile` (no group is buffered whole)."""
     win = df.select(F.window(F.col(ts), f"{width_seconds} seconds").alias("w"), latency) \
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), latency)
     keys = ["window_start", "window_end"]
-    mean = win.groupBy(*keys).agg(F.avg(latency).alias("mean"),
-                                  *([] if exact else [F.percentile_approx(latency, F.lit(0.95), F.lit(1000)).alias("p95")]))
+    us = F.round(F.col(latency) * F.lit(1e6)).cast("long")
+    agg = win.groupBy(*keys).agg(F.sum(us).alias("_sum_us"), F.count(latency).alias("_n"),
+                                 *([] if exact else [F.percentile_approx(latency, F.lit(0.95), F.lit(1000)).alias("p95")]))
+    agg = agg.withColumn("mean", F.expr("((2 * _sum_us + _n) div (2 * _n)) / 1e6"))
     if exact:
         from ledgerlens.operators.aggregates import exact_quantile
-        mean = mean.join(exact_quantile(win, latency, 0.95, keys, name="p95"), keys)
-    return mean.select(*keys, F.round("p95", 6).alias("p95_latency"), F.round("mean", 6).alias("mean_latency"),
-                       (F.col("p95") > p95_limit).alias("p95_alert"), (F.col("mean") > mean_limit).alias("mean_alert"))
+        agg = agg.join(exact_quantile(win, latency, 0.95, keys, name="p95"), keys)
+    return agg.select(*keys, F.round("p95", 6).alias("p95_latency"), F.col("mean").alias("mean_latency"),
+                      (F.col("p95") > p95_limit).alias("p95_alert"), (F.col("mean") > mean_limit).alias("mean_alert"))
 
 
 def fraud_share_alert(df: DataFrame, ts: str, is_fraud: Column, width_seconds: int = 900,

@@ -181,7 +181,9 @@ def q_error_rate_alert(spark, sf):
 
 @register("latency_p95_alert", f"""
 SELECT w AS window_start, w + INTERVAL 300 SECOND AS window_end, round(quantile_cont(lat, 0.95), 6) AS p95_latency,
-       round(avg(lat), 6) AS mean_latency, quantile_cont(lat, 0.95) > 2.0 AS p95_alert, avg(lat) > 1.0 AS mean_alert
+       CAST((2 * sum(CAST(round(lat * 1e6) AS BIGINT)) + count(lat)) // (2 * count(lat)) AS BIGINT) / 1e6 AS mean_latency,
+       quantile_cont(lat, 0.95) > 2.0 AS p95_alert,
+       CAST((2 * sum(CAST(round(lat * 1e6) AS BIGINT)) + count(lat)) // (2 * count(lat)) AS BIGINT) / 1e6 > 1.0 AS mean_alert
 FROM (SELECT {_bucket_sql(300)} AS w, value / 100.0 AS lat FROM events) GROUP BY w""")
 def q_latency_p95_alert(spark, sf):
     log = T.table(spark, sf, "events").select("ts", (F.col("value") / 100.0).alias("latency_s"))
