@@ -45,18 +45,20 @@ def equal_width_histogram(df: DataFrame, column: str, n: int = 100, spark=None)
     """``n`` equal buckets between min and max; the last bucket is closed.  All buckets are returned (zero
     counts included) as (bucket, lo, hi, frequency).  A min/max aggregate is broadcast back, the bucket index is
     a column expression, and an ``n``-row spine supplies the empty buckets."""
+    from ledgerlens.operators.scalars import scalars
     x = F.col(column).cast("double")
-    mm = df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx"))
-    width = (F.col("_mx") - F.col("_mn"))
+    mm = scalars(df.agg(F.min(x).alias("_mn"), F.max(x).alias("_mx")))
+    mn, mx = mm["_mn"], mm["_mx"]
+    width = (mx - mn)
     idx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((x - F.col("_mn")) / width * F.lit(n)), F.lit(n - 1))).cast("int")
-    counts = (df.select(column).filter(F.col(column).isNotNull()).crossJoin(F.broadcast(mm))
+        F.least(F.floor((x - mn) / width * F.lit(n)), F.lit(n - 1))).cast("int")
+    counts = (df.select(column).filter(F.col(column).isNotNull())
               .groupBy(idx.alias("bucket")).agg(F.count(F.lit(1)).alias("frequency")))
     ss = spark or df.sparkSession
-    spine = ss.range(n).select(F.col("id").cast("int").alias("bucket")).crossJoin(F.broadcast(mm))
+    spine = ss.range(n).select(F.col("id").cast("int").alias("bucket"))
     step = width / F.lit(float(n))
-    lo = F.col("_mn") + F.col("bucket") * step
-    hi = F.when(F.col("bucket") == n - 1, F.col("_mx")).otherwise(F.col("_mn") + (F.col("bucket") + 1) * step)
+    lo = mn + F.col("bucket") * step
+    hi = F.when(F.col("bucket") == n - 1, mx).otherwise(mn + (F.col("bucket") + 1) * step)
     return (spine.join(F.broadcast(counts), "bucket", "left")
             .select("bucket", F.round(lo, 6).alias("lo"), F.round(hi, 6).alias("hi"),
                     F.coalesce(F.col("frequency"), F.lit(0)).alias("frequency")))
@@ -121,6 +123,9 @@ def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None
     """
     from ledgerlens.operators.joins import broadcast_if_small
     g = list(groups or [])
+    ungrouped = not g
+    if ungrouped:                       # one group: a constant key keeps every step an equi-join
+        df, g = df.withColumn("_g0", F.lit(0)), ["_g0"]
     v = F.col(value).cast("double")
     counts = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(*g, "_v") \
                .agg(F.count(F.lit(1)).alias("_c"))
@@ -131,11 +136,11 @@ def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None
     bk = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor((F.col("_v") - F.col("_mn")) / width * F.lit(buckets)), F.lit(buckets - 1))).cast("int")
     stb = broadcast_if_small(st)
-    cb = (counts.crossJoin(stb) if not g else counts.join(stb, g)).withColumn("_bk", bk)
+    cb = counts.join(stb, g).withColumn("_bk", bk)
     per_b = cb.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
     wb = W.partitionBy(*g).orderBy("_bk").rowsBetween(W.unboundedPreceding, W.currentRow)
     per_b = per_b.withColumn("_end", F.sum("_bc").over(wb)).withColumn("_start", F.col("_end") - F.col("_bc"))
-    joined_b = per_b.crossJoin(stb) if not g else per_b.join(stb, g)
+    joined_b = per_b.join(stb, g)
     holds = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) < F.col("_end"))
     need = joined_b.filter(holds("_lo") | holds("_hi")).select(*g, "_bk", F.col("_start").alias("_bstart"))
     cand = cb.join(need, [*g, "_bk"])
@@ -146,4 +151,4 @@ def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None
                                   F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
     val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
         (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
-    return picked.select(*g, val.alias(name))
+    return picked.select(*([] if ungrouped else g), val.alias(name))

@@ -1,7 +1,7 @@
 """Cleaning chain: drop nulls, 3-sigma outliers, range rules, and the per-step report.
 
-Statistics are computed in one aggregate pass and joined back as a one-row broadcast table, so no value travels
-through the driver and the filter stays a single codegen stage.
+Statistics are computed in one aggregate pass and used as scalar subqueries (one job, values handed to the tasks),
+so the filter stays a single codegen stage with no join.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ledgerlens.operators.scalars import scalars
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
@@ -28,8 +30,8 @@ def column_stats(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
                   *[F.stddev_samp(c).alias(f"{c}_std") for c in cols])
 
 
-def _within(c: str, k: float, skip_zero: bool) -> Column:
-    mu, sd = F.col(f"{c}_mean"), F.col(f"{c}_std")
+def _within(c: str, k: float, skip_zero: bool, st: dict) -> Column:
+    mu, sd = st[f"{c}_mean"], st[f"{c}_std"]
     inside = (F.col(c) >= mu - F.lit(k) * sd) & (F.col(c) <= mu + F.lit(k) * sd)
     skip = sd.isNull() | (sd == 0) if skip_zero else sd.isNull()
     return skip | inside
@@ -44,9 +46,9 @@ def sigma_filter(df: DataFrame, columns: list[str] | None = None, k: float = 3.0
     cols = columns if columns is not None else numeric_columns(df)
     if not cols:
         return df
-    st = stats if stats is not None else column_stats(df, cols)
-    cond = reduce(lambda a, b: a & b, [_within(c, k, skip_zero) for c in cols])
-    return df.crossJoin(F.broadcast(st)).filter(cond).select(*df.columns)
+    st = scalars(stats if stats is not None else column_stats(df, cols))
+    cond = reduce(lambda a, b: a & b, [_within(c, k, skip_zero, st) for c in cols])
+    return df.filter(cond)
 
 
 # Logical range rules (fixed values): column -> condition; a rule applies only if its column exists.
@@ -80,11 +82,11 @@ def clean_report(df: DataFrame, columns: list[str] | None = None, k: float = 3.0
     cols = columns if columns is not None else numeric_columns(df)
     no_null = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in df.columns])
     # stats over the rows that survive drop_na, computed with conditional aggregates in one pass
-    st = df.agg(*[F.avg(F.when(no_null, F.col(c))).alias(f"{c}_mean") for c in cols],
-                *[F.stddev_samp(F.when(no_null, F.col(c))).alias(f"{c}_std") for c in cols])
-    in_sigma = no_null & reduce(lambda a, b: a & b, [_within(c, k, skip_zero) for c in cols], F.lit(True))
+    st = scalars(df.agg(*[F.avg(F.when(no_null, F.col(c))).alias(f"{c}_mean") for c in cols],
+                        *[F.stddev_samp(F.when(no_null, F.col(c))).alias(f"{c}_std") for c in cols]))
+    in_sigma = no_null & reduce(lambda a, b: a & b, [_within(c, k, skip_zero, st) for c in cols], F.lit(True))
     in_range = in_sigma & range_condition(df.columns)
-    return (df.crossJoin(F.broadcast(st))
+    return (df
             .agg(F.count(F.lit(1)).alias("rows_read"),
                  F.count_if(no_null).alias("rows_after_drop_na"),
                  F.count_if(in_sigma).alias("rows_after_sigma"),

@@ -85,11 +85,12 @@ def eval_auc_score(df: DataFrame, label: str, score: str, buckets: int = 1 << 16
     over at most ``buckets`` rows) plus those below it inside its own slice (a window per slice)."""
     by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    mm = by_score.agg(F.min("s").alias("_mn"), F.max("s").alias("_mx"))
-    width = F.col("_mx") - F.col("_mn")
+    from ledgerlens.operators.scalars import scalars
+    mm = scalars(by_score.agg(F.min("s").alias("_mn"), F.max("s").alias("_mx")))
+    width = mm["_mx"] - mm["_mn"]
     bidx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("s") - F.col("_mn")) / width * buckets), F.lit(buckets - 1))).cast("int")
-    scored = by_score.crossJoin(F.broadcast(mm)).withColumn("_bk", bidx).drop("_mn", "_mx")
+        F.least(F.floor((F.col("s") - mm["_mn"]) / width * buckets), F.lit(buckets - 1))).cast("int")
+    scored = by_score.withColumn("_bk", bidx)
     per_bucket = scored.groupBy("_bk").agg(F.sum("neg").alias("_bneg"))
     before = per_bucket.withColumn(
         "_neg_before", F.coalesce(F.sum("_bneg").over(W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)),

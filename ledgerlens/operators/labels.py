@@ -98,9 +98,9 @@ def synth_labels(df: DataFrame, target: str = "tx_fraud", amount: str = "tx_amou
                  exact: bool = False) -> DataFrame:
     """label = amount above the q-quantile, or a stable 0.5 % draw.  The quantile is a one-row aggregate
     joined back by broadcast (no driver round trip); ``exact`` switches to the exact percentile."""
-    pq = _amount_quantile(df, amount, q, rel_error, exact)
-    lab = ((F.col(amount) > F.col("_pq")) | (uniform(key, seed) < random_rate)).cast("int")
-    return df.crossJoin(F.broadcast(pq)).withColumn(target, lab).drop("_pq")
+    pq = _amount_quantile(df, amount, q, rel_error, exact).select("_pq").scalar()
+    lab = ((F.col(amount) > pq) | (uniform(key, seed) < random_rate)).cast("int")
+    return df.withColumn(target, lab)
 
 
 def prepare_labels(df: DataFrame, target: str = "tx_fraud", scenario: str = "tx_fraud_scenario",
@@ -109,18 +109,17 @@ def prepare_labels(df: DataFrame, target: str = "tx_fraud", scenario: str = "tx_
                    exact: bool = False) -> DataFrame:
     """Three-way fallback in one declarative plan: keep the labels if any positive exists, else use
     scenario > 0 if any, else synthesise (amount quantile or stable draw).  Adds ``label_source``."""
-    flags = df.agg(F.max((F.col(target) == 1).cast("int")).alias("_has_pos"),
-                   F.max((F.col(scenario) > 0).cast("int")).alias("_has_scen")) \
-              .crossJoin(_amount_quantile(df, amount, q, rel_error, exact))
-    synth = ((F.col(amount) > F.col("_pq")) | (uniform(key, seed) < random_rate)).cast("int")
-    label = (F.when(F.col("_has_pos") == 1, F.col(target))
-             .when(F.col("_has_scen") == 1, (F.col(scenario) > 0).cast("int"))
+    from ledgerlens.operators.scalars import scalars
+    fl = scalars(df.agg(F.max((F.col(target) == 1).cast("int")).alias("_has_pos"),
+                        F.max((F.col(scenario) > 0).cast("int")).alias("_has_scen")))
+    pq = _amount_quantile(df, amount, q, rel_error, exact).select("_pq").scalar()
+    synth = ((F.col(amount) > pq) | (uniform(key, seed) < random_rate)).cast("int")
+    label = (F.when(fl["_has_pos"] == 1, F.col(target))
+             .when(fl["_has_scen"] == 1, (F.col(scenario) > 0).cast("int"))
              .otherwise(synth))
-    source = (F.when(F.col("_has_pos") == 1, "given").when(F.col("_has_scen") == 1, "scenario")
+    source = (F.when(fl["_has_pos"] == 1, "given").when(fl["_has_scen"] == 1, "scenario")
               .otherwise("synthetic"))
-    return (df.crossJoin(F.broadcast(flags))
-            .withColumn(target, label).withColumn("label_source", source)
-            .drop("_has_pos", "_has_scen", "_pq"))
+    return df.withColumn(target, label).withColumn("label_source", source)
 
 
 def check_labels(df: DataFrame, target: str = "tx_fraud", warn_below: int = 100) -> int:

@@ -123,9 +123,11 @@ def phase_report(log: DataFrame, ts: str, phases=PHASES, tolerance: float = 0.9,
     reached TPS (rows / phase seconds) is compared to the target.  ``attack_success`` when >= ``min_ok`` phases
     reach ``tolerance`` x target."""
     total = float(sum(p[2] for p in phases))
+    from ledgerlens.operators.scalars import scalars
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    bounds = log.agg(F.min(us).alias("_t0"), F.max(us).alias("_t1"))
-    frac = F.when(F.col("_t1") > F.col("_t0"), (us - F.col("_t0")) / (F.col("_t1") - F.col("_t0"))).otherwise(F.lit(0.0))
+    bd = scalars(log.agg(F.min(us).alias("_t0"), F.max(us).alias("_t1")))
+    t0, t1 = bd["_t0"], bd["_t1"]
+    frac = F.when(t1 > t0, (us - t0) / (t1 - t0)).otherwise(F.lit(0.0))
     edges, acc = [], 0.0
     for _, _, d in phases[:-1]:
         acc += d / total
@@ -133,13 +135,11 @@ def phase_report(log: DataFrame, ts: str, phases=PHASES, tolerance: float = 0.9,
     idx = F.lit(len(phases) - 1)
     for i in range(len(edges) - 1, -1, -1):
         idx = F.when(frac < edges[i], F.lit(i)).otherwise(idx)
-    counts = log.crossJoin(F.broadcast(bounds)).groupBy(idx.alias("phase_index")).agg(F.count(F.lit(1)).alias("rows"))
+    counts = log.groupBy(idx.alias("phase_index")).agg(F.count(F.lit(1)).alias("rows"))
     spec = log.sparkSession.createDataFrame([(i, n, t, d) for i, (n, t, d) in enumerate(phases)],
                                             "phase_index int, phase string, target_tps int, share_seconds int")
-    span_s = bounds.select(((F.col("_t1") - F.col("_t0")) / 1e6).alias("_span"))
-    r = (spec.crossJoin(F.broadcast(span_s)).join(F.broadcast(counts), "phase_index", "left")
-         .fillna(0, ["rows"]))
-    secs = F.col("_span") * F.col("share_seconds") / F.lit(total)
+    r = spec.join(F.broadcast(counts), "phase_index", "left").fillna(0, ["rows"])
+    secs = ((t1 - t0) / 1e6) * F.col("share_seconds") / F.lit(total)
     reached = F.when(secs > 0, F.col("rows") / secs).otherwise(F.lit(0.0))
     r = r.select("phase_index", "phase", "target_tps", "rows", F.round(reached, 6).alias("reached_tps"),
                  (reached >= F.col("target_tps") * tolerance).alias("ok"))

@@ -17,7 +17,7 @@ FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_ti
 
 
 def _clean(spark, sf):
-    return clean_transactions(T.raw_transactions(spark, sf))
+    return T.clean_table(spark, sf)
 
 
 def _scaled_sql():

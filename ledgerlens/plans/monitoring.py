@@ -326,5 +326,4 @@ def q_synth_labels(spark, sf):
 @register("prepare_labels", f"""
 SELECT transaction_id, tx_fraud, 'given' AS label_source FROM ({clean_sql()})""")
 def q_prepare_labels(spark, sf):
-    clean = clean_transactions(T.raw_transactions(spark, sf))
-    return L.prepare_labels(clean, exact=True).select("transaction_id", "tx_fraud", "label_source")
+    return L.prepare_labels(T.clean_table(spark, sf), exact=True).select("transaction_id", "tx_fraud", "label_source")

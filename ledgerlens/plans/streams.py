@@ -109,7 +109,7 @@ FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_ti
 
 @register("stream_score")
 def q_stream_score(spark, sf):
-    train, _ = L.random_split(clean_transactions(T.raw_transactions(spark, sf)), "transaction_id", (0.8, 0.2), 42)
+    train, _ = L.random_split(T.clean_table(spark, sf), "transaction_id", (0.8, 0.2), 42)
     model = ML.train_forest(train, FEATURES, "tx_fraud")
     from pyspark.ml.functions import vector_to_array
     s = model.transform(_parsed_stream(spark, sf))

@@ -29,15 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    first_day = ev.agg(F.min(F.to_date("ts")).alias("_d0"))  # one row: a broadcast scalar, no collect
-    return (ev.crossJoin(F.broadcast(first_day))
+    first_day = ev.agg(F.min(F.to_date("ts")).alias("_d0")).scalar()   # scalar subquery, no join, no collect
+    return (ev
             .select(F.col("event_id").alias("transaction_id"),
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("tx_datetime"),
                     F.col("user_id").alias("customer_id"),
                     (F.col("event_id") % 100).alias("terminal_id"),
                     F.col("value").alias("tx_amount"),
                     (F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")).cast("int").alias("tx_time_seconds"),
-                    F.datediff(F.to_date("ts"), F.col("_d0")).alias("tx_time_days"),
+                    F.datediff(F.to_date("ts"), first_day).alias("tx_time_days"),
                     (F.col("event_type") == "error").cast("int").alias("tx_fraud"),
                     F.lit(0).alias("tx_fraud_scenario")))
 
@@ -198,11 +198,12 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
     per_hour = ev.groupBy("topic", "partition", "hour").agg(F.count(F.lit(1)).alias("n"))
-    bounds = ev.agg(F.min("hour").alias("_mn"), F.max("hour").alias("_mx"))
+    from ledgerlens.operators.scalars import scalars
+    b = scalars(ev.agg(F.min("hour").alias("_mn"), F.max("hour").alias("_mx")))
     # hourly grid per (topic, partition): its size is hours x partitions, independent of the row count
-    grid = (ev.select("topic", "partition").distinct().crossJoin(F.broadcast(bounds))
+    grid = (ev.select("topic", "partition").distinct()
             .select("topic", "partition",
-                    F.explode(F.sequence("_mn", "_mx", F.expr("INTERVAL 1 HOUR"))).alias("hour")))
+                    F.explode(F.sequence(b["_mn"], b["_mx"], F.expr("INTERVAL 1 HOUR"))).alias("hour")))
     filled = grid.join(per_hour, ["topic", "partition", "hour"], "left").fillna(0, ["n"])
     w = W.partitionBy("topic", "partition").orderBy("hour").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum("n").over(w)
@@ -257,3 +258,17 @@ SELECT user_id AS customer_id, ts, event_id, event_type, value AS tx_amount,
        CAST(hour(ts) * 3600 + minute(ts) * 60 + second(ts) AS INTEGER) AS tx_time_seconds,
        CAST(event_type = 'error' AS INTEGER) AS tx_fraud
 FROM events"""
+
+
+def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned transactions as written by the cleaning job (Parquet in the shared folder, written once per
+    session); downstream jobs (labels, training, scoring) read this table, as the reference's jobs read the
+    cleaned Parquet, which also cuts the lineage back to the raw text."""
+    from ledgerlens.operators.cleaning import clean_transactions
+    from ledgerlens.session import scratch_path
+    key = ("clean", sf_dir, id(spark))
+    if key not in _materialised:
+        path = scratch_path(spark, "clean-transactions")
+        clean_transactions(raw_transactions(spark, sf_dir)).write.mode("overwrite").parquet(path)
+        _materialised[key] = path
+    return spark.read.parquet(_materialised[key])
