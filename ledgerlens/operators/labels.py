@@ -97,7 +97,7 @@ def synth_labels(df: DataFrame, target: str = "tx_fraud", amount: str = "tx_amou
                  q: float = 0.98, rel_error: float = 0.01, random_rate: float = 0.005, seed: int = 42,
                  exact: bool = False) -> DataFrame:
     """label = amount above the q-quantile, or a stable 0.5 % draw.  The quantile is a one-row aggregate
-    joined back by broadcast (no driver round trip); ``exact`` switches to the exact percentile."""
+    used as a scalar subquery (no join, no hand-made driver round trip); ``exact`` switches to the exact percentile."""
     pq = _amount_quantile(df, amount, q, rel_error, exact).select("_pq").scalar()
     lab = ((F.col(amount) > pq) | (uniform(key, seed) < random_rate)).cast("int")
     return df.withColumn(target, lab)
