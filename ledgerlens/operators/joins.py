@@ -134,22 +134,27 @@ def _pit_pass(ent_df: DataFrame, keys: list[str], views: list[FeatureView], even
     for s_ in sides[1:]:
         rows = rows.unionByName(s_)
 
-    # (1) one window per (key, bucket): newest feature of each view at or before every row; the bucket's last row
-    #     carries the newest feature of the whole bucket (its summary)
+    # (1) bucket summaries: newest feature of each view per (key, bucket), a grouped max over the feature struct
+    #     (time, tie-breaker, values), so the map side sends one row per (key, bucket) and task into the shuffle.
+    #     Entity rows contribute their bucket (with null features), so every bucket that needs an answer has a row.
+    summary = rows.groupBy(*keys, "_b").agg(*[F.max(f"_f{j}").alias(f"_s{j}") for j in range(n)],
+                                            F.max("_kind").alias("_has_ent"))
+
+    # (2) newest feature of earlier buckets: per-key window over bucket summaries (one row per bucket, so its size
+    #     follows the time span, not the row count)
+    w_prev = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    prior = (summary.select(*keys, "_b", "_has_ent",
+                            *[F.last(f"_s{j}", ignorenulls=True).over(w_prev).alias(f"_p{j}") for j in range(n)])
+             .filter(F.col("_has_ent") == 1).drop("_has_ent"))   # only buckets holding entity rows are joined
+
+    # (3) one window per (key, bucket): newest feature of each view at or before every entity row.  This is the only
+    #     shuffle and sort of the full rows.
     order = [F.col("_ets"), F.col("_kind"), *[F.col(f"_t{j}") for j in range(n)]]
     w_run = W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    w_ord = W.partitionBy(*keys, "_b").orderBy(*order)
     rows = rows.select(*keys, "_b", "_kind", "_ets", *other,
-                       *[F.last(f"_f{j}", ignorenulls=True).over(w_run).alias(f"_in{j}") for j in range(n)],
-                       F.lead(F.lit(1)).over(w_ord).isNull().alias("_is_last"))
-
-    # (2) newest feature of earlier buckets: per-key window over bucket summaries (one row per bucket)
-    summary = rows.filter("_is_last").select(*keys, "_b", *[F.col(f"_in{j}").alias(f"_s{j}") for j in range(n)])
-    w_prev = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
-    prior = summary.select(*keys, "_b", *[F.last(f"_s{j}", ignorenulls=True).over(w_prev).alias(f"_p{j}")
-                                          for j in range(n)])
+                       *[F.last(f"_f{j}", ignorenulls=True).over(w_run).alias(f"_in{j}") for j in range(n)])
 
-    joined = rows.filter(F.col("_kind") == 1).join(prior, [*keys, "_b"], "left")
+    joined = rows.filter(F.col("_kind") == 1).join(broadcast_if_small(prior), [*keys, "_b"], "left")
     feats = []
     for j, v in enumerate(views):
         best = F.coalesce(F.col(f"_in{j}"), F.col(f"_p{j}"))
