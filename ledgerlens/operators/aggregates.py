@@ -111,32 +111,59 @@ def label_share(df: DataFrame, label: str = "fraud_label") -> DataFrame:
     return g.select(label, "n", F.round(F.col("n").cast("double") / total, 6).alias("share"))
 
 
-def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None = None, buckets: int = 4096,
+def quantile_edges(value: Column, levels: int = 10, accuracy_per_bucket: int = 2) -> Column:
+    """Aggregate: ``2**levels - 1`` approximate equi-depth cut points of ``value`` (GK sketch whose rank error is
+    at most half a bucket).  Used only to balance work: any sorted cut points give exact results downstream."""
+    b = 1 << levels
+    return F.percentile_approx(value, F.lit([k / b for k in range(1, b)]), accuracy_per_bucket * b)
+
+
+def rank_buckets(df: DataFrame, value: str, edges: Column, levels: int = 10, name: str = "_bk") -> DataFrame:
+    """Adds ``name`` = the number of cut points in ``edges`` (a sorted array of ``2**levels - 1`` values) below
+    ``value``: a bucket index that never decreases with the value, found by a ``levels``-step binary search
+    (one ``aggregate`` over the bit positions, so the expression size does not grow with ``levels``)."""
+    x = F.col(value)
+
+    def step(acc, half):
+        cand = acc + half
+        return F.when(F.try_element_at(F.col("_edges_"), cand) < x, cand).otherwise(acc)
+
+    halves = F.array(*[F.lit(1 << i) for i in range(levels - 1, -1, -1)])
+    return (df.withColumn("_edges_", edges)
+            # coalesce: a non-nullable index, so joins on it infer no not-null filter (which Catalyst would push
+            # below the aggregates, running the search once per input row instead of once per distinct value)
+            .withColumn(name, F.coalesce(F.aggregate(halves, F.lit(0), step), F.lit(0)))
+            .drop("_edges_"))
+
+
+def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None = None, levels: int | None = None,
                    name: str = "quantile") -> DataFrame:
     """Exact linearly interpolated quantile per group without holding a group's values in one buffer.
 
     1. one row per distinct (group, value) with its count (partial aggregation);
-    2. the group's value range is cut into ``buckets`` equal slices; a prefix sum over at most ``buckets`` slice
-       counts locates the slices holding ranks floor(q(n-1)) and ceil(q(n-1));
-    3. only those slices' distinct values are ranked (a window per group and slice) to read the two order
-       statistics, which are interpolated as the SQL ``percentile`` / ``quantile_cont`` do.
+    2. the group's distinct values are cut into ``2**levels`` buckets (default 1024 ungrouped, 64 per group) at
+       approximate equi-depth cut points (so clustered values still spread over all buckets); a prefix sum over the bucket counts locates the buckets
+       holding ranks floor(q(n-1)) and ceil(q(n-1));
+    3. only those buckets' distinct values are ranked (a window per group and bucket, about 1/2**levels of the
+       group's distinct values) to read the two order statistics, which are interpolated as the SQL
+       ``percentile`` / ``quantile_cont`` do.
     """
     from ledgerlens.operators.joins import broadcast_if_small
     g = list(groups or [])
     ungrouped = not g
+    if levels is None:                  # groups already split the work; each group carries its own cut points
+        levels = 10 if ungrouped else 6
     if ungrouped:                       # one group: a constant key keeps every step an equi-join
         df, g = df.withColumn("_g0", F.lit(0)), ["_g0"]
     v = F.col(value).cast("double")
     counts = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(*g, "_v") \
                .agg(F.count(F.lit(1)).alias("_c"))
-    st = counts.groupBy(*g).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx"))
+    st = counts.groupBy(*g).agg(F.sum("_c").alias("_n"), quantile_edges(F.col("_v"), levels).alias("_edges"))
     pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
     st = st.withColumn("_lo", F.floor(pos)).withColumn("_hi", F.ceil(pos)).withColumn("_pos", pos)
-    width = F.col("_mx") - F.col("_mn")
-    bk = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("_v") - F.col("_mn")) / width * F.lit(buckets)), F.lit(buckets - 1))).cast("int")
-    stb = broadcast_if_small(st)
-    cb = counts.join(stb, g).withColumn("_bk", bk)
+    stb = broadcast_if_small(st)        # one row per group
+    cb = rank_buckets(counts.join(stb, g), "_v", F.col("_edges"), levels).drop("_edges")
+    stb = stb.drop("_edges")
     per_b = cb.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
     wb = W.partitionBy(*g).orderBy("_bk").rowsBetween(W.unboundedPreceding, W.currentRow)
     per_b = per_b.withColumn("_end", F.sum("_bc").over(wb)).withColumn("_start", F.col("_end") - F.col("_bc"))

@@ -77,20 +77,19 @@ def eval_weighted(df: DataFrame, label: str, prediction: str) -> DataFrame:
                       ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]))
 
 
-def eval_auc_score(df: DataFrame, label: str, score: str, buckets: int = 1 << 16) -> DataFrame:
+def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10) -> DataFrame:
     """ROC AUC of raw scores, exact (ties count one half), without a global sort.
 
-    Rows are first reduced to one row per distinct score (positive and negative counts).  The score range is cut
-    into ``buckets`` equal slices; the negatives below a score are the negatives of all lower slices (a prefix sum
-    over at most ``buckets`` rows) plus those below it inside its own slice (a window per slice)."""
+    Rows are first reduced to one row per distinct score (positive and negative counts).  The distinct scores are
+    cut into ``2**levels`` buckets at approximate equi-depth cut points, so scores clustered near one value (as a
+    fraud model's tiny probabilities are) still spread over all buckets.  The negatives below a score are the
+    negatives of all lower buckets (a prefix sum over at most ``2**levels`` rows) plus those below it inside its
+    own bucket (a window per bucket)."""
+    from ledgerlens.operators.aggregates import quantile_edges, rank_buckets
     by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
-    from ledgerlens.operators.scalars import scalars
-    mm = scalars(by_score.agg(F.min("s").alias("_mn"), F.max("s").alias("_mx")))
-    width = mm["_mx"] - mm["_mn"]
-    bidx = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((F.col("s") - mm["_mn"]) / width * buckets), F.lit(buckets - 1))).cast("int")
-    scored = by_score.withColumn("_bk", bidx)
+    edges = by_score.agg(quantile_edges(F.col("s"), levels).alias("_e")).scalar()
+    scored = rank_buckets(by_score, "s", edges, levels)
     per_bucket = scored.groupBy("_bk").agg(F.sum("neg").alias("_bneg"))
     before = per_bucket.withColumn(
         "_neg_before", F.coalesce(F.sum("_bneg").over(W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)),

@@ -167,7 +167,7 @@ def test_auc_score_against_pairs(spark):
     rnd = random.Random(3)
     rows = [(rnd.randint(0, 1), round(rnd.random(), 2)) for _ in range(300)]
     df = spark.createDataFrame(rows, "y int, s double")
-    got = EV.eval_auc_score(df, "y", "s", buckets=16).collect()[0][0]
+    got = EV.eval_auc_score(df, "y", "s", levels=4).collect()[0][0]
     pos = [s for y, s in rows if y == 1]
     neg = [s for y, s in rows if y != 1]
     want = sum((1.0 if a > b else 0.5 if a == b else 0.0) for a in pos for b in neg) / (len(pos) * len(neg))
@@ -201,10 +201,33 @@ def test_exact_quantile_groups_and_ties(spark):
     from ledgerlens.operators.aggregates import exact_quantile
     rows = [("a", float(v)) for v in [1, 1, 1, 2, 10]] + [("b", 5.0)] + [("c", float(v)) for v in range(100)]
     got = {r.g: r.q for r in exact_quantile(spark.createDataFrame(rows, "g string, v double"), "v", 0.5, ["g"],
-                                             buckets=4, name="q").collect()}
+                                             levels=2, name="q").collect()}
     assert got == {"a": 1.0, "b": 5.0, "c": 49.5}
 
 
+def test_clustered_values_spread_over_buckets_and_stay_exact(spark):
+    """Scores piled up near 0 plus one far outlier (a fraud model's shape): equal-width slices would put almost
+    every distinct score into one slice; the equi-depth buckets keep each bucket small and results exact."""
+    import random
+    from ledgerlens.operators.aggregates import exact_quantile, quantile_edges, rank_buckets
+    rnd = random.Random(11)
+    rows = [(1 if rnd.random() < 0.1 else 0, rnd.random() * 1e-6) for _ in range(3000)] + [(1, 1e6)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    edges = df.agg(quantile_edges(F.col("s"), 6).alias("e")).scalar()
+    sizes = [r["count"] for r in rank_buckets(df, "s", edges, 6).groupBy("_bk").count().collect()]
+    assert max(sizes) <= 4 * len(rows) / 64
+    got = EV.eval_auc_score(df, "y", "s", levels=6).collect()[0][0]
+    pos = [s for y, s in rows if y == 1]
+    neg = [s for y, s in rows if y != 1]
+    want = sum((1.0 if a > b else 0.5 if a == b else 0.0) for a in pos for b in neg) / (len(pos) * len(neg))
+    assert abs(got - round(want, 6)) < 1e-9
+    srt = sorted(s for _, s in rows)
+    p = 0.5 * (len(srt) - 1)
+    lo = int(p)
+    want_q = srt[lo] + (srt[lo + 1] - srt[lo]) * (p - lo)
+    assert abs(exact_quantile(df, "s", 0.5, levels=6).collect()[0][0] - want_q) < 1e-18
+
+
 def test_months_udf_matches_native_floor(spark):
     from ledgerlens.functions.timefix import to_months_native, to_months_udf
     df = spark.createDataFrame([(0,), (31536000000 * 12 - 1,), (31536000000 * 12,), (987654321012345,), (-5,)],
