@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -94,8 +96,7 @@ def describe(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame
         aggs += [F.percentile_approx("v", F.lit(p), F.lit(10000)).alias(n) for p, n in qs]
     per = long.groupBy("metric").agg(*aggs)
     if exact:
-        for p, n in qs:
-            per = per.join(exact_quantile(long, "v", p, ["metric"], name=n), "metric", "left")
+        per = per.join(exact_quantiles(long, "v", qs, ["metric"]), "metric", "left")   # all three in one pass
     stats = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
     rows = per.select("metric", F.explode(F.array(*[F.struct(F.lit(s).alias("statistic"), F.col(f"`{s}`").alias("value"))
                                                     for s in stats])).alias("_r"))
@@ -138,15 +139,22 @@ def rank_buckets(df: DataFrame, value: str, edges: Column, levels: int = 10, nam
 
 def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None = None, levels: int | None = None,
                    name: str = "quantile") -> DataFrame:
-    """Exact linearly interpolated quantile per group without holding a group's values in one buffer.
+    """Exact linearly interpolated quantile per group (see :func:`exact_quantiles`)."""
+    return exact_quantiles(df, value, [(q, name)], groups, levels)
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: list[tuple[float, str]], groups: list[str] | None = None,
+                    levels: int | None = None) -> DataFrame:
+    """Exact linearly interpolated quantiles ``qs`` = [(q, name), ...] per group, all from one pass and without
+    holding a group's values in one buffer.
 
     1. one row per distinct (group, value) with its count (partial aggregation);
     2. the group's distinct values are cut into ``2**levels`` buckets (default 1024 ungrouped, 64 per group) at
-       approximate equi-depth cut points (so clustered values still spread over all buckets); a prefix sum over the bucket counts locates the buckets
-       holding ranks floor(q(n-1)) and ceil(q(n-1));
+       approximate equi-depth cut points (so clustered values still spread over all buckets); a prefix sum over
+       the bucket counts locates the buckets holding ranks floor(q(n-1)) and ceil(q(n-1)) of every q;
     3. only those buckets' distinct values are ranked (a window per group and bucket, about 1/2**levels of the
-       group's distinct values) to read the two order statistics, which are interpolated as the SQL
-       ``percentile`` / ``quantile_cont`` do.
+       group's distinct values) to read the order statistics, which are interpolated as the SQL ``percentile`` /
+       ``quantile_cont`` do.
     """
     from ledgerlens.operators.joins import broadcast_if_small
     g = list(groups or [])
@@ -159,8 +167,11 @@ def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None
     counts = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(*g, "_v") \
                .agg(F.count(F.lit(1)).alias("_c"))
     st = counts.groupBy(*g).agg(F.sum("_c").alias("_n"), quantile_edges(F.col("_v"), levels).alias("_edges"))
-    pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
-    st = st.withColumn("_lo", F.floor(pos)).withColumn("_hi", F.ceil(pos)).withColumn("_pos", pos)
+    ranks = []
+    for i, (q, _) in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
+        st = st.withColumn(f"_lo{i}", F.floor(pos)).withColumn(f"_hi{i}", F.ceil(pos)).withColumn(f"_pos{i}", pos)
+        ranks += [f"_lo{i}", f"_hi{i}"]
     stb = broadcast_if_small(st)        # one row per group
     cb = rank_buckets(counts.join(stb, g), "_v", F.col("_edges"), levels).drop("_edges")
     stb = stb.drop("_edges")
@@ -169,13 +180,17 @@ def exact_quantile(df: DataFrame, value: str, q: float, groups: list[str] | None
     per_b = per_b.withColumn("_end", F.sum("_bc").over(wb)).withColumn("_start", F.col("_end") - F.col("_bc"))
     joined_b = per_b.join(stb, g)
     holds = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) < F.col("_end"))
-    need = joined_b.filter(holds("_lo") | holds("_hi")).select(*g, "_bk", F.col("_start").alias("_bstart"))
+    any_rank = reduce(lambda a, b: a | b, [holds(r) for r in ranks])
+    need = joined_b.filter(any_rank).select(*g, "_bk", F.col("_start").alias("_bstart"))
     cand = cb.join(need, [*g, "_bk"])
     wv = W.partitionBy(*g, "_bk").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     cand = cand.withColumn("_end", F.col("_bstart") + F.sum("_c").over(wv)).withColumn("_start", F.col("_end") - F.col("_c"))
-    picked = cand.groupBy(*g).agg(F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
-                                  F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"),
-                                  F.first("_pos").alias("_pos"), F.first("_lo").alias("_lo"), F.first("_hi").alias("_hi"))
-    val = F.when(F.col("_hi") == F.col("_lo"), F.col("_vlo")).otherwise(
-        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
-    return picked.select(*([] if ungrouped else g), val.alias(name))
+    picked = cand.groupBy(*g).agg(*[F.max(F.when(holds(r), F.col("_v"))).alias(f"_v{r}") for r in ranks],
+                                  *[F.first(f"_{k}{i}").alias(f"_{k}{i}") for i in range(len(qs))
+                                    for k in ("pos", "lo", "hi")])
+    outs = []
+    for i, (_, name) in enumerate(qs):
+        lo, hi, p = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_pos{i}")
+        vlo, vhi = F.col(f"_v_lo{i}"), F.col(f"_v_hi{i}")
+        outs.append(F.when(hi == lo, vlo).otherwise((hi - p) * vlo + (p - lo) * vhi).alias(name))
+    return picked.select(*([] if ungrouped else g), *outs)

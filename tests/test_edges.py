@@ -228,6 +228,21 @@ def test_clustered_values_spread_over_buckets_and_stay_exact(spark):
     assert abs(exact_quantile(df, "s", 0.5, levels=6).collect()[0][0] - want_q) < 1e-18
 
 
+def test_exact_quantiles_in_one_pass_match_numpy(spark):
+    import numpy as np
+    from ledgerlens.operators.aggregates import exact_quantiles
+    rng = np.random.default_rng(4)
+    g = rng.choice(["hot", "b", "c"], size=5000, p=[0.8, 0.1, 0.1])
+    v = np.round(rng.lognormal(2, 1.5, size=5000), 1)           # many ties
+    df = spark.createDataFrame([(str(a), float(b)) for a, b in zip(g, v)], "g string, v double")
+    qs = [(0.0, "q0"), (0.25, "q25"), (0.5, "q50"), (0.98, "q98"), (1.0, "q100")]
+    got = {r.g: r for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
+    for key in ("hot", "b", "c"):
+        vals = v[g == key]
+        for q, name in qs:
+            assert abs(got[key][name] - float(np.quantile(vals, q))) < 1e-9, (key, name)
+
+
 def test_months_udf_matches_native_floor(spark):
     from ledgerlens.functions.timefix import to_months_native, to_months_udf
     df = spark.createDataFrame([(0,), (31536000000 * 12 - 1,), (31536000000 * 12,), (987654321012345,), (-5,)],
