@@ -127,24 +127,20 @@ _SCORED_SCHEMA = "transaction_id string, success boolean, fraud_probability doub
 
 
 def _external(spark, sf):
-    """Score each micro-batch with the injected scorer; successes go to the results table, failures to a side
-    table.  The scored batch is persisted so the external scorer is called once per row."""
-    from pyspark import StorageLevel
+    """Score each micro-batch with the injected scorer in one pass and one write: rows land in the
+    ``outcome=ok`` (results) or ``outcome=error`` (side table) partition of the batch, so the external scorer is
+    called once per row without persisting the batch."""
     df = _parsed_stream(spark, sf, kind="raw")
-    results, errors = scratch_path(spark, "sink-external"), scratch_path(spark, "sink-external-errors")
-    write_ok, write_err = IO.idempotent_batch_writer(results), IO.idempotent_batch_writer(errors)
+    root = scratch_path(spark, "sink-external")
+    write = IO.idempotent_batch_writer(root, extra_partitions=("outcome",))
     scorer = request_scorer(large=LARGE, medium=MEDIUM)
 
     def per_batch(batch_df, batch_id):
-        scored = batch_df.mapInPandas(external_scoring(scorer), _SCORED_SCHEMA).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            write_ok(scored.filter("success"), batch_id)
-            write_err(scored.filter("NOT success"), batch_id)
-        finally:
-            scored.unpersist()
+        scored = batch_df.mapInPandas(external_scoring(scorer), _SCORED_SCHEMA)
+        write(scored.withColumn("outcome", F.when(F.col("success"), "ok").otherwise("error")), batch_id)
 
     IO.foreach_batch_sink(df, per_batch)
-    return spark.read.parquet(results).unionByName(spark.read.parquet(errors))
+    return spark.read.parquet(root).drop("outcome")
 
 
 _REQ_P = S.request_risk_score_sql("tx_amount", "tx_time_seconds", "customer_id", large=LARGE, medium=MEDIUM)

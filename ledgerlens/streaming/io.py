@@ -97,13 +97,13 @@ def foreach_batch_sink(df: DataFrame, fn, checkpoint: str | None = None, timeout
     return bounded_run(q, timeout_s) if available_now else q
 
 
-def idempotent_batch_writer(path: str, partition_col: str = "batch_id"):
-    """Writes each micro-batch into its own partition with dynamic overwrite: a retried batch replaces its own
-    output instead of duplicating it."""
+def idempotent_batch_writer(path: str, partition_col: str = "batch_id", extra_partitions: tuple = ()):
+    """Writes each micro-batch into its own partition (optionally split further by ``extra_partitions`` columns of
+    the batch) with dynamic overwrite: a retried batch replaces its own output instead of duplicating it."""
 
     def write(batch_df: DataFrame, batch_id: int):
         (batch_df.withColumn(partition_col, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col, *extra_partitions).parquet(path))
 
     return write
 
