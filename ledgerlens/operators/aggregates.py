@@ -161,7 +161,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[tuple[float, str]], grou
     ungrouped = not g
     if levels is None:                  # groups already split the work; each group carries its own cut points
         levels = 10 if ungrouped else 6
-    if ungrouped:                       # one group: a constant key keeps every step an equi-join
+    if ungrouped:                       # one group: a constant key for the grouped steps
         df, g = df.withColumn("_g0", F.lit(0)), ["_g0"]
     v = F.col(value).cast("double")
     counts = df.select(*g, v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(*g, "_v") \
@@ -172,13 +172,21 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[tuple[float, str]], grou
         pos = F.lit(float(q)) * (F.col("_n") - 1).cast("double")
         st = st.withColumn(f"_lo{i}", F.floor(pos)).withColumn(f"_hi{i}", F.ceil(pos)).withColumn(f"_pos{i}", pos)
         ranks += [f"_lo{i}", f"_hi{i}"]
-    stb = broadcast_if_small(st)        # one row per group
-    cb = rank_buckets(counts.join(stb, g), "_v", F.col("_edges"), levels).drop("_edges")
-    stb = stb.drop("_edges")
+    if ungrouped:
+        # one row of statistics: attached as scalar subqueries (a join on the constant key would be folded into a
+        # cross join by the optimizer)
+        from ledgerlens.operators.scalars import scalars
+        sc = scalars(st, [c for c in st.columns if c not in g])
+        attach = lambda d, cols: d.select("*", *[sc[c].alias(c) for c in cols])
+    else:
+        stb = broadcast_if_small(st)    # one row per group
+        attach = lambda d, cols: d.join(stb.select(*g, *cols), g)
+    st_cols = [c for c in st.columns if c not in g and c != "_edges"]
+    cb = rank_buckets(attach(counts, ["_edges", *st_cols]), "_v", F.col("_edges"), levels).drop("_edges")
     per_b = cb.groupBy(*g, "_bk").agg(F.sum("_c").alias("_bc"))
     wb = W.partitionBy(*g).orderBy("_bk").rowsBetween(W.unboundedPreceding, W.currentRow)
     per_b = per_b.withColumn("_end", F.sum("_bc").over(wb)).withColumn("_start", F.col("_end") - F.col("_bc"))
-    joined_b = per_b.join(stb, g)
+    joined_b = attach(per_b, st_cols)
     holds = lambda r: (F.col("_start") <= F.col(r)) & (F.col(r) < F.col("_end"))
     any_rank = reduce(lambda a, b: a | b, [holds(r) for r in ranks])
     need = joined_b.filter(any_rank).select(*g, "_bk", F.col("_start").alias("_bstart"))
