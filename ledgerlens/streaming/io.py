@@ -3,7 +3,6 @@ and helpers to run a query bounded in time and read its progress."""
 
 from __future__ import annotations
 
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,13 +73,19 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str | None = None, avai
 
 
 def bounded_run(q: StreamingQuery, timeout_s: float = 120.0, drain: bool = False) -> StreamingQuery:
-    """Stop a query after ``timeout_s`` seconds; with ``drain`` stop as soon as all available input is processed."""
+    """Stop a query after ``timeout_s`` seconds; with ``drain`` stop as soon as all available input is processed
+    (still at most ``timeout_s``: a timer stops a query whose input never drains)."""
     if drain:
-        deadline = time.time() + timeout_s
-        q.processAllAvailable()
-        if time.time() > deadline:
-            pass
-        q.stop()
+        import threading
+        timer = threading.Timer(timeout_s, q.stop)
+        timer.daemon = True
+        timer.start()
+        try:
+            if q.isActive:
+                q.processAllAvailable()
+        finally:
+            timer.cancel()
+            q.stop()
         return q
     finished = q.awaitTermination(timeout_s)
     if not finished and q.isActive:
