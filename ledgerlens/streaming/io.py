@@ -3,7 +3,6 @@ and helpers to run a query bounded in time and read its progress."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
