@@ -49,9 +49,31 @@ def sample_frac(df: DataFrame, fraction: float, key: str, seed: int = 42) -> Dat
     return df.filter(uniform(key, seed) < fraction)
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: the n smallest hash draws (top-n per partition, then a merge of n)."""
-    return (df.withColumn("_u", uniform(key, seed)).orderBy("_u", key).limit(n).drop("_u"))
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, max_take: int = 100_000,
+             buckets: int = 1 << 20) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows: the n smallest hash draws of a per-row unique ``key``.
+
+    Up to ``max_take`` rows this is top-n per partition, then a merge of n.  Above it no task holds n rows: the
+    draws are uniform, so equal-width buckets of the draw are balanced by construction; the bucket counts (at most
+    ``buckets`` rows) and their prefix sum locate the bucket holding the n-th draw, buckets below it are taken
+    whole, and only that one bucket (about rows / ``buckets`` rows) is ranked."""
+    from pyspark.sql import Window as W
+    from ledgerlens.operators.scalars import scalars
+    d = df.withColumn("_u", uniform(key, seed))
+    if n <= max_take:
+        return d.orderBy("_u", key).limit(n).drop("_u")
+    d = d.withColumn("_bk", F.floor(F.col("_u") * F.lit(buckets)).cast("long"))
+    per = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
+    before = F.coalesce(F.sum("_c").over(W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    per = per.withColumn("_before", before)
+    cut = scalars(per.filter((F.col("_before") < n) & (F.col("_before") + F.col("_c") >= n))
+                  .select(F.col("_bk").alias("_cb"), F.col("_before").alias("_cbefore")))
+    cb = F.coalesce(cut["_cb"], F.lit(buckets))          # fewer than n rows: every bucket is taken whole
+    whole = d.filter(F.col("_bk") < cb)
+    edge = (d.filter(F.col("_bk") == cb)
+            .withColumn("_r", F.row_number().over(W.orderBy("_u", key)))
+            .filter(F.col("_r") <= F.lit(n) - cut["_cbefore"]).drop("_r"))
+    return whole.unionByName(edge).drop("_u", "_bk")
 
 
 def with_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 42, name: str = "split") -> DataFrame:

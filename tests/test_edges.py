@@ -243,6 +243,20 @@ def test_exact_quantiles_in_one_pass_match_numpy(spark):
             assert abs(got[key][name] - float(np.quantile(vals, q))) < 1e-9, (key, name)
 
 
+def test_sample_n_large_path_matches_top_n(spark):
+    from tests.conftest import SF_SMALL
+    from ledgerlens.sources import testdata as T
+    tx = T.transactions(spark, SF_SMALL)
+    total = tx.count()
+    for n in (1, 37, 500, total, total + 10):
+        small = {r.transaction_id for r in L.sample_n(tx, n, "transaction_id", 42).collect()}
+        large = L.sample_n(tx, n, "transaction_id", 42, max_take=0, buckets=64)
+        got = [r.transaction_id for r in large.collect()]
+        assert len(got) == len(set(got)) == min(n, total)
+        assert set(got) == small
+        assert large.columns == tx.columns
+
+
 def test_months_udf_matches_native_floor(spark):
     from ledgerlens.functions.timefix import to_months_native, to_months_udf
     df = spark.createDataFrame([(0,), (31536000000 * 12 - 1,), (31536000000 * 12,), (987654321012345,), (-5,)],
