@@ -73,7 +73,8 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str | None = None, avai
 
 def bounded_run(q: StreamingQuery, timeout_s: float = 120.0, drain: bool = False) -> StreamingQuery:
     """Stop a query after ``timeout_s`` seconds; with ``drain`` stop as soon as all available input is processed
-    (still at most ``timeout_s``: a timer stops a query whose input never drains)."""
+    (or when a timer stops it after ``timeout_s``, for input that never drains; as with any ``stop()``, the
+    micro-batch in flight is allowed to finish)."""
     if drain:
         import threading
         timer = threading.Timer(timeout_s, q.stop)
