@@ -24,5 +24,6 @@ def table(spark, sf_dir: str, name: str):
 
 
 def load_all():
-    from ledgerlens.llm import mixing, secret_scan, token_count, token_store, topk, url_filter  # noqa: F401
+    from ledgerlens.llm import (mixing, near_dedup, secret_scan, token_count, token_store, topk,  # noqa: F401
+                                url_filter)
     return QUERIES, ORACLE
