@@ -9,11 +9,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.decontam import leaks
 from ledgerlens.llm.mixing import mix
+from ledgerlens.llm.near_dedup import near_duplicates
+from ledgerlens.llm.registry import table
 from ledgerlens.llm.token_store import store_and_digest
+from ledgerlens.llm.toxicity import THRESHOLD, fitted
 from ledgerlens.session import scratch_path
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (doc_id); a row without an id stays."""
+    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the classifier rejects go."""
+    scored = fitted(spark, sf_dir).score(docs.select("doc_id", "text"))
+    return without(docs, scored.filter(F.col("score") >= THRESHOLD))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (similarity 0.8) stays: the one with the smallest id."""
+    return without(docs, near_duplicates(docs, 80).filter("NOT kept").withColumnRenamed("id", "doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return without(docs, leaks(docs, table(spark, sf_dir, "benchmark")).filter("doc_id IS NOT NULL"))
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights: a document taken c times stands c times."""
     mixed = mix(docs).filter("copies > 0")
@@ -25,7 +51,8 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return store_and_digest(docs)
 
 
-STAGES = [("mixing", mixing), ("token_output", token_output)]
+STAGES = [("toxicity", toxicity), ("near_dedup", near_dedup), ("decontamination", decontamination), ("mixing", mixing),
+          ("token_output", token_output)]
 
 #: the toxicity stage trains a model, which SQL can't express
 ORACLE_SQL = None
