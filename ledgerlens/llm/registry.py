@@ -24,6 +24,6 @@ def table(spark, sf_dir: str, name: str):
 
 
 def load_all():
-    from ledgerlens.llm import (decontam, mixing, near_dedup, secret_scan, token_count, token_store,  # noqa: F401
+    from ledgerlens.llm import (ctw, decontam, mixing, near_dedup, secret_scan, token_count, token_store,  # noqa: F401
                                 topk, toxicity, url_filter)
     return QUERIES, ORACLE
