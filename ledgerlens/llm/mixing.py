@@ -22,6 +22,7 @@ from ledgerlens.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 CAP = 3
+FEW_SOURCES = 50_000
 ROUNDS = 3                           # passes over the edge bucket
 TWO_52 = 4503599627370496.0
 
@@ -89,9 +90,11 @@ def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_co
             .withColumn("buckets", F.ceil(F.col("n") / bucket_rows)))
     plan.write.parquet(plan_path)
     plan = spark.read.parquet(plan_path)
-    cuts = _cuts(_ranked(light, plan))
-    known = (plan.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left")
-             .drop("s"))
+    cuts = _cuts(_ranked(light, plan), plan.count() <= FEW_SOURCES)
+    cuts_path = scratch_path(spark, "mix-cuts")
+    (plan.join(cuts.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+     .write.parquet(cuts_path))
+    known = spark.read.parquet(cuts_path)
     # the rows travel as one struct, so that no name of theirs meets a name used here
     rows = _ranked(df.select(F.struct(*keep).alias("_row"), *(v.alias(k) for k, v in drawn.items())), known)
     plan_of = lambda c: F.col(f"_plan.{c}")
@@ -110,17 +113,20 @@ def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_co
 def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
     """Rows with their source's plan, the Pareto rank ``_q`` and its bucket.
 
-    The plan has one row per source; the engine broadcasts it below its size threshold and else splits a hot source's
-    partition.
+    The plan has one row per source.  Up to ``FEW_SOURCES`` of them are broadcast (some 100 bytes each); beyond that the
+    join is a shuffle, in which the engine splits a hot source's partition.
     """
+    few = plan.count() <= FEW_SOURCES
     plan = plan.select(F.col("source").alias("_key"), F.struct(*plan.columns).alias("_plan"))
+    if few:
+        plan = F.broadcast(plan)
     p = F.least(F.col("_plan.p0") * F.col("_boost"), F.lit(1.0))
     odds = F.when(p > 0, F.col("_u") * (1 - p) / ((1 - F.col("_u")) * F.greatest(p, F.lit(1e-300)))).otherwise(1e300)
     return (rows.join(plan, F.col("_source").eqNullSafe(F.col("_key"))).drop("_key").withColumn("_q", odds)
             .withColumn("_bucket", F.floor(F.col("_q") / (1 + F.col("_q")) * F.col("_plan.buckets"))))
 
 
-def _cuts(rows: DataFrame) -> DataFrame:
+def _cuts(rows: DataFrame, few: bool) -> DataFrame:
     """Per source: the bucket in which the words run out, the last rank taken in it, and the document that fills up.
 
     All buckets before the edge are taken.  In it, documents are taken in rank order while they fit.  What is left
@@ -135,6 +141,8 @@ def _cuts(rows: DataFrame) -> DataFrame:
     edges = (sums.filter(F.col("upto") > F.col("rest")).groupBy("_source")
              .agg(F.min(F.struct("_bucket", (F.col("upto") - F.col("s")).alias("before"))).alias("e"))
              .select(F.col("_source").alias("source"), F.col("e._bucket").alias("edge"), F.col("e.before")))
+    if few:
+        edges = F.broadcast(edges)
     inside = rows.join(edges, F.col("_source").eqNullSafe(F.col("source")) & (F.col("_bucket") == F.col("edge")))
     rank = Window.partitionBy("source").orderBy("_q", "_tie").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy("source")
