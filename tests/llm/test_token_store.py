@@ -4,6 +4,7 @@ import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import simple8b
+from ledgerlens.llm.arrays import text_bytes
 from ledgerlens.llm.token_store import digest_tokens, encoder, read_tokens, store_and_digest, write_tokens
 from ledgerlens.session import scratch_path
 from tests.conftest import SF_SMALL
@@ -47,11 +49,23 @@ def test_edges_and_sizes():
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(max_size=40), min_size=1, max_size=5))
 def test_words_one_by_one_equal_whole_texts(texts):
-    got = [x.tolist() for x in encoder(PATH).ids(texts, 2)]
+    ids, bounds = encoder(PATH).ids(*text_bytes(pa.array(texts)), 2)
+    got = [ids[s:e].tolist() for s, e in zip(bounds[:-1], bounds[1:])]
     plain = Tokenizer.from_file(PATH)
     assert got == [plain.encode(t, add_special_tokens=False).ids + [2] for t in texts]
 
 
+WORDS = ["Word", "word", "word.", "Word$$$", "it's", "don't.", "'s", "x'", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "a<|b", "é.", "É!",
+         "H\u0331", "h\u0331", "İ", "Σ", "ΑΣ", "ǰ", "J\u030c", "中文。", "12", "1.2", "²", "½x", "ª.", "…", "ﬁ", "\x85", "\xa0", "\x1c",
+         " ", "\n", "\t ", "", "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", ",", " , ", "-", "~.", "µ", "\u0301a", "ß"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(WORDS), max_size=12).map("".join), min_size=1, max_size=6))
+def test_awkward_words(texts):
+    test_words_one_by_one_equal_whole_texts.hypothesis.inner_test(texts)
+
+
 def expected(rows):
     t, out, start = Tokenizer.from_file(PATH), [], 0
     for doc, text in rows:
