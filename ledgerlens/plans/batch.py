@@ -18,6 +18,7 @@ from ledgerlens.plans.registry import register
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import files as SRC
 from ledgerlens.sources import testdata as T
+from ledgerlens.streaming.jobs import to_envelope, unwrap_envelope, well_formed
 
 # ============================================================================================ sources and sinks
 
@@ -62,7 +63,7 @@ def q_write_read_parquet(spark, sf):
 
 @register("repartition_convert", RAW_TX_SQL)
 def q_repartition_convert(spark, sf):
-    return SRC.repartition_convert(spark, T.raw_transaction_dir(spark, sf), scratch_path(spark, "tx-converted"), 4)
+    return SRC.repartition_convert(spark, T.raw_transaction_dir(spark, sf), scratch_path(spark, "tx-converted"))
 
 
 @register("copy_dataset", "SELECT * FROM lineitem")
@@ -82,11 +83,20 @@ def q_drop_na(spark, sf):
     return C.drop_na(T.raw_transactions(spark, sf))
 
 
-@register("numeric_columns", f"""
-SELECT column_name FROM (DESCRIBE ({RAW_TX_SQL})) WHERE column_type IN ('INTEGER', 'BIGINT', 'DOUBLE')""")
+def _facts(df, names, out):
+    """One row per column: its name and how many rows have a value, from one pass over the table."""
+    facts = F.explode(F.array(*(F.struct(F.lit(c).alias(out), F.col(c).alias("n_values")) for c in names))).alias("x")
+    return df.agg(*(F.count(c).alias(c) for c in names)).select(facts).select("x.*")
+
+
+def _facts_sql(out, cols, src):
+    return " UNION ALL ".join(f"SELECT '{c}' AS {out}, count({c}) AS n_values FROM ({src})" for c in cols)
+
+
+@register("numeric_columns", _facts_sql("column_name", NUMERIC_RAW, RAW_TX_SQL))
 def q_numeric_columns(spark, sf):
-    names = C.numeric_columns(T.raw_transactions(spark, sf))
-    return spark.createDataFrame([(n,) for n in names], "column_name string")
+    raw = T.raw_transactions(spark, sf)
+    return _facts(raw, C.numeric_columns(raw), "column_name")
 
 
 @register("column_stats", "SELECT " + ", ".join(
@@ -160,12 +170,11 @@ def q_encode_label(spark, sf):
     return u.withColumn("label_enc", L.encode_label("label"))
 
 
-@register("select_features", f"""
-SELECT column_name AS feature FROM (DESCRIBE ({RAW_TX_SQL}))
-WHERE column_name NOT IN ('tx_fraud', 'transaction_id', 'tx_datetime') AND column_type <> 'VARCHAR'""")
+@register("select_features", _facts_sql("feature", [c for c in NUMERIC_RAW if c not in ("tx_fraud", "transaction_id")],
+                                       RAW_TX_SQL))
 def q_select_features(spark, sf):
-    names = L.select_features(T.raw_transactions(spark, sf), target="tx_fraud")
-    return spark.createDataFrame([(n,) for n in names], "feature string")
+    raw = T.raw_transactions(spark, sf)
+    return _facts(raw, L.select_features(raw, target="tx_fraud"), "feature")
 
 
 @register("find_label_columns", f"""
@@ -469,27 +478,29 @@ def q_validate_request(spark, sf):
 
 # ============================================================================================ JSON envelope
 
-def envelope(df, tps_target: int = 50, topic: str = "transactions-input"):
-    """Replay envelope: ids and stream metadata around the row; null fields are omitted from the JSON."""
-    body = F.struct(F.col("transaction_id").cast("string").alias("transaction_id"),
-                    F.lit(None).cast("string").alias("stream_timestamp"),
-                    F.lit("producer_replay_transactions").alias("producer_id"),
-                    F.struct(F.lit(tps_target).alias("tps_target"), F.lit(topic).alias("topic")).alias("producer_config"),
-                    F.struct(*[F.col(c) for c in df.columns]).alias("data"))
-    return F.to_json(body, {"ignoreNullFields": "true"})
+SENT = "2024-02-01 00:00:00"
+
+
+def _sent(raw):
+    return raw.select(to_envelope(raw, sent_at=F.lit(SENT).cast("timestamp_ntz")).alias("value"))
+
+
+def _raw_json_sql():
+    """The envelope's text, field by field; null fields are left out."""
+    text = lambda c: f"CASE WHEN {c} IS NULL THEN NULL ELSE '\"{c}\":\"' || {c} || '\"' END"
+    number = lambda c: f"'\"{c}\":' || CAST({c} AS VARCHAR)"
+    fields = ", ".join(text(c) if c == "tx_datetime" else number(c) for c in ALL_RAW)
+    micros = f"CAST(epoch_us(TIMESTAMP '{SENT}') AS VARCHAR)"
+    return (f"'{{\"transaction_id\":\"tx_' || {micros} || '_' || transaction_id || '\",\"stream_timestamp\":\"{SENT.replace(' ', 'T')}"
+            f".000000\",\"producer_id\":\"replay\",\"producer_config\":{{\"tps_target\":50,\"topic\":\"transactions-input\"}},"
+            f"\"data\":{{' || concat_ws(',', {fields}) || '}}}}'")
 
 
 @register("drop_nulls_to_envelope", f"""
-SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CASE WHEN tx_amount IS NULL THEN 8 ELSE 9 END AS n_data_fields,
-       tx_amount IS NOT NULL AS has_amount
-FROM ({RAW_TX_SQL})""")
+SELECT replace(v, '.0,', ',') AS value FROM (SELECT {_raw_json_sql()} AS v FROM ({RAW_TX_SQL}))""")
 def q_drop_nulls_to_envelope(spark, sf):
-    raw = T.raw_transactions(spark, sf)
-    js = raw.select(envelope(raw).alias("value"))
-    data = F.get_json_object("value", "$.data")
-    keys = F.json_object_keys(data)
-    return js.select(F.get_json_object("value", "$.transaction_id").alias("transaction_id"),
-                     F.size(keys).alias("n_data_fields"), F.array_contains(keys, "tx_amount").alias("has_amount"))
+    # whole amounts are written as 12.0 by one engine and 12.0 or 12 by the other
+    return _sent(T.raw_transactions(spark, sf)).select(F.replace("value", F.lit(".0,"), F.lit(",")).alias("value"))
 
 
 @register("unwrap_envelope", f"""
@@ -497,9 +508,7 @@ SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, tx_datetime, CAST(cust
        CAST(terminal_id AS BIGINT) AS terminal_id, tx_amount, tx_time_seconds, tx_time_days, tx_fraud, tx_fraud_scenario
 FROM ({RAW_TX_SQL})""")
 def q_unwrap_envelope(spark, sf):
-    from ledgerlens.streaming.jobs import unwrap_envelope
-    raw = T.raw_transactions(spark, sf)
-    return unwrap_envelope(raw.select(envelope(raw).alias("value")))
+    return well_formed(unwrap_envelope(_sent(T.raw_transactions(spark, sf))))
 
 
 @register("json_roundtrip", TX_SQL)

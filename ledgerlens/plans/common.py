@@ -19,10 +19,6 @@ ALL_RAW = ["transaction_id", "tx_datetime", "customer_id", "terminal_id", "tx_am
            "tx_time_days", "tx_fraud", "tx_fraud_scenario"]
 
 
-def with_ctes(body: str, **ctes: str) -> str:
-    parts = ",\n".join(f"{k} AS ({v})" for k, v in ctes.items())
-    return f"WITH {parts}\n{body}"
-
 
 def nonnull_sql(src: str, cols=ALL_RAW) -> str:
     return f"SELECT * FROM ({src}) WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)
@@ -51,5 +47,5 @@ def clean_sql(src: str = RAW_TX_SQL) -> str:
 
 
 __all__ = ["ANSWERS_SQL", "EVAL_SQL", "EVENTS_FEATURES_SQL", "LECTURES_SQL", "OFFSETS_SQL", "RAW_TX_SQL", "TX_SQL",
-           "URLS_SQL", "D", "LARGE", "MEDIUM", "HUGE", "with_ctes", "nonnull_sql", "stats_sql", "sigma_cond_sql",
+           "URLS_SQL", "D", "LARGE", "MEDIUM", "HUGE", "nonnull_sql", "stats_sql", "sigma_cond_sql",
            "RANGE_COND_SQL", "clean_sql", "NUMERIC_RAW", "ALL_RAW"]

@@ -9,36 +9,42 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import scoring as S
 from ledgerlens.operators import labels as L
 from ledgerlens.operators import ml as ML
-from ledgerlens.operators.cleaning import clean_transactions
-from ledgerlens.plans.common import HUGE, LARGE, MEDIUM, RAW_TX_SQL, TX_SQL, D
+from ledgerlens.plans.common import HUGE, LARGE, MEDIUM, RAW_TX_SQL, TX_SQL
 from ledgerlens.plans.registry import register
 from ledgerlens.schemas import CLICK_SCHEMA
 from ledgerlens.session import scratch_path
 from ledgerlens.sources import testdata as T
 from ledgerlens.streaming import io as IO
-from ledgerlens.streaming.jobs import parse_stream, score_with_heuristic_udf, to_envelope
+from ledgerlens.streaming.jobs import (PARSE_ERROR, dead_letters, parse_stream, predictions_output,
+                                        score_with_heuristic_udf, to_envelope, well_formed)
 from ledgerlens.streaming.udfs import external_scoring, request_scorer
-from ledgerlens.functions.hashing import sql_uniform
+from ledgerlens.functions.hashing import sql_uniform, uniform
 
-N_FILES = 8
+ROWS_PER_FILE = 12_500      # of the stored history; a trigger reads FILES_PER_TRIGGER files
 FILES_PER_TRIGGER = 2
-_dirs: dict = {}
 
 
 def _records(spark, sf, kind: str = "tx", sample_n: int | None = None) -> str:
-    key = (kind, sf, sample_n, id(spark))
-    if key not in _dirs:
-        src = T.transactions(spark, sf) if kind == "tx" else T.raw_transactions(spark, sf)
+    """Stored history: ``tx`` envelopes; ``raw`` envelopes of the raw rows; ``broken`` as tx, but cut short where the
+    draw is below 0.02; ``flat`` flat payloads."""
+    def build(path):
+        src = T.raw_transactions(spark, sf) if kind == "raw" else T.transactions(spark, sf)
         if sample_n:
             src = L.sample_n(src, sample_n, "transaction_id", 42)
-        df = src.select("*", to_envelope(src).alias("_value"),
-                        F.to_timestamp("tx_datetime", "yyyy-MM-dd HH:mm:ss").alias("_ts"),
-                        F.pmod(F.col("customer_id"), F.lit(3)).alias("_part"))
-        path = scratch_path(spark, f"records-{kind}")
+        at = F.try_to_timestamp(F.replace("tx_datetime", F.lit(","), F.lit("")), F.lit("yyyy-MM-dd HH:mm:ss"))
+        value = to_envelope(src, sent_at=at) if kind != "flat" else F.to_json(F.struct(
+            F.col("transaction_id").cast("string").alias("transaction_id"), "tx_amount", "tx_fraud",
+            F.col("customer_id").cast("string").alias("account_id"), F.col("terminal_id").cast("string").alias("merchant_id"),
+            F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), "tx_time_seconds", "tx_time_days"))
+        if kind in ("broken", "flat"):
+            value = F.when(uniform("transaction_id", "broken") < BROKEN, F.substring(value, 1, 9)).otherwise(value)
+        df = src.select("*", value.alias("_value"), at.alias("_ts"), F.pmod(F.col("customer_id"), F.lit(3)).alias("_part"))
         IO.write_records(df, path, "transaction_id", "_value", "transactions-input", "_part", "transaction_id", "_ts",
-                         N_FILES)
-        _dirs[key] = path
-    return _dirs[key]
+                         ROWS_PER_FILE, least_files=2)
+    return T.written(spark, sf, f"records-{kind}-{sample_n or 'all'}", build)
+
+
+BROKEN = 0.02
 
 
 def _drain(df, name):
@@ -55,21 +61,69 @@ _META_COLS = """CAST(transaction_id AS VARCHAR) AS kafka_key, CAST(customer_id %
 PARSED_SQL = f"SELECT {_PARSED_COLS}, {_META_COLS} FROM ({TX_SQL})"
 
 
-def _parsed_stream(spark, sf, kind="tx", files_per_trigger=FILES_PER_TRIGGER, sample_n=None):
+def _parsed_stream(spark, sf, kind="tx", files_per_trigger=FILES_PER_TRIGGER, sample_n=None, keep_broken=False):
     src = IO.replay_source(spark, _records(spark, sf, kind, sample_n), files_per_trigger)
     # the record time is an instant; shown as UTC wall-clock time like the tables' timestamps
-    return parse_stream(src, nested=True).withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
+    out = parse_stream(src, nested=kind != "flat", keep_broken=keep_broken)
+    return out.withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
+
 
+_IS_BROKEN = f"{sql_uniform('transaction_id', 'broken')} < {BROKEN}"
+
+
+def _split_sink(spark, sf, kind):
+    """Parsed records and dead letters of one pass, as partitions of one sink."""
+    root = scratch_path(spark, f"sink-{kind}")
+    write = IO.idempotent_batch_writer(root, extra_partitions=("outcome",))
 
-@register("parse_stream", PARSED_SQL)
+    def per_batch(batch_df, batch_id):
+        write(batch_df.withColumn("outcome", F.when(F.col(PARSE_ERROR).isNull(), "ok").otherwise("broken")), batch_id)
+
+    IO.foreach_batch_sink(_parsed_stream(spark, sf, kind, keep_broken=True), per_batch)
+    return spark.read.parquet(root)
+
+
+@register("parse_stream", f"SELECT {_PARSED_COLS}, {_META_COLS} FROM ({TX_SQL}) WHERE NOT ({_IS_BROKEN})")
 def q_parse_stream(spark, sf):
-    return _drain(_parsed_stream(spark, sf), "parse")
+    out = _split_sink(spark, sf, "broken").filter("outcome = 'ok'")
+    return well_formed(out).drop("outcome", "batch_id")
+
+
+@register("dead_letters", f"""
+SELECT CAST(transaction_id AS VARCHAR) AS kafka_key, CAST(transaction_id AS BIGINT) AS "offset", '{{"transac' AS raw_value,
+       'not an envelope with data' AS parse_error
+FROM ({TX_SQL}) WHERE {_IS_BROKEN}""")
+def q_dead_letters(spark, sf):
+    out = _split_sink(spark, sf, "broken").filter("outcome = 'broken'")
+    return dead_letters(out).select("kafka_key", "offset", "raw_value", PARSE_ERROR)
+
+
+@register("parse_stream_flat", f"""
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, tx_amount, CAST(customer_id AS VARCHAR) AS account_id,
+       CAST(terminal_id AS VARCHAR) AS merchant_id, strptime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+       {{HP}} AS fraud_prediction, CASE WHEN {{HP}} >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS fraud_label,
+       {{HQ}} AS fraud_probability, strptime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS kafka_timestamp,
+       CAST(transaction_id AS BIGINT) AS "offset", CAST(customer_id % 3 AS INTEGER) AS "partition"
+FROM ({TX_SQL}) WHERE NOT ({_IS_BROKEN})""".format(
+    HP=S.stream_heuristic_sql("tx_amount", "transaction_id", HUGE)[0],
+    HQ=S.stream_heuristic_sql("tx_amount", "transaction_id", HUGE)[1]))
+def q_parse_stream_flat(spark, sf):
+    """Flat payloads, scored, with the columns of the prediction topic."""
+    scored = score_with_heuristic_udf(_parsed_stream(spark, sf, "flat"), large=HUGE)
+    return _drain(predictions_output(scored).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")), "flat")
+
+
+@register("replay_source", PARSED_SQL)
+def q_replay_source(spark, sf):
+    """The full history."""
+    return _drain(_parsed_stream(spark, sf), "replay")
 
 
-@register("replay_source", f"""
+@register("replay_source_sampled", f"""
 SELECT {_PARSED_COLS}, {_META_COLS} FROM ({TX_SQL})
 ORDER BY {sql_uniform('transaction_id', 42)}, transaction_id LIMIT 1000""")
-def q_replay_source(spark, sf):
+def q_replay_source_sampled(spark, sf):
+    """The optional sample of the history (1,000 rows)."""
     return _drain(_parsed_stream(spark, sf, sample_n=1000), "replay")
 
 
@@ -79,7 +133,7 @@ def q_bounded_run(spark, sf):
     out = scratch_path(spark, "sink-bounded")
     q = (df.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(processingTime="1 second").start())
-    IO.bounded_run(q, timeout_s=300, drain=True)
+    IO.drain(q)
     return spark.read.parquet(out)
 
 
@@ -131,6 +185,9 @@ def _external(spark, sf):
     ``outcome=ok`` (results) or ``outcome=error`` (side table) partition of the batch, so the external scorer is
     called once per row without persisting the batch."""
     df = _parsed_stream(spark, sf, kind="raw")
+    # broken rules are found natively; the scorer sees the valid rows only, and only the columns it needs
+    df = df.select("transaction_id", "customer_id", "tx_amount", "tx_time_seconds",
+                   F.array_join(S.request_violations(), ",").alias("violations"))
     root = scratch_path(spark, "sink-external")
     write = IO.idempotent_batch_writer(root, extra_partitions=("outcome",))
     scorer = request_scorer(large=LARGE, medium=MEDIUM)
@@ -156,42 +213,67 @@ def q_score_batch_external(spark, sf):
     return r.select("transaction_id", "success", F.round("fraud_probability", 6).alias("fraud_probability"), "error")
 
 
-@register("batch_outcome_stats")
+@register("batch_outcome_stats", f"""
+SELECT CAST(count(*) FILTER (WHERE v = '') AS BIGINT) AS success, CAST(count(*) FILTER (WHERE v <> '') AS BIGINT) AS failure,
+       TRUE AS timed
+FROM (SELECT {S.request_violations_sql()} AS v FROM ({RAW_TX_SQL}))""")
 def q_batch_outcome_stats(spark, sf):
-    r = _external(spark, sf)
-    return r.groupBy("batch_id").agg(F.count_if("success").alias("success"), F.count_if(~F.col("success")).alias("failure"),
-                                     F.avg("latency_ms").alias("mean_latency_ms"))
+    """The outcomes of the micro-batches; their sums are those of the input, whatever the batches were."""
+    stats = outcome_stats(_external(spark, sf))
+    return stats.agg(F.sum("success").alias("success"), F.sum("failure").alias("failure"),
+                     F.coalesce(F.min("mean_latency_ms") >= 0, F.lit(False)).alias("timed"))
 
 
-@register("progress_table")
-def q_progress_table(spark, sf):
+def outcome_stats(results):
+    """Per micro-batch: successes, failures and the mean latency of a row."""
+    return results.groupBy("batch_id").agg(F.count_if("success").alias("success"),
+                                           F.count_if(~F.col("success")).alias("failure"),
+                                           F.avg("latency_ms").alias("mean_latency_ms"))
+
+
+def _progress(spark, sf, trigger: dict):
+    """Progress reports of a replay, one file a micro-batch, through a listener (no cap on their number)."""
     df = _parsed_stream(spark, sf, files_per_trigger=1)
-    q = IO.run_to_parquet(df, scratch_path(spark, "sink-progress"))
-    return IO.progress_table(spark, q).filter(F.col("num_input_rows") > 0)
+    with IO.ProgressLog(spark) as log:
+        q = (df.writeStream.format("parquet").option("path", scratch_path(spark, "sink-progress"))
+             .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(**trigger).start())
+        (IO.ended if "availableNow" in trigger else IO.drain)(q, None)
+        return log.table(q).filter(F.col("num_input_rows") > 0)
 
 
-@register("throttled_trigger")
+@register("progress_table", "SELECT CAST(count(*) AS BIGINT) AS input_rows, TRUE AS several_batches, TRUE AS timed FROM events")
+def q_progress_table(spark, sf):
+    """All reports of a run, summed: the rows of all micro-batches are the rows of the input."""
+    return _progress(spark, sf, {"availableNow": True}).agg(
+        F.sum("num_input_rows").alias("input_rows"), (F.count("batch_id") > 1).alias("several_batches"),
+        F.coalesce(F.min("trigger_execution_ms") >= 0, F.lit(False)).alias("timed"))
+
+
+@register("throttled_trigger", "SELECT CAST(count(*) AS BIGINT) AS input_rows, TRUE AS several_batches FROM events")
 def q_throttled_trigger(spark, sf):
-    df = _parsed_stream(spark, sf, files_per_trigger=1)
-    q = (df.writeStream.format("parquet").option("path", scratch_path(spark, "sink-throttled"))
-         .option("checkpointLocation", scratch_path(spark, "ckpt")).trigger(processingTime="2 seconds").start())
-    IO.bounded_run(q, timeout_s=300, drain=True)
-    return IO.progress_table(spark, q).filter(F.col("num_input_rows") > 0).select("batch_id", "num_input_rows")
+    """A 2-second trigger over one file at a time reads the whole input, in several micro-batches."""
+    return _progress(spark, sf, {"processingTime": "2 seconds"}).agg(
+        F.sum("num_input_rows").alias("input_rows"), (F.count("batch_id") > 1).alias("several_batches"))
+
+
+@register("console_sink", f"SELECT CAST(count(*) AS BIGINT) AS shown_rows FROM ({TX_SQL})")
+def q_console_sink(spark, sf):
+    """The console sink prints every micro-batch; the rows it was given are counted from its progress reports."""
+    with IO.ProgressLog(spark) as log:
+        q = IO.console_sink(_parsed_stream(spark, sf).select("transaction_id", "tx_amount"), num_rows=1)
+        return log.table(q).agg(F.sum("num_input_rows").alias("shown_rows"))
 
 
 def _clicks_dir(spark, sf):
-    key = ("clicks", sf, id(spark))
-    if key not in _dirs:
+    def build(path):
         ev = T.table(spark, sf, "events").filter(F.col("event_type") == "click")
         page = F.get_json_object("props", "$.k").cast("long")
         value = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
                                    F.col("user_id"), page.alias("page_id")))
         df = ev.select(page.alias("_page"), value.alias("_value"), "event_id", F.col("ts").cast("timestamp").alias("_ts"),
                        F.pmod(page, F.lit(3)).alias("_part"))
-        path = scratch_path(spark, "records-clicks")
-        IO.write_records(df, path, "_page", "_value", "clicks", "_part", "event_id", "_ts", N_FILES)
-        _dirs[key] = path
-    return _dirs[key]
+        IO.write_records(df, path, "_page", "_value", "clicks", "_part", "event_id", "_ts", ROWS_PER_FILE, least_files=2)
+    return T.written(spark, sf, "records-clicks", build)
 
 
 @register("click_consumer", """

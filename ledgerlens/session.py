@@ -43,11 +43,14 @@ def get_spark(master: str | None = None, app: str = "ledgerlens", shuffle_partit
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (tests, local runs) a private folder is created.
+    The cluster names it; only where it is unset and the master is local (one machine, one
+    process) is a private folder created; on a cluster that is an error.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -60,10 +63,3 @@ def scratch_path(spark: SparkSession, name: str, unique: bool = True) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/ledgerlens/{leaf}"
-
-
-def local_dir_of(path: str) -> str | None:
-    """Plain local path for a file: URI or bare path (used only by tests that inspect written files)."""
-    if path.startswith("file:"):
-        path = path[5:]
-    return path if os.path.isabs(path) else None

@@ -6,28 +6,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlens.schemas import TRANSACTION_SCHEMA
+from ledgerlens.schemas import CORRUPT_COLUMN, TRANSACTION_SCHEMA
 
 
 def read_transactions(spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_SCHEMA,
                       sep: str = ",", drop_header_rows: bool = True) -> DataFrame:
-    """Headerless transaction text with an explicit schema.
+    """Headerless transaction text with an explicit schema; malformed lines are dropped.
 
-    A line is well formed when it has exactly one field per schema column; other lines are dropped.  The field
-    count is checked on the text before parsing, so the result does not depend on which columns later steps
-    read (CSV column pruning lets malformed-line detection differ with the pruned columns).  Header lines keep
-    the right field count but their id does not parse; :func:`drop_header` removes them.  Fields are plain
-    (unquoted) text, as in the transaction files.
+    A line is malformed when it has more or fewer fields than the schema or a field that doesn't parse as its type
+    (a header line doesn't); an empty field is null, and a quoted field may hold the separator.  So the rows are
+    those of the CSV reader in DROPMALFORMED mode over all columns, whichever columns later steps read: the parser fills
+    the corrupt-record column for every line here and the filter on it comes after the whole line was parsed.
     """
-    import re
-    lines = spark.read.text(path)
-    n_fields = F.size(F.split(F.col("value"), re.escape(sep), -1))
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    # inline(array(struct)) is a Generate: later filters on the parsed fields cannot be pushed below it, so each
-    # line is parsed once (a plain projection would be inlined into every filter reference of every field)
-    parsed = (lines.filter(n_fields == len(schema.fields))
-              .select(F.inline(F.array(F.from_csv(F.col("value"), ddl, {"sep": sep, "mode": "PERMISSIVE"})))))
-    return drop_header(parsed, schema.fields[0].name) if drop_header_rows else parsed
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + f", `{CORRUPT_COLUMN}` string"
+    lines = spark.read.text(path).filter(F.length("value") > 0)
+    options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
+    # inline(array(struct)) is a Generate: neither later filters nor column pruning go below it, so each line is parsed
+    # once and as a whole
+    parsed = lines.select(F.inline(F.array(F.from_csv(F.col("value"), ddl, options))))
+    good = parsed.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    return drop_header(good, schema.fields[0].name) if drop_header_rows else good
 
 
 def drop_header(df: DataFrame, id_col: str = "transaction_id") -> DataFrame:
@@ -57,21 +55,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
     return path
 
 
-def repartition_convert(spark: SparkSession, src: str, dst: str, n_parts: int,
+def repartition_convert(spark: SparkSession, src: str, dst: str, n_parts: int | None = None,
                         schema: T.StructType = TRANSACTION_SCHEMA, sep: str = ",") -> DataFrame:
-    """Text/CSV -> ``n_parts`` Parquet files (round-robin shuffle for even file sizes); returns the written table."""
+    """Text/CSV -> Parquet files of even size (a round-robin shuffle into ``n_parts``, or without it into as many as
+    adaptive execution finds right for the data); returns the written table."""
     df = read_transactions(spark, src, schema, sep)
-    df.repartition(n_parts).write.mode("overwrite").parquet(dst)
+    (df.repartition(n_parts) if n_parts else df.hint("rebalance")).write.mode("overwrite").parquet(dst)
     return spark.read.parquet(dst)
 
 
-def copy_dataset(spark: SparkSession, src: str, dst: str, fmt: str = "parquet", single_file: bool = False) -> DataFrame:
+def copy_dataset(spark: SparkSession, src: str, dst: str, fmt: str = "parquet", file: str | None = None) -> DataFrame:
     """Bulk copy of a dataset between stores as a Spark job (parallel read and write, no driver copy).
 
-    ``single_file`` writes one file through one task; use it only for tables of known small size.
+    ``file`` copies that one file of the folder ``src`` instead of all of them.
     """
-    df = spark.read.format(fmt).load(src)
-    if single_file:
-        df = df.coalesce(1)
+    df = spark.read.format(fmt).load(f"{src.rstrip('/')}/{file}" if file else src)
     df.write.mode("overwrite").format(fmt).save(dst)
     return spark.read.format(fmt).load(dst)

@@ -62,11 +62,15 @@ TX_COLUMNS = ["transaction_id", "tx_datetime", "customer_id", "terminal_id", "tx
 # raw transaction text: headerless comma lines with the edge rows the cleaning chain must handle
 #   u = uniform(transaction_id, 'raw'):  u < 0.01 -> empty tx_amount field (null after parse, removed by drop_na)
 #                                        0.01 <= u < 0.015 -> short line of four fields (malformed, dropped)
+#                                        0.015 <= u < 0.02 -> the time as a quoted field with a comma in it (kept)
+#                                        0.02 <= u < 0.025 -> 'abc' as amount (malformed, dropped)
 #   plus one header line (id does not parse -> null id, removed by drop_header)
 # --------------------------------------------------------------------------------------------------------------
 
 RAW_EMPTY_AMOUNT = 0.01
 RAW_SHORT_LINE = 0.015
+RAW_QUOTED = 0.02
+RAW_BAD_NUMBER = 0.025
 RAW_HEADER = ",".join(TX_COLUMNS)
 
 
@@ -77,6 +81,10 @@ def raw_transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     amount_blank = [F.lit("") if c == "tx_amount" else f for c, f in zip(TX_COLUMNS, fields)]
     line = (F.when(u < RAW_EMPTY_AMOUNT, F.concat_ws(",", *amount_blank))
             .when(u < RAW_SHORT_LINE, F.concat_ws(",", *fields[:4]))
+            .when(u < RAW_QUOTED, F.concat_ws(",", fields[0], F.concat(F.lit('"'), F.replace(fields[1], F.lit(" "), F.lit(", ")),
+                                                                       F.lit('"')), *fields[2:]))
+            .when(u < RAW_BAD_NUMBER, F.concat_ws(",", *(F.lit("abc") if c == "tx_amount" else f
+                                                         for c, f in zip(TX_COLUMNS, fields))))
             .otherwise(F.concat_ws(",", *fields)))
     header = tx.limit(1).select(F.lit(RAW_HEADER).alias("value"))
     return tx.select(line.alias("value")).unionByName(header)
@@ -84,39 +92,46 @@ def raw_transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _u_raw = sql_uniform("event_id", "raw")
 RAW_TX_SQL = f"""
-SELECT CAST(transaction_id AS INTEGER) AS transaction_id, tx_datetime, CAST(customer_id AS INTEGER) AS customer_id,
-       CAST(terminal_id AS INTEGER) AS terminal_id,
+SELECT CAST(transaction_id AS INTEGER) AS transaction_id,
+       CASE WHEN u >= {RAW_SHORT_LINE} AND u < {RAW_QUOTED} THEN replace(tx_datetime, ' ', ', ') ELSE tx_datetime END AS tx_datetime,
+       CAST(customer_id AS INTEGER) AS customer_id, CAST(terminal_id AS INTEGER) AS terminal_id,
        CASE WHEN u < {RAW_EMPTY_AMOUNT} THEN NULL ELSE tx_amount END AS tx_amount,
        tx_time_seconds, tx_time_days, tx_fraud, tx_fraud_scenario
 FROM (SELECT t.*, {sql_uniform('transaction_id', 'raw')} AS u FROM ({TX_SQL}) t)
-WHERE NOT (u >= {RAW_EMPTY_AMOUNT} AND u < {RAW_SHORT_LINE})"""
+WHERE NOT (u >= {RAW_EMPTY_AMOUNT} AND u < {RAW_SHORT_LINE}) AND NOT (u >= {RAW_QUOTED} AND u < {RAW_BAD_NUMBER})"""
 
-_materialised: dict[tuple, str] = {}
+_written: dict[tuple, str] = {}
 
 
-def raw_transaction_dir(spark: SparkSession, sf_dir: str) -> str:
-    """Write the raw text once per session into the shared folder; return its directory."""
+def written(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Folder of a derived fixture in the shared folder, made by ``build(path)`` once per application and state of the
+    input tables (application id, names and change times of the files)."""
     from ledgerlens.session import scratch_path
-    key = ("raw_tx", sf_dir, id(spark))
-    if key not in _materialised:
-        path = scratch_path(spark, "raw-transactions")
-        raw_transaction_lines(spark, sf_dir).write.mode("overwrite").text(path)
-        _materialised[key] = path
-    return _materialised[key]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    state = tuple(sorted((str(f.getPath()), f.getModificationTime()) for f in root.getFileSystem(conf).listStatus(root)))
+    key = (spark.sparkContext.applicationId, sf_dir, name, state)
+    if key not in _written:
+        path = scratch_path(spark, name)
+        build(path)
+        _written[key] = path
+    return _written[key]
+
+
+def raw_transaction_dir(spark: SparkSession, sf_dir: str) -> str:
+    """The raw text as a folder of files."""
+    return written(spark, sf_dir, "raw-transactions", lambda path: raw_transaction_lines(spark, sf_dir)
+                   .write.mode("overwrite").text(path))
 
 
 def sum_input_dir(spark: SparkSession, sf_dir: str) -> str:
     """One INT per line with '#' comment lines: terminal ids of all transactions."""
-    from ledgerlens.session import scratch_path
-    key = ("sum_input", sf_dir, id(spark))
-    if key not in _materialised:
-        path = scratch_path(spark, "sum-input")
+    def build(path):
         tx = transactions(spark, sf_dir)
         lines = tx.select(F.col("terminal_id").cast("string").alias("value"))
         comment = tx.limit(1).select(F.lit("# field: terminal id of each transaction").alias("value"))
         comment.unionByName(lines).write.mode("overwrite").text(path)
-        _materialised[key] = path
-    return _materialised[key]
+    return written(spark, sf_dir, "sum-input", build)
 
 
 # --------------------------------------------------------------------------------------------------------------
@@ -198,13 +213,18 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
     per_hour = ev.groupBy("topic", "partition", "hour").agg(F.count(F.lit(1)).alias("n"))
-    from ledgerlens.operators.scalars import scalars
-    b = scalars(ev.agg(F.min("hour").alias("_mn"), F.max("hour").alias("_mx")))
-    # hourly grid per (topic, partition): its size is hours x partitions, independent of the row count
-    grid = (ev.select("topic", "partition").distinct()
-            .select("topic", "partition",
-                    F.explode(F.sequence(b["_mn"], b["_mx"], F.expr("INTERVAL 1 HOUR"))).alias("hour")))
-    filled = grid.join(per_hour, ["topic", "partition", "hour"], "left").fillna(0, ["n"])
+    # hourly grid per (topic, partition): its size is hours x partitions, independent of the row count.  Each row of
+    # per_hour stands for its hour and for the empty ones before the next row; the first and the last row of a
+    # partition reach out to the bounds of all, so the events are read once
+    by = W.partitionBy("topic", "partition").orderBy("hour")
+    everything = W.partitionBy()
+    step = F.expr("INTERVAL 1 HOUR")
+    spans = (per_hour.withColumn("_mn", F.min("hour").over(everything)).withColumn("_mx", F.max("hour").over(everything))
+             .withColumn("_from", F.when(F.row_number().over(by) == 1, F.col("_mn")).otherwise(F.col("hour")))
+             .withColumn("_to", F.coalesce(F.lead("hour").over(by) - step, F.col("_mx"))))
+    filled = spans.select("topic", "partition", F.col("hour").alias("_at"), "n",
+                          F.explode(F.sequence("_from", "_to", step)).alias("hour"))
+    filled = filled.withColumn("n", F.when(F.col("hour") == F.col("_at"), F.col("n")).otherwise(F.lit(0)))
     w = W.partitionBy("topic", "partition").orderBy("hour").rowsBetween(W.unboundedPreceding, 0)
     end = F.sum("n").over(w)
     return filled.select(
@@ -235,13 +255,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_with_header_dir(spark: SparkSession, sf_dir: str) -> str:
     """Transactions as CSV with a header line in every file."""
-    from ledgerlens.session import scratch_path
-    key = ("csv_header", sf_dir, id(spark))
-    if key not in _materialised:
-        path = scratch_path(spark, "tx-csv-header")
-        transactions(spark, sf_dir).write.mode("overwrite").option("header", "true").csv(path)
-        _materialised[key] = path
-    return _materialised[key]
+    return written(spark, sf_dir, "tx-csv-header", lambda path: transactions(spark, sf_dir)
+                   .write.mode("overwrite").option("header", "true").csv(path))
 
 
 def events_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,10 +280,5 @@ def clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     session); downstream jobs (labels, training, scoring) read this table, as the reference's jobs read the
     cleaned Parquet, which also cuts the lineage back to the raw text."""
     from ledgerlens.operators.cleaning import clean_transactions
-    from ledgerlens.session import scratch_path
-    key = ("clean", sf_dir, id(spark))
-    if key not in _materialised:
-        path = scratch_path(spark, "clean-transactions")
-        clean_transactions(raw_transactions(spark, sf_dir)).write.mode("overwrite").parquet(path)
-        _materialised[key] = path
-    return spark.read.parquet(_materialised[key])
+    return spark.read.parquet(written(spark, sf_dir, "clean-transactions", lambda path: clean_transactions(
+        raw_transactions(spark, sf_dir)).write.mode("overwrite").parquet(path)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ledgerlens.schemas import KAFKA_RECORD_SCHEMA
 from ledgerlens.session import scratch_path
@@ -14,7 +14,8 @@ from ledgerlens.session import scratch_path
 # ---- Kafka (needs the spark-sql-kafka connector on the classpath; not exercised in the local tests) ------------
 
 def kafka_source(spark: SparkSession, servers: str, topic: str, starting_offsets: str = "earliest",
-                 max_offsets_per_trigger: int | None = 1000, fail_on_data_loss: bool = False) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None, fail_on_data_loss: bool = True) -> DataFrame:
+    """Records of a topic.  Lost offsets are an error unless the caller says otherwise; no rate limit by default."""
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
          .option("startingOffsets", starting_offsets).option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
@@ -22,11 +23,25 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, starting_offsets
     return r.load()
 
 
+def kafka_rows(df: DataFrame, key_col: str | None = "transaction_id") -> DataFrame:
+    """key and to_json(struct(*)) as value: the rows a Kafka topic takes."""
+    value = F.to_json(F.struct(*df.columns)).alias("value")
+    return df.select(F.col(key_col).cast("string").alias("key"), value) if key_col else df.select(value)
+
+
+def kafka_batch_writer(servers: str, topic: str, key_col: str | None = "transaction_id"):
+    """foreachBatch function that sends each micro-batch to a topic with the batch writer (at least once: a batch that
+    is retried is sent again)."""
+    def write(batch_df: DataFrame, batch_id: int):
+        (kafka_rows(batch_df, key_col).write.format("kafka").option("kafka.bootstrap.servers", servers)
+         .option("topic", topic).save())
+    return write
+
+
 def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key_col: str = "transaction_id",
                trigger_seconds: int = 2, query_name: str | None = None) -> StreamingQuery:
     """key + to_json(struct(*)) as value; append mode, checkpointed offsets, processing-time trigger."""
-    out = df.select(F.col(key_col).cast("string").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"))
-    w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
+    w = (kafka_rows(df, key_col).writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(processingTime=f"{trigger_seconds} seconds"))
     if query_name:
@@ -37,13 +52,15 @@ def kafka_sink(df: DataFrame, servers: str, topic: str, checkpoint: str, key_col
 # ---- file-backed replay ------------------------------------------------------------------------------------------
 
 def write_records(df: DataFrame, path: str, key: str, value: str, topic: str, partition: str, offset: str, ts: str,
-                  n_files: int = 8) -> str:
+                  rows_per_file: int = 1_000_000, least_files: int = 1) -> str:
     """Store rows as Kafka-shaped records (key, value, topic, partition, offset, timestamp), range-partitioned by
-    time into ``n_files`` files, so a file stream replays history in time slices."""
+    time into files of about ``rows_per_file`` rows (their number follows the data), so a file stream replays history
+    in time slices."""
     rec = df.select(F.col(key).cast("string").cast("binary").alias("key"),
                     F.col(value).cast("string").cast("binary").alias("value"),
                     F.lit(topic).alias("topic"), F.col(partition).cast("int").alias("partition"),
                     F.col(offset).cast("long").alias("offset"), F.col(ts).cast("timestamp").alias("timestamp"))
+    n_files = max(least_files, -(-df.count() // rows_per_file), 1)
     rec.repartitionByRange(n_files, "timestamp", "offset").sortWithinPartitions("timestamp", "offset") \
        .write.mode("overwrite").parquet(path)
     return path
@@ -55,10 +72,55 @@ def replay_source(spark: SparkSession, path: str, max_files_per_trigger: int = 1
             .parquet(path))
 
 
-# ---- sinks and bounded runs -----------------------------------------------------------------------------------
+# ---- sinks, drains and bounded runs ---------------------------------------------------------------------------
+
+class InputRemains(RuntimeError):
+    """A drain was given a time limit and input was left when it was over."""
+
+
+def drain(q: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
+    """Wait until the query has processed all available input; no limit by default.
+
+    An ``availableNow`` query ends by itself; any other is stopped once it has caught up.  With a limit, a query that
+    is not through by then is stopped and InputRemains raised: a drain never passes off a part as the whole."""
+    import threading
+    import time
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    done = threading.Event()
+    error: list[BaseException] = []
+
+    def work():
+        try:
+            q.processAllAvailable()
+        except BaseException as e:  # noqa: BLE001  handed to the caller below
+            error.append(e)
+        done.set()
+
+    t = threading.Thread(target=work, daemon=True)
+    t.start()
+    over = not done.wait(None if end is None else max(0.0, end - time.monotonic()))
+    if over:
+        q.stop()
+        raise InputRemains(f"input was left after {timeout_s} s; the sink holds a part of it only")
+    if q.exception() is not None:
+        raise q.exception()
+    if error and q.isActive:
+        raise error[0]
+    if q.isActive:
+        q.stop()
+    return q
+
+
+def bounded_run(q: StreamingQuery, timeout_s: float = 120.0) -> StreamingQuery:
+    """Run a query for at most ``timeout_s`` seconds and stop it.  The early stop is the feature here: the sink then
+    holds the micro-batches done so far (the one in flight may finish).  To process everything use :func:`drain`."""
+    if not q.awaitTermination(timeout_s) and q.isActive:
+        q.stop()
+    return q
+
 
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str | None = None, available_now: bool = True,
-                   processing_time: str | None = None, timeout_s: float = 600.0, query_name: str | None = None
+                   processing_time: str | None = None, timeout_s: float | None = None, query_name: str | None = None
                    ) -> StreamingQuery:
     """Append a stream to Parquet with a checkpoint in the shared folder; ``availableNow`` drains what is there
     (respecting the source's per-trigger limit) and stops."""
@@ -68,69 +130,89 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str | None = None, avai
     if query_name:
         w = w.queryName(query_name)
     q = w.start()
-    return bounded_run(q, timeout_s) if available_now else q
-
-
-def bounded_run(q: StreamingQuery, timeout_s: float = 120.0, drain: bool = False) -> StreamingQuery:
-    """Stop a query after ``timeout_s`` seconds; with ``drain`` stop as soon as all available input is processed
-    (or when a timer stops it after ``timeout_s``, for input that never drains; as with any ``stop()``, the
-    micro-batch in flight is allowed to finish)."""
-    if drain:
-        import threading
-        timer = threading.Timer(timeout_s, q.stop)
-        timer.daemon = True
-        timer.start()
-        try:
-            if q.isActive:
-                q.processAllAvailable()
-        finally:
-            timer.cancel()
-            q.stop()
-        return q
-    finished = q.awaitTermination(timeout_s)
-    if not finished and q.isActive:
+    return ended(q, timeout_s) if available_now else q
+
+
+def ended(q: StreamingQuery, timeout_s: float | None) -> StreamingQuery:
+    """Wait for the end of an ``availableNow`` query; with a limit, InputRemains if it is not through by then."""
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
         q.stop()
+        raise InputRemains(f"input was left after {timeout_s} s; the sink holds a part of it only")
     return q
 
 
-def foreach_batch_sink(df: DataFrame, fn, checkpoint: str | None = None, timeout_s: float = 600.0,
+def foreach_batch_sink(df: DataFrame, fn, checkpoint: str | None = None, timeout_s: float | None = None,
                        available_now: bool = True, processing_time: str = "10 seconds") -> StreamingQuery:
     ckpt = checkpoint or scratch_path(df.sparkSession, "ckpt")
     w = df.writeStream.foreachBatch(fn).option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     q = w.start()
-    return bounded_run(q, timeout_s) if available_now else q
+    return ended(q, timeout_s) if available_now else q
 
 
 def idempotent_batch_writer(path: str, partition_col: str = "batch_id", extra_partitions: tuple = ()):
-    """Writes each micro-batch into its own partition (optionally split further by ``extra_partitions`` columns of
-    the batch) with dynamic overwrite: a retried batch replaces its own output instead of duplicating it."""
+    """Writes each micro-batch to its own folder ``path/batch_id=N`` (split further by ``extra_partitions`` columns
+    below it), overwriting that folder as a whole: a retried batch replaces all its own output, whatever partitions
+    the first try had."""
 
     def write(batch_df: DataFrame, batch_id: int):
-        (batch_df.withColumn(partition_col, F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col, *extra_partitions).parquet(path))
+        w = batch_df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        if extra_partitions:
+            w = w.partitionBy(*extra_partitions)
+        w.parquet(f"{path}/{partition_col}={batch_id}")
 
     return write
 
 
 def console_sink(df: DataFrame, truncate: bool = False, num_rows: int = 20, checkpoint: str | None = None,
-                 available_now: bool = True, timeout_s: float = 60.0) -> StreamingQuery:
+                 available_now: bool = True, timeout_s: float | None = None) -> StreamingQuery:
     """Debug output of each micro-batch to stdout."""
     ckpt = checkpoint or scratch_path(df.sparkSession, "ckpt-console")
     w = (df.writeStream.format("console").option("truncate", str(truncate).lower()).option("numRows", str(num_rows))
          .option("checkpointLocation", ckpt))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="2 seconds")
     q = w.start()
-    return bounded_run(q, timeout_s) if available_now else q
-
-
-def progress_table(spark: SparkSession, q: StreamingQuery) -> DataFrame:
-    """The query's recent progress reports as rows (bounded by spark.sql.streaming.numRecentProgressUpdates)."""
-    rows = []
-    for p in q.recentProgress:
-        d = p if isinstance(p, dict) else p.json and __import__("json").loads(p.json)
-        rows.append((int(d.get("batchId", -1)), int(d.get("numInputRows", 0)),
-                     float(d.get("inputRowsPerSecond") or 0.0), float(d.get("processedRowsPerSecond") or 0.0),
-                     int((d.get("durationMs") or {}).get("triggerExecution", 0))))
-    return spark.createDataFrame(rows, "batch_id long, num_input_rows long, input_rows_per_second double, "
-                                       "processed_rows_per_second double, trigger_execution_ms long")
+    return ended(q, timeout_s) if available_now else q
+
+
+class ProgressLog(StreamingQueryListener):
+    """Keeps every progress report of the queries started while it is registered (one small row a micro-batch; the
+    engine's own ``recentProgress`` keeps the last 100 only)."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows, self.ended = spark, [], set()
+
+    def __enter__(self) -> ProgressLog:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *_):
+        self.spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        self.rows.append((str(p.runId), int(p.batchId), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
+                          float(p.processedRowsPerSecond or 0.0), int((p.durationMs or {}).get("triggerExecution", 0))))
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.runId))
+
+    def table(self, q: StreamingQuery, wait_s: float = 60.0) -> DataFrame:
+        """The reports of an ended query as rows; events arrive behind it, so wait for its end to be told."""
+        import time
+        end = time.monotonic() + wait_s
+        while str(q.runId) not in self.ended:
+            if time.monotonic() > end:
+                raise TimeoutError("the end of the query was not reported")
+            time.sleep(0.05)
+        rows = [r[1:] for r in self.rows if r[0] == str(q.runId)]
+        return self.spark.createDataFrame(rows, "batch_id long, num_input_rows long, input_rows_per_second double, "
+                                                "processed_rows_per_second double, trigger_execution_ms long")

@@ -6,8 +6,6 @@ import time
 import numpy as np
 import pandas as pd
 
-from ledgerlens.functions.scoring import REQUEST_RULES
-
 TWO_32 = 4294967296.0
 
 
@@ -34,60 +32,52 @@ def heuristic_udf(large: float = 5000.0, random_rate: float = 0.1, salt: str = "
 
 
 def request_scorer(large: float = 1000.0, medium: float = 500.0, cap: float = 0.95, jitter_salt: str = "jitter"):
-    """External scorer stand-in: validates each request like the scoring service and returns
-    (fraud_probability, error) per row.  Same rules and arithmetic order as the native expression."""
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = len(pdf)
-        problems = [[] for _ in range(n)]
-        tid = pdf["transaction_id"]
-        for i in np.flatnonzero(tid.isna().to_numpy()):
-            problems[i].append("transaction_id:missing")
-        for name, op, bound in REQUEST_RULES:
-            col = pdf[name]
-            missing = col.isna().to_numpy()
-            vals = col.astype(float).to_numpy()
-            with np.errstate(invalid="ignore"):
-                ok = vals > bound if op == ">" else vals >= bound
-            tag = "gt" if op == ">" else "ge"
-            for i in np.flatnonzero(missing):
-                problems[i].append(f"{name}:missing")
-            for i in np.flatnonzero(~missing & ~ok):
-                problems[i].append(f"{name}:{tag}_{bound}")
-        amt = pdf["tx_amount"].astype(float).to_numpy()
-        secs = pdf["tx_time_seconds"].astype(float).to_numpy()
+    """External scorer stand-in for valid requests (violations are found before, as native expressions): one
+    fraud_probability per row, same rules and arithmetic order as the native expression."""
+
+    def score(pdf: pd.DataFrame) -> pd.Series:
+        amt = pdf["tx_amount"].to_numpy(dtype=float)
+        secs = pdf["tx_time_seconds"].to_numpy(dtype=float)
         cust = pdf["customer_id"]
-        with np.errstate(invalid="ignore"):
-            a = np.where(amt > large, 0.3, np.where(amt > medium, 0.1, 0.0))
-            hour = np.mod(np.floor(secs / 3600), 24)
-            b = np.where((hour < 6) | (hour > 22), 0.2, 0.0)
-            c = np.where(np.mod(cust.astype(float).to_numpy(), 100) < 5, 0.4, 0.0)
+        a = np.where(amt > large, 0.3, np.where(amt > medium, 0.1, 0.0))
+        hour = np.mod(np.floor(secs / 3600), 24)
+        b = np.where((hour < 6) | (hour > 22), 0.2, 0.0)
+        c = np.where(np.mod(cust.to_numpy(dtype=float), 100) < 5, 0.4, 0.0)
         j = np.floor(_unit(cust.astype("Int64").astype(str), jitter_salt) * 10) / 100.0
-        p = np.minimum(0.0 + a + b + c + j, cap)
-        err = [("invalid request: " + ",".join(x)) if x else None for x in problems]
-        prob = [None if e else float(v) for e, v in zip(err, p)]
-        return pd.DataFrame({"fraud_probability": prob, "error": err})
+        return pd.Series(np.minimum(0.0 + a + b + c + j, cap), index=pdf.index)
 
     return score
 
 
-def external_scoring(scorer, id_col: str = "transaction_id"):
-    """mapInPandas function: calls ``scorer`` on each Arrow batch, keeps success and error rows with the
-    per-row latency of the batch call."""
+def external_scoring(scorer, id_col: str = "transaction_id", violations: str = "violations"):
+    """mapInPandas function: rows with an empty ``violations`` text go to ``scorer``, batch by batch; the others become
+    error rows.  If the scorer fails on a batch, its rows are tried one by one, so that only the rows that fail are
+    errors.  Gives id, success, fraud_probability, error and the per-row latency of the calls."""
 
     def run(batches):
         for pdf in batches:
+            ok = (pdf[violations] == "").to_numpy()
+            prob, error = np.full(len(pdf), np.nan), np.full(len(pdf), None, dtype=object)
+            error[~ok] = "invalid request: " + pdf[violations].to_numpy(dtype=object)[~ok]
             t0 = time.perf_counter()
-            try:
-                res = scorer(pdf)
-            except Exception as e:  # a failing scorer marks the whole batch as errors, rows are kept
-                res = pd.DataFrame({"fraud_probability": [None] * len(pdf), "error": [f"scorer error: {e}"] * len(pdf)})
+            at = np.flatnonzero(ok)
+            if len(at):
+                valid = pdf.iloc[at].drop(columns=[violations])
+                try:
+                    prob[at] = np.asarray(scorer(valid), dtype=float)
+                except Exception:
+                    for k, i in enumerate(at):
+                        try:
+                            prob[i] = float(np.asarray(scorer(valid.iloc[k:k + 1]), dtype=float)[0])
+                        except Exception as e:
+                            error[i] = f"scorer error: {e}"
             dt = (time.perf_counter() - t0) * 1000.0 / max(len(pdf), 1)
+            failed = pd.notna(error)
             yield pd.DataFrame({
-                id_col: pdf[id_col].astype(str),
-                "success": res["error"].isna().to_numpy(),
-                "fraud_probability": res["fraud_probability"].astype(float),
-                "error": res["error"],
+                id_col: pdf[id_col],
+                "success": ~failed,
+                "fraud_probability": pd.Series(np.where(failed, np.nan, prob)).astype(object).where(~failed, None),
+                "error": error,
                 "latency_ms": np.full(len(pdf), dt),
             })
 

@@ -1,18 +1,89 @@
 """Streams: file-source replay equals the batch answer; empty micro-batches and broken JSON are handled."""
 
+import json
+
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerlens.session import scratch_path
 from ledgerlens.streaming import io as IO
-from ledgerlens.streaming.jobs import unwrap_envelope
+from ledgerlens.streaming.jobs import to_envelope, unwrap_envelope, well_formed
+from ledgerlens.streaming.udfs import external_scoring
 from ledgerlens.schemas import KAFKA_RECORD_SCHEMA
 
 
-def test_broken_json_is_dropped(spark):
-    df = spark.createDataFrame([('{"transaction_id":"1","data":{"transaction_id":1,"tx_amount":5.0}}',),
-                                ("{not json",), ('{"transaction_id":"2"}',)], "value string")
-    out = unwrap_envelope(df).collect()
-    assert [(r.transaction_id, r.tx_amount) for r in out] == [("1", 5.0)]
+def test_broken_json_goes_to_the_dead_letters(spark):
+    df = spark.createDataFrame([('{"transaction_id":"tx_1","data":{"transaction_id":1,"tx_amount":5.0}}', 1),
+                                ("{not json", 2), ('{"transaction_id":"2"}', 3), (None, 4)], "value string, offset int")
+    out = unwrap_envelope(df)
+    assert [(r.transaction_id, r.tx_amount, r.offset) for r in well_formed(out).collect()] == [("1", 5.0, 1)]
+    left = out.filter("parse_error IS NOT NULL").orderBy("offset").collect()
+    assert [(r.raw_value, r.parse_error) for r in left] == [
+        ("{not json", "not an envelope with data"), ('{"transaction_id":"2"}', "not an envelope with data"), (None, "no value")]
+
+
+def test_a_drain_with_a_limit_raises_instead_of_returning_a_part(spark):
+    path = scratch_path(spark, "slow-records")
+    for k in range(6):
+        spark.range(k * 10, k * 10 + 10).write.mode("append").parquet(path)
+    src = spark.readStream.schema("id long").option("maxFilesPerTrigger", "1").parquet(path)
+    slow = src.select(F.expr("reflect('java.lang.Thread', 'activeCount')").alias("n"), "id")
+    with pytest.raises(IO.InputRemains):
+        IO.run_to_parquet(slow, scratch_path(spark, "slow-sink"), timeout_s=0.05)
+    out = scratch_path(spark, "slow-sink")
+    q = (src.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "ckpt"))
+         .trigger(processingTime="0 seconds").start())
+    with pytest.raises(IO.InputRemains):
+        IO.drain(q, timeout_s=0.05)
+    IO.run_to_parquet(src, out := scratch_path(spark, "slow-sink"))
+    assert spark.read.parquet(out).count() == 60
+
+
+def test_progress_of_more_than_100_batches(spark):
+    path = scratch_path(spark, "many-files")
+    spark.range(105).repartition(105, "id").write.parquet(path)
+    files = len([f for f in spark.read.parquet(path).inputFiles()])
+    src = spark.readStream.schema("id long").option("maxFilesPerTrigger", "1").parquet(path)
+    spark.range(0).write.parquet(sink := scratch_path(spark, "none"))
+    with IO.ProgressLog(spark) as log:
+        q = IO.foreach_batch_sink(src, lambda df, i: None)
+        rows = log.table(q).filter("num_input_rows > 0 OR batch_id >= 0").select("batch_id").distinct().count()
+    assert files > 50 and rows >= files and sink
+
+
+def test_retry_with_another_outcome_replaces_the_batch(spark):
+    out = scratch_path(spark, "retry")
+    w = IO.idempotent_batch_writer(out, extra_partitions=("outcome",))
+    w(spark.createDataFrame([(1, "error")], "id int, outcome string"), 0)
+    w(spark.createDataFrame([(1, "ok")], "id int, outcome string"), 0)
+    assert [(r.id, r.outcome, r.batch_id) for r in spark.read.parquet(out).collect()] == [(1, "ok", 0)]
+
+
+def test_scorer_errors_are_per_row(spark):
+    df = spark.createDataFrame([("a", 1.0, ""), ("b", -1.0, ""), (None, 2.0, ""), ("d", 3.0, "tx_amount:gt_0")],
+                               "transaction_id string, tx_amount double, violations string")
+
+    def scorer(pdf):
+        if (pdf["tx_amount"] < 0).any():
+            raise ValueError("negative")
+        return pdf["tx_amount"] / 10
+
+    ddl = "transaction_id string, success boolean, fraud_probability double, error string, latency_ms double"
+    got = df.coalesce(1).mapInPandas(external_scoring(scorer), ddl).collect()
+    assert [(r.transaction_id, r.success, r.fraud_probability, r.error) for r in got] == [
+        ("a", True, 0.1, None), ("b", False, None, "scorer error: negative"), (None, True, 0.2, None),
+        ("d", False, None, "invalid request: tx_amount:gt_0")]
+
+
+def test_envelope_and_kafka_rows(spark):
+    df = spark.createDataFrame([(7, None, 2.5)], "transaction_id long, tx_datetime string, tx_amount double")
+    at = F.lit("2024-05-01 10:00:00").cast("timestamp_ntz")
+    js = json.loads(df.select(to_envelope(df, at).alias("v")).collect()[0].v)
+    assert js == {"transaction_id": "tx_1714557600000000_7", "stream_timestamp": "2024-05-01T10:00:00.000000",
+                  "producer_id": "replay", "producer_config": {"tps_target": 50, "topic": "transactions-input"},
+                  "data": {"transaction_id": 7, "tx_amount": 2.5}}
+    row = IO.kafka_rows(df).collect()[0]
+    assert row.key == "7" and json.loads(row.value) == {"transaction_id": 7, "tx_amount": 2.5}
 
 
 def test_empty_stream_and_console(spark):
