@@ -7,23 +7,30 @@ behind the placeholders) must be consistent: one value of the item always stands
 item is found both as it is and re-parameterised, while a chance agreement of templates is not.  A document holds an
 item if the windows of consistent alignments cover at least half of the item's windows.
 
-All of it is DataFrame expressions.  A Bloom filter of the benchmark's windows (a bit array with a checked size) thins
-the documents' windows inside their array, before any row is made of them; if the benchmark is too large for the
-checked size, the windows go to the join unthinned.
+All of it is DataFrame expressions.  Templates cost several passes over a text, so documents are sifted first by plain
+tokens: of each item, more windows than a document may lack are given an anchor (their longest plain token, the
+windows with the longest first), so a document without any anchor can't hold the item.  Two Bloom filters (bit arrays of
+a checked size: constants of the plan) do that: one of the anchors sifts documents, one of the benchmark's windows sifts
+the windows of those that are left inside their array, before rows are made of them.  Neither changes the result; if the
+benchmark is too large for the checked size, the step is left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.registry import register, table
-from ledgerlens.llm.url_filter import SHARD_BITS, _hits, _write_level
+from ledgerlens.llm.url_filter import _hits, _write_level
 from ledgerlens.session import scratch_path
 
 WINDOW = 8                           # tokens; windows are built by doubling, so a power of two
 SHORTEST = 5                         # an item with fewer tokens can't be told from ordinary text and is never found
 PLAIN = 4                            # tokens of a window that must not be placeholders
+FILTER_BITS = 1 << 24
+SAMPLE = 5000                        # documents that tell which words are rare
 COVER = 0.5                          # share of an item's windows that makes a leak
 NUMBER, UNIT, NAME = "", "", ""
 #: fixed values: words taken for units
@@ -40,15 +47,26 @@ _UNIT_RE = rf"(?<=[{NUMBER}0-9] )(?:{'|'.join(UNITS)})(?=[.,;:!?)]*(?:\s|$))"
 _MARKS = ".,;:!?\"'()[]{}“”‘’«»…¿¡"
 
 
+def _without_marks(text: Column) -> Column:
+    return F.regexp_replace(text, "[" + re.escape(_MARKS) + "]+", "")
+
+
 def _bare(text: Column) -> Column:
     """Lower case without punctuation marks."""
-    return F.translate(F.lower(text), _MARKS, "")
+    return _without_marks(F.lower(text))
 
 
 def _split(text: Column) -> Column:
     """Tokens between white space; none of an empty text."""
-    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s+"))
+    return F.array_remove(F.split(text, r"\s+"), "")
+
+
+def _quick(text: Column) -> Column:
+    """The plain tokens of a text and some empty ones; cheaper than ``plain_tokens``."""
+    text = _bare(text)
+    for c in "\n\t\r\f\v":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return F.split(text, " ")
 
 
 def plain_tokens(text: Column) -> Column:
@@ -60,7 +78,7 @@ def template_tokens(text: Column) -> Column:
     masked = F.regexp_replace(text, _NAME_RE, NAME)
     masked = F.regexp_replace(masked, _NUMBER_RE, NUMBER)
     masked = F.regexp_replace(F.lower(masked), _UNIT_RE, UNIT)
-    return _split(F.translate(masked, _MARKS, ""))
+    return _split(_without_marks(masked))
 
 
 def once(df: DataFrame, value: Column, name: str) -> DataFrame:
@@ -68,14 +86,15 @@ def once(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def window_hashes(tokens: Column, length: int = WINDOW) -> Column:
-    """Hash of the window that starts at each token; the last ones are cut off."""
-    h = F.transform(tokens, lambda t: F.xxhash64(t))
-    k = 1
+def with_windows(df: DataFrame, tokens: str, name: str, length: int = WINDOW) -> DataFrame:
+    """``df`` with the hash of the window that starts at each token; the last ones are cut off."""
+    df, k = once(df, F.transform(tokens, lambda t: F.xxhash64(t)), f"{name}1"), 1
     while k < length:
-        h = F.zip_with(h, F.slice(h, k + 1, F.greatest(F.size(h) - k, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+        h = F.col(f"{name}{k}")
         k *= 2
-    return F.slice(h, 1, F.greatest(F.size(tokens) - (length - 1), F.lit(0)))
+        df = once(df, F.zip_with(h, F.slice(h, k // 2 + 1, F.size(h)), lambda x, y: F.xxhash64(x, y)),
+                  f"{name}{k}").drop(f"{name}{k // 2}")
+    return once(df, F.slice(f"{name}{k}", 1, F.greatest(F.size(tokens) - (length - 1), F.lit(0))), name).drop(f"{name}{k}")
 
 
 def short_hash(tokens: Column) -> Column:
@@ -93,7 +112,8 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     src = src.filter(F.size("t") >= SHORTEST)
     whole = F.array(F.struct(F.lit(0).alias("at"), short_hash(F.col("t")).alias("key"), F.col("t").alias("template"),
                              F.col("p").alias("own")))
-    cut = F.transform(window_hashes(F.col("t")), lambda h, i: F.struct(
+    src = with_windows(src, "t", "h")
+    cut = F.transform("h", lambda h, i: F.struct(
         i.alias("at"), h.alias("key"), F.slice("t", i + 1, WINDOW).alias("template"), F.slice("p", i + 1, WINDOW).alias("own")))
     rows = (once(src, F.when(F.size("t") < WINDOW, whole).otherwise(cut), "w")
             .select("item", F.explode("w").alias("w")).select("item", "w.*"))
@@ -104,6 +124,37 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return kept.join(kept.groupBy("item").agg(F.count(F.lit(1)).alias("windows")), "item")
 
 
+def anchors(wanted: DataFrame, cover: float, sample: DataFrame) -> DataFrame:
+    """(key): a plain token of more than (1 - cover) of every item's windows.
+
+    Each window offers the token that fewest documents of ``sample`` (text) have, of those the longest, and the windows
+    with the rarest go first; so the sample has a say in how much is sifted out, never in what is found.
+    """
+    plain = wanted.select("item", "windows", "at", F.explode(F.array_distinct("template")).alias("t"))
+    plain = plain.filter(~F.col("t").isin(NUMBER, UNIT, NAME))
+    seen = (sample.select(F.explode(F.array_distinct(_quick(F.col("text")))).alias("t"))
+            .join(plain.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.count(F.lit(1)).alias("docs")))
+    best = (plain.join(seen, "t", "left").groupBy("item", "windows", "at")
+            .agg(F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("n"), -F.length("t"), "t")).alias("a")))
+    # one row a window of an item: as many as the item has tokens
+    rank = F.row_number().over(Window.partitionBy("item").orderBy("a"))
+    return (best.withColumn("rank", rank).filter(F.col("rank") <= F.floor(F.col("windows") * (1 - cover)) + 1)
+            .select(F.col("a.t").alias("key")).distinct())
+
+
+def sieve(keys: DataFrame, per_key: int):
+    """A function Column -> Column: a Bloom filter of the keys, or None if it would be larger than FILTER_BITS."""
+    n = keys.count()
+    if not 0 < n * per_key <= FILTER_BITS:
+        return None
+    path = scratch_path(keys.sparkSession, "sieve")
+    _write_level(keys.withColumn("shard", F.lit(0)), 0, 3, per_key, path)
+    # a constant of at most FILTER_BITS / 8 bytes; array functions can't hold a subquery
+    level = keys.sparkSession.read.parquet(path).select("bits", F.array_join("words", ",").alias("w")).collect()[0]
+    bits, words = F.lit(level["bits"]), F.split(F.lit(level["w"]), ",").cast("array<bigint>")
+    return lambda key: _hits(key, 0, 3, bits, words)
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", cover: float = COVER) -> DataFrame:
     """(id, item, windows, item_windows, cover, changed) of every document that holds an item.
@@ -117,24 +168,20 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     path = scratch_path(spark, "windows")
     wanted.write.parquet(path)
     wanted = spark.read.parquet(path)
-    keys = wanted.select("key").distinct()
-    n = keys.count()
     # as long an array of windows as the shortest items need: their lengths, at most three
     lengths = sorted(r[0] for r in wanted.select(F.size("template").alias("s")).filter(F.col("s") < WINDOW).distinct()
                      .collect())
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    part = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-docs.count() // SAMPLE)))) == 0
+    holds = sieve(anchors(wanted, cover, src.filter(part).select("text")), 128)
+    if holds is not None:
+        src = once(src, _quick(F.col("text")), "quick").filter(F.exists("quick", holds)).select("id", "text")
     src = once(src, template_tokens(F.col("text")), "t")
     at_key = lambda h, i, length: F.struct(i.alias("at"), h.alias("key"), F.lit(length).alias("length"))
-    found = F.transform(window_hashes(F.col("t")), lambda h, i: at_key(h, i, WINDOW))
-    if 0 < n * 16 <= SHARD_BITS:
-        filter_path = scratch_path(spark, "windows-filter")
-        _write_level(keys.withColumn("shard", F.lit(0)), 0, 3, 16, filter_path)
-        # a constant of at most SHARD_BITS / 8 bytes; array functions can't hold a subquery
-        level = spark.read.parquet(filter_path).select("bits", F.array_join("words", ",").alias("w")).collect()[0]
-        bits, words = F.lit(level["bits"]), F.split(F.lit(level["w"]), ",").cast("array<bigint>")
-        thin = lambda a: F.filter(a, lambda x: _hits(x["key"], 0, 3, bits, words))
-    else:
-        thin = lambda a: a
+    src = with_windows(src, "t", "h")
+    found = F.transform("h", lambda h, i: at_key(h, i, WINDOW))
+    known = sieve(wanted.select("key").distinct(), 16)
+    thin = (lambda a: F.filter(a, lambda x: known(x["key"]))) if known is not None else (lambda a: a)
     found = thin(found)
     for length in lengths:
         short = F.transform(F.sequence(F.lit(0), F.greatest(F.size("t") - length, F.lit(-1))), lambda i: at_key(

@@ -49,9 +49,9 @@ def test_half_of_an_item(spark):
     assert found(spark, [half, less, " ".join(reversed(words))], [item]) == [(0, 0, False)]
 
 
-@pytest.mark.parametrize("bits", [decontam.SHARD_BITS, 0])
+@pytest.mark.parametrize("bits", [decontam.FILTER_BITS, 0])
 def test_short_items_and_filter_size(spark, monkeypatch, bits):
-    monkeypatch.setattr(decontam, "SHARD_BITS", bits)
+    monkeypatch.setattr(decontam, "FILTER_BITS", bits)
     texts = ["so what is the red one called today", "what is the red", "is the what red one", ITEM, "a b"]
     assert found(spark, texts, ["What is the red one?", "a b", "1 2 3 4 5 6 7 8 9", None, ITEM]) == [
         (0, 0, False), (3, 4, False)]
