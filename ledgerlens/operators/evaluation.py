@@ -5,7 +5,7 @@ Everything is computed from aggregated counts, so the evaluated table never leav
 
 from __future__ import annotations
 
-from functools import reduce
+import math
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
@@ -57,10 +57,11 @@ def eval_auc_label(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return eval_binary(df, label, prediction).select("auc")
 
 
-def eval_weighted(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """accuracy and label-frequency-weighted precision, recall and F1 over all classes (multiclass form)."""
+def eval_weighted(df: DataFrame, label: str, prediction: str, weight: str | None = None) -> DataFrame:
+    """accuracy and label-frequency-weighted precision, recall and F1 over all classes (multiclass form).  ``weight``:
+    how many rows a row stands for."""
     conf = df.groupBy(F.col(label).cast("double").alias("y"), F.col(prediction).cast("double").alias("p")) \
-             .agg(F.count(F.lit(1)).alias("n"))
+             .agg(F.sum(F.col(weight) if weight else F.lit(1)).alias("n"))
     per_label = conf.groupBy("y").agg(F.sum("n").alias("n_label"),
                                        F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)).alias("tp"))
     per_pred = conf.groupBy(F.col("p").alias("y")).agg(F.sum("n").alias("n_pred"))
@@ -77,7 +78,7 @@ def eval_weighted(df: DataFrame, label: str, prediction: str) -> DataFrame:
                       ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]))
 
 
-def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10) -> DataFrame:
+def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10, weight: str | None = None) -> DataFrame:
     """ROC AUC of raw scores, exact (ties count one half), without a global sort.
 
     Rows are first reduced to one row per distinct score (positive and negative counts).  The distinct scores are
@@ -86,8 +87,15 @@ def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10) -> D
     negatives of all lower buckets (a prefix sum over at most ``2**levels`` rows) plus those below it inside its
     own bucket (a window per bucket)."""
     from ledgerlens.operators.aggregates import quantile_edges, rank_buckets
+    one = F.col(weight) if weight else F.lit(1)
     by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))
+        F.sum(F.when(F.col(label) == 1, one).otherwise(0)).alias("pos"),
+        F.sum(F.when(F.col(label) != 1, one).otherwise(0)).alias("neg"))
+    # written once: cut points, bucket sums and ranks below all read the grouped scores, not the table
+    from ledgerlens.session import scratch_path
+    path = scratch_path(df.sparkSession, "auc-scores")
+    by_score.write.parquet(path)
+    by_score = df.sparkSession.read.parquet(path)
     edges = by_score.agg(quantile_edges(F.col("s"), levels).alias("_e")).scalar()
     scored = rank_buckets(by_score, "s", edges, levels)
     per_bucket = scored.groupBy("_bk").agg(F.sum("neg").alias("_bneg"))
@@ -106,31 +114,50 @@ def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10) -> D
 
 # ---- bootstrap and comparison ------------------------------------------------------------------------------
 
-def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], key: str, n_iter: int = 100,
+EXACT_BELOW = 50                     # rows of a cell whose Poisson(1) weights are drawn one by one
+
+
+def cell_weight(n: Column, cell: Column, replicate: Column, seed: int) -> Column:
+    """A Poisson(n) draw: what the Poisson(1) weights of the n rows of a cell add up to in a replicate.
+
+    Cells of fewer than ``EXACT_BELOW`` rows add up n draws; for larger ones the sum is drawn as a whole, from a normal
+    deviate with the skewness term of the Cornish-Fisher expansion (its cost doesn't depend on n).  All draws are stable
+    hashes of cell and replicate."""
+    name = F.concat_ws(":", cell, replicate.cast("string"))
+    each = F.aggregate(F.sequence(F.lit(1), F.least(n, F.lit(EXACT_BELOW)).cast("int")), F.lit(0), lambda acc, i: acc + poisson1(
+        uniform(F.concat_ws(":", name, i.cast("string")), seed)))
+    u, v = uniform(name, f"{seed}r"), uniform(name, f"{seed}a")
+    z = F.sqrt(-2 * F.log(1 - u)) * F.cos(F.lit(2 * math.pi) * v)
+    whole = F.floor(n + F.sqrt(n.cast("double")) * z + (z * z - 1) / 6 + 0.5)
+    return F.when(n < EXACT_BELOW, each).otherwise(F.greatest(whole, F.lit(0))).cast("bigint")
+
+
+def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], n_iter: int = 100,
                       seed: int = 42, digits: int | None = None) -> DataFrame:
     """Per model and replicate: F1, precision, recall, hard-label AUC under Poisson(1) resampling weights.
 
-    Each (row, replicate) weight is a stable hash draw, so replicates are repeatable and survive task retries.
-    Rows are expanded by ``explode(sequence)`` inside one codegen stage and reduced by a partial aggregate to four
-    cells per (model, replicate) before the shuffle.  Replicates that miss a class are dropped (the metrics are
-    undefined there), as the reference skips such iterations."""
-    rep = df.select(F.col(key).alias("_key"), F.col(label).alias("_y"),
-                    *[F.col(c).alias(f"_p_{m}") for m, c in predictions.items()],
-                    F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("replicate"))
-    w = poisson1(uniform(F.concat_ws(":", F.col("_key").cast("string"), F.col("replicate").cast("string")), seed))
-    rep = rep.withColumn("_w", w)
-    y = F.col("_y") == 1
+    The table is grouped once into its cells (label x hard prediction of every model); a replicate draws the sum of each
+    cell's weights (:func:`cell_weight`), so all the work behind the grouping is on a handful of rows, however many
+    were evaluated.  Models share a cell's draw: a replicate resamples the same rows for all of them.  Replicates that
+    miss a class are dropped (the metrics are undefined there), as the reference skips such iterations."""
+    flag = lambda c: F.coalesce(c.cast("int").cast("string"), F.lit("n"))
+    cols = {m: flag(F.col(c) >= 0.5).alias(f"_p_{m}") for m, c in predictions.items()}
+    cells = (df.groupBy(flag(F.col(label) == 1).alias("_y"), *cols.values()).agg(F.count(F.lit(1)).alias("_n"))
+             .filter(F.col("_y") != "n"))
+    rep = cells.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_iter - 1))).alias("replicate"))
+    name = F.concat_ws("", F.col("_y"), *(F.col(f"_p_{m}") for m in predictions))
+    rep = rep.withColumn("_w", cell_weight(F.col("_n"), name, F.col("replicate"), seed))
     aggs = []
     for m in predictions:
-        p = F.col(f"_p_{m}") >= 0.5
-        for name, cond in (("tp", y & p), ("fp", ~y & p), ("fn", y & ~p), ("tn", ~y & ~p)):
-            aggs.append(F.sum(F.when(cond, F.col("_w")).otherwise(0)).alias(f"{m}__{name}"))
-    cells = rep.groupBy("replicate").agg(*aggs)
+        for cell, y, p in (("tp", "1", "1"), ("fp", "0", "1"), ("fn", "1", "0"), ("tn", "0", "0")):
+            cond = (F.col("_y") == y) & (F.col(f"_p_{m}") == p)
+            aggs.append(F.sum(F.when(cond, F.col("_w")).otherwise(0)).alias(f"{m}__{cell}"))
+    sums = rep.groupBy("replicate").agg(*aggs)
     # unpivot models with a Generate (one lineage) rather than a union of per-model selects
     per_model = F.explode(F.array(*[F.struct(F.lit(m).alias("model"),
                                              *[F.col(f"{m}__{c}").alias(c) for c in ("tp", "fp", "fn", "tn")])
                                     for m in predictions])).alias("_m")
-    long = cells.select("replicate", per_model).select("_m.model", "replicate", "_m.tp", "_m.fp", "_m.fn", "_m.tn")
+    long = sums.select("replicate", per_model).select("_m.model", "replicate", "_m.tp", "_m.fp", "_m.fn", "_m.tn")
     valid = long.filter((F.col("tp") + F.col("fn") > 0) & (F.col("tn") + F.col("fp") > 0))
     return binary_metrics(valid, digits).select("model", "replicate", "f1", "precision", "recall", "auc")
 

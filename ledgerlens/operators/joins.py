@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -35,11 +36,8 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    try:
-        n = int(str(v).lower().rstrip("b"))
-    except ValueError:
-        n = 10 * 1024 * 1024
+    """The session's broadcast threshold in bytes, in any of the spellings the engine takes; 0 if it is off."""
+    n = int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
     return n if n > 0 else 0
 
 
@@ -84,7 +82,7 @@ def _micros(c) -> Column:
 
 
 def _feature_struct(view: FeatureView) -> Column:
-    tb = F.col(view.tie_breaker) if view.tie_breaker else F.lit(None).cast("long")
+    tb = F.col(view.tie_breaker) if view.tie_breaker else F.lit(0)
     return F.struct(F.col(view.ts).cast("timestamp_ntz").alias("_fts"), tb.alias("_ftb"),
                     *[F.col(f).alias(f) for f in view.features])
 
@@ -92,7 +90,8 @@ def _feature_struct(view: FeatureView) -> Column:
 def point_in_time_join(entities: DataFrame, views: list[FeatureView], event_ts: str = "event_timestamp",
                        bucket_seconds: int = 3600, full_feature_names: bool = False) -> DataFrame:
     """For each entity row: per view, the newest feature row with ts <= event time and ts >= event time - TTL
-    (inclusive at both ends); none -> nulls.  Ties on time are broken by the view's ``tie_breaker``.
+    (inclusive at both ends); none -> nulls.  Ties on time go to the larger ``tie_breaker`` (of any type that has an
+    order), then to the larger feature values, in the order they are named.  A null key matches nothing.
 
     Views that share their key columns are answered in one pass: one shuffle and sort of entities plus all their
     feature rows by (key, time bucket)."""
@@ -111,7 +110,17 @@ def _pit_pass(ent_df: DataFrame, keys: list[str], views: list[FeatureView], even
     ent_cols = ent_df.columns
     other = [c for c in ent_cols if c not in set(keys)]
     structs = [_feature_struct(v) for v in views]
-    srcs = [v.source.select(*keys, s.alias("_f")) for v, s in zip(views, structs)]
+    # a null key matches nothing; features outside [first event - TTL, last event] answer nothing and stay in their files
+    from ledgerlens.operators.scalars import scalars
+    span = scalars(ent_df.agg(F.min(F.col(event_ts).cast("timestamp_ntz")).alias("lo"),
+                              F.max(F.col(event_ts).cast("timestamp_ntz")).alias("hi")))
+
+    def bounded(v: FeatureView) -> DataFrame:
+        t = F.col(v.ts)
+        src = v.source.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).filter(t <= span["hi"])
+        return src if v.ttl is None else src.filter(t >= span["lo"] - F.make_dt_interval(secs=F.lit(v.ttl.total_seconds())))
+
+    srcs = [bounded(v).select(*keys, s.alias("_f")) for v, s in zip(views, structs)]
     ftypes = [src.schema["_f"].dataType for src in srcs]
     n = len(views)
     null_f = [F.lit(None).cast(t) for t in ftypes]
@@ -119,15 +128,15 @@ def _pit_pass(ent_df: DataFrame, keys: list[str], views: list[FeatureView], even
     def fcols(i: int | None, value=None):
         return [(value if j == i else null_f[j]).alias(f"_f{j}") for j in range(n)]
 
-    def tiecols(i: int | None):
-        return [(F.col("_f._ftb") if j == i else F.lit(None).cast("long")).alias(f"_t{j}") for j in range(n)]
-
-    ent_side = ent_df.select(*keys, F.floor(_micros(event_ts) / F.lit(b_us)).alias("_b"), F.lit(1).alias("_kind"),
-                             F.col(event_ts).cast("timestamp_ntz").alias("_ets"), *tiecols(None), *fcols(None), *other)
+    # entities with a null key have no neighbours to look at: they are dealt by time, not kept together
+    alone = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    bucket = F.floor(_micros(event_ts) / F.lit(b_us))
+    ent_side = ent_df.select(*keys, F.when(alone, F.xxhash64(event_ts, *other)).otherwise(bucket).alias("_b"),
+                             F.lit(1).alias("_kind"), F.col(event_ts).cast("timestamp_ntz").alias("_ets"), *fcols(None), *other)
     sides = [ent_side]
     for i, src in enumerate(srcs):
         sides.append(src.select(*keys, F.floor(_micros(F.col("_f._fts")) / F.lit(b_us)).alias("_b"),
-                                F.lit(0).alias("_kind"), F.col("_f._fts").alias("_ets"), *tiecols(i),
+                                F.lit(0).alias("_kind"), F.col("_f._fts").alias("_ets"),
                                 *fcols(i, F.col("_f")),
                                 *[F.lit(None).cast(ent_df.schema[c].dataType).alias(c) for c in other]))
     rows = sides[0]
@@ -149,7 +158,8 @@ def _pit_pass(ent_df: DataFrame, keys: list[str], views: list[FeatureView], even
 
     # (3) one window per (key, bucket): newest feature of each view at or before every entity row.  This is the only
     #     shuffle and sort of the full rows.
-    order = [F.col("_ets"), F.col("_kind"), *[F.col(f"_t{j}") for j in range(n)]]
+    #     Rows of one time are in the order of the whole feature struct, as the maximum of the summaries is.
+    order = [F.col("_ets"), F.col("_kind"), *[F.col(f"_f{j}") for j in range(n)]]
     w_run = W.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.select(*keys, "_b", "_kind", "_ets", *other,
                        *[F.last(f"_f{j}", ignorenulls=True).over(w_run).alias(f"_in{j}") for j in range(n)])
@@ -179,7 +189,7 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str, columns: list[str],
         d = d.filter(F.col(ts) > F.lit(start).cast("timestamp_ntz"))
     if end is not None:
         d = d.filter(F.col(ts) <= F.lit(end).cast("timestamp_ntz"))
-    tb = F.col(tie_breaker) if tie_breaker else F.lit(None).cast("long")
+    tb = F.col(tie_breaker) if tie_breaker else F.lit(0)
     s = F.struct(F.col(ts).alias("_ts"), tb.alias("_tb"), *[F.col(c).alias(c) for c in columns])
     return d.groupBy(*keys).agg(F.max(s).alias("_r")).select(*keys, F.col("_r._ts").alias(ts),
                                                                *[F.col(f"_r.{c}").alias(c) for c in columns])
@@ -187,14 +197,18 @@ def latest_per_key(df: DataFrame, keys: list[str], ts: str, columns: list[str],
 
 def point_in_time_now(entity_keys: DataFrame, view: FeatureView, as_of=None, event_ts: str = "event_timestamp"
                       ) -> DataFrame:
-    """Batch scoring: every entity key gets the view's newest feature with as_of - TTL <= ts <= as_of."""
+    """Batch scoring: every entity row, with all its columns, gets the time ``as_of`` and the view's newest feature with
+    as_of - TTL <= ts <= as_of."""
     now = F.current_timestamp().cast("timestamp_ntz") if as_of is None else F.lit(as_of).cast("timestamp_ntz")
     src = view.source.filter(F.col(view.ts) <= now)
     if view.ttl is not None:
         src = src.filter(F.col(view.ts) >= now - F.make_dt_interval(secs=F.lit(view.ttl.total_seconds())))
-    latest = latest_per_key(src, view.keys, view.ts, view.features, view.tie_breaker)
-    keys = entity_keys.select(*view.keys).distinct().withColumn(event_ts, now)
-    return keys.join(broadcast_if_small(latest), on=view.keys, how="left").drop(view.ts)
+    latest = latest_per_key(src, view.keys, view.ts, view.features, view.tie_breaker).drop(view.ts)
+    latest = latest.select(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(view.keys)),
+                           *(F.col(f).alias(view.rename.get(f, f)) for f in view.features))
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k{i}") for i, k in enumerate(view.keys)])
+    rows = entity_keys.withColumn(event_ts, now)
+    return rows.join(broadcast_if_small(latest), on, "left").drop(*(f"_k{i}" for i in range(len(view.keys))))
 
 
 def online_lookup(keys: DataFrame, online: DataFrame, key_cols: list[str]) -> DataFrame:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import warnings
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql import Window as W
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from ledgerlens.functions.hashing import uniform
 
@@ -34,9 +34,23 @@ def find_label_columns(df: DataFrame, hints=LABEL_NAME_HINTS, n: int = 10) -> Da
     cols = [c for c in df.columns if any(h in c.lower() for h in hints)]
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, value string")
-    parts = [df.select(F.col(c).alias("_v")).distinct().orderBy(F.col("_v").asc_nulls_first()).limit(n)
-             .select(F.lit(c).alias("column_name"), F.col("_v").cast("string").alias("value")) for c in cols]
-    return reduce(DataFrame.unionByName, parts)
+    # one pass: (column, value) pairs, distinct by a partial aggregate, then the n smallest of each column.  Values sort
+    # as in their own type: numbers and dates by a number, the rest as text
+    number = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
+    def order(c):
+        kind = df.schema[c].dataType
+        if not isinstance(kind, number):
+            return F.lit(None).cast("double")
+        v = F.col(c) if isinstance(kind, (NumericType, BooleanType)) else F.unix_micros(F.col(c).cast("timestamp"))
+        return v.cast("double")
+
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"),
+                                         order(c).alias("_o")) for c in cols))).alias("x")
+    values = df.select(pairs).select("x.*").distinct()
+    rank = F.row_number().over(W.partitionBy("column_name").orderBy(
+        F.col("_o").asc_nulls_first(), F.col("value").asc_nulls_first()))
+    return values.withColumn("_r", rank).filter(F.col("_r") <= n).select("column_name", "value")
 
 
 def distinct_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:
@@ -49,31 +63,35 @@ def sample_frac(df: DataFrame, fraction: float, key: str, seed: int = 42) -> Dat
     return df.filter(uniform(key, seed) < fraction)
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, max_take: int = 100_000,
-             buckets: int = 1 << 20) -> DataFrame:
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, buckets: int = 1024) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: the n smallest hash draws of a per-row unique ``key``.
 
-    Up to ``max_take`` rows this is top-n per partition, then a merge of n.  Above it no task holds n rows: the
-    draws are uniform, so equal-width buckets of the draw are balanced by construction; the bucket counts (at most
-    ``buckets`` rows) and their prefix sum locate the bucket holding the n-th draw, buckets below it are taken
-    whole, and only that one bucket (about rows / ``buckets`` rows) is ranked."""
-    from pyspark.sql import Window as W
+    No task holds n rows, whatever n is: the draws are uniform, so equal-width buckets of the draw are balanced.  Bucket
+    counts and their prefix sum (``buckets`` rows) locate the bucket that holds the n-th draw; it is cut into as many
+    again; buckets below the cut are taken whole, and only the fine bucket at the cut (about rows / ``buckets``**2
+    rows) is ranked."""
     from ledgerlens.operators.scalars import scalars
+    if n <= 0:
+        return df.limit(0)
     d = df.withColumn("_u", uniform(key, seed))
-    if n <= max_take:
-        return d.orderBy("_u", key).limit(n).drop("_u")
-    d = d.withColumn("_bk", F.floor(F.col("_u") * F.lit(buckets)).cast("long"))
-    per = d.groupBy("_bk").agg(F.count(F.lit(1)).alias("_c"))
-    before = F.coalesce(F.sum("_c").over(W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    per = per.withColumn("_before", before)
-    cut = scalars(per.filter((F.col("_before") < n) & (F.col("_before") + F.col("_c") >= n))
-                  .select(F.col("_bk").alias("_cb"), F.col("_before").alias("_cbefore")))
-    cb = F.coalesce(cut["_cb"], F.lit(buckets))          # fewer than n rows: every bucket is taken whole
-    whole = d.filter(F.col("_bk") < cb)
-    edge = (d.filter(F.col("_bk") == cb)
+    fine = buckets * buckets
+
+    def cut(rows: DataFrame, width: int, taken: Column) -> tuple[Column, Column]:
+        """The bucket of that width in which the n-th draw lies, and the draws before it (n or more rows needed)."""
+        per = rows.groupBy(F.floor(F.col("_u") * F.lit(width)).cast("long").alias("_bk")).agg(F.count(F.lit(1)).alias("_c"))
+        before = F.coalesce(F.sum("_c").over(W.orderBy("_bk").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + taken
+        at = scalars(per.withColumn("_before", before).filter((F.col("_before") < n) & (F.col("_before") + F.col("_c") >= n))
+                     .select(F.col("_bk").alias("_cb"), F.col("_before").alias("_cbefore")))
+        return F.coalesce(at["_cb"], F.lit(width)), F.coalesce(at["_cbefore"], F.lit(0))
+
+    coarse, taken = cut(d, buckets, F.lit(0))
+    edge, before = cut(d.filter(F.floor(F.col("_u") * F.lit(buckets)) == coarse), fine, taken)
+    d = d.withColumn("_bk", F.floor(F.col("_u") * F.lit(fine)).cast("long"))
+    whole = d.filter(F.col("_bk") < edge)                # fewer than n rows: every bucket is below the cut
+    rest = (d.filter(F.col("_bk") == edge)
             .withColumn("_r", F.row_number().over(W.orderBy("_u", key)))
-            .filter(F.col("_r") <= F.lit(n) - cut["_cbefore"]).drop("_r"))
-    return whole.unionByName(edge).drop("_u", "_bk")
+            .filter(F.col("_r") <= F.lit(n) - before).drop("_r"))
+    return whole.unionByName(rest).drop("_u", "_bk")
 
 
 def with_split(df: DataFrame, key: str, weights=(0.8, 0.2), seed: int = 42, name: str = "split") -> DataFrame:
@@ -129,19 +147,17 @@ def prepare_labels(df: DataFrame, target: str = "tx_fraud", scenario: str = "tx_
                    amount: str = "tx_amount", key: str = "transaction_id", q: float = 0.98,
                    rel_error: float = 0.01, random_rate: float = 0.005, seed: int = 42,
                    exact: bool = False) -> DataFrame:
-    """Three-way fallback in one declarative plan: keep the labels if any positive exists, else use
-    scenario > 0 if any, else synthesise (amount quantile or stable draw).  Adds ``label_source``."""
-    from ledgerlens.operators.scalars import scalars
-    fl = scalars(df.agg(F.max((F.col(target) == 1).cast("int")).alias("_has_pos"),
-                        F.max((F.col(scenario) > 0).cast("int")).alias("_has_scen")))
-    pq = _amount_quantile(df, amount, q, rel_error, exact).select("_pq").scalar()
-    synth = ((F.col(amount) > pq) | (uniform(key, seed) < random_rate)).cast("int")
-    label = (F.when(fl["_has_pos"] == 1, F.col(target))
-             .when(fl["_has_scen"] == 1, (F.col(scenario) > 0).cast("int"))
-             .otherwise(synth))
-    source = (F.when(fl["_has_pos"] == 1, "given").when(fl["_has_scen"] == 1, "scenario")
-              .otherwise("synthetic"))
-    return df.withColumn(target, label).withColumn("label_source", source)
+    """Three-way fallback: keep the labels if any positive exists, else use scenario > 0 if any, else synthesise (amount
+    quantile or stable draw).  Adds ``label_source``.  One row of flags decides, so the quantile is only computed
+    where it is used."""
+    has = df.agg(F.max((F.col(target) == 1).cast("int")).alias("pos"),
+                 F.max((F.col(scenario) > 0).cast("int")).alias("scen")).first()
+    if has["pos"] == 1:
+        return df.withColumn("label_source", F.lit("given"))
+    if has["scen"] == 1:
+        return label_from_scenario(df, target, scenario).withColumn("label_source", F.lit("scenario"))
+    return (synth_labels(df, target, amount, key, q, rel_error, random_rate, seed, exact)
+            .withColumn("label_source", F.lit("synthetic")))
 
 
 def check_labels(df: DataFrame, target: str = "tx_fraud", warn_below: int = 100) -> int:

@@ -9,7 +9,7 @@ import itertools
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, RegexTokenizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.hashing import md5_unit
+from ledgerlens.operators.labels import check_labels
 
 
 def assemble_scale_stages(features: list[str], raw: str = "features_raw", out: str = "features"):
@@ -38,11 +39,12 @@ def forest_pipeline(features: list[str], label: str, num_trees: int = 10, max_de
 
 
 def train_forest(train: DataFrame, features: list[str], label: str, **kw) -> PipelineModel:
-    """Fit the forest pipeline.  The input is persisted (memory, spilling to disk) for the many passes of the
+    """Fit the forest pipeline; no positive label is an error, few of them a warning.  The input is persisted (memory, spilling to disk) for the many passes of the
     fit and released afterwards; lost blocks are recomputed from lineage."""
     from pyspark import StorageLevel
     data = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        check_labels(data, label)
         return forest_pipeline(features, label, **kw).fit(data)
     finally:
         data.unpersist()
@@ -53,23 +55,52 @@ def batch_predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).withColumn("probability_1", vector_to_array("probability")[1])
 
 
-def model_metrics(predictions: DataFrame, label: str) -> DataFrame:
-    """MLlib evaluators: AUC from raw scores, AUC from hard predictions, accuracy and weighted P/R/F1."""
-    ss = predictions.sparkSession
-    auc = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction").evaluate(predictions)
-    auc_hard = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="prediction").evaluate(predictions)
-    vals = {"auc": auc, "auc_label": auc_hard}
-    for m in ("accuracy", "weightedPrecision", "weightedRecall", "f1"):
-        vals[m] = MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
-                                                    metricName=m).evaluate(predictions)
-    return ss.createDataFrame([(k, float(v)) for k, v in vals.items()], "metric string, value double")
+def model_metrics(predictions: DataFrame, label: str, score: str = "probability_1") -> DataFrame:
+    """(metric, value): AUC from scores and from hard predictions, accuracy, weighted precision, recall and F1.
+
+    One grouping of the predictions (label, prediction, score) is written to the shared folder; every metric comes from
+    it, so the model runs once over the table."""
+    from ledgerlens.operators import evaluation as E
+    from ledgerlens.session import scratch_path
+    spark = predictions.sparkSession
+    path = scratch_path(spark, "model-metrics")
+    (predictions.groupBy(F.col(label).cast("int").alias("y"), F.col("prediction").cast("double").alias("p"),
+                         F.col(score).cast("double").alias("s")).agg(F.count(F.lit(1)).alias("n")).write.parquet(path))
+    cells = spark.read.parquet(path)
+    auc = E.eval_auc_score(cells, "y", "s", weight="n").select(F.lit("auc").alias("metric"), F.col("auc").alias("value"))
+    hard = E.binary_metrics(E.confusion_cells(cells, "y", "p", F.col("n")))
+    hard = hard.select(F.lit("auc_label").alias("metric"), F.col("auc").alias("value"))
+    wide = E.eval_weighted(cells, "y", "p", weight="n")
+    rest = wide.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                                           for m in wide.columns))).alias("x")).select("x.*")
+    return auc.unionByName(hard).unionByName(rest)
+
+
+def save_model(model: PipelineModel, path: str) -> str:
+    """Save under a path that all machines of the cluster reach (the shared folder); what is there is replaced."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def load_model(path: str) -> PipelineModel:
+    return PipelineModel.load(path)
+
+
+def load_champion(models: DataFrame, name: str) -> PipelineModel:
+    """The saved model of the champion row of a model table (with its ``path``)."""
+    row = models.filter((F.col("model_name") == name) & F.col("champion")).select("path").first()
+    if row is None:
+        raise LookupError(f"no champion of {name}")
+    return load_model(row["path"])
 
 
 def char_counts(df: DataFrame, url: str = "url", key: str = "page_id") -> DataFrame:
-    """Per URL and character (lower-cased): the count.  Native split/explode, same tokens as the MLlib
-    RegexTokenizer(pattern='.', gaps=False) used inside the classifier."""
-    chars = F.explode(F.regexp_extract_all(F.lower(F.col(url)), F.lit("(.)"), 1)).alias("ch")
-    return df.select(key, chars).groupBy(key, "ch").agg(F.count(F.lit(1)).alias("n"))
+    """Per URL and character (lower-cased): the count.  Counted inside the row with array functions (no shuffle): same
+    tokens as the MLlib RegexTokenizer(pattern='.', gaps=False) used inside the classifier."""
+    chars = F.regexp_extract_all(F.lower(F.col(url)), F.lit("(.)"), 1)
+    counted = F.transform(F.array_distinct("_c"), lambda c: F.struct(
+        c.alias("ch"), F.size(F.filter("_c", lambda x: x == c)).cast("bigint").alias("n")))
+    return df.select(key, F.explode(F.array(chars)).alias("_c")).select(key, F.inline(counted))
 
 
 def url_pipeline(label: str = "label_enc", num_trees: int = 35, max_depth: int = 9, seed: int = 42,

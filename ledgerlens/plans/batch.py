@@ -302,9 +302,14 @@ def q_equal_width_histogram(spark, sf):
     return A.equal_width_histogram(a, "months", 100)
 
 
-@register("approx_percentile")
+@register("approx_percentile", "SELECT TRUE AS within_error, count(*) AS n FROM events")
 def q_approx_percentile(spark, sf):
-    return A.approx_percentile(T.transactions(spark, sf), "tx_amount", 0.98, 0.01)
+    """The approximate quantile is a value whose rank is within 1 % of the rows of the one asked for."""
+    tx = T.transactions(spark, sf)
+    p = A.approx_percentile(tx, "tx_amount", 0.98, 0.01).select("p98").scalar()
+    below = tx.agg(F.count_if(F.col("tx_amount") < p).alias("lt"), F.count_if(F.col("tx_amount") <= p).alias("le"),
+                   F.count(F.lit(1)).alias("n"))
+    return below.select(((F.col("lt") <= 0.99 * F.col("n")) & (F.col("le") >= 0.97 * F.col("n"))).alias("within_error"), "n")
 
 
 @register("exact_percentile", f"SELECT quantile_cont(tx_amount, 0.98) AS p98 FROM ({TX_SQL})")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from statistics import NormalDist
 
 from pyspark.sql import functions as F
@@ -94,12 +95,23 @@ def q_eval_auc_score(spark, sf):
 # ---- bootstrap ------------------------------------------------------------------------------------------------
 
 def _boot_sql():
-    u = sql_uniform("concat_ws(':', CAST(doc_id AS VARCHAR), CAST(replicate AS VARCHAR))", SEED)
-    w = sql_poisson1(u)
-    rep = (f"(SELECT e.*, CAST(g.range AS INTEGER) AS replicate FROM ({EVAL_SQL}) e "
-           f"CROSS JOIN range({N_ITER}) g)")
-    weighted = f"(SELECT *, {w} AS w FROM {rep})"
-    cells = " UNION ALL ".join(_cells_sql(weighted, p, "w", "replicate", m) for m, p in PREDICTIONS.items())
+    name = "concat_ws(':', cell, CAST(replicate AS VARCHAR))"
+    each = (f"list_sum(list_transform(range(1, least(n, {E.EXACT_BELOW}) + 1), lambda i: "
+            f"{sql_poisson1(sql_uniform(f'concat_ws(chr(58), {name}, CAST(i AS VARCHAR))', SEED))}))")
+    z = (f"sqrt(-2 * ln(1 - {sql_uniform(name, f'{SEED}r')})) * cos({D(2 * math.pi)} * {sql_uniform(name, f'{SEED}a')})")
+    cells = " UNION ALL ".join(
+        f"SELECT '{m}' AS model, replicate, " + ", ".join(
+            f"CAST(sum(CASE WHEN cell[1] = '{y}' AND cell[{k}] = '{p}' THEN w ELSE 0 END) AS BIGINT) AS {c}"
+            for c, y, p in (("tp", 1, 1), ("fp", 0, 1), ("fn", 1, 0), ("tn", 0, 0))) + " FROM drawn GROUP BY replicate"
+        for k, m in enumerate(PREDICTIONS, 2))
+    flags = " || ".join(f"CASE WHEN {c} >= 0.5 THEN '1' ELSE '0' END" for c in PREDICTIONS.values())
+    cells = f"""
+WITH cells AS (SELECT CASE WHEN y_test = 1 THEN '1' ELSE '0' END || {flags} AS cell, count(*) AS n FROM ({EVAL_SQL}) GROUP BY 1),
+rep AS (SELECT cell, n, CAST(g.range AS INTEGER) AS replicate FROM cells CROSS JOIN range({N_ITER}) g),
+normal AS (SELECT *, {z} AS z FROM rep),
+drawn AS (SELECT *, CASE WHEN n < {E.EXACT_BELOW} THEN {each}
+                         ELSE greatest(floor(n + sqrt(n::DOUBLE) * z + (z * z - 1) / 6 + 0.5), 0) END AS w FROM normal)
+{cells}"""
     metrics = _metrics_sql(cells, "model, replicate", None)
     return f"SELECT model, replicate, f1, precision, recall, auc FROM ({metrics}) WHERE tp + fn > 0 AND tn + fp > 0"
 
@@ -111,7 +123,7 @@ BOOT_SQL_ROUNDED = ("SELECT model, replicate, round(f1, 6) AS f1, round(precisio
 
 
 def _boot(spark, sf):
-    return E.bootstrap_metrics(_eval(spark, sf), "y_test", PREDICTIONS, "doc_id", N_ITER, SEED)
+    return E.bootstrap_metrics(_eval(spark, sf), "y_test", PREDICTIONS, N_ITER, SEED)
 
 
 @register("bootstrap_metrics", BOOT_SQL_ROUNDED)

@@ -18,7 +18,8 @@ PUSH_FROM = "2024-01-20 00:00:00"  # rows from here on arrive as pushed rows
 
 
 def _views(spark, sf):
-    f = T.events_features(spark, sf)
+    # some feature rows have no key: they belong to nobody
+    f = T.events_features(spark, sf).withColumn("customer_id", F.when(F.col("event_id") % 50 != 0, F.col("customer_id")))
     tx = FeatureView("tx_features", f.filter(F.col("event_type").isin("view", "click")), ["customer_id"], "ts",
                      ["tx_amount", "tx_time_seconds"], ttl=timedelta(days=2), tie_breaker="event_id")
     lab = FeatureView("fraud_labels", f.filter(F.col("event_type").isin("error", "signup")), ["customer_id"], "ts",
@@ -37,8 +38,9 @@ def _pit_view_sql(name, types, ttl_days, cols):
 
 
 PIT_SQL = f"""
-WITH f AS ({EVENTS_FEATURES_SQL}),
-e AS (SELECT event_id, user_id AS customer_id, ts AS event_timestamp FROM events WHERE event_type = 'purchase'),
+WITH f AS (SELECT * FROM ({EVENTS_FEATURES_SQL}) WHERE event_id % 50 <> 0),
+e AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN user_id END AS customer_id, ts AS event_timestamp FROM events
+      WHERE event_type = 'purchase'),
 {_pit_view_sql('v1', ['view', 'click'], 2, ['tx_amount', 'tx_time_seconds'])},
 {_pit_view_sql('v2', ['error', 'signup'], 365, ['tx_fraud'])}
 SELECT e.event_id, e.customer_id, e.event_timestamp, v1.tx_amount, v1.tx_time_seconds, v2.tx_fraud,
@@ -49,7 +51,7 @@ FROM e LEFT JOIN v1 ON v1.event_id = e.event_id LEFT JOIN v2 ON v2.event_id = e.
 @register("point_in_time_join", PIT_SQL)
 def q_point_in_time_join(spark, sf):
     ev = T.table(spark, sf, "events").filter(F.col("event_type") == "purchase")
-    ent = ev.select("event_id", F.col("user_id").alias("customer_id"), F.col("ts").alias("event_timestamp"))
+    ent = ev.select("event_id", F.when(F.col("event_id") % 50 != 0, F.col("user_id")).alias("customer_id"), F.col("ts").alias("event_timestamp"))
     out = point_in_time_join(ent, list(_views(spark, sf)), "event_timestamp")
     return out.withColumn("is_large_tx", is_large_tx("tx_amount", LARGE))   # on-demand feature
 
@@ -61,15 +63,18 @@ SELECT customer_id, ts, tx_amount, tx_time_seconds FROM (
 WHERE rn = 1"""
 
 PIT_NOW_SQL = f"""
-SELECT k.customer_id, TIMESTAMP '{AS_OF}' AS event_timestamp, l.tx_amount, l.tx_time_seconds
-FROM (SELECT DISTINCT o_custkey AS customer_id FROM orders) k LEFT JOIN ({_LATEST_ALL_SQL}) l USING (customer_id)"""
+SELECT k.o_orderkey, k.customer_id, TIMESTAMP '{AS_OF}' AS event_timestamp, l.tx_amount, l.tx_time_seconds
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 50 <> 0 THEN o_custkey END AS customer_id FROM orders) k
+LEFT JOIN ({_LATEST_ALL_SQL}) l ON l.customer_id = k.customer_id"""
 
 
 def _pit_now(spark, sf):
     f = T.events_features(spark, sf)
     view = FeatureView("tx_features", f, ["customer_id"], "ts", ["tx_amount", "tx_time_seconds"],
                        ttl=timedelta(days=365), tie_breaker="event_id")
-    keys = T.table(spark, sf, "orders").select(F.col("o_custkey").alias("customer_id"))
+    # one entity row an order: customers come again and again, some orders have none
+    keys = T.table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 50 != 0, F.col("o_custkey"))
+                                               .alias("customer_id"))
     return point_in_time_now(keys, view, as_of=AS_OF)
 
 
@@ -78,9 +83,9 @@ def q_point_in_time_now(spark, sf):
     return _pit_now(spark, sf)
 
 
-@register("sort_by_key", PIT_NOW_SQL + "\nORDER BY customer_id")
+@register("sort_by_key", PIT_NOW_SQL + "\nORDER BY customer_id, o_orderkey")
 def q_sort_by_key(spark, sf):
-    return _pit_now(spark, sf).orderBy("customer_id")
+    return _pit_now(spark, sf).orderBy("customer_id", "o_orderkey")
 
 
 def _latest_sql(where: str = "TRUE") -> str:

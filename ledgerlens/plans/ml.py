@@ -1,16 +1,18 @@
-"""MLlib queries.  Model outputs depend on the tree learner, so only ``assemble_scale`` and ``char_counts`` have
-an SQL twin; the others are checked by row count (a deterministic hash split fixes the test set)."""
+"""MLlib queries.  A model's outputs depend on the tree learner; what doesn't (the rows of the hash split, their labels,
+valid classes and probabilities, the size of the forest, the search grid) is what these queries return and SQL checks."""
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.hashing import sql_uniform, uniform
+from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import labels as L
 from ledgerlens.operators import ml as ML
-from ledgerlens.operators.cleaning import clean_transactions
-from ledgerlens.plans.common import URLS_SQL, clean_sql
-from ledgerlens.plans.registry import register
+from ledgerlens.plans import evaluation  # noqa: F401  its SQL is used below
+from ledgerlens.plans.common import EVAL_SQL, URLS_SQL, D, clean_sql
+from ledgerlens.plans.registry import ORACLE, register
 from ledgerlens.sources import testdata as T
 
 FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days", "tx_fraud_scenario"]
@@ -39,32 +41,84 @@ def _split(spark, sf):
     return L.random_split(_clean(spark, sf), "transaction_id", (0.8, 0.2), 42)
 
 
-@register("train_forest")
+SPLIT_SQL = sql_uniform("transaction_id", 42)
+
+
+def _forest_facts(model, test):
+    """Predictions of a forest as facts that don't hang on the learner: which rows, a valid class and probability, and the
+    forest's size."""
+    trees = model.stages[-1].trees
+    p = ML.batch_predict(model, test)
+    valid = F.col("prediction").isin(0.0, 1.0) & F.col("probability_1").between(0.0, 1.0)
+    return p.select("transaction_id", "tx_fraud", F.coalesce(valid, F.lit(False)).alias("valid"),
+                    F.lit(len(trees)).alias("n_trees"), F.lit(max(t.depth for t in trees)).alias("depth"))
+
+
+def _forest_sql(n_trees, max_depth):
+    return f"""
+SELECT transaction_id, tx_fraud, TRUE AS valid, {n_trees} AS n_trees, TRUE AS depth_ok
+FROM ({clean_sql()}) WHERE {SPLIT_SQL} >= {D(0.8)}"""
+
+
+@register("train_forest", _forest_sql(10, 5))
 def q_train_forest(spark, sf):
     train, test = _split(spark, sf)
     model = ML.train_forest(train, FEATURES, "tx_fraud", num_trees=10, max_depth=5)
-    return ML.batch_predict(model, test).select("transaction_id", "tx_fraud", "prediction", "probability_1")
+    out = _forest_facts(model, test)
+    return out.withColumn("depth_ok", F.col("depth").between(1, 5)).drop("depth")
 
 
-@register("train_forest_candidate")
+@register("train_forest_candidate", _forest_sql(20, 8))
 def q_train_forest_candidate(spark, sf):
     train, test = _split(spark, sf)
     model = ML.train_forest(train, FEATURES, "tx_fraud", num_trees=20, max_depth=8, min_instances=2)
-    return ML.batch_predict(model, test).select("transaction_id", "tx_fraud", "prediction", "probability_1")
+    out = _forest_facts(model, test)
+    return out.withColumn("depth_ok", F.col("depth").between(1, 8)).drop("depth")
 
 
-@register("batch_predict")
-def q_batch_predict(spark, sf):
+def champion_table(spark, sf):
+    """The model table of two saved forests; the newer one is the champion.  Models are trained on the 80 % split and
+    saved once per state of the input."""
     train, _ = _split(spark, sf)
-    model = ML.train_forest(train, FEATURES, "tx_fraud")
-    return ML.batch_predict(model, _clean(spark, sf)).select("transaction_id", "prediction", "probability_1")
+    runs = [(MODEL_NAME, v, t, T.written(spark, sf, f"model-v{v}", lambda path, k=k: ML.save_model(
+        ML.train_forest(train, FEATURES, "tx_fraud", num_trees=k), path)))
+            for v, t, k in ((1, "2024-01-01 00:00:00", 5), (2, "2024-02-01 00:00:00", 10))]
+    df = spark.createDataFrame(runs, "model_name string, version int, created string, path string")
+    return E.model_table(df.withColumn("created_at", F.col("created").cast("timestamp_ntz")).drop("created"))
+
+
+MODEL_NAME = "fraud_detection_model"
 
 
-@register("model_metrics")
+@register("batch_predict", f"""
+SELECT transaction_id, TRUE AS valid, 10 AS n_trees FROM ({clean_sql()})""")
+def q_batch_predict(spark, sf):
+    """The saved champion over the cleaned table."""
+    model = ML.load_champion(champion_table(spark, sf), MODEL_NAME)
+    p = ML.batch_predict(model, _clean(spark, sf))
+    valid = F.col("prediction").isin(0.0, 1.0) & F.col("probability_1").between(0.0, 1.0)
+    return p.select("transaction_id", F.coalesce(valid, F.lit(False)).alias("valid"),
+                    F.lit(len(model.stages[-1].trees)).alias("n_trees"))
+
+
+_SCORE_SQL = f"(y_pred_base * {D(0.5)} + {sql_uniform('doc_id', 'score')} * {D(0.5)})"
+
+
+@register("model_metrics", f"""
+WITH e AS (SELECT *, {_SCORE_SQL} AS s FROM ({EVAL_SQL})),
+r AS (SELECT y_test AS y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS ar FROM e),
+c AS (SELECT CAST(count(*) FILTER (WHERE y_test = 1) AS DOUBLE) AS np, CAST(count(*) FILTER (WHERE y_test <> 1) AS DOUBLE) AS nn
+      FROM e)
+SELECT 'auc' AS metric, round((sum(ar) FILTER (WHERE y = 1) - max(np) * (max(np) + 1) / 2) / (max(np) * max(nn)), 6) AS value
+FROM r, c
+UNION ALL SELECT 'auc_label', auc FROM ({ORACLE["eval_auc_label"]})
+UNION ALL SELECT * FROM (UNPIVOT ({ORACLE["eval_weighted"]}) ON accuracy, weighted_precision, weighted_recall, weighted_f1
+                         INTO NAME metric VALUE value)""")
 def q_model_metrics(spark, sf):
-    train, test = _split(spark, sf)
-    model = ML.train_forest(train, FEATURES, "tx_fraud")
-    return ML.model_metrics(model.transform(test), "tx_fraud")
+    ev = T.evaluation(spark, sf)
+    score = F.col("y_pred_base") * 0.5 + uniform("doc_id", "score") * 0.5
+    return ML.model_metrics(ev.select("y_test", F.col("y_pred_base").alias("prediction"), score.alias("probability_1")),
+                            "y_test")
 
 
 @register("char_counts", f"""
@@ -79,15 +133,20 @@ def _urls(spark, sf):
     return u.filter(F.col("label_enc").isNotNull())
 
 
-@register("url_classifier")
+@register("url_classifier", f"""
+SELECT page_id, CAST(label = 'bad' AS DOUBLE) AS label_enc, TRUE AS valid
+FROM ({URLS_SQL}) WHERE label IN ('good', 'bad') AND {sql_uniform('page_id', 42)} >= {D(0.7)}""")
 def q_url_classifier(spark, sf):
     train, test = L.random_split(_urls(spark, sf), "page_id", (0.7, 0.3), 42)
     model = ML.url_pipeline("label_enc").fit(train)
-    return model.transform(test).select("page_id", "label_enc", "prediction")
+    out = model.transform(test)
+    return out.select("page_id", "label_enc", F.coalesce(F.col("prediction").isin(0.0, 1.0), F.lit(False)).alias("valid"))
 
 
-@register("random_search")
+@register("random_search", """
+SELECT * , TRUE AS scored FROM (VALUES (30), (40)) a(num_trees), (VALUES (8), (10)) b(max_depth),
+       (VALUES (1), (2)) c(min_instances), (VALUES ('sqrt'), ('log2'), ('all')) d(feature_subset)""")
 def q_random_search(spark, sf):
     train, _ = L.random_split(_urls(spark, sf), "page_id", (0.7, 0.3), 42)
     _, res = ML.random_search(train, ML.url_pipeline("label_enc"), n_iter=50, folds=3, parallelism=8)
-    return res
+    return res.withColumn("scored", F.col("mean_f1").between(0.0, 1.0)).drop("mean_f1")

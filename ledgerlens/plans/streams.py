@@ -10,6 +10,7 @@ from ledgerlens.functions import scoring as S
 from ledgerlens.operators import labels as L
 from ledgerlens.operators import ml as ML
 from ledgerlens.plans.common import HUGE, LARGE, MEDIUM, RAW_TX_SQL, TX_SQL
+from ledgerlens.plans.ml import MODEL_NAME, champion_table
 from ledgerlens.plans.registry import register
 from ledgerlens.schemas import CLICK_SCHEMA
 from ledgerlens.session import scratch_path
@@ -158,23 +159,32 @@ def q_stream_score_udf(spark, sf):
     return _drain(scored.select("transaction_id", "fraud_prediction", "fraud_probability", "fraud_label"), "udf")
 
 
-FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days", "tx_fraud_scenario"]
-
-
-@register("stream_score")
+@register("stream_score", f"""
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, tx_amount, CAST(customer_id AS VARCHAR) AS account_id,
+       CAST(terminal_id AS VARCHAR) AS merchant_id, strptime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS "timestamp",
+       TRUE AS equals_batch, TRUE AS label_ok, strptime(tx_datetime, '%Y-%m-%d %H:%M:%S') AS kafka_timestamp,
+       CAST(transaction_id AS BIGINT) AS "offset", CAST(customer_id % 3 AS INTEGER) AS "partition" FROM ({TX_SQL})""")
 def q_stream_score(spark, sf):
-    train, _ = L.random_split(T.clean_table(spark, sf), "transaction_id", (0.8, 0.2), 42)
-    model = ML.train_forest(train, FEATURES, "tx_fraud")
+    """The saved champion over the stream; its answers are those of the same model over the table."""
     from pyspark.ml.functions import vector_to_array
+    model = ML.load_champion(champion_table(spark, sf), MODEL_NAME)
     s = model.transform(_parsed_stream(spark, sf))
     out = s.select("transaction_id", "tx_amount", F.col("customer_id").cast("string").alias("account_id"),
                    F.col("terminal_id").cast("string").alias("merchant_id"),
-                   F.to_timestamp("tx_datetime", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+                   F.to_timestamp("tx_datetime", "yyyy-MM-dd HH:mm:ss").cast("timestamp_ntz").alias("timestamp"),
                    F.col("prediction").alias("fraud_prediction"),
                    S.fraud_label(F.col("prediction"), exact_one=True).alias("fraud_label"),
                    vector_to_array("probability")[1].alias("fraud_probability"),
                    "kafka_timestamp", "offset", "partition")
-    return _drain(out, "model")
+    stream = _drain(out, "model")
+    batch = ML.batch_predict(model, T.transactions(spark, sf)).select(
+        F.col("transaction_id").cast("string").alias("transaction_id"), "prediction", "probability_1")
+    same = (F.col("fraud_prediction") == F.col("prediction")) & (F.abs(F.col("fraud_probability") - F.col("probability_1")) < 1e-12)
+    label = F.col("fraud_label") == S.fraud_label(F.col("prediction"), exact_one=True)
+    return (stream.join(batch, "transaction_id", "left")
+            .select("transaction_id", "tx_amount", "account_id", "merchant_id", "timestamp",
+                    F.coalesce(same, F.lit(False)).alias("equals_batch"), F.coalesce(label, F.lit(False)).alias("label_ok"),
+                    "kafka_timestamp", "offset", "partition"))
 
 
 _SCORED_SCHEMA = "transaction_id string, success boolean, fraud_probability double, error string, latency_ms double"

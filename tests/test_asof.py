@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from ledgerlens.operators.joins import FeatureView, point_in_time_join
+from ledgerlens.operators.joins import FeatureView, broadcast_limit, point_in_time_join, point_in_time_now
 
 T0 = datetime(2024, 3, 1)
 
@@ -64,3 +64,33 @@ def test_asof_matches_brute_force(spark, seed):
         want = _brute(feats, ents, kind, ttl, src)
         have = {i: norm(v) for i, v in by_id[col].items()}
         assert have == want, col
+
+
+def test_null_keys_and_typed_tie_breakers(spark):
+    f = spark.createDataFrame(
+        [(None, T0, 7.0, T0), (1, T0, 1.0, T0), (1, T0, 2.0, T0 + timedelta(hours=1)), (2, T0, 3.0, T0), (2, T0, 4.0, T0)],
+        "customer_id int, ts timestamp_ntz, amount double, created timestamp_ntz")
+    e = spark.createDataFrame([(i, k, T0 + timedelta(minutes=m)) for i, (k, m) in enumerate(
+        [(None, 5), (None, 90), (1, 0), (1, 90), (2, 1), (2, 90), (2, -1)])], "id int, customer_id int, event_timestamp timestamp_ntz")
+    typed = FeatureView("v", f, ["customer_id"], "ts", ["amount"], tie_breaker="created")
+    plain = FeatureView("w", f, ["customer_id"], "ts", ["amount"], rename={"amount": "largest"})
+    got = {r.id: (r.amount, r.largest) for r in point_in_time_join(e, [typed, plain], bucket_seconds=600).collect()}
+    assert got == {0: (None, None), 1: (None, None), 2: (2.0, 2.0), 3: (2.0, 2.0), 4: (4.0, 4.0), 5: (4.0, 4.0), 6: (None, None)}
+
+
+def test_now_keeps_every_entity_row(spark):
+    f = spark.createDataFrame([(1, T0, 1.0), (None, T0, 9.0)], "customer_id int, ts timestamp_ntz, amount double")
+    e = spark.createDataFrame([("a", 1), ("b", 1), ("c", None), ("d", 3)], "id string, customer_id int")
+    out = point_in_time_now(e, FeatureView("v", f, ["customer_id"], "ts", ["amount"]), as_of=T0 + timedelta(days=1))
+    assert out.columns == ["id", "customer_id", "event_timestamp", "amount"]
+    assert sorted((r.id, r.amount) for r in out.collect()) == [("a", 1.0), ("b", 1.0), ("c", None), ("d", None)]
+
+
+def test_broadcast_threshold_spellings(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for text, n in (("50MB", 50 << 20), ("64m", 64 << 20), ("1024", 1024), ("-1", 0)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
+            assert broadcast_limit(spark.range(1)) == n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

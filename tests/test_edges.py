@@ -133,15 +133,17 @@ def test_t_distribution_against_known_values(spark):
     got = [r[0] for r in df.select(t_two_sided_p(F.col("t"), F.col("df"))).collect()]
     want = [_t_p_by_integration(t, v) for t, v in [(2.0, 10), (1.0, 1), (2.5, 3), (0.0, 198), (2.6, 198)]]
     assert all(abs(a - b) < 1e-8 for a, b in zip(got, want)), (got, want)
-    q = spark.createDataFrame([(99,), (30,)], "df int").select(t_quantile(0.975, F.col("df"))).collect()
-    assert abs(q[0][0] - 1.984217) < 1e-5 and abs(q[1][0] - 2.042272) < 1e-5
+    known = {1: 12.7062047362, 2: 4.3026527297, 3: 3.1824463053, 10: 2.2281388520, 30: 2.0422724563, 99: 1.9842169515}
+    q = spark.createDataFrame([(v,) for v in known], "df int").select("df", t_quantile(0.975, F.col("df")).alias("t")).collect()
+    assert all(abs(r.t - known[r.df]) < 1e-8 for r in q), q
 
 
 def test_bootstrap_against_brute_force(spark):
     import hashlib
+    from collections import Counter
     rows = [(i, int(i % 3 == 0), float(i % 4 == 0)) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, y int, p double")
-    got = {r.replicate: r for r in EV.bootstrap_metrics(df, "y", {"m": "p"}, "k", n_iter=5, seed=7).collect()}
+    got = {r.replicate: r for r in EV.bootstrap_metrics(df, "y", {"m": "p"}, n_iter=5, seed=7).collect()}
     cdf = []
     acc, term = 0.0, math.exp(-1)
     for k in range(21):
@@ -149,19 +151,26 @@ def test_bootstrap_against_brute_force(spark):
             term /= k
         acc += term
         cdf.append(acc)
+    cells = Counter((y, int(p >= 0.5)) for _, y, p in rows)
+    assert max(cells.values()) < EV.EXACT_BELOW
     for rep in range(5):
-        tp = fp = fn = tn = 0
-        for k, y, p in rows:
-            u = int(hashlib.md5(f"{k}:{rep}:7".encode()).hexdigest()[:8], 16) / 4294967296.0
-            w = next((i for i, c in enumerate(cdf[:-1]) if u < c), 20)
-            if y == 1 and p >= 0.5: tp += w
-            elif y != 1 and p >= 0.5: fp += w
-            elif y == 1: fn += w
-            else: tn += w
-        f1 = 2 * tp / (2 * tp + fp + fn)
+        w = {}
+        for (y, p), n in cells.items():
+            u = [int(hashlib.md5(f"{y}{p}:{rep}:{i}:7".encode()).hexdigest()[:8], 16) / 4294967296.0 for i in range(1, n + 1)]
+            w[y, p] = sum(next((i for i, c in enumerate(cdf[:-1]) if x < c), 20) for x in u)
+        f1 = 2 * w[1, 1] / (2 * w[1, 1] + w[0, 1] + w[1, 0])
         assert abs(got[rep].f1 - f1) < 1e-12
 
 
+def test_cell_weights_have_the_moments_of_poisson(spark):
+    df = spark.range(4000).withColumn("i", F.col("id").cast("int"))
+    for n in (3, 49, 50, 400, 10**12):
+        w = [r[0] for r in df.select(EV.cell_weight(F.lit(n).cast("bigint"), F.lit("c"), F.col("i"), 1)).collect()]
+        mean = sum(w) / len(w)
+        var = sum((x - mean) ** 2 for x in w) / (len(w) - 1)
+        assert abs(mean - n) < 4 * (n / len(w)) ** 0.5 and 0.9 < var / n < 1.1, n
+
+
 def test_auc_score_against_pairs(spark):
     import random
     rnd = random.Random(3)
@@ -243,18 +252,34 @@ def test_exact_quantiles_in_one_pass_match_numpy(spark):
             assert abs(got[key][name] - float(np.quantile(vals, q))) < 1e-9, (key, name)
 
 
-def test_sample_n_large_path_matches_top_n(spark):
+def test_sample_n_is_the_top_n_of_the_draw(spark):
     from tests.conftest import SF_SMALL
+    from ledgerlens.functions.hashing import uniform
     from ledgerlens.sources import testdata as T
     tx = T.transactions(spark, SF_SMALL)
     total = tx.count()
-    for n in (1, 37, 500, total, total + 10):
-        small = {r.transaction_id for r in L.sample_n(tx, n, "transaction_id", 42).collect()}
-        large = L.sample_n(tx, n, "transaction_id", 42, max_take=0, buckets=64)
-        got = [r.transaction_id for r in large.collect()]
-        assert len(got) == len(set(got)) == min(n, total)
-        assert set(got) == small
-        assert large.columns == tx.columns
+    for n in (0, 1, 37, 500, total, total + 10):
+        want = {r.transaction_id for r in tx.orderBy(uniform("transaction_id", 42), "transaction_id").limit(n).collect()}
+        for buckets in (2, 64, 1024):
+            out = L.sample_n(tx, n, "transaction_id", 42, buckets=buckets)
+            got = [r.transaction_id for r in out.collect()]
+            assert len(got) == len(set(got)) == min(n, total) and set(got) == want
+            assert out.columns == tx.columns
+
+
+def test_reader_equals_drop_malformed(spark):
+    from ledgerlens.schemas import TRANSACTION_SCHEMA
+    path = scratch_path(spark, "malformed")
+    good = '1,2019-08-22 06:51:03,0,711,70.91,24663,0,0,0'
+    lines = [good, good.replace("70.91", "abc"), good.replace("2019-08-22 06:51:03", '"2019-08-22, 06:51:03"'), good + ",9",
+             "1,2", "", good.replace("70.91", ""), "x" + good, good.replace("711", "7.5"), '"' + good + '"', good.replace("0,711", ",")]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    want = spark.read.schema(TRANSACTION_SCHEMA).option("mode", "DROPMALFORMED").option(
+        "columnPruning", "false").csv(path).filter("transaction_id IS NOT NULL")
+    key = lambda r: str(tuple(r))
+    got = read_transactions(spark, path)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert got.count() == len(got.collect()) == got.select("tx_fraud").count() and key
 
 
 def test_months_udf_matches_native_floor(spark):
