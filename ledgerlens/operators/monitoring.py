@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators.joins import latest_per_key
 
-# Health ranks (fixed values): worse states rank higher.
-HEALTH_RANK = {"healthy": 0, "warning": 1, "critical": 2}
-
-
 def lag_by_check(offsets: DataFrame, ts: str = "sampled_at") -> DataFrame:
     """Per (check time, topic): totals over partitions; lag counts only partitions with a committed offset."""
     has = F.col("committed").isNotNull()
@@ -198,14 +194,24 @@ def fraud_share_alert(df: DataFrame, ts: str, is_fraud: Column, width_seconds: i
                     (pct > limit_pct).alias("firing"))
 
 
-def no_data_alert(df: DataFrame, ts: str, width_seconds: int = 600) -> DataFrame:
-    """Every window between the first and last event (a spine from one min/max row), with its count; windows
-    without rows fire."""
+def _time_us(t) -> Column:
+    return F.unix_micros((t if isinstance(t, Column) else F.lit(t)).cast("timestamp_ntz").cast("timestamp"))
+
+
+def no_data_alert(df: DataFrame, ts: str, width_seconds: int = 600, as_of=None) -> DataFrame:
+    """Every window from the first event to ``as_of`` (the time the rule is asked; default: the last event), with its
+    count; windows without rows fire.
+
+    So a stream that has died fires from its last event on, and one that never had an event fires in the window of
+    ``as_of``.  The spine comes from one row of bounds."""
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     w_us = width_seconds * 1_000_000
+    seen = df if as_of is None else df.filter(us <= _time_us(as_of))
     b = F.floor(us / F.lit(w_us))
-    counts = df.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("predictions"))
-    bounds = df.agg(F.min(b).alias("_b0"), F.max(b).alias("_b1"))
+    counts = seen.groupBy(b.alias("_b")).agg(F.count(F.lit(1)).alias("predictions"))
+    # bounds of the per-window counts: the events are read once more for them, as one partial aggregate
+    now = F.max("_b") if as_of is None else F.floor(_time_us(as_of) / F.lit(w_us))
+    bounds = counts.agg(F.coalesce(F.min("_b"), now).alias("_b0"), now.alias("_b1")).filter("_b0 IS NOT NULL")
     spine = bounds.select(F.explode(F.sequence("_b0", "_b1")).alias("_b"))
     start = F.timestamp_micros(F.col("_b") * F.lit(w_us)).cast("timestamp_ntz")
     return (spine.join(counts, "_b", "left")
@@ -214,11 +220,18 @@ def no_data_alert(df: DataFrame, ts: str, width_seconds: int = 600) -> DataFrame
             .withColumn("no_data", F.col("predictions") == 0))
 
 
-def queue_stalled(offsets: DataFrame, ts: str = "sampled_at") -> DataFrame:
+def queue_stalled(offsets: DataFrame, ts: str = "sampled_at", as_of=None) -> DataFrame:
     """Per topic and check: messages consumed since the previous check (committed offset growth) and waiting
-    messages; ``stalled`` when nothing was consumed while messages wait.  A topic never committed consumes 0."""
+    messages; ``stalled`` when nothing was consumed while messages wait.  A topic never committed consumes 0.
+
+    ``as_of`` adds a check at that time with the last offsets known: nothing was seen to be consumed since."""
     g = offsets.groupBy("topic", ts).agg(F.sum(F.coalesce(F.col("committed"), F.lit(0))).alias("_c"),
                                          F.sum(F.col("end") - F.coalesce(F.col("committed"), F.lit(0))).alias("queue"))
+    if as_of is not None:
+        now = F.lit(as_of).cast("timestamp_ntz")
+        g = g.filter(F.col(ts) <= now)
+        last = g.groupBy("topic").agg(F.max(F.struct(ts, "_c", "queue")).alias("x"))
+        g = g.unionByName(last.filter(F.col(f"x.{ts}") < now).select("topic", now.alias(ts), "x._c", "x.queue"))
     w = W.partitionBy("topic").orderBy(ts)
     g = g.withColumn("consumed", F.col("_c") - F.lag("_c").over(w))
     return g.select("topic", ts, "consumed", "queue",
@@ -234,14 +247,28 @@ def threshold_alert(gauges: DataFrame, limits: dict[str, float]) -> DataFrame:
                  .withColumn("firing", F.col("value") > F.col("limit"))
 
 
-def sustained_alert(firing: DataFrame, ts: str, key: str = "metric", for_seconds: int = 120) -> DataFrame:
-    """Gaps-and-islands over time-ordered checks per alert: each run of consecutive firing checks is one island;
-    the alert fires when the run lasts at least ``for_seconds``."""
+def _by_key(key: str, values) -> Column:
+    """A number for each key of a dict, or the one number for all."""
+    if not isinstance(values, dict):
+        return F.lit(values).cast("double")
+    out = F.lit(None).cast("double")
+    for k, v in values.items():
+        out = F.when(F.col(key) == k, F.lit(float(v))).otherwise(out)
+    return out
+
+
+def sustained_alert(firing: DataFrame, ts: str, key: str = "metric", for_seconds: int | dict = 120,
+                    max_gap_seconds: int | dict | None = None) -> DataFrame:
+    """Gaps-and-islands over time-ordered checks per alert: each run of consecutive firing checks is one island; the alert
+    fires when the run lasts at least ``for_seconds`` (one number or one a key).  A pause between two checks of more
+    than ``max_gap_seconds`` ends a run: nothing is known of the time between."""
     w = W.partitionBy(key).orderBy(ts)
-    change = F.when(F.lag("firing").over(w).isNull() | (F.lag("firing").over(w) != F.col("firing")), 1).otherwise(0)
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    gap = F.lit(False) if max_gap_seconds is None else (us - F.lag(us).over(w)) / 1e6 > _by_key(key, max_gap_seconds)
+    change = F.when(F.lag("firing").over(w).isNull() | (F.lag("firing").over(w) != F.col("firing")) | gap, 1).otherwise(0)
     runs = firing.withColumn("_chg", change).withColumn("_run", F.sum("_chg").over(w.rowsBetween(W.unboundedPreceding, 0)))
     isl = runs.filter("firing").groupBy(key, "_run").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                                                         F.count(F.lit(1)).alias("checks"))
     dur = (F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6
     return isl.select(key, "start", "end", "checks", dur.alias("duration_seconds"),
-                      (dur >= for_seconds).alias("fired")).drop("_run")
+                      (dur >= _by_key(key, for_seconds)).alias("fired")).drop("_run")

@@ -12,16 +12,20 @@ from ledgerlens.functions.hashing import sql_uniform
 from ledgerlens.operators import labels as L
 from ledgerlens.operators import monitoring as M
 from ledgerlens.plans.common import LARGE, MEDIUM, OFFSETS_SQL, TX_SQL, RAW_TX_SQL, D, clean_sql
-from ledgerlens.plans.registry import register
-from ledgerlens.operators.cleaning import clean_transactions
+from ledgerlens.plans.registry import ORACLE, register
 from ledgerlens.sources import testdata as T
 
 # The stand-in stream carries about 3 messages per topic and hour at sf 0.01 (the reference loads carry hundreds
 # per second), so the lag-health query uses a lag limit of 5 messages instead of the default 1000.
 STANDIN_MAX_LAG = 5
 TPS_TARGET = 50
-GAUGE_LIMITS = {"kafka_consumer_lag": 500.0, "kafka_queue_length": 1000.0}   # reference alert limits
-FOR_SECONDS = 60
+# fixed values: limit of each gauge, seconds it must be exceeded; and the longest pause between its samples here
+GAUGES = {"kafka_consumer_lag": (500.0, 120, 3600), "kafka_queue_length": (1000.0, 60, 3600),
+          "ml_model_cpu_usage": (80.0, 300, 300), "ml_model_memory_usage": (70.0, 600, 300)}
+GAUGE_LIMITS = {k: v[0] for k, v in GAUGES.items()}
+# fixed values: seconds the windowed rules must fire; and their window
+RULES = {"error_rate": (120, 300), "slow_response": (180, 300), "fraud_share": (300, 900), "no_predictions": (300, 600)}
+AS_OF = "2024-01-31 06:00:00"      # time at which the rules about silence are asked: hours after the last event
 
 _G_SQL = f"""
 SELECT sampled_at, topic, count(*) AS partitions, CAST(sum(coalesce(committed, 0)) AS BIGINT) AS total_committed,
@@ -209,23 +213,38 @@ def q_fraud_share_alert(spark, sf):
 @register("no_data_alert", """
 WITH p AS (SELECT CAST(floor(epoch_us(ts) / 600000000) AS BIGINT) AS b FROM events WHERE event_type = 'purchase'),
 c AS (SELECT b, count(*) AS n FROM p GROUP BY b),
-s AS (SELECT range AS b FROM range((SELECT min(b) FROM p), (SELECT max(b) FROM p) + 1))
+s AS (SELECT range AS b FROM range((SELECT min(b) FROM p), CAST(floor(epoch_us(TIMESTAMP 'AS_OF') / 600000000) AS BIGINT) + 1))
 SELECT make_timestamp(s.b * 600000000) AS window_start, make_timestamp(s.b * 600000000) + INTERVAL 600 SECOND AS window_end,
        coalesce(c.n, 0) AS predictions, coalesce(c.n, 0) = 0 AS no_data
-FROM s LEFT JOIN c ON c.b = s.b""")
+FROM s LEFT JOIN c ON c.b = s.b""".replace("AS_OF", AS_OF))
 def q_no_data_alert(spark, sf):
     ev = T.table(spark, sf, "events").filter(F.col("event_type") == "purchase")
-    return M.no_data_alert(ev, "ts", 600)
+    return M.no_data_alert(ev, "ts", 600, AS_OF)
 
 
 @register("queue_stalled", f"""
 WITH g AS (SELECT topic, sampled_at, CAST(sum(coalesce(committed, 0)) AS BIGINT) AS c,
                   CAST(sum("end" - coalesce(committed, 0)) AS BIGINT) AS queue
            FROM ({OFFSETS_SQL}) GROUP BY topic, sampled_at),
-l AS (SELECT *, c - lag(c) OVER (PARTITION BY topic ORDER BY sampled_at) AS consumed FROM g)
+n AS (SELECT * FROM g UNION ALL
+      SELECT topic, TIMESTAMP '{AS_OF}', arg_max(c, sampled_at), arg_max(queue, sampled_at) FROM g GROUP BY topic),
+l AS (SELECT *, c - lag(c) OVER (PARTITION BY topic ORDER BY sampled_at) AS consumed FROM n)
 SELECT topic, sampled_at, consumed, queue, coalesce(consumed, 0) = 0 AND queue > 0 AS stalled FROM l""")
 def q_queue_stalled(spark, sf):
-    return M.queue_stalled(T.offsets(spark, sf))
+    return M.queue_stalled(T.offsets(spark, sf), as_of=AS_OF)
+
+
+def _load_gauges(spark, sf):
+    """CPU and memory gauges every 5 minutes: they start an hour at the mean (CPU) and a third of the largest (memory)
+    amount of the hour's events, at most 100, and fall to zero over the hour."""
+    per_hour = T.table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.avg("value").alias("ml_model_cpu_usage"), (F.max("value") / 3).alias("ml_model_memory_usage"))
+    rows = per_hour.select("hour", F.explode(F.array(*(
+        F.struct(F.lit(m).alias("metric"), F.col(m).alias("v"), F.lit(k).alias("k"))
+        for m in ("ml_model_cpu_usage", "ml_model_memory_usage") for k in range(12)))).alias("g"))
+    at = F.col("hour") + F.make_dt_interval(mins=F.col("g.k") * 5)
+    return rows.select(at.alias("sampled_at"), "g.metric",
+                       F.round(F.least(F.col("g.v"), F.lit(100.0)) * (12 - F.col("g.k")) / 12, 6).alias("value"))
 
 
 def _gauges(spark, sf):
@@ -234,10 +253,9 @@ def _gauges(spark, sf):
         F.sum(F.when(F.col("committed").isNotNull(), F.col("end") - F.col("committed")).otherwise(0))
          .cast("double").alias("kafka_consumer_lag"),
         F.sum(F.col("end") - F.coalesce(F.col("committed"), F.lit(0))).cast("double").alias("kafka_queue_length"))
-    return g.select("sampled_at", F.explode(F.array(
-        F.struct(F.lit("kafka_consumer_lag").alias("metric"), F.col("kafka_consumer_lag").alias("value")),
-        F.struct(F.lit("kafka_queue_length").alias("metric"), F.col("kafka_queue_length").alias("value")))).alias("g")) \
-        .select("sampled_at", "g.metric", "g.value")
+    kafka = g.select("sampled_at", F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).alias("value"))
+                                                       for m in ("kafka_consumer_lag", "kafka_queue_length")))).alias("g"))
+    return kafka.select("sampled_at", "g.metric", "g.value").unionByName(_load_gauges(spark, sf))
 
 
 _GAUGE_SQL = f"""
@@ -246,7 +264,12 @@ SELECT sampled_at, 'kafka_consumer_lag' AS metric,
 FROM ({OFFSETS_SQL}) GROUP BY sampled_at
 UNION ALL
 SELECT sampled_at, 'kafka_queue_length', CAST(sum("end" - coalesce(committed, 0)) AS DOUBLE)
-FROM ({OFFSETS_SQL}) GROUP BY sampled_at"""
+FROM ({OFFSETS_SQL}) GROUP BY sampled_at
+UNION ALL
+SELECT hour + to_minutes(5 * k), metric, round(least(v, 100.0::DOUBLE) * (12 - k) / 12, 6)
+FROM (SELECT date_trunc('hour', ts) AS hour, 'ml_model_cpu_usage' AS metric, avg(value) AS v FROM events GROUP BY 1
+      UNION ALL SELECT date_trunc('hour', ts), 'ml_model_memory_usage', max(value) / 3 FROM events GROUP BY 1),
+     (SELECT CAST(range AS INTEGER) AS k FROM range(12))"""
 
 _THRESH_SQL = f"""
 SELECT g.*, l.lim AS "limit", g.value > l.lim AS firing
@@ -259,20 +282,45 @@ def q_threshold_alert(spark, sf):
     return M.threshold_alert(_gauges(spark, sf), GAUGE_LIMITS)
 
 
-@register("sustained_alert", f"""
-WITH t AS ({_THRESH_SQL}),
-c AS (SELECT *, CASE WHEN lag(firing) OVER (PARTITION BY metric ORDER BY sampled_at) IS NULL
-                       OR lag(firing) OVER (PARTITION BY metric ORDER BY sampled_at) <> firing THEN 1 ELSE 0 END AS chg
-      FROM t),
-r AS (SELECT *, sum(chg) OVER (PARTITION BY metric ORDER BY sampled_at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+def _runs_sql(firing: str, key: str, ts: str, limits: dict) -> str:
+    """``limits``: key -> (seconds it must fire, longest pause between its checks)."""
+    rows = ", ".join(f"('{k}', {f}, {g})" for k, (f, g) in limits.items())
+    return f"""
+WITH t AS (SELECT t.*, l.f, l.g FROM ({firing}) t JOIN (VALUES {rows}) l(key, f, g) ON t.{key} = l.key),
+c AS (SELECT *, CASE WHEN lag(firing) OVER w IS NULL OR lag(firing) OVER w <> firing
+                       OR (epoch_us({ts}) - lag(epoch_us({ts})) OVER w) / 1e6 > g THEN 1 ELSE 0 END AS chg
+      FROM t WINDOW w AS (PARTITION BY {key} ORDER BY {ts})),
+r AS (SELECT *, sum(chg) OVER (PARTITION BY {key} ORDER BY {ts} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
       FROM c),
-i AS (SELECT metric, run, min(sampled_at) AS start, max(sampled_at) AS "end", count(*) AS checks FROM r WHERE firing
-      GROUP BY metric, run)
-SELECT metric, start, "end", checks, (epoch_us("end") - epoch_us(start)) / 1e6 AS duration_seconds,
-       (epoch_us("end") - epoch_us(start)) / 1e6 >= {FOR_SECONDS} AS fired
-FROM i""")
+i AS (SELECT {key}, run, f, min({ts}) AS start, max({ts}) AS "end", count(*) AS checks FROM r WHERE firing
+      GROUP BY {key}, run, f)
+SELECT {key}, start, "end", checks, (epoch_us("end") - epoch_us(start)) / 1e6 AS duration_seconds,
+       (epoch_us("end") - epoch_us(start)) / 1e6 >= f AS fired
+FROM i"""
+
+
+@register("sustained_alert", _runs_sql(_THRESH_SQL, "metric", "sampled_at", {k: v[1:] for k, v in GAUGES.items()}))
 def q_sustained_alert(spark, sf):
-    return M.sustained_alert(M.threshold_alert(_gauges(spark, sf), GAUGE_LIMITS), "sampled_at", "metric", FOR_SECONDS)
+    return M.sustained_alert(M.threshold_alert(_gauges(spark, sf), GAUGE_LIMITS), "sampled_at", "metric",
+                             {k: v[1] for k, v in GAUGES.items()}, {k: v[2] for k, v in GAUGES.items()})
+
+
+_WINDOWED_SQL = f"""
+SELECT 'error_rate' AS alert, window_start AS checked_at, firing FROM ({ORACLE["error_rate_alert"]})
+UNION ALL SELECT 'slow_response', window_start, p95_alert FROM ({ORACLE["latency_p95_alert"]})
+UNION ALL SELECT 'fraud_share', window_start, firing FROM ({ORACLE["fraud_share_alert"]})
+UNION ALL SELECT 'no_predictions', window_start, no_data FROM ({ORACLE["no_data_alert"]})"""
+
+
+@register("alert_runs", _runs_sql(_WINDOWED_SQL, "alert", "checked_at", RULES))
+def q_alert_runs(spark, sf):
+    """The windowed rules with the time each must hold before it fires."""
+    parts = [q_error_rate_alert(spark, sf).select(F.lit("error_rate").alias("alert"), "window_start", "firing"),
+             q_latency_p95_alert(spark, sf).select(F.lit("slow_response"), "window_start", "p95_alert"),
+             q_fraud_share_alert(spark, sf).select(F.lit("fraud_share"), "window_start", "firing"),
+             q_no_data_alert(spark, sf).select(F.lit("no_predictions"), "window_start", "no_data")]
+    rows = reduce(DataFrame.union, parts).withColumnRenamed("window_start", "checked_at")
+    return M.sustained_alert(rows, "checked_at", "alert", {k: v[0] for k, v in RULES.items()}, {k: v[1] for k, v in RULES.items()})
 
 
 _REQ_P_SQL = S.request_risk_score_sql("tx_amount", "tx_time_seconds", "customer_id", large=LARGE, medium=MEDIUM)
