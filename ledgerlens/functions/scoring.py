@@ -28,15 +28,23 @@ def hour_of_seconds(seconds) -> Column:
     return F.pmod(F.floor(_c(seconds) / F.lit(3600)), F.lit(24))
 
 
+# fixed values: points of the request scorer for a large and a medium amount, a night hour, a risky customer
+REQUEST_POINTS = (0.3, 0.1, 0.2, 0.4)
+# fixed values: points of the balance scorer for a large amount, a night hour, a balance under twice the amount, an
+# amount above the balance
+BALANCE_POINTS = (0.3, 0.2, 0.4, 0.5)
+
+
 def request_risk_score(amount, seconds, customer_id, large: float = 1000.0, medium: float = 500.0,
                        night_before: int = 6, night_after: int = 22, risky_mod: int = 100, risky_below: int = 5,
                        cap: float = 0.95, jitter_salt: str = "jitter") -> Column:
     """0.3 if amount > large else 0.1 if > medium; +0.2 at night; +0.4 for risky customer ids; + jitter 0..0.09;
     capped.  The jitter is a stable hash of the customer id (Python's string hash is salted per process)."""
-    a = F.when(_c(amount) > large, F.lit(0.3)).when(_c(amount) > medium, F.lit(0.1)).otherwise(F.lit(0.0))
+    for_large, for_medium, for_night, for_customer = map(F.lit, REQUEST_POINTS)
+    a = F.when(_c(amount) > large, for_large).when(_c(amount) > medium, for_medium).otherwise(F.lit(0.0))
     h = hour_of_seconds(seconds)
-    b = F.when((h < night_before) | (h > night_after), F.lit(0.2)).otherwise(F.lit(0.0))
-    c = F.when(F.pmod(_c(customer_id), F.lit(risky_mod)) < risky_below, F.lit(0.4)).otherwise(F.lit(0.0))
+    b = F.when((h < night_before) | (h > night_after), for_night).otherwise(F.lit(0.0))
+    c = F.when(F.pmod(_c(customer_id), F.lit(risky_mod)) < risky_below, for_customer).otherwise(F.lit(0.0))
     jitter = F.floor(uniform(_c(customer_id), jitter_salt) * 10).cast("double") / F.lit(100.0)
     return F.least(F.lit(0.0) + a + b + c + jitter, F.lit(cap))
 
@@ -55,12 +63,17 @@ def request_risk_score_sql(amount: str, seconds: str, customer_id: str, large: f
 
 # ---- balance scorer (fallback service) -----------------------------------------------------------------------
 
-def balance_risk_score(amount, hour, balance, large: float = 1000.0, cap: float = 0.95) -> Column:
-    a = F.when(_c(amount) > large, F.lit(0.3)).otherwise(F.lit(0.0))
-    b = F.when((_c(hour) < 6) | (_c(hour) > 22), F.lit(0.2)).otherwise(F.lit(0.0))
-    c = F.when(_c(balance) < _c(amount) * 2, F.lit(0.4)).otherwise(F.lit(0.0))
-    d = F.when(_c(amount) > _c(balance), F.lit(0.5)).otherwise(F.lit(0.0))
-    return F.least(F.lit(0.0) + a + b + c + d, F.lit(cap))
+def balance_risk_score(amount, hour, balance, large: float = 1000.0, cap: float = 0.95, night_before: int = 6,
+                       night_after: int = 22, cover: float = 2.0, points=BALANCE_POINTS) -> Column:
+    """Points for a large amount, a night hour, a balance under ``cover`` times the amount and an amount above the
+    balance; capped."""
+    for_large, for_night, for_cover, for_balance = map(F.lit, points)
+    zero = F.lit(0.0)
+    a = F.when(_c(amount) > large, for_large).otherwise(zero)
+    b = F.when((_c(hour) < night_before) | (_c(hour) > night_after), for_night).otherwise(zero)
+    c = F.when(_c(balance) < _c(amount) * cover, for_cover).otherwise(zero)
+    d = F.when(_c(amount) > _c(balance), for_balance).otherwise(zero)
+    return F.least(zero + a + b + c + d, F.lit(cap))
 
 
 def balance_risk_score_sql(amount: str, hour: str, balance: str, large: float = 1000.0, cap: float = 0.95) -> str:

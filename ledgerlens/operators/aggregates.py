@@ -112,6 +112,13 @@ def label_share(df: DataFrame, label: str = "fraud_label") -> DataFrame:
     return g.select(label, "n", F.round(F.col("n").cast("double") / total, 6).alias("share"))
 
 
+def rank_levels(df: DataFrame, grouped: bool = False) -> int:
+    """Levels of rank buckets: at least 4 buckets for every shuffle partition (the number that follows the data's size),
+    within the range that one cut-point array can hold; fewer where groups already split the work."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 6 if grouped else max(6, min(14, (4 * parts - 1).bit_length()))
+
+
 def quantile_edges(value: Column, levels: int = 10, accuracy_per_bucket: int = 2) -> Column:
     """Aggregate: ``2**levels - 1`` approximate equi-depth cut points of ``value`` (GK sketch whose rank error is
     at most half a bucket).  Used only to balance work: any sorted cut points give exact results downstream."""
@@ -149,7 +156,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[tuple[float, str]], grou
     holding a group's values in one buffer.
 
     1. one row per distinct (group, value) with its count (partial aggregation);
-    2. the group's distinct values are cut into ``2**levels`` buckets (default 1024 ungrouped, 64 per group) at
+    2. the group's distinct values are cut into ``2**levels`` buckets (default: :func:`rank_levels`) at
        approximate equi-depth cut points (so clustered values still spread over all buckets); a prefix sum over
        the bucket counts locates the buckets holding ranks floor(q(n-1)) and ceil(q(n-1)) of every q;
     3. only those buckets' distinct values are ranked (a window per group and bucket, about 1/2**levels of the
@@ -160,7 +167,7 @@ def exact_quantiles(df: DataFrame, value: str, qs: list[tuple[float, str]], grou
     g = list(groups or [])
     ungrouped = not g
     if levels is None:                  # groups already split the work; each group carries its own cut points
-        levels = 10 if ungrouped else 6
+        levels = rank_levels(df, not ungrouped)
     if ungrouped:                       # one group: a constant key for the grouped steps
         df, g = df.withColumn("_g0", F.lit(0)), ["_g0"]
     v = F.col(value).cast("double")

@@ -78,7 +78,7 @@ def eval_weighted(df: DataFrame, label: str, prediction: str, weight: str | None
                       ("accuracy", "weighted_precision", "weighted_recall", "weighted_f1")]))
 
 
-def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10, weight: str | None = None) -> DataFrame:
+def eval_auc_score(df: DataFrame, label: str, score: str, levels: int | None = None, weight: str | None = None) -> DataFrame:
     """ROC AUC of raw scores, exact (ties count one half), without a global sort.
 
     Rows are first reduced to one row per distinct score (positive and negative counts).  The distinct scores are
@@ -86,7 +86,8 @@ def eval_auc_score(df: DataFrame, label: str, score: str, levels: int = 10, weig
     fraud model's tiny probabilities are) still spread over all buckets.  The negatives below a score are the
     negatives of all lower buckets (a prefix sum over at most ``2**levels`` rows) plus those below it inside its
     own bucket (a window per bucket)."""
-    from ledgerlens.operators.aggregates import quantile_edges, rank_buckets
+    from ledgerlens.operators.aggregates import quantile_edges, rank_buckets, rank_levels
+    levels = levels or rank_levels(df)
     one = F.col(weight) if weight else F.lit(1)
     by_score = df.groupBy(F.col(score).cast("double").alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, one).otherwise(0)).alias("pos"),

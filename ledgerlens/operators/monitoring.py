@@ -49,31 +49,33 @@ def lag_health(offsets: DataFrame, max_lag: int = 1000, warn_ratio: float = 0.7,
     return g.withColumn("overall_health", overall)
 
 
+# fixed values: tag and priority of the advice for each finding; then our wording, followed by the finding's detail
+ADVICE = {"critical": ("scaling", "high", "lag is above its limit: give the job more cores, or the topic more partitions"),
+          "warning": ("monitoring", "medium", "lag comes near its limit: keep an eye on the rate of consumption"),
+          "healthy": ("optimization", "low", "consumers keep up: batch size and trigger may be relaxed"),
+          "unread": ("pending_processing", "medium", "messages that nobody reads, by topic: "),
+          "no_consumer": ("consumer_setup", "high", "topics without a consumer: ")}
+
+
 def lag_advice(health: DataFrame, ts: str = "sampled_at") -> DataFrame:
-    """Recommendation rows per check derived from the health table."""
-    no_cons = ~F.col("consumer_group_exists")
-    per_check = health.groupBy(ts).agg(
-        F.first("overall_health").alias("overall_health"),
-        F.array_sort(F.collect_set(F.when(no_cons, F.col("topic")))).alias("idle"),
-        F.array_sort(F.collect_set(F.when(no_cons & (F.col("total_end") > 0),
-                                          F.format_string("%s(%d)", F.col("topic"), F.col("total_end"))))).alias("pending"))
-    recs = F.array(
-        F.when(F.size("idle") > 0, F.struct(F.lit("consumer_setup").alias("type"), F.lit("high").alias("priority"),
-                                            F.concat(F.lit("start stream consumers for topics: "),
-                                                     F.array_join("idle", ", ")).alias("message"))),
-        F.when(F.size("pending") > 0, F.struct(F.lit("pending_processing").alias("type"), F.lit("medium").alias("priority"),
-                                               F.concat(F.lit("unprocessed messages: "),
-                                                        F.array_join("pending", ", ")).alias("message"))),
-        F.when(F.col("overall_health") == "critical",
-               F.struct(F.lit("scaling").alias("type"), F.lit("high").alias("priority"),
-                        F.lit("add executors or partitions").alias("message")))
-         .when(F.col("overall_health") == "warning",
-               F.struct(F.lit("monitoring").alias("type"), F.lit("medium").alias("priority"),
-                        F.lit("watch throughput closely").alias("message")))
-         .when(F.size("idle") == 0,
-               F.struct(F.lit("optimization").alias("type"), F.lit("low").alias("priority"),
-                        F.lit("stable; settings can be tuned").alias("message"))))
-    return per_check.select(ts, F.explode(F.array_compact(recs)).alias("r")).select(ts, "r.*")
+    """Recommendation rows per check: one for each finding of the check, worded by :data:`ADVICE`.
+
+    Findings: topics without consumers, those of them that hold messages, and the worst health ('healthy' counts as a
+    finding only if every topic has a consumer)."""
+    unread = F.when(~F.col("consumer_group_exists"), F.col("topic"))
+    amount = F.when(F.col("total_end") > 0, F.concat(unread, F.lit("="), F.col("total_end").cast("string")))
+    found = health.groupBy(ts).agg(F.max("overall_health").alias("load"),
+                                   F.array_join(F.array_sort(F.collect_set(unread)), ", ").alias("no_consumer"),
+                                   F.array_join(F.array_sort(F.collect_set(amount)), ", ").alias("unread"))
+    load = F.when((F.col("load") != "healthy") | (F.col("no_consumer") == ""), F.col("load"))
+    finding = F.explode(F.map_from_arrays(
+        F.array(F.coalesce(load, F.lit("-")), F.lit("no_consumer"), F.lit("unread")),
+        F.array(F.lit(""), F.col("no_consumer"), F.col("unread")))).alias("finding", "detail")
+    rows = found.select(ts, finding).filter(
+        F.when(F.col("finding").isin("no_consumer", "unread"), F.col("detail") != "").otherwise(F.col("finding") != "-"))
+    tags = F.create_map(*(x for k, v in ADVICE.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
+    tag = F.element_at(tags, F.col("finding"))
+    return rows.select(ts, tag[0].alias("type"), tag[1].alias("priority"), F.concat(tag[2], F.col("detail")).alias("message"))
 
 
 def lag_summary(health: DataFrame, critical_share: float = 0.1, ts: str = "sampled_at") -> DataFrame:

@@ -72,25 +72,22 @@ def q_lag_health(spark, sf):
     return _health(spark, sf)
 
 
+def _advice_sql(finding: str, detail: str, where: str) -> str:
+    kind, priority, text = M.ADVICE[finding]
+    return f"SELECT sampled_at, '{kind}' AS type, '{priority}' AS priority, '{text}' || {detail} AS message FROM c WHERE {where}"
+
+
 @register("lag_advice", f"""
 WITH h AS ({_health_sql()}),
-c AS (SELECT sampled_at, any_value(overall_health) AS overall_health,
-             coalesce(list_sort(list(DISTINCT topic) FILTER (WHERE NOT consumer_group_exists)), []) AS idle,
-             coalesce(list_sort(list(DISTINCT printf('%s(%d)', topic, total_end))
-                                FILTER (WHERE NOT consumer_group_exists AND total_end > 0)), []) AS pending
+c AS (SELECT sampled_at, any_value(overall_health) AS load,
+             coalesce(string_agg(DISTINCT topic, ', ' ORDER BY topic) FILTER (WHERE NOT consumer_group_exists), '') AS idle,
+             coalesce(string_agg(DISTINCT topic || '=' || total_end, ', ' ORDER BY topic || '=' || total_end)
+                      FILTER (WHERE NOT consumer_group_exists AND total_end > 0), '') AS unread
       FROM h GROUP BY sampled_at)
-SELECT sampled_at, 'consumer_setup' AS type, 'high' AS priority,
-       'start stream consumers for topics: ' || array_to_string(idle, ', ') AS message FROM c WHERE len(idle) > 0
-UNION ALL
-SELECT sampled_at, 'pending_processing', 'medium', 'unprocessed messages: ' || array_to_string(pending, ', ')
-FROM c WHERE len(pending) > 0
-UNION ALL
-SELECT sampled_at,
-       CASE WHEN overall_health = 'critical' THEN 'scaling' WHEN overall_health = 'warning' THEN 'monitoring' ELSE 'optimization' END,
-       CASE WHEN overall_health = 'critical' THEN 'high' WHEN overall_health = 'warning' THEN 'medium' ELSE 'low' END,
-       CASE WHEN overall_health = 'critical' THEN 'add executors or partitions'
-            WHEN overall_health = 'warning' THEN 'watch throughput closely' ELSE 'stable; settings can be tuned' END
-FROM c WHERE overall_health IN ('critical', 'warning') OR len(idle) = 0""")
+""" + " UNION ALL ".join([
+    _advice_sql("no_consumer", "idle", "idle <> ''"), _advice_sql("unread", "unread", "unread <> ''"),
+    *(_advice_sql(k, "''", f"load = '{k}'") for k in ("critical", "warning")),
+    _advice_sql("healthy", "''", "load = 'healthy' AND idle = ''")]))
 def q_lag_advice(spark, sf):
     return M.lag_advice(_health(spark, sf))
 

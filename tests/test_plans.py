@@ -1,4 +1,4 @@
-"""Plan-shape checks for the registered batch queries: the scale rules hold in the physical plans, not just in the
+"""Plan-shape checks for the registered queries (streams and models run their jobs while they are built): the scale rules hold in the physical plans, not just in the
 results (no cross or nested-loop joins, no whole-group collection, filters reach the Parquet scan, the as-of join
 shuffles and sorts its full rows once)."""
 
@@ -10,15 +10,9 @@ from tests.conftest import SF_SMALL
 
 import __spark_entry__ as E
 
-# plan modules whose queries are plain batch plans (streams and model training run jobs while they are built)
-BATCH_MODULES = ("ledgerlens.plans.batch", "ledgerlens.plans.features", "ledgerlens.plans.evaluation",
-                 "ledgerlens.plans.monitoring")
-
-
 def _batch_queries():
     from ledgerlens.plans.registry import load_all
-    q, _ = load_all()
-    return sorted(n for n, fn in q.items() if fn.__module__ in BATCH_MODULES)
+    return sorted(load_all()[0])
 
 
 def _plan(df) -> str:
