@@ -205,15 +205,14 @@ def tied_pairs(regions: DataFrame, classes: DataFrame, least: int) -> DataFrame:
             starts = _starts(region)
             size = np.diff(starts)
             left, right = [], []
-            small = np.repeat(size <= 16, size)
-            for k in range(1, min(16, len(ids))):
-                at = np.flatnonzero(small[:-k] & (region[:-k] == region[k:]))
-                for part in np.array_split(at, max(1, len(at) // 20_000)):
-                    hit = part[(sketch[part] == sketch[part + k]).sum(1) >= least]
-                    left.append(ids[hit])
-                    right.append(ids[hit + k])
-            for g in np.flatnonzero(size > 16):
-                own, sk = ids[starts[g]:starts[g + 1]], sketch[starts[g]:starts[g + 1]]
+            pair = starts[:-1][size == 2]
+            for part in np.array_split(pair, max(1, len(pair) // 20_000)):
+                hit = part[(sketch[part] == sketch[part + 1]).sum(1) >= least]
+                left.append(ids[hit])
+                right.append(ids[hit + 1])
+            for g in np.flatnonzero(size > 2):
+                order = starts[g] + np.argsort(ids[starts[g]:starts[g + 1]])
+                own, sk = ids[order], sketch[order]
                 for a, rest in walk(len(own), lambda i, rest: (sk[rest] == sk[i]).sum(1) >= least):  # noqa: B023
                     left.append(np.full(len(rest), own[a]))
                     right.append(own[rest])
@@ -236,21 +235,24 @@ def _low_bytes(classes: DataFrame) -> DataFrame:
 
 
 def walk(n: int, linked) -> Iterator[tuple[int, np.ndarray]]:
-    """(node, newly reached nodes) of a breadth-first walk; ``linked(i, rest)`` tells which of ``rest`` i links to."""
+    """(root, nodes that can be reached from it), in pieces; ``linked(i, rest)`` tells which of ``rest`` i links to.
+
+    The root is the first node of its component, so with ascending ids the same few roots come up in all regions.
+    """
     rest = np.arange(n)
     while len(rest):
-        queue, rest = [int(rest[0])], rest[1:]
+        root, rest = int(rest[0]), rest[1:]
+        queue = [root]
         while queue and len(rest):
-            i = queue.pop()
-            hit = linked(i, rest)
+            hit = linked(queue.pop(), rest)
             if hit.any():
-                yield i, rest[hit]
+                yield root, rest[hit]
                 queue += rest[hit].tolist()
                 rest = rest[~hit]
 
 
 def confirmed(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Links (id, ids) that span the sets with 100 * intersection >= percent * union, compared in full."""
+    """(id, ids that links reach from it): links are 100 * intersection >= percent * union, compared in full."""
     size = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
     names, flat = np.unique(flat, return_inverse=True)
@@ -285,7 +287,8 @@ def confirmed_links(groups: DataFrame, percent: int, k: int) -> DataFrame:
                 sets = []
                 for _, _, hashes, bounds in batch_shingles(b.column(2).slice(s, e - s), k):
                     sets += [hashes[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
-                for a, rest in confirmed(ids[s:e], sets, percent):
+                order = np.argsort(ids[s:e], kind="stable")
+                for a, rest in confirmed(ids[s:e][order], [sets[i] for i in order], percent):
                     left.append(np.full(len(rest), a))
                     right.append(rest)
             a, c = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
