@@ -8,12 +8,12 @@ was.  A text is its lower-cased bytes (A-Z) and an end mark; before its first by
 
 Everything is counted over all rows, and no model is sent around whole:
 
-1. The texts are dealt into chunks of some ``CHUNK_BYTES``.  Each chunk tells which (context, byte) grams and which words
-   it holds and how often the training rows do.
-2. Grams are dealt by their nearest two context bytes, so a task has whole subtrees from depth 2 on.  A first pass gives
-   the weighted probabilities at depth 2; the levels above it have at most 256 contexts of 255 nodes and are finished
-   on the driver.  A second pass prices every gram and answers the chunks that asked for it, and those only.
-3. Words are added up likewise, for the add-one unigram base score; a chunk hears of words that other chunks have, too.
+1. The texts are dealt into chunks of some ``CHUNK_BYTES``.  Each chunk asks for the (context, byte) grams and the words it
+   holds and tells how often its training rows do: sorted arrays, one a chunk and part of the keys.
+2. Grams are dealt to parts by their nearest two context bytes, so a part has whole subtrees from depth 2 on.  A first pass
+   gives the weighted probabilities at depth 2; the levels above it have at most 256 contexts of 255 nodes and are
+   finished on the driver.  A second pass prices every gram and answers each chunk, in the order of its keys.
+3. Words are dealt to parts by their hash and added up likewise, for the add-one unigram base score.
 4. Each chunk meets its answers and scores its texts.
 """
 
@@ -23,11 +23,12 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.arrays import lowered, slices, span_hashes, text_bytes, word_bounds
+from ledgerlens.llm.arrays import lowered, mix64, slices, span_hashes, text_bytes, word_bounds
 from ledgerlens.llm.registry import register, table
 from ledgerlens.session import scratch_path
 
@@ -99,6 +100,8 @@ def depth_two(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
         top = _subtrees(codes, counts, bit)[0]
         keys.append((top.keys >> 16 << 8) | (top.keys & 0xFF))
         sums.append((top.weighted, top.zeros, top.ones))
+    if not len(codes):
+        return (np.zeros(0, np.int64), np.zeros(0)) + (np.zeros(0, np.int64),) * 2
     key, of = np.unique(np.concatenate(keys), return_inverse=True)
     total = [np.bincount(of, np.concatenate(x), len(key)) for x in zip(*sums)]
     return key, total[0], total[1].astype(np.int64), total[2].astype(np.int64)
@@ -151,7 +154,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return code[spread[DEPTH:] != PAD]
 
 
-def _documents(column: pa.Array, most: int = 1 << 20):
+def _documents(column: pa.Array, most: int = 1 << 21):
     """(first row, last row, grams, end places, word hashes, document of each word) of ranges of rows."""
     data, offsets = text_bytes(column)
     for i, j in slices(offsets, most):
@@ -161,30 +164,61 @@ def _documents(column: pa.Array, most: int = 1 << 20):
 
 
 def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    key, of = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(of, np.concatenate(counts), len(key)).astype(np.int64)
+    """Distinct keys in order, and the sums of their counts."""
+    if not keys:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if len(keys) == 1:
+        return keys[0], counts[0]
+    key, count = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(key, kind="stable")               # merges runs that are sorted already
+    key, count = key[order], count[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
 class _Sums:
-    """Distinct keys and their counts, added slice by slice."""
+    """Distinct keys and their counts in training rows, added slice by slice."""
 
     def __init__(self):
         self.keys, self.counts, self.rows = [], [], 0
 
     def add(self, keys: np.ndarray, trained: np.ndarray) -> None:
-        key, of = np.unique(keys, return_inverse=True)
-        self.keys.append(key)
-        self.counts.append(np.bincount(of, trained, len(key)).astype(np.int64))
-        self.rows += len(key)
+        for part, count in ((keys[trained], True), (keys[~trained], False)):
+            if len(part):
+                key, n = np.unique(part, return_counts=True)
+                self.keys.append(key)
+                self.counts.append(n.astype(np.int64) if count else np.zeros(len(key), np.int64))
+                self.rows += len(key)
         if self.rows > 4_000_000:
             self.total()
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.keys) > 1:
-            key, count = _tally(self.keys, self.counts)
-            self.keys, self.counts = [key], [count]
-            self.rows = len(key) // 2
-        return (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.int64),) * 2
+        key, count = _tally(self.keys, self.counts)
+        self.keys, self.counts, self.rows = [key], [count], len(key) // 2
+        return key, count
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values).tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+
+
+def _unpacked(raw: bytes, n: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw, n * np.dtype(kind).itemsize, codec="zstd", asbytes=True), kind) if n else np.zeros(0, kind)
+
+
+def _part_of(kind: int, key: np.ndarray, parts: int) -> np.ndarray:
+    """The part that answers for a key: subtrees of two context bytes stay together, words go by their hash."""
+    root = key >> (8 * (DEPTH - 1)) if kind == 0 else key
+    return (mix64(root.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+def _dealt(kind: int, key: np.ndarray, parts: int):
+    """(part, places of its keys in order) for every part that has some."""
+    part = _part_of(kind, key, parts)
+    order = np.argsort(part, kind="stable")
+    cut = np.append(np.flatnonzero(np.append(True, np.diff(part[order]) != 0)), len(order)) if len(order) else [0]
+    for s, e in zip(cut[:-1], cut[1:]):
+        yield int(part[order[s]]), order[s:e]
 
 
 # ---------------------------------------------------------------------------------------------- Spark steps
@@ -199,9 +233,13 @@ def with_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     return src.select(F.xxhash64("file", F.pmod(F.xxhash64("id", "text"), F.lit(parts))).alias("chunk"), "id", "text", "train")
 
 
-def _asked(docs: DataFrame) -> DataFrame:
-    """(kind, key, chunk, n): the grams (kind 0) and words (kind 1) of every chunk and how often its training rows hold
-    them; a file that is read in several splits gives several rows a key."""
+_ASKED = pa.schema([("kind", pa.int8()), ("part", pa.int32()), ("chunk", pa.int64()), ("n", pa.int32()),
+                    ("keys", pa.binary()), ("counts", pa.binary())])
+
+
+def _asked(docs: DataFrame, parts: int) -> DataFrame:
+    """(kind, part, chunk, n, keys, counts): the grams (kind 0) and words (kind 1) of every chunk and how often its training
+    rows hold them, keys in order; a file that is read in several splits gives several rows a chunk and part."""
     def run(batches: Iterator[pa.RecordBatch]):
         sums: dict[int, tuple[_Sums, _Sums]] = {}
         for b in batches:
@@ -214,116 +252,106 @@ def _asked(docs: DataFrame) -> DataFrame:
                 train = part.column(2).to_numpy(zero_copy_only=False)
                 own = sums.setdefault(int(chunk[rows[0]]), (_Sums(), _Sums()))
                 for i, j, codes, ends, words, doc in _documents(part.column(1)):
-                    t = train[i:j].astype(np.float64)
-                    own[0].add(codes, np.repeat(t, np.diff(np.append(0, ends))))
-                    own[1].add(words, t[doc])
+                    own[0].add(codes, np.repeat(train[i:j], np.diff(np.append(0, ends))))
+                    own[1].add(words, train[i:j][doc])
         for chunk, pair in sums.items():
             for kind, s in enumerate(pair):
                 key, n = s.total()
-                for i in range(0, len(key), 100_000):
-                    k = key[i:i + 100_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(np.full(len(k), chunk)),
-                         pa.array(n[i:i + 100_000])], names=["kind", "key", "chunk", "n"])
-    return docs.select("chunk", "text", "train").mapInArrow(run, "kind tinyint, key bigint, chunk bigint, n bigint")
+                rows = [(kind, p, chunk, len(at), _packed(np.diff(key[at], prepend=0)), _packed(n[at]))
+                        for p, at in _dealt(kind, key, parts)]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ASKED)], schema=_ASKED)
+    return docs.select("chunk", "text", "train").mapInArrow(
+        run, "kind tinyint, part int, chunk bigint, n int, keys binary, counts binary")
+
+
+def _part_keys(t: pa.Table) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """(distinct keys, their counts, chunk -> the keys it asked for) of a part; all keys in order."""
+    keys, counts, asked = [], [], {}
+    for chunk, n, k, c in zip(*(t[x].to_pylist() for x in ("chunk", "n", "keys", "counts"))):
+        keys.append(np.cumsum(_unpacked(k, n, np.int64)))
+        counts.append(_unpacked(c, n, np.int64))
+        asked.setdefault(chunk, []).append(keys[-1])
+    key, count = _tally(keys, counts)
+    return key, count, {c: x[0] if len(x) == 1 else np.unique(np.concatenate(x)) for c, x in asked.items()}
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> list[np.ndarray] | None:
-    """The columns of a whole partition; it holds a shuffle partition's share of distinct keys, never texts."""
-    held = [b for b in batches if b.num_rows]
-    return [np.concatenate([b.column(k).to_numpy() for b in held]) for k in range(held[0].num_columns)] if held else None
+_SUMS = pa.schema([("key", pa.int64()), ("w", pa.float64()), ("n0", pa.int64()), ("n1", pa.int64())])
 
 
 def _depth_two_rows(asked: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]):
-        cols = _whole(batches)
-        if cols is not None:
-            codes, counts = _tally([cols[0]], [cols[1]])
-            out = depth_two(codes, counts)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["key", "w", "n0", "n1"])
-    rows = asked.filter("kind = 0").select("key", "n").repartition(F.shiftright("key", 8 * (DEPTH - 1)))
-    return (rows.mapInArrow(run, "key bigint, w double, n0 bigint, n1 bigint").groupBy("key")
-            .agg(F.sum("w").alias("w"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+    def run(t: pa.Table) -> pa.Table:
+        key, count, _ = _part_keys(t)
+        return pa.table([pa.array(x, f.type) for x, f in zip(depth_two(key, count), _SUMS)], schema=_SUMS)
+    return (asked.filter("kind = 0").groupBy("part").applyInArrow(run, "key bigint, w double, n0 bigint, n1 bigint")
+            .groupBy("key").agg(F.sum("w").alias("w"), F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
+
+
+_ANSWERS = pa.schema([("chunk", pa.int64()), ("kind", pa.int8()), ("part", pa.int32()), ("n", pa.int32()),
+                      ("values", pa.binary()), ("distinct", pa.int64()), ("total", pa.int64())])
+_ANSWERS_DDL = "chunk bigint, kind tinyint, part int, n int, values binary, distinct bigint, total bigint"
+
+
+def _answer_rows(kind: int, part: int, key, values, asked, distinct: int = 0, total: int = 0) -> pa.Table:
+    rows = [(chunk, kind, part, len(k), _packed(values[np.searchsorted(key, k)]), 0, 0) for chunk, k in asked.items()]
+    rows.append((0, 2, part, 0, b"", distinct, total))
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), _ANSWERS)], schema=_ANSWERS)
 
 
 def _priced(asked: DataFrame, top: Top) -> DataFrame:
-    """(chunk, kind, key, value): every gram a chunk asked for, with its log10 probability."""
-    def run(batches: Iterator[pa.RecordBatch]):
-        cols = _whole(batches)
-        if cols is not None:
-            key, chunk, n = cols
-            codes, of = np.unique(key, return_inverse=True)
-            value = price(codes, np.bincount(of, n, len(codes)).astype(np.int64), top)[of]
-            for i in range(0, len(key), 100_000):
-                k = key[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunk[i:i + 100_000]), pa.array(np.zeros(len(k), np.int8)), pa.array(k),
-                     pa.array(value[i:i + 100_000])], names=["chunk", "kind", "key", "value"])
-    rows = asked.filter("kind = 0").select("key", "chunk", "n").repartition(F.shiftright("key", 8 * (DEPTH - 1)))
-    return rows.mapInArrow(run, "chunk bigint, kind tinyint, key bigint, value double")
+    """The log10 probabilities of the grams that each chunk asked a part for, in the order of its keys."""
+    def run(t: pa.Table) -> pa.Table:
+        key, count, of = _part_keys(t)
+        return _answer_rows(0, t["part"][0].as_py(), key, price(key, count, top), of)
+    return asked.filter("kind = 0").groupBy("part").applyInArrow(run, _ANSWERS_DDL).filter("kind = 0")
 
 
 def _word_totals(asked: DataFrame) -> DataFrame:
-    """(chunk, kind, key, value): how often training rows hold a word, for words that several chunks hold; kind 2 has
-    the number of distinct words (key 0) and of all words (key 1) in training rows."""
-    def run(batches: Iterator[pa.RecordBatch]):
-        cols = _whole(batches)
-        if cols is not None:
-            key, chunk, n = cols
-            word, of = np.unique(key, return_inverse=True)
-            total = np.bincount(of, n, len(word)).astype(np.int64)
-            some = np.zeros(len(word), np.int64)
-            some[of] = chunk
-            several = np.zeros(len(word), bool)
-            several[of[some[of] != chunk]] = True
-            out = np.flatnonzero(several[of])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(2, np.int64)), pa.array(np.full(2, 2, np.int8)), pa.array(np.array([0, 1])),
-                 pa.array(np.array([(total > 0).sum(), total.sum()], float))], names=["chunk", "kind", "key", "value"])
-            for i in range(0, len(out), 100_000):
-                at = out[i:i + 100_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(chunk[at]), pa.array(np.ones(len(at), np.int8)), pa.array(key[at]),
-                     pa.array(total[of[at]].astype(float))], names=["chunk", "kind", "key", "value"])
-    rows = asked.filter("kind = 1").select("key", "chunk", "n").repartition("key")
-    return rows.mapInArrow(run, "chunk bigint, kind tinyint, key bigint, value double")
-
-
-_OUT = ("id {}, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint")
-
-
-def _scored(docs: DataFrame, answers: DataFrame, total: int, distinct: int, trained: int) -> DataFrame:
+    """How often training rows hold the words that each chunk asked a part for, in the order of its keys; a row of kind 2
+    a part has its distinct and all words of training rows."""
+    def run(t: pa.Table) -> pa.Table:
+        key, count, of = _part_keys(t)
+        return _answer_rows(1, t["part"][0].as_py(), key, count, of, int((count > 0).sum()), int(count.sum()))
+    return asked.filter("kind = 1").groupBy("part").applyInArrow(run, _ANSWERS_DDL)
+
+
+_OUT = "id {}, n_tokens bigint, n_known bigint, base_score double, score double, n_bytes bigint"
+
+
+def _scored(docs: DataFrame, answers: DataFrame, parts: int, total: int, distinct: int, trained: int) -> DataFrame:
     """Texts meet the answers to their chunk; one chunk is one group of a bounded number of bytes."""
     kind_of_id = dict(docs.dtypes)["id"]
 
+    def answered(kind: int, keys: list[np.ndarray], rows: dict, dtype) -> tuple[np.ndarray, np.ndarray]:
+        """The chunk's distinct keys in order, and their values."""
+        key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+        value = np.zeros(len(key), dtype)
+        for part, at in _dealt(kind, key, parts):
+            n, raw = rows[kind, part]
+            if n != len(at):
+                raise ValueError("a chunk isn't what it was when it asked; the input has changed")
+            value[at] = _unpacked(raw, n, dtype)
+        return key, value
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["id", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
         left = left.combine_chunks()
         if not left.num_rows:
-            return pa.table([left["id"], *(pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                                                                     pa.int64()))], names=names)
-        kind, key, value = (right[c].to_numpy() for c in ("kind", "key", "value"))
-        order = np.argsort(key[kind == 0])
-        gram, cost = key[kind == 0][order], value[kind == 0][order]
-        # a file read in several splits asks more than once
-        gram, at = np.unique(gram, return_index=True)
-        cost = cost[at]
-        column = left["text"].chunk(0)
-        parts = list(_documents(column))
-        train = left["train"].to_numpy()
-        local = _Sums()
-        for i, j, _, _, words, doc in parts:
-            local.add(words, train[i:j].astype(np.float64)[doc])
-        word, count = local.total()
-        shared, at = np.unique(key[kind == 1], return_index=True)
-        if len(shared):
-            count[np.searchsorted(word, shared)] = value[kind == 1][at].astype(np.int64)
+            return pa.table([left["id"], *(pa.array([], k) for k in kinds)], names=names)
+        rows = {(k, p): (n, v) for k, p, n, v in zip(*(right[c].to_pylist() for c in ("kind", "part", "n", "values")))}
+        held = []
+        for i, j, codes, ends, words, doc in _documents(left["text"].chunk(0)):
+            of, codes = pd.factorize(codes)
+            word_of, words = pd.factorize(words)
+            held.append((i, j, codes, of.astype(np.int32), ends, words, word_of.astype(np.int32), doc.astype(np.int32)))
+        gram, cost = answered(0, [h[2] for h in held], rows, np.float64)
+        word, count = answered(1, [h[5] for h in held], rows, np.int64)
         base = -math.log10(total + distinct + 1)
         out = [[] for _ in range(5)]
-        for i, j, codes, ends, words, doc in parts:
-            codes, of = np.unique(codes, return_inverse=True)
+        for i, j, codes, of, ends, words, word_of, doc in held:
             score = np.add.reduceat(cost[np.searchsorted(gram, codes)][of], np.append(0, ends[:-1]))
-            c = count[np.searchsorted(word, words)] if len(words) else np.zeros(0, np.int64)
+            c = count[np.searchsorted(word, words)][word_of] if len(words) else np.zeros(0, np.int64)
             n = np.bincount(doc, minlength=j - i)
             known = np.bincount(doc[c > 0], minlength=j - i) + (trained > 0)
             points = np.bincount(doc, np.log10(c + 1.0), j - i) + math.log10(trained + 1) + (n + 1) * base
@@ -331,7 +359,7 @@ def _scored(docs: DataFrame, answers: DataFrame, total: int, distinct: int, trai
                 o.append(x)
         return pa.table([left["id"], *(pa.array(np.concatenate(o)) for o in out)], names=names)
 
-    return (docs.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return (docs.select("chunk", "id", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
             .applyInArrow(run, _OUT.format(kind_of_id)))
 
 
@@ -342,27 +370,29 @@ def score_texts(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col
     ``train``: the rows to learn from (null: not).  ``score`` is log10 of the model's probability of the text and its end,
     ``bits_per_byte`` the code length over its bytes and the end mark.  Null and empty texts are the end mark alone.
     Without training rows every bit costs one bit and the base score is that of nothing known.  Rows are scored one by
-    one, so equal rows get equal scores; null ids are kept; other columns are not read.
+    one, so equal rows get equal scores; null ids are kept; other columns are not read.  Words are told apart by a 64-bit
+    hash.
     """
     spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                       F.coalesce(train, F.lit(False)).alias("train"))
     chunks = with_chunks(src, chunk_bytes)
     path = scratch_path(spark, "ctw-asked")
-    _asked(chunks).write.parquet(path)
+    _asked(chunks, parts).write.parquet(path)
     asked = spark.read.parquet(path)
     path = scratch_path(spark, "ctw-words")
     _word_totals(asked).write.parquet(path)
     words = spark.read.parquet(path)
-    sums = {r["key"]: int(r["v"]) for r in words.filter("kind = 2").groupBy("key").agg(F.sum("value").alias("v")).collect()}
+    sums = words.filter("kind = 2").agg(F.sum("distinct").alias("d"), F.sum("total").alias("t")).collect()[0]
     trained = src.agg(F.sum(F.col("train").cast("bigint")).alias("t")).collect()[0]["t"] or 0
-    total, distinct = sums.get(1, 0) + trained, sums.get(0, 0) + (trained > 0)
+    total, distinct = (sums["t"] or 0) + trained, (sums["d"] or 0) + (trained > 0)
     # at most 256 * 255 rows: the nodes of depth 1
     rows = _depth_two_rows(asked).toPandas()
     top = Top(rows["key"].to_numpy(np.int64), rows["w"].to_numpy(float), rows["n0"].to_numpy(np.int64),
               rows["n1"].to_numpy(np.int64))
     answers = _priced(asked, top).union(words.filter("kind = 1"))
-    out = _scored(chunks, answers, total, distinct, trained)
+    out = _scored(chunks, answers, parts, total, distinct, trained)
     bits = -F.col("score") * math.log2(10) / (F.col("n_bytes") + 1)
     return out.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(total).cast("bigint").alias("train_tokens"),
                       "base_score", "score", "n_bytes", bits.alias("bits_per_byte"))
