@@ -21,6 +21,11 @@ _INV = pow(_MULT, -1, 1 << 64)
 _POWERS = [np.ones(1, U64), np.ones(1, U64)]
 
 
+def release_memory() -> None:
+    """Give freed Arrow buffers back to the system: a Python worker lives on, idle, beside the next stage's."""
+    pa.default_memory_pool().release_unused()
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""
     x = (x ^ (x >> U64(30))) * U64(0xBF58476D1CE4E5B9)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.arrays import U64, batch_shingles, mix64
+from ledgerlens.llm.arrays import U64, batch_shingles, mix64, release_memory
 from ledgerlens.llm.components import connected_components
 from ledgerlens.llm.registry import register, table
 from ledgerlens.session import scratch_path
@@ -84,6 +84,7 @@ def sketch_documents(df: DataFrame, id_col: str, text_col: str, k: int) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, j - i), pa.array(n), pa.array(f1), pa.array(f2), _binary(sig)],
                     names=["id", "n", "f1", "f2", "sig"])
+        release_memory()
 
     return src.mapInArrow(run, "id bigint, n bigint, f1 bigint, f2 bigint, sig binary")
 
@@ -369,8 +370,25 @@ def _assigned(docs: DataFrame, members: DataFrame, components: DataFrame) -> Dat
 
 OP9_PERCENT = 85
 
+OP9_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS g FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+      WHERE 100 * c >= {OP9_PERCENT} * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON r.doc_id = e.a)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id, r.doc_id = min(r.c) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""
+
 
-@register("op9_lsh_forest")
+@register("op9_lsh_forest", OP9_SQL)
 def op9_lsh_forest(spark, sf_dir):
     out = near_duplicates(table(spark, sf_dir, "documents"), OP9_PERCENT)
     return out.withColumnRenamed("id", "doc_id")

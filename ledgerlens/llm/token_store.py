@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import simple8b
-from ledgerlens.llm.arrays import lowered, slices, span_hashes, text_bytes, word_bounds
+from ledgerlens.llm.arrays import lowered, release_memory, slices, span_hashes, text_bytes, word_bounds
 from ledgerlens.llm.registry import register, table
 from ledgerlens.llm.token_count import _model_path
 from ledgerlens.session import scratch_path
 
-MAX_CACHED = 2_000_000               # words whose ids a worker keeps (some 40 bytes each)
+MAX_CACHED = 500_000                 # words whose ids a worker keeps (some 40 bytes each)
 _LETTERS = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
@@ -191,7 +191,7 @@ def write_tokens(df: DataFrame, path: str, model: str, end_id: int, id_col: str
 
         for b in batches:
             data, offsets = text_bytes(b.column(1))
-            for i, j in slices(offsets, 1 << 22):
+            for i, j in slices(offsets, 1 << 21):
                 flat, bounds = enc.ids(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], end_id)
                 for doc, s, e in zip(b.column(0).slice(i, j - i).to_pylist(), bounds[:-1].tolist(), bounds[1:].tolist()):
                     docs.append(doc)
@@ -201,6 +201,7 @@ def write_tokens(df: DataFrame, path: str, model: str, end_id: int, id_col: str
                         yield block()
         if docs:
             yield block()
+        release_memory()
 
     ordered.mapInArrow(run, _BLOCK_DDL).write.parquet(path)
 

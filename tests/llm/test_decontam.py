@@ -57,11 +57,14 @@ def test_short_items_and_filter_size(spark, monkeypatch, bits):
         (0, 0, False), (3, 4, False)]
 
 
+def words_of(text):
+    return re.sub(r"[^\w\s]", "", text.lower()).split()
+
+
 def test_whole_table_against_search(spark):
     """Every item that stands in a document as it is must be found; nothing that shares no 8 words with it may be."""
-    norm = lambda t: re.sub(r"[^\w\s]", "", t.lower()).split()
-    docs = [(r.doc_id, norm(r.text)) for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").collect()]
-    items = {r.item_id: norm(r.text) for r in spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet").collect()}
+    docs = [(r.doc_id, words_of(r.text)) for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").collect()]
+    items = {r.item_id: words_of(r.text) for r in spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet").collect()}
     index, want, some = {}, set(), set()
     for i, w in items.items():
         for k in range(len(w) - 7):
