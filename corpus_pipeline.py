@@ -26,8 +26,7 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the classifier rejects go."""
-    scored = fitted(spark, sf_dir).score(docs.select("doc_id", "text"))
-    return without(docs, scored.filter(F.col("score") >= THRESHOLD))
+    return fitted(spark, sf_dir).keep_below(docs, THRESHOLD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

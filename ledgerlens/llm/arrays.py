@@ -7,6 +7,9 @@ computes the same values.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,8 +25,10 @@ _POWERS = [np.ones(1, U64), np.ones(1, U64)]
 
 
 def release_memory() -> None:
-    """Give freed Arrow buffers back to the system: a Python worker lives on, idle, beside the next stage's."""
+    """Give freed memory back to the system: a Python worker lives on, idle, beside the next stage's."""
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):   # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -294,6 +294,7 @@ def confirmed_links(groups: DataFrame, percent: int, k: int) -> DataFrame:
                     right.append(rest)
             a, c = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(c)], names=["a", "b"])
+        release_memory()
     return (groups.repartition("grp").sortWithinPartitions("grp").select("grp", "id", "text")
             .mapInArrow(run, "a bigint, b bigint"))
 

@@ -101,7 +101,7 @@ class Shard:
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "vector",
-           shard_rows: int = 16384, query_rows: int = 2048) -> DataFrame:
+           shard_rows: int = 16384, query_rows: int = 16384) -> DataFrame:
     """(query_id, rank, id, score) of the k highest integer inner products of each query with all rows but its own.
 
     ``vec_col`` holds array<bigint>.  Null or unusable vectors, and null ids, take no part; equal vectors all do; ties

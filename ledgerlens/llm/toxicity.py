@@ -24,6 +24,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.llm.arrays import release_memory
 from ledgerlens.llm.registry import register, table
 from ledgerlens.session import scratch_path
 
@@ -59,7 +60,7 @@ class Lexicon:
     def weight(self, word: str) -> float:
         w = self.known.get(word)
         if w is None:
-            if len(self.known) > 300_000:
+            if len(self.known) > 100_000:
                 self.known.clear()
             w = self.known[word] = max((self.weights.get(p, 0.0) for p in word_parts(word)), default=0.0)
         return w
@@ -105,21 +106,23 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
             len(_REPEAT.findall(text)) / n, math.log1p(n), size / n]
 
 
-def dense(df: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """(id, rest..., x array<double>): the columns of ``df`` (id, text, ...) with the text's features in its place."""
-    rest = [c for c in df.columns if c != "text"]
-    at = df.columns.index("text")
-    ddl = ", ".join(f"{c} {t}" for c, t in df.dtypes if c != "text") + ", x array<double>"
+def dense(df: DataFrame, lexicon: dict[str, float], text_col: str = "text") -> DataFrame:
+    """``df`` with the features of its text as ``x`` (array<double>); its columns pass through.  The text may be a field of
+    a struct column (``row.text``)."""
+    column, _, field = text_col.partition(".")
+    at = df.columns.index(column)
+    ddl = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + ", x array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]):
         lex = Lexicon(lexicon)
         for b in batches:
-            for i in range(0, b.num_rows, 1000):
-                part = b.slice(i, 1000)
-                x = [features(t or "", lex) for t in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [c for k, c in enumerate(part.columns) if k != at] + [pa.array(x, pa.list_(pa.float64()))],
-                    names=[*rest, "x"])
+            for i in range(0, b.num_rows, 200):
+                part = b.slice(i, 200)
+                text = part.column(at).field(field) if field else part.column(at)
+                x = [features(t or "", lex) for t in text.to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(x, pa.list_(pa.float64()))],
+                                                 names=[*part.schema.names, "x"])
+        release_memory()
 
     return df.mapInArrow(run, ddl)
 
@@ -134,14 +137,23 @@ class ToxicityModel:
         v = df.withColumn("v", array_to_vector("x"))
         return self.trees.transform(v).withColumn("margin", vector_to_array("probability")[1])
 
-    def score(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(id, score) of every row; null and empty texts get the score of no features."""
-        src = dense(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), self.lexicon)
+    def _scored(self, df: DataFrame) -> DataFrame:
+        """(.., x) with ``score``."""
         if self.trees is None:
-            return src.select(F.col("id").alias(id_col), F.lit(self.constant).alias("score"))
-        out = self.calibration.transform(self.raw(src))
+            return df.withColumn("score", F.lit(self.constant))
+        out = self.calibration.transform(self.raw(df))
         score = F.least(F.greatest(F.coalesce("prediction_iso", F.lit(self.constant)), F.lit(0.0)), F.lit(1.0))
-        return out.select(F.col("id").alias(id_col), score.alias("score"))
+        return out.withColumn("score", score)
+
+    def score(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+        """(id, score) of every row; null and empty texts get the score of no features."""
+        src = dense(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), self.lexicon).drop("text")
+        return self._scored(src).select(F.col("id").alias(id_col), "score")
+
+    def keep_below(self, df: DataFrame, threshold: float, text_col: str = "text") -> DataFrame:
+        """The rows of ``df`` whose score is below the threshold: a filter without a join or a shuffle."""
+        src = dense(df.select(F.struct("*").alias("row")), self.lexicon, f"row.{text_col}")
+        return self._scored(src).filter(F.col("score") < threshold).select("row.*")
 
 
 def learned_lexicon(rows: DataFrame, size: int = LEXICON) -> dict[str, float]:
@@ -192,7 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, trees: int
     rows = spark.read.parquet(path)
     lexicon = learned_lexicon(rows.filter("part < 5"))
     path = scratch_path(spark, "toxicity-features")
-    dense(rows.filter("part >= 5"), lexicon).coalesce(4).write.parquet(path)
+    dense(rows.filter("part >= 5"), lexicon).drop("text").coalesce(4).write.parquet(path)
     known = spark.read.parquet(path)
     seen = {(r["grow"], r["y"]): r["count"] for r in known.groupBy((F.col("part") < 8).alias("grow"), "y").count().collect()}
     share = sum(c for (_, y), c in seen.items() if y) / max(1, sum(seen.values()))
