@@ -28,12 +28,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.arrays import lowered, mix64, slices, span_hashes, text_bytes, word_bounds
+from ledgerlens.llm.arrays import lowered, mix64, release_memory, slices, span_hashes, text_bytes, word_bounds
 from ledgerlens.llm.registry import register, table
 from ledgerlens.session import scratch_path
 
 DEPTH = 5                            # context bytes; a gram is they and the byte behind them, in 48 bits
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 12 << 20
 PAD, END = 0xFE, 0xFF                # never part of UTF-8
 _LN2, _LOG_PI = math.log(2), math.log(math.pi)
 _HALF = np.concatenate([[0.5 * _LOG_PI], 0.5 * _LOG_PI + np.cumsum(np.log(np.arange(4096) + 0.5))])
@@ -146,7 +146,7 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     spread = np.full(int(offsets[-1]) + (DEPTH + 1) * n, PAD, np.uint8)
     # document k: DEPTH pads, its bytes, the end mark
     shift = np.repeat(np.arange(n) * (DEPTH + 1) + DEPTH, np.diff(offsets))
-    spread[np.arange(int(offsets[-1])) + shift] = data[:offsets[-1]]
+    spread[np.arange(int(offsets[-1])) + shift] = np.minimum(data[:offsets[-1]], PAD - 1)
     spread[offsets[1:] + np.arange(1, n + 1) * (DEPTH + 1) - 1] = END
     code = spread[DEPTH:].astype(np.int64)
     for k in range(1, DEPTH + 1):
@@ -261,6 +261,8 @@ def _asked(docs: DataFrame, parts: int) -> DataFrame:
                         for p, at in _dealt(kind, key, parts)]
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ASKED)], schema=_ASKED)
+        sums.clear()
+        release_memory()
     return docs.select("chunk", "text", "train").mapInArrow(
         run, "kind tinyint, part int, chunk bigint, n int, keys binary, counts binary")
 
@@ -322,41 +324,44 @@ def _scored(docs: DataFrame, answers: DataFrame, parts: int, total: int, distinc
     """Texts meet the answers to their chunk; one chunk is one group of a bounded number of bytes."""
     kind_of_id = dict(docs.dtypes)["id"]
 
-    def answered(kind: int, keys: list[np.ndarray], rows: dict, dtype) -> tuple[np.ndarray, np.ndarray]:
-        """The chunk's distinct keys in order, and their values."""
-        key = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    def answered(kind: int, key: np.ndarray, rows: dict, dtype) -> np.ndarray:
+        """The values of the chunk's distinct keys (in order)."""
         value = np.zeros(len(key), dtype)
         for part, at in _dealt(kind, key, parts):
             n, raw = rows[kind, part]
             if n != len(at):
                 raise ValueError("a chunk isn't what it was when it asked; the input has changed")
             value[at] = _unpacked(raw, n, dtype)
-        return key, value
+        return value
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["id", "n_tokens", "n_known", "base_score", "score", "n_bytes"]
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
-        left = left.combine_chunks()
         if not left.num_rows:
             return pa.table([left["id"], *(pa.array([], k) for k in kinds)], names=names)
+        text = left["text"].combine_chunks()
         rows = {(k, p): (n, v) for k, p, n, v in zip(*(right[c].to_pylist() for c in ("kind", "part", "n", "values")))}
-        held = []
-        for i, j, codes, ends, words, doc in _documents(left["text"].chunk(0)):
-            of, codes = pd.factorize(codes)
-            word_of, words = pd.factorize(words)
-            held.append((i, j, codes, of.astype(np.int32), ends, words, word_of.astype(np.int32), doc.astype(np.int32)))
-        gram, cost = answered(0, [h[2] for h in held], rows, np.float64)
-        word, count = answered(1, [h[5] for h in held], rows, np.int64)
+        # once over the texts for the keys, as when the chunk asked, and once more to score: nothing per byte is held
+        sums = _Sums(), _Sums()
+        for i, j, codes, _, words, _ in _documents(text, 1 << 20):
+            for s, keys in zip(sums, (codes, words)):
+                s.add(keys, np.zeros(len(keys), bool))
+        gram, word = (s.total()[0] for s in sums)
+        cost, count = answered(0, gram, rows, np.float64), answered(1, word, rows, np.int64)
+        del rows, sums
         base = -math.log10(total + distinct + 1)
         out = [[] for _ in range(5)]
-        for i, j, codes, of, ends, words, word_of, doc in held:
+        for i, j, codes, ends, words, doc in _documents(text, 1 << 20):
+            of, codes = pd.factorize(codes)
             score = np.add.reduceat(cost[np.searchsorted(gram, codes)][of], np.append(0, ends[:-1]))
-            c = count[np.searchsorted(word, words)][word_of] if len(words) else np.zeros(0, np.int64)
+            of, words = pd.factorize(words)
+            c = count[np.searchsorted(word, words)][of] if len(words) else np.zeros(0, np.int64)
             n = np.bincount(doc, minlength=j - i)
             known = np.bincount(doc[c > 0], minlength=j - i) + (trained > 0)
             points = np.bincount(doc, np.log10(c + 1.0), j - i) + math.log10(trained + 1) + (n + 1) * base
             for o, x in zip(out, (n + 1, known, points, score, np.diff(np.append(0, ends)) - 1)):
                 o.append(x)
+        release_memory()
         return pa.table([left["id"], *(pa.array(np.concatenate(o)) for o in out)], names=names)
 
     return (docs.select("chunk", "id", "text").groupBy("chunk").cogroup(answers.groupBy("chunk"))
