@@ -77,15 +77,16 @@ class WordEncoder:
         mine = np.flatnonzero(simple)
         parts = []
         # letters never give the comma's id: it marks the ends of words in one long string
-        for e in self.plain.encode_batch_fast([" , ".join([words[i] for i in mine[k:k + 1000]]) + " ,"
-                                               for k in range(0, len(mine), 1000)], add_special_tokens=False):
-            parts.append(np.array(e.ids, np.uint32))
+        for k in range(0, len(mine), 1000):
+            text = " , ".join([words[i] for i in mine[k:k + 1000]]) + " ,"
+            parts.append(np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32))
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
         ends = np.flatnonzero(ids == self.comma[0])
         size[mine] = np.diff(np.append(-1, ends)) - 1
         simple_ids = ids[ids != self.comma[0]]
         other = np.flatnonzero(~simple)
-        found = [e.ids for e in self.tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)]
+        found = [e.ids for k in range(0, len(other), 1000) for e in self.tokenizer.encode_batch_fast(
+            [words[i] for i in other[k:k + 1000]], add_special_tokens=False)]
         size[other] = [len(x) for x in found]
         at = np.cumsum(size) - size
         flat = np.zeros(int(size.sum()), np.uint32)
