@@ -148,5 +148,5 @@ SELECT * , TRUE AS scored FROM (VALUES (30), (40)) a(num_trees), (VALUES (8), (1
        (VALUES (1), (2)) c(min_instances), (VALUES ('sqrt'), ('log2'), ('all')) d(feature_subset)""")
 def q_random_search(spark, sf):
     train, _ = L.random_split(_urls(spark, sf), "page_id", (0.7, 0.3), 42)
-    _, res = ML.random_search(train, ML.url_pipeline("label_enc"), n_iter=50, folds=3, parallelism=8)
+    _, res = ML.random_search(train, ML.url_pipeline("label_enc"), n_iter=50, folds=3, parallelism=4)
     return res.withColumn("scored", F.col("mean_f1").between(0.0, 1.0)).drop("mean_f1")

@@ -15,7 +15,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
     from ledgerlens.session import DEFAULT_CONF
-    b = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+    b = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false"))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
