@@ -11,12 +11,15 @@ Steps, each a Spark job over the output of the one before (kept in the shared fo
 4. Neighbours within a region whose signatures agree often enough (5 standard deviations below the threshold) are
    tied together; ties that close over all regions give families.  No link is tested here, and only the ties that
    span a region are kept, never all its pairs.
-5. Links are confirmed on the full shingle sets: inside a family if it is small, else inside every region of its
+5. Links are confirmed on the full shingle sets: inside a family if it is small, else first inside every region of its
    members.  Each is a breadth-first walk that compares one set with all that are not yet reached.
+6. What the cuts keep apart is tested as well: in a crowded region all pairs of different families (signatures, before
+   step 5), in a large family all pairs of different components (full sets, after it).  ``crossing`` deals them into
+   tasks of two blocks of about ``REGION`` members; members that are joined already are not compared again.
 
-So a pair is missed only if no tree brings it into one region, or its signatures disagree by chance: for a pair at the
-threshold 0.85 about 1 in 1,000,000 (5 places, 24 trees).  Where crowds are cut at 7 places it is 1 in 4,000 for the two
-of them alone, but there the pieces of the crowd are compared as well and most pairs are tied by other members.
+So a pair is missed only if no tree brings it into one region of ``DEPTHS[0]`` places, or its signatures disagree by
+chance (``least_agreement``): (1 - s^5)^24 is 1 in 1,300,000 at s = 0.85, 1 in 14,000 at s = 0.80.  The deeper cuts only
+save work.
 """
 
 from __future__ import annotations
@@ -140,8 +143,9 @@ def _dealt(rows: DataFrame, level: int) -> DataFrame:
             .union(shared.select(region(F.col("p")), "id")))
 
 
-def forest_regions(classes: DataFrame) -> DataFrame:
-    """(region, id): the members of every region of two or more, none with many more than ``REGION``.
+def forest_regions(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(region, id): the members of every region of two or more, none with many more than ``REGION``; and (grp, id) of
+    the regions that were cut, or None.
 
     A crowded region is cut by the next depth into smaller ones, and one member of each of those (its smallest id; a
     member that is alone stands for itself) forms a region, too: so the pieces of a crowd stay in touch, as neighbours
@@ -149,7 +153,7 @@ def forest_regions(classes: DataFrame) -> DataFrame:
     equal), or a crowd falls into more pieces than that, the members are dealt into parts that share the smallest id.
     """
     spark = classes.sparkSession
-    out, entries = [], forest_entries(classes, DEPTHS[0])
+    out, entries, cut = [], forest_entries(classes, DEPTHS[0]), None
     for level, depth in enumerate(DEPTHS):
         sums = [F.count(F.lit(1)).alias("n"), F.min("id").alias("least")]
         counts = entries.groupBy("tree", "key").agg(*sums, *([F.min("parent").alias("parent")] if level else []))
@@ -166,11 +170,36 @@ def forest_regions(classes: DataFrame) -> DataFrame:
             out.append(_dealt(members, level))
             break
         out.append(_dealt(members.filter(F.col("n") <= REGION), level))
+        if not level:
+            cut = crowded.select(F.xxhash64("tree", "key").alias("grp"), "id")
         entries = deeper_entries(crowded.select("id", "tree", F.col("key").alias("parent")), classes, DEPTHS[level + 1])
     regions = out[0]
     for more in out[1:]:
         regions = regions.union(more)
-    return regions
+    return regions, cut
+
+
+def crossing(members: DataFrame) -> DataFrame:
+    """(task, side, part, id): tasks that bring together all pairs of different parts of a group.
+
+    ``members`` has (grp, id, part, n), n the shingles of the id.  The largest part of a group needs no test inside, so
+    the others are dealt into blocks of about ``REGION`` members (and ``FAMILY_SHINGLES``), and so is the largest; a
+    task is one block of the others against itself (one side) or against another block.  Groups of one part are left out.
+    """
+    parts = members.groupBy("grp", "part").agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("n"))
+    groups = (parts.groupBy("grp").agg(F.count(F.lit(1)).alias("parts"), F.sum("ids").alias("ids"), F.sum("n").alias("n"),
+                                       F.max(F.struct("ids", "n", "part")).alias("top")).filter("parts >= 2"))
+    blocks = lambda ids, n: F.greatest(F.ceil(ids / REGION), F.ceil(n / FAMILY_SHINGLES), F.lit(1)).cast("bigint")
+    groups = groups.select("grp", F.col("top.part").alias("top"),
+                           blocks(F.col("ids") - F.col("top.ids"), F.col("n") - F.col("top.n")).alias("few"),
+                           blocks(F.col("top.ids"), F.col("top.n")).alias("rest"))
+    rows = members.select("grp", "id", "part").join(groups, "grp")
+    at, is_top = F.xxhash64(F.lit("block"), "id"), F.col("part") == F.col("top")
+    rows = rows.withColumn("block", F.when(is_top, F.col("few") + F.pmod(at, F.col("rest"))).otherwise(F.pmod(at, F.col("few"))))
+    last = F.when(is_top, F.col("few")).otherwise(F.col("few") + F.col("rest")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    return rows.select(F.xxhash64("grp", F.least("block", "other"), F.greatest("block", "other")).alias("task"),
+                       (F.col("block") > F.col("other")).cast("int").alias("side"), "part", "id")
 
 
 def _by_group(batches: Iterator[pa.RecordBatch], most_rows: int = 50_000) -> Iterator[pa.RecordBatch]:
@@ -252,8 +281,23 @@ def walk(n: int, linked) -> Iterator[tuple[int, np.ndarray]]:
                 rest = rest[~hit]
 
 
-def confirmed(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(id, ids that links reach from it): links are 100 * intersection >= percent * union, compared in full."""
+def walk_across(side: np.ndarray, part: np.ndarray, linked) -> Iterator[tuple[int, int]]:
+    """Linked nodes of different parts, each pair of which joins two parts; ``part`` is overwritten.
+
+    Pairs of one node of either side are tested, or all if there is one side only.
+    """
+    one = side.min() == side.max()
+    for i in np.flatnonzero(side == side.min()):
+        rest = np.flatnonzero((part != part[i]) & ((np.arange(len(side)) > i) if one else (side != side[i])))
+        hit = rest[linked(i, rest)] if len(rest) else rest
+        for j in hit:
+            if part[j] != part[i]:
+                part[part == part[j]] = part[i]
+                yield int(i), int(j)
+
+
+def set_links(sets: list[np.ndarray], percent: int):
+    """A function (i, rest): which sets of ``rest`` have 100 * intersection >= percent * union with set i."""
     size = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets)
     names, flat = np.unique(flat, return_inverse=True)
@@ -272,7 +316,12 @@ def confirmed(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator
         mark[mine] = False
         return out
 
-    for a, rest in walk(len(ids), linked):
+    return linked
+
+
+def confirmed(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(id, ids that links reach from it): links are 100 * intersection >= percent * union, compared in full."""
+    for a, rest in walk(len(ids), set_links(sets, percent)):
         yield ids[a], ids[rest]
 
 
@@ -299,6 +348,48 @@ def confirmed_links(groups: DataFrame, percent: int, k: int) -> DataFrame:
             .mapInArrow(run, "a bigint, b bigint"))
 
 
+def _across(rows: DataFrame, value: str, linker) -> DataFrame:
+    """(a, b): links that join parts, of the tasks of ``crossing`` with a column ``value``; ``linker`` makes
+    ``linked(i, rest)`` of an array of its values."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in _by_group(batches):
+            task, side, part, ids = (b.column(i).to_numpy() for i in range(4))
+            starts, left, right = _starts(task), [], []
+            for s, e in zip(starts[:-1], starts[1:]):
+                own = part[s:e].copy()
+                if (own == own[0]).all():
+                    continue
+                for i, j in walk_across(side[s:e], own, linker(b.column(4).slice(s, e - s))):
+                    left.append(ids[s + i])
+                    right.append(ids[s + j])
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.int64)) for x in (left, right)], names=["a", "b"])
+        release_memory()
+    return (rows.select("task", "side", "part", "id", value).repartition("task").sortWithinPartitions("task")
+            .mapInArrow(run, "a bigint, b bigint"))
+
+
+def crossing_ties(cut: DataFrame, families: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """(a, b): ties of classes of one crowded region (grp, id) that are in different families (id, component)."""
+    def linker(column: pa.Array):
+        sk = _matrix(column, np.uint8)
+        return lambda i, rest: (sk[rest] == sk[i]).sum(1) >= least
+
+    part = F.coalesce("component", "id").alias("part")
+    members = cut.join(families, "id", "left").select("grp", "id", part, F.lit(0).alias("n"))
+    return _across(crossing(members).join(_low_bytes(classes), "id"), "sketch", linker)
+
+
+def crossing_links(members: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
+    """(a, b): confirmed links of ``members`` (grp, id, part, n) of one group in different parts; texts has (id, text)."""
+    def linker(column: pa.Array):
+        sets = []
+        for _, _, hashes, bounds in batch_shingles(column, k):
+            sets += [hashes[x:y] for x, y in zip(bounds[:-1], bounds[1:])]
+        return set_links(sets, percent)
+
+    return _across(crossing(members).join(texts, "id"), "text", linker)
+
+
 def near_duplicates(df: DataFrame, percent: int = 80, k: int = 5, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every row: documents with 100 * |A & B| >= percent * |A | B| are linked.
@@ -321,13 +412,21 @@ def near_duplicates(df: DataFrame, percent: int = 80, k: int = 5, id_col: str =
     classes = kept(members.select("id", "n", "f1", "f2").join(known.select("id", "n", "f1", "f2", "sig"),
                                                                ["id", "n", "f1", "f2"])
                    .select("id", "n", "sig").dropDuplicates(["id", "n", "sig"]), "class-signatures")
-    regions = forest_regions(classes)
-    families = connected_components(tied_pairs(regions, classes, least_agreement(percent / 100)))
+    regions, cut = forest_regions(classes)
+    least = least_agreement(percent / 100)
+    ties = tied_pairs(regions, classes, least)
+    if cut is not None:
+        ties = kept(ties, "ties")
+    families = connected_components(ties)
+    if cut is not None:
+        more = kept(crossing_ties(cut, families, classes, least), "crossing-ties")
+        if more.limit(1).count():
+            families = connected_components(ties.union(more))
     families = families.join(classes.groupBy("id").agg(F.sum("n").alias("n")), "id")
     weight = families.groupBy("component").agg(F.count(F.lit(1)).alias("ids"), F.sum("n").alias("shingles"))
     small = (F.col("ids") <= REGION) & (F.col("shingles") <= FAMILY_SHINGLES)
     families = kept(families.join(weight.select("component", small.alias("small")), "component")
-                    .select("id", "component", "small"), "families")
+                    .select("id", "component", "small", "n"), "families")
     texts = df.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     large = families.filter("NOT small")
     has_large = large.limit(1).count() > 0
@@ -336,8 +435,15 @@ def near_duplicates(df: DataFrame, percent: int = 80, k: int = 5, id_col: str =
     if has_large:
         inside = regions.join(large.select("id"), "id").select(F.col("region").alias("grp"), "id")
         big = kept(found.filter("NOT small").select("id", "text"), "large-family-texts")
-        links = links.union(confirmed_links(inside.join(big, "id").select("grp", "id", "text"), percent, k))
+        links = kept(links.union(confirmed_links(inside.join(big, "id").select("grp", "id", "text"), percent, k)), "links")
     components = connected_components(links)
+    if has_large:
+        joined = components.withColumnRenamed("component", "part")
+        apart = (large.join(joined, "id", "left")
+                 .select(F.col("component").alias("grp"), "id", F.coalesce("part", "id").alias("part"), "n"))
+        more = kept(crossing_links(apart, big, percent, k), "crossing-links")
+        if more.limit(1).count():
+            components = connected_components(links.union(more))
     return _assigned(docs, members, components)
 
 

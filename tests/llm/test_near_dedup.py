@@ -87,6 +87,42 @@ def test_crowded_regions_and_large_families(spark, monkeypatch):
     check(spark, [(1000 - i, t) for i, t in enumerate(texts)], 85)
 
 
+@pytest.mark.parametrize("shingles", [100_000, 3_000])
+def test_star_around_a_middle_id(spark, monkeypatch, shingles):
+    """Each variant is linked with the hub only, in a family and regions far above REGION."""
+    monkeypatch.setattr(near_dedup, "REGION", 24)
+    monkeypatch.setattr(near_dedup, "FAMILY_SHINGLES", shingles)
+    r = random.Random(3)
+    hub = [f"w{i}" for i in range(204)]
+    texts = []
+    for n in range(240):
+        w = list(hub)
+        for at in r.sample(range(5, 199, 6), 3):
+            w[at] = f"x{n}-{at}"
+        texts.append(" ".join(w))
+    texts.insert(120, " ".join(hub))
+    rows = list(enumerate(texts))
+    assert {c for _, c in brute(rows, 85).values()} == {0}
+    check(spark, rows, 85)
+
+
+def test_pairs_across_parts_are_all_tested(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "REGION", 4)
+    rows = [(g, 100 * g + i, 100 * g + (0 if i < 9 else i), 1) for g in range(3) for i in range(9 if g == 2 else 30)]
+    tasks = {}
+    for x in near_dedup.crossing(spark.createDataFrame(rows, "grp long, id long, part long, n long")).collect():
+        tasks.setdefault(x.task, []).append((x.side, x.part, x.id))
+    got = set()
+    for t in tasks.values():
+        side, part = np.array([x[0] for x in t]), np.array([x[1] for x in t])
+
+        def linked(i, rest):
+            got.update(frozenset((t[i][2], t[j][2])) for j in rest)  # noqa: B023
+            return np.zeros(len(rest), bool)
+        assert not list(near_dedup.walk_across(side, part, linked))
+    assert got == {frozenset((a[1], b[1])) for a in rows for b in rows if a[0] == b[0] and a[2] != b[2]}
+
+
 def test_odd_ids_and_columns(spark):
     text = "one two three four five six"
     df = spark.createDataFrame([(None, text, 1, "n"), (7, text, 2, "n"), (7, text, 2, "n"), (3, text + " .", 1, "n"),
