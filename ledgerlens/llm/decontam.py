@@ -124,22 +124,31 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return kept.join(kept.groupBy("item").agg(F.count(F.lit(1)).alias("windows")), "item")
 
 
-def anchors(wanted: DataFrame, cover: float, sample: DataFrame) -> DataFrame:
-    """(key): a plain token of more than (1 - cover) of every item's windows.
+def anchors(wanted: DataFrame, cover: float, sample: DataFrame) -> DataFrame | None:
+    """(key): a plain token of more than (1 - cover) of every item's windows; None if an item has too few of them.
+
+    Only tokens that no mask has touched count: of "U.S." behind a lower-case word the template keeps a rest, which no
+    document has among its plain tokens.
 
     Each window offers the token that fewest documents of ``sample`` (text) have, of those the longest, and the windows
     with the rarest go first; so the sample has a say in how much is sifted out, never in what is found.
     """
-    plain = wanted.select("item", "windows", "at", F.explode(F.array_distinct("template")).alias("t"))
-    plain = plain.filter(~F.col("t").isin(NUMBER, UNIT, NAME))
+    same = F.zip_with("template", "own", lambda t, o: F.when(t == o, t))
+    plain = wanted.select("item", "windows", "at", F.explode(F.array_distinct(F.array_compact(same))).alias("t"))
     seen = (sample.select(F.explode(F.array_distinct(_quick(F.col("text")))).alias("t"))
             .join(plain.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.count(F.lit(1)).alias("docs")))
     best = (plain.join(seen, "t", "left").groupBy("item", "windows", "at")
             .agg(F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("n"), -F.length("t"), "t")).alias("a")))
     # one row a window of an item: as many as the item has tokens
     rank = F.row_number().over(Window.partitionBy("item").orderBy("a"))
-    return (best.withColumn("rank", rank).filter(F.col("rank") <= F.floor(F.col("windows") * (1 - cover)) + 1)
-            .select(F.col("a.t").alias("key")).distinct())
+    need = F.floor(F.col("windows") * (1 - cover)) + 1
+    path = scratch_path(sample.sparkSession, "anchors")
+    best.withColumn("rank", rank).filter(F.col("rank") <= need).write.parquet(path)
+    best = sample.sparkSession.read.parquet(path)
+    full = best.groupBy("item", "windows").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= need)
+    if wanted.join(full, "item", "left_anti").limit(1).count():
+        return None
+    return best.select(F.col("a.t").alias("key")).distinct()
 
 
 def sieve(keys: DataFrame, per_key: int):
@@ -173,7 +182,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                      .collect())
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     part = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-docs.count() // SAMPLE)))) == 0
-    holds = sieve(anchors(wanted, cover, src.filter(part).select("text")), 128)
+    keys = anchors(wanted, cover, src.filter(part).select("text"))
+    holds = sieve(keys, 128) if keys is not None else None
     if holds is not None:
         src = once(src, _quick(F.col("text")), "quick").filter(F.exists("quick", holds)).select("id", "text")
     src = once(src, template_tokens(F.col("text")), "t")

@@ -57,6 +57,16 @@ def test_short_items_and_filter_size(spark, monkeypatch, bits):
         (0, 0, False), (3, 4, False)]
 
 
+@pytest.mark.parametrize("bits", [decontam.FILTER_BITS, 0])
+def test_partly_masked_tokens(spark, monkeypatch, bits):
+    """The filter must not look for what a mask leaves of a token."""
+    monkeypatch.setattr(decontam, "FILTER_BITS", bits)
+    items = ["he came to the U.S. when very young", "some call it code in C++ and like it",
+             "most of the H2O here is from rain", "with U.S. in U.S. in U.S. in U.S."]
+    texts = [*items, "nothing of the kind stands in this text", "so we heard he came to the U.S. when very young"]
+    assert found(spark, texts, items) == [(0, 0, False), (1, 1, False), (2, 2, False), (3, 3, False), (5, 0, False)]
+
+
 def words_of(text):
     return re.sub(r"[^\w\s]", "", text.lower()).split()
 
