@@ -2,10 +2,12 @@
 
 Numbers, units and names of a text are replaced by typed placeholders, the rest is lower-cased and stripped of
 punctuation; what is left is the text's template.  Windows of 8 template tokens of the documents are hash-joined to
-those of the benchmark items.  For every alignment of a document with an item the values in the slots (the tokens
+those of the benchmark items; windows whose template has too few plain tokens are joined by their plain tokens, so they
+are found word for word only.  For every alignment of a document with an item the values in the slots (the tokens
 behind the placeholders) must be consistent: one value of the item always stands for one value of the document.  So an
 item is found both as it is and re-parameterised, while a chance agreement of templates is not.  A document holds an
-item if the windows of consistent alignments cover at least half of the item's windows.
+item if the windows of consistent alignments cover at least half of the item's windows, or of those with enough plain
+tokens.
 
 All of it is DataFrame expressions.  Templates cost several passes over a text, so documents are sifted first by plain
 tokens: of each item, more windows than a document may lack are given an anchor (their longest plain token, the
@@ -28,7 +30,7 @@ from ledgerlens.session import scratch_path
 
 WINDOW = 8                           # tokens; windows are built by doubling, so a power of two
 SHORTEST = 5                         # an item with fewer tokens can't be told from ordinary text and is never found
-PLAIN = 4                            # tokens of a window that must not be placeholders
+PLAIN = 4                            # tokens of a template's window that must not be placeholders
 FILTER_BITS = 1 << 24
 SAMPLE = 5000                        # documents that tell which words are rare
 COVER = 0.5                          # share of an item's windows that makes a leak
@@ -103,49 +105,65 @@ def short_hash(tokens: Column) -> Column:
 
 
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(key, item, at, windows, template, own): the windows of every item that have enough plain tokens.
+    """(key, item, at, template, own, plain, windows, typed): the windows of every item.
 
-    An item of SHORTEST to WINDOW - 1 tokens is one window of its own length.
+    An item of SHORTEST to WINDOW - 1 tokens is one window of its own length.  ``plain``: the template has enough plain
+    tokens (``typed`` of the item's ``windows``); else the window's own tokens stand for its template.  A capital at the
+    start of an item is no name there, but is one behind a document's words: the first window has that key, too.
     """
     src = items.select(F.col(id_col).cast("bigint").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     src = once(once(src, template_tokens(F.col("text")), "t"), plain_tokens(F.col("text")), "p")
     src = src.filter(F.size("t") >= SHORTEST)
-    whole = F.array(F.struct(F.lit(0).alias("at"), short_hash(F.col("t")).alias("key"), F.col("t").alias("template"),
-                             F.col("p").alias("own")))
-    src = with_windows(src, "t", "h")
-    cut = F.transform("h", lambda h, i: F.struct(
-        i.alias("at"), h.alias("key"), F.slice("t", i + 1, WINDOW).alias("template"), F.slice("p", i + 1, WINDOW).alias("own")))
-    rows = (once(src, F.when(F.size("t") < WINDOW, whole).otherwise(cut), "w")
+    behind = template_tokens(F.concat(F.lit("x "), F.regexp_replace("text", r"^\s+", "")))
+    src = once(src, F.slice(behind, 2, WINDOW), "b")
+    row = lambda at, key, template, own, exact: F.struct(
+        at.alias("at"), key.alias("key"), template.alias("template"), own.alias("own"), F.lit(exact).alias("exact"))
+    t, p, b = F.col("t"), F.col("p"), F.col("b")
+    whole = F.array(row(F.lit(0), short_hash(t), t, p, False), row(F.lit(0), short_hash(p), p, p, True),
+                    row(F.lit(0), short_hash(b), t, p, False))
+    src = with_windows(with_windows(with_windows(src, "t", "h"), "p", "e"), "b", "f")
+    cut = lambda h, first, exact: F.transform(h, lambda x, i: row(
+        i, x, F.slice(first, i + 1, WINDOW), F.slice("p", i + 1, WINDOW), exact))
+    rows = (once(src, F.when(F.size("t") < WINDOW, whole)
+                 .otherwise(F.concat(cut("h", "t", False), cut("e", "p", True), cut("f", "t", False))), "w")
             .select("item", F.explode("w").alias("w")).select("item", "w.*"))
-    kept = rows.filter(F.size(F.filter("template", lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= F.lit(PLAIN)).distinct()
+    enough = F.size(F.filter("template", lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= F.lit(PLAIN)
     path = scratch_path(items.sparkSession, "benchmark-windows")
-    kept.write.parquet(path)
-    kept = items.sparkSession.read.parquet(path)
-    return kept.join(kept.groupBy("item").agg(F.count(F.lit(1)).alias("windows")), "item")
+    rows.filter(F.col("exact") | enough).distinct().write.parquet(path)
+    rows = items.sparkSession.read.parquet(path)
+    at = rows.groupBy("item", "at").agg(F.max(~F.col("exact")).alias("plain"))
+    sizes = at.groupBy("item").agg(F.count(F.lit(1)).alias("windows"), F.count_if("plain").alias("typed"))
+    return rows.join(at, ["item", "at"]).filter(F.col("exact") != F.col("plain")).drop("exact").join(sizes, "item")
 
 
 def anchors(wanted: DataFrame, cover: float, sample: DataFrame) -> DataFrame | None:
-    """(key): a plain token of more than (1 - cover) of every item's windows; None if an item has too few of them.
+    """(key): a plain token of more than (1 - cover) of every item's windows, and of its windows that have enough plain
+    tokens; None if an item has too few of them.
 
-    Only tokens that no mask has touched count: of "U.S." behind a lower-case word the template keeps a rest, which no
-    document has among its plain tokens.
+    A window of the latter kind offers the plain tokens of its template, the others are found by all their tokens.  Only
+    tokens that no mask has touched count: of "U.S." behind a lower-case word the template keeps a rest, which no document
+    has among its plain tokens.
 
     Each window offers the token that fewest documents of ``sample`` (text) have, of those the longest, and the windows
     with the rarest go first; so the sample has a say in how much is sifted out, never in what is found.
     """
     same = F.zip_with("template", "own", lambda t, o: F.when(t == o, t))
-    plain = wanted.select("item", "windows", "at", F.explode(F.array_distinct(F.array_compact(same))).alias("t"))
+    plain = wanted.select("item", "windows", "typed", "plain", "at",
+                          F.explode(F.array_distinct(F.array_compact(same))).alias("t"))
     seen = (sample.select(F.explode(F.array_distinct(_quick(F.col("text")))).alias("t"))
             .join(plain.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.count(F.lit(1)).alias("docs")))
-    best = (plain.join(seen, "t", "left").groupBy("item", "windows", "at")
+    best = (plain.join(seen, "t", "left").groupBy("item", "windows", "typed", "plain", "at")
             .agg(F.min(F.struct(F.coalesce("docs", F.lit(0)).alias("n"), -F.length("t"), "t")).alias("a")))
     # one row a window of an item: as many as the item has tokens
-    rank = F.row_number().over(Window.partitionBy("item").orderBy("a"))
-    need = F.floor(F.col("windows") * (1 - cover)) + 1
+    needs = [F.floor(F.col(c) * (1 - cover)) + 1 for c in ("windows", "typed")]
+    first = [F.row_number().over(Window.partitionBy(*by).orderBy("a")) <= need
+             for by, need in zip((["item"], ["item", "plain"]), needs)]
     path = scratch_path(sample.sparkSession, "anchors")
-    best.withColumn("rank", rank).filter(F.col("rank") <= need).write.parquet(path)
+    (best.withColumn("any", first[0]).withColumn("same", F.col("plain") & first[1]).filter("any OR same")
+     .write.parquet(path))
     best = sample.sparkSession.read.parquet(path)
-    full = best.groupBy("item", "windows").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= need)
+    full = (best.groupBy("item", "windows", "typed").agg(F.count_if("any").alias("n"), F.count_if("same").alias("m"))
+            .filter((F.col("n") >= needs[0]) & ((F.col("typed") == 0) | (F.col("m") >= needs[1]))))
     if wanted.join(full, "item", "left_anti").limit(1).count():
         return None
     return best.select(F.col("a.t").alias("key")).distinct()
@@ -168,7 +186,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
           item_text_col: str = "text", cover: float = COVER) -> DataFrame:
     """(id, item, windows, item_windows, cover, changed) of every document that holds an item.
 
-    ``windows``: distinct windows of the item found in consistent alignments; ``changed``: some slot has another value
+    ``windows``: distinct windows of the item found in consistent alignments, ``item_windows``: all it has; or both
+    without those that have too few plain tokens, where that is the larger share.  ``changed``: some slot has another value
     than in the item.  Null and empty texts hold nothing and are not held; rows with one id count together (null ids,
     too); repeated items give a row each id.  Either table may be empty; other columns are not read.
     """
@@ -188,18 +207,18 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         src = once(src, _quick(F.col("text")), "quick").filter(F.exists("quick", holds)).select("id", "text")
     src = once(src, template_tokens(F.col("text")), "t")
     at_key = lambda h, i, length: F.struct(i.alias("at"), h.alias("key"), F.lit(length).alias("length"))
-    src = with_windows(src, "t", "h")
-    found = F.transform("h", lambda h, i: at_key(h, i, WINDOW))
+    src = once(src, plain_tokens(F.col("text")), "p")
+    src = with_windows(with_windows(src, "t", "h"), "p", "e")
     known = sieve(wanted.select("key").distinct(), 16)
     thin = (lambda a: F.filter(a, lambda x: known(x["key"]))) if known is not None else (lambda a: a)
-    found = thin(found)
+    found = F.concat(*(thin(F.transform(c, lambda h, i: at_key(h, i, WINDOW))) for c in ("h", "e")))
     for length in lengths:
-        short = F.transform(F.sequence(F.lit(0), F.greatest(F.size("t") - length, F.lit(-1))), lambda i: at_key(
-            short_hash(F.slice("t", i + 1, F.lit(length))), i, length))
-        found = F.concat(found, thin(F.when(F.size("t") >= length, short).otherwise(F.array().cast(
-            "array<struct<at:int,key:bigint,length:int>>"))))
-    src = once(src, found, "hits").select("id", "text", "hits").filter(F.size("hits") > 0)
-    src = once(src, plain_tokens(F.col("text")), "p").select("id", "hits", "p")
+        for c in ("t", "p"):
+            short = F.transform(F.sequence(F.lit(0), F.greatest(F.size(c) - length, F.lit(-1))), lambda i: at_key(
+                short_hash(F.slice(c, i + 1, F.lit(length))), i, length))  # noqa: B023
+            found = F.concat(found, thin(F.when(F.size(c) >= length, short).otherwise(F.array().cast(
+                "array<struct<at:int,key:bigint,length:int>>"))))
+    src = once(src, F.array_distinct(found), "hits").select("id", "hits", "p").filter(F.size("hits") > 0)
     src = once(src, F.transform("hits", lambda x: F.struct(x["at"].alias("at"), x["key"].alias("key"),
                                                            F.slice("p", x["at"] + 1, x["length"]).alias("mine"))), "h")
     hits = src.select("id", F.explode("h").alias("h")).select("id", F.col("h.at").alias("place"), "h.key", "h.mine")
@@ -210,16 +229,21 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     both = both.filter(F.forall("pairs", lambda p: slot(p["t"]) | (p["a"] == p["b"])))
     both = both.withColumn("slots", F.filter("pairs", lambda p: slot(p["t"])))
     # one alignment has at most as many slots as the item has tokens
-    aligned = (both.groupBy("id", "item", "windows", (F.col("place") - F.col("at")).alias("shift"))
-               .agg(F.collect_set("at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
+    aligned = (both.groupBy("id", "item", "windows", "typed", (F.col("place") - F.col("at")).alias("shift"))
+               .agg(F.collect_set(F.struct("at", "plain")).alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
     values = F.transform("slots", lambda p: F.struct(p["t"], p["a"]))
     good = aligned.filter(F.size("slots") == F.size(F.array_distinct(values)))
     good = good.withColumn("changed", F.exists("slots", lambda p: p["a"] != p["b"]))
-    by_item = (good.select("id", "item", "windows", "changed", F.explode("ats").alias("at"))
-               .groupBy("id", "item", F.col("windows").alias("item_windows"))
-               .agg(F.countDistinct("at").alias("windows"), F.max("changed").alias("changed")))
-    return (by_item.withColumn("cover", F.col("windows") / F.col("item_windows")).filter(F.col("cover") >= cover)
-            .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "windows", "item_windows", "cover", "changed"))
+    by_item = (good.select("id", "item", "windows", "typed", "changed", F.explode("ats").alias("w"))
+               .groupBy("id", "item", F.col("windows").alias("all"), "typed")
+               .agg(F.countDistinct("w.at").alias("n"), F.countDistinct(F.when(F.col("w.plain"), F.col("w.at"))).alias("m"),
+                    F.max("changed").alias("changed")))
+    share = lambda n, of: F.struct((F.col(n) / F.col(of)).alias("cover"), F.col(n).alias("windows"),
+                                   F.col(of).alias("item_windows"))
+    # greatest() skips a null
+    by_item = by_item.withColumn("best", F.greatest(share("n", "all"), F.when(F.col("typed") > 0, share("m", "typed"))))
+    return (by_item.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.windows", "best.item_windows",
+                           "best.cover", "changed").filter(F.col("cover") >= cover))
 
 
 @register("op10_template_leaks")

@@ -67,6 +67,19 @@ def test_partly_masked_tokens(spark, monkeypatch, bits):
     assert found(spark, texts, items) == [(0, 0, False), (1, 1, False), (2, 2, False), (3, 3, False), (5, 0, False)]
 
 
+@pytest.mark.parametrize("bits", [decontam.FILTER_BITS, 0])
+def test_few_plain_tokens_and_other_contexts(spark, monkeypatch, bits):
+    monkeypatch.setattr(decontam, "FILTER_BITS", bits)
+    items = ["Who wrote Pride and Prejudice?", "sum 12 30 7 9 and 2 4 8", "What is the capital of France?",
+             "Ann, Bob, Carl Dent, Eve Frank, Gus Hall, Ira Jones"]
+    texts = ["Question: Who wrote Pride and Prejudice? Answer: Jane Austen", "first sum 12 30 7 9 and 2 4 8",
+             "Question: What is the capital of France?", "so, Ann, Bob, Carl Dent, Eve Frank, Gus Hall, Ira Jones too",
+             "Question: What is the capital of Spain?",
+             "Who wrote Crime and Punishment?", "first sum 13 31 7 9 and 2 4 8", "Paris is the capital of France"]
+    assert found(spark, texts, items) == [
+        (0, 0, False), (1, 1, False), (2, 2, False), (3, 3, False), (4, 2, True)]
+
+
 def words_of(text):
     return re.sub(r"[^\w\s]", "", text.lower()).split()
 
