@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import simple8b
-from ledgerlens.llm.arrays import text_bytes
+from ledgerlens.llm.arrays import span_hashes, text_bytes
 from ledgerlens.llm.token_store import digest_tokens, encoder, read_tokens, store_and_digest, write_tokens
 from ledgerlens.session import scratch_path
 from tests.conftest import SF_SMALL
@@ -113,3 +113,34 @@ def test_end_id_is_a_parameter(spark):
 @pytest.mark.parametrize("n", [0, 1, 511, 512, 513, 2000])
 def test_group_borders(n):
     round_trip(np.random.default_rng(n).integers(0, 50000, n).tolist())
+
+
+def thue_morse(n, a="a", b="b"):
+    word = a
+    while len(word) < n:
+        word += word.translate(str.maketrans(a + b, b + a))
+    return word, word.translate(str.maketrans(a + b, b + a))
+
+
+@pytest.mark.parametrize("n", [64, 128, 256, 512, 1024, 4096])
+def test_words_that_collide_in_polynomial_hashes(n):
+    pair = thue_morse(n)
+    data = np.frombuffer("".join(pair).encode(), np.uint8)
+    one, other = span_hashes(data, np.array([0, n]), np.array([n, 2 * n]))
+    assert one != other
+    library = Tokenizer.from_file(PATH)
+    raw, offsets = text_bytes(pa.array(list(pair)))
+    ids, bounds = encoder(PATH).ids(raw, offsets, 2)
+    for k, text in enumerate(pair):
+        assert ids[bounds[k]:bounds[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids + [2]
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.binary(max_size=600), max_size=8))
+def test_span_hash_depends_on_the_bytes_alone(spans):
+    data = np.frombuffer(b"xyz" + b"".join(spans), np.uint8)
+    ends = 3 + np.cumsum([len(s) for s in spans], dtype=np.int64) if spans else np.zeros(0, np.int64)
+    got = span_hashes(data, ends - np.array([len(s) for s in spans], np.int64), ends)
+    alone = [int(span_hashes(np.frombuffer(s, np.uint8), np.array([0]), np.array([len(s)]))[0]) for s in spans]
+    assert got.tolist() == alone
+    assert len(set(alone)) == len(set(spans))
