@@ -25,5 +25,5 @@ def table(spark, sf_dir: str, name: str):
 
 def load_all():
     from ledgerlens.llm import (ctw, decontam, hard_negatives, importance, mixing, near_dedup, secret_scan,  # noqa: F401
-                                token_count, token_store, topk, toxicity, url_filter)
+                                repeats, token_count, token_store, topk, toxicity, url_filter)
     return QUERIES, ORACLE
