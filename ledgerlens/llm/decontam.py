@@ -7,11 +7,12 @@ are found word for word only.  For every alignment of a document with an item th
 behind the placeholders) must be consistent: one value of the item always stands for one value of the document.  So an
 item is found both as it is and re-parameterised, while a chance agreement of templates is not.  A document holds an
 item if the windows of consistent alignments cover at least half of the item's windows, or of those with enough plain
-tokens.
+tokens, or if one of them covers RUN consecutive tokens of it.  Items of fewer than SHORTEST tokens are found word for
+word and marked, as such words may well stand there by chance.
 
 All of it is DataFrame expressions.  Templates cost several passes over a text, so documents are sifted first by plain
-tokens: of each item, more windows than a document may lack are given an anchor (their longest plain token, the
-windows with the longest first), so a document without any anchor can't hold the item.  Two Bloom filters (bit arrays of
+tokens: of each item, more windows than a document may lack, and one in every so many consecutive ones, are given an
+anchor (their rarest plain token), so a document without any anchor can't hold the item.  Two Bloom filters (bit arrays of
 a checked size: constants of the plan) do that: one of the anchors sifts documents, one of the benchmark's windows sifts
 the windows of those that are left inside their array, before rows are made of them.  Neither changes the result; if the
 benchmark is too large for the checked size, the step is left out.
@@ -29,11 +30,12 @@ from ledgerlens.llm.url_filter import _hits, _write_level
 from ledgerlens.session import scratch_path
 
 WINDOW = 8                           # tokens; windows are built by doubling, so a power of two
-SHORTEST = 5                         # an item with fewer tokens can't be told from ordinary text and is never found
+SHORTEST = 5                         # an item with fewer tokens can't be told from ordinary text: found, and marked so
 PLAIN = 4                            # tokens of a template's window that must not be placeholders
 FILTER_BITS = 1 << 24
 SAMPLE = 5000                        # documents that tell which words are rare
 COVER = 0.5                          # share of an item's windows that makes a leak
+RUN = 50                             # consecutive tokens of an item that make a leak, whatever their share
 NUMBER, UNIT, NAME = "", "", ""
 #: fixed values: words taken for units
 UNITS = ("mm", "cm", "m", "km", "in", "inch", "inches", "ft", "feet", "foot", "yard", "yards", "mile", "miles", "mg", "g",
@@ -107,13 +109,14 @@ def short_hash(tokens: Column) -> Column:
 def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(key, item, at, template, own, plain, windows, typed): the windows of every item.
 
-    An item of SHORTEST to WINDOW - 1 tokens is one window of its own length.  ``plain``: the template has enough plain
-    tokens (``typed`` of the item's ``windows``); else the window's own tokens stand for its template.  A capital at the
-    start of an item is no name there, but is one behind a document's words: the first window has that key, too.
+    An item of fewer than WINDOW tokens is one window of its own length.  ``plain``: the template has enough plain
+    tokens (``typed`` of the item's ``windows``); else, and for items of fewer than SHORTEST tokens, the window's own
+    tokens stand for its template.  A capital at the start of an item is no name there, but is one behind a document's
+    words: the first window has that key, too.
     """
     src = items.select(F.col(id_col).cast("bigint").alias("item"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     src = once(once(src, template_tokens(F.col("text")), "t"), plain_tokens(F.col("text")), "p")
-    src = src.filter(F.size("t") >= SHORTEST)
+    src = src.filter(F.size("t") > 0)
     behind = template_tokens(F.concat(F.lit("x "), F.regexp_replace("text", r"^\s+", "")))
     src = once(src, F.slice(behind, 2, WINDOW), "b")
     row = lambda at, key, template, own, exact: F.struct(
@@ -127,7 +130,8 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     rows = (once(src, F.when(F.size("t") < WINDOW, whole)
                  .otherwise(F.concat(cut("h", "t", False), cut("e", "p", True), cut("f", "t", False))), "w")
             .select("item", F.explode("w").alias("w")).select("item", "w.*"))
-    enough = F.size(F.filter("template", lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= F.lit(PLAIN)
+    enough = ((F.size(F.filter("template", lambda t: ~t.isin(NUMBER, UNIT, NAME))) >= F.lit(PLAIN))
+              & (F.size("template") >= SHORTEST))
     path = scratch_path(items.sparkSession, "benchmark-windows")
     rows.filter(F.col("exact") | enough).distinct().write.parquet(path)
     rows = items.sparkSession.read.parquet(path)
@@ -138,7 +142,7 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
 
 def anchors(wanted: DataFrame, cover: float, sample: DataFrame) -> DataFrame | None:
     """(key): a plain token of more than (1 - cover) of every item's windows, and of its windows that have enough plain
-    tokens; None if an item has too few of them.
+    tokens, and of one in each half run of windows; None if an item has too few of them.
 
     A window of the latter kind offers the plain tokens of its template, the others are found by all their tokens.  Only
     tokens that no mask has touched count: of "U.S." behind a lower-case word the template keeps a rest, which no document
@@ -158,12 +162,18 @@ def anchors(wanted: DataFrame, cover: float, sample: DataFrame) -> DataFrame | N
     needs = [F.floor(F.col(c) * (1 - cover)) + 1 for c in ("windows", "typed")]
     first = [F.row_number().over(Window.partitionBy(*by).orderBy("a")) <= need
              for by, need in zip((["item"], ["item", "plain"]), needs)]
+    # of any RUN tokens' windows in a row, all of one block are among them
+    half = (RUN - WINDOW + 2) // 2
+    blocks = F.when(F.col("windows") > RUN - WINDOW, F.floor(F.col("windows") / half)).otherwise(0)
+    best = best.withColumn("block", F.when(F.floor(F.col("at") / half) < blocks, F.floor(F.col("at") / half)))
+    one = F.col("block").isNotNull() & (F.row_number().over(Window.partitionBy("item", "block").orderBy("a")) == 1)
     path = scratch_path(sample.sparkSession, "anchors")
-    (best.withColumn("any", first[0]).withColumn("same", F.col("plain") & first[1]).filter("any OR same")
-     .write.parquet(path))
+    (best.withColumn("any", first[0]).withColumn("same", F.col("plain") & first[1]).withColumn("one", one)
+     .filter("any OR same OR one").write.parquet(path))
     best = sample.sparkSession.read.parquet(path)
-    full = (best.groupBy("item", "windows", "typed").agg(F.count_if("any").alias("n"), F.count_if("same").alias("m"))
-            .filter((F.col("n") >= needs[0]) & ((F.col("typed") == 0) | (F.col("m") >= needs[1]))))
+    full = (best.groupBy("item", "windows", "typed")
+            .agg(F.count_if("any").alias("n"), F.count_if("same").alias("m"), F.count_if("one").alias("o"))
+            .filter((F.col("n") >= needs[0]) & ((F.col("typed") == 0) | (F.col("m") >= needs[1])) & (F.col("o") >= blocks)))
     if wanted.join(full, "item", "left_anti").limit(1).count():
         return None
     return best.select(F.col("a.t").alias("key")).distinct()
@@ -182,14 +192,28 @@ def sieve(keys: DataFrame, per_key: int):
     return lambda key: _hits(key, 0, 3, bits, words)
 
 
+def longest_run(places: str) -> Column:
+    """The most consecutive numbers among distinct ones."""
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("now"), F.lit(0).alias("best"))
+
+    def step(a, x):
+        now = F.when(x == a["last"] + 1, a["now"] + 1).otherwise(F.lit(1))
+        return F.struct(x.alias("last"), now.alias("now"), F.greatest(a["best"], now).alias("best"))
+    return F.aggregate(F.array_sort(places), start, step, lambda a: a["best"])
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", cover: float = COVER) -> DataFrame:
-    """(id, item, windows, item_windows, cover, changed) of every document that holds an item.
+    """(id, item, windows, item_windows, cover, changed, run, short) of every document that holds an item.
 
     ``windows``: distinct windows of the item found in consistent alignments, ``item_windows``: all it has; or both
     without those that have too few plain tokens, where that is the larger share.  ``changed``: some slot has another value
-    than in the item.  Null and empty texts hold nothing and are not held; rows with one id count together (null ids,
-    too); repeated items give a row each id.  Either table may be empty; other columns are not read.
+    than in the item.  ``run``: the most consecutive tokens of the item in one alignment.  ``short``: the item has fewer
+    than SHORTEST tokens; callers who don't want a document judged by such few words drop those rows.
+
+    Null and empty texts hold nothing and are not held.  Every row is judged on its own: of rows with one id (null ids,
+    too) that hold an item, the one with the largest share is returned; repeated items give a row each id.  Either table
+    may be empty; other columns are not read.
     """
     spark = docs.sparkSession
     wanted = benchmark_windows(items, item_col, item_text_col)
@@ -200,6 +224,8 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     lengths = sorted(r[0] for r in wanted.select(F.size("template").alias("s")).filter(F.col("s") < WINDOW).distinct()
                      .collect())
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # rows that agree in id and text hold the same
+    src = src.select(F.struct("id", F.xxhash64("text").alias("row")).alias("id"), "text")
     part = F.pmod(F.xxhash64("id"), F.lit(max(1, -(-docs.count() // SAMPLE)))) == 0
     keys = anchors(wanted, cover, src.filter(part).select("text"))
     holds = sieve(keys, 128) if keys is not None else None
@@ -233,17 +259,23 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
                .agg(F.collect_set(F.struct("at", "plain")).alias("ats"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots")))
     values = F.transform("slots", lambda p: F.struct(p["t"], p["a"]))
     good = aligned.filter(F.size("slots") == F.size(F.array_distinct(values)))
-    good = good.withColumn("changed", F.exists("slots", lambda p: p["a"] != p["b"]))
-    by_item = (good.select("id", "item", "windows", "typed", "changed", F.explode("ats").alias("w"))
+    good = good.withColumn("changed", F.exists("slots", lambda p: p["a"] != p["b"])).withColumn("run", longest_run("ats.at"))
+    by_item = (good.select("id", "item", "windows", "typed", "changed", "run", F.explode("ats").alias("w"))
                .groupBy("id", "item", F.col("windows").alias("all"), "typed")
                .agg(F.countDistinct("w.at").alias("n"), F.countDistinct(F.when(F.col("w.plain"), F.col("w.at"))).alias("m"),
-                    F.max("changed").alias("changed")))
+                    F.max("changed").alias("changed"), F.max("run").alias("run")))
     share = lambda n, of: F.struct((F.col(n) / F.col(of)).alias("cover"), F.col(n).alias("windows"),
                                    F.col(of).alias("item_windows"))
     # greatest() skips a null
     by_item = by_item.withColumn("best", F.greatest(share("n", "all"), F.when(F.col("typed") > 0, share("m", "typed"))))
-    return (by_item.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "best.windows", "best.item_windows",
-                           "best.cover", "changed").filter(F.col("cover") >= cover))
+    # all windows of an item are of one width
+    width = wanted.groupBy("item").agg(F.max(F.size("template")).alias("width"))
+    by_item = by_item.join(width, "item").withColumn("run", (F.col("run") + F.col("width") - 1).cast("int"))
+    kept = by_item.filter((F.col("best.cover") >= cover) | (F.col("run") >= RUN))
+    kept = (kept.groupBy(F.col("id.id").alias("id"), "item", (F.col("width") < SHORTEST).alias("short"))
+            .agg(F.max(F.struct("best", "run", "changed")).alias("m")))
+    return kept.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "m.best.windows", "m.best.item_windows",
+                       "m.best.cover", "m.changed", "m.run", "short")
 
 
 @register("op10_template_leaks")

@@ -18,12 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.registry import register, table
-from ledgerlens.llm.topk import usable
+from ledgerlens.llm.topk import TOP, _largest, usable
 from ledgerlens.session import scratch_path
 
 SMALL = 16                           # sides up to this are multiplied plainly
 TILE = (256, 4096)                   # anchors x candidates scored at a time
-TOP = (1 << 63) - 1
 
 
 def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -53,10 +52,6 @@ def strassen(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out[:m, :n]
 
 
-def _largest(x: np.ndarray) -> int:
-    return max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0))))
-
-
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """``a @ b`` exactly; results beyond 63 bits are clamped to the largest or smallest of them."""
     if _largest(a) * _largest(b) * a.shape[1] <= TOP:

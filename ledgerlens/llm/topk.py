@@ -14,6 +14,8 @@ Spark deals (shard of vectors) x (block of queries) to tasks; the k best of ever
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.registry import register, table
 
 BLOCK = 4096                         # vectors of a shard that are scored at a time
+FIRST = 256                          # and in the first block, which has no threshold yet
+TOP = (1 << 63) - 1
 
 
 def usable(vector: Column) -> Column:
@@ -43,8 +47,9 @@ class Shard:
             wide[row, :len(vectors[i])] = vectors[i]
         self.rows = wide
         self.blocks = []
-        for a in range(0, len(ids), BLOCK):
-            part = wide[a:a + BLOCK]
+        self.largest = _largest(wide)
+        for a, b in pairwise([*range(0, min(len(ids), FIRST), FIRST), *range(FIRST, len(ids), BLOCK), len(ids)]):
+            part = wide[a:b]
             lists = []
             for d in range(self.dims):
                 col = part[:, d]
@@ -58,6 +63,8 @@ class Shard:
         q = np.zeros(self.dims, np.int64)
         q[:min(len(query), self.dims)] = query[:self.dims]
         used = np.flatnonzero(q)
+        if self.largest * _largest(q) * self.dims > TOP:
+            return self._search_wide(q, own, k)
         for a, part, lists, high, low in self.blocks:
             bound = np.where(q > 0, q * high, q * low)        # 0 or more
             terms = used[np.argsort(-bound[used], kind="stable")]
@@ -67,11 +74,11 @@ class Shard:
             need = best[-1] if full else None
             # later ids lose ties, so a vector of a later block must score more than the k-th best
             essential = int(np.searchsorted(-tail, -need, "left")) if full and need >= 0 else len(terms)
-            score = np.zeros(len(part), np.int64)
-            for d in terms[:essential]:
-                at, value = lists[d][0 if q[d] > 0 else 1]
-                score[at] += q[d] * value
             if full:
+                score = np.zeros(len(part), np.int64)
+                for d in terms[:essential]:
+                    at, value = lists[d][0 if q[d] > 0 else 1]
+                    score[at] += q[d] * value
                 live = np.flatnonzero(score + tail[min(essential, len(terms))] > need)
                 sums = score[live]
                 for j in range(essential, len(terms)):
@@ -83,22 +90,31 @@ class Shard:
                     live, sums = live[keep], sums[keep]
             else:
                 live = np.arange(len(part))
+            live = live[self.ids[live + a] != own]
             if not len(live):
                 continue
-            exact = part[live][:, used] @ q[used]
-            if len(exact) > 8 * k:
-                enough = np.partition(exact, len(exact) - 2 * k)[len(exact) - 2 * k] if full else None
-                if enough is not None:
-                    keep = exact >= min(enough, exact.max())
-                    live, exact = live[keep], exact[keep]
-            keep = self.ids[live + a] != own
-            at, score = live[keep] + a, exact[keep]
+            score = part[live][:, used] @ q[used]
+            if len(score) > 8 * k:
+                keep = score >= np.partition(score, len(score) - k)[len(score) - k]
+                live, score = live[keep], score[keep]
+            at = live + a
             best = np.concatenate([best, score])
             best_at = np.concatenate([best_at, at])
             top = np.lexsort((self.ids[best_at], -best))[:k]
             best, best_at = best[top], best_at[top]
         return self.ids[best_at], best
 
+    def _search_wide(self, q: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same in Python integers, for scores that may not fit; those beyond 63 bits are clamped."""
+        at = np.flatnonzero(self.ids != own)
+        score = np.clip(self.rows[at].astype(object) @ q.astype(object), -TOP, TOP).astype(np.int64)
+        top = np.lexsort((self.ids[at], -score))[:k]
+        return self.ids[at[top]], score[top]
+
+
+def _largest(x: np.ndarray) -> int:
+    return max(abs(int(x.max(initial=0))), abs(int(x.min(initial=0))))
+
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "vector",
            shard_rows: int = 16384, query_rows: int = 16384) -> DataFrame:
@@ -106,7 +122,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "ve
 
     ``vec_col`` holds array<bigint>.  Null or unusable vectors, and null ids, take no part; equal vectors all do; ties
     go to the smaller id; fewer than k candidates give all.  Components that one side lacks count as 0.  Of rows with
-    equal ids each is a candidate of its own, and none is a candidate for a query of that id.
+    equal ids each is a candidate of its own, and none is a candidate for a query of that id.  Scores beyond 63 bits are
+    clamped to the largest or smallest of them.
     """
     plain = lambda df: (df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
                         .filter(F.col("id").isNotNull() & F.col("v").isNotNull()))

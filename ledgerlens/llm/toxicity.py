@@ -71,7 +71,8 @@ _INSULTS, _YOU = frozenset(INSULTS), frozenset(SECOND_PERSON)
 
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features of a whole text; all zero for one without words."""
-    words = _WORD.findall(text.lower())
+    raw_words = _WORD.findall(text)
+    words = "\n".join(raw_words).lower().split("\n") if raw_words else []
     n = len(words)
     if not n:
         return [0.0] * len(FEATURES)
@@ -97,7 +98,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     raw = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
     chars = np.bincount(raw, minlength=256)
     odd = _ODD.findall(text) if (chars[48:58].any() or chars[[33, 36, 42, 64]].any()) else []
-    capital = sum(w.isupper() and len(w) > 1 for w in _WORD.findall(text)) if chars[65:91].sum() > 1.5 * n / 8 else 0
+    capital = sum(w.isupper() and len(w) > 1 for w in raw_words)
     return [sum(count[w] for w in _INSULTS & count.keys()) / n, total / n, most, found / n, math.log1p(found),
             math.log1p(len(strong)), near / n, you / n, float(chars[65:91].sum()) / size, capital / n,
             float(chars[33]) / size, float(chars[63]) / size, float(chars[33:48].sum() + chars[58:65].sum()) / size,
@@ -146,7 +147,11 @@ class ToxicityModel:
         return out.withColumn("score", score)
 
     def score(self, df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """(id, score) of every row; null and empty texts get the score of no features."""
+        """(id, score) of every row; null and empty texts get the score of no features.
+
+        Texts of any length are read whole; rows that repeat an id or a text are each scored, equal texts alike; null ids
+        stay; other columns are ignored; an empty table gives an empty result.
+        """
         src = dense(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), self.lexicon).drop("text")
         return self._scored(src).select(F.col("id").alias(id_col), "score")
 
@@ -200,7 +205,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, trees: int
     # at most fit_rows ids are broadcast; the texts of those rows are all that is written
     # the sample goes to a few files: training runs many small jobs over it
     (docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "y", "part")), "doc_id")
-     .select("text", "y", "part").coalesce(max(1, fit_rows // 2500)).write.parquet(path))
+     .select("text", "y", "part").repartition(max(1, fit_rows // 2500)).write.parquet(path))
     rows = spark.read.parquet(path)
     lexicon = learned_lexicon(rows.filter("part < 5"))
     path = scratch_path(spark, "toxicity-features")

@@ -54,7 +54,39 @@ def test_short_items_and_filter_size(spark, monkeypatch, bits):
     monkeypatch.setattr(decontam, "FILTER_BITS", bits)
     texts = ["so what is the red one called today", "what is the red", "is the what red one", ITEM, "a b"]
     assert found(spark, texts, ["What is the red one?", "a b", "1 2 3 4 5 6 7 8 9", None, ITEM]) == [
-        (0, 0, False), (3, 4, False)]
+        (0, 0, False), (3, 4, False), (4, 1, False)]
+
+
+@pytest.mark.parametrize("bits", [decontam.FILTER_BITS, 0])
+def test_items_of_one_to_four_words(spark, monkeypatch, bits):
+    monkeypatch.setattr(decontam, "FILTER_BITS", bits)
+    texts = ["ask: What is it? and more", "what is item", "In 1984, Orwell", "in 1985 Orwell", "xylem", "xylems", "it is what"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(["What is it?", "in 1984 Orwell", "Xylem", ITEM, "..."])), "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.run, r.short) for r in leaks(docs, bench).collect())
+    assert got == [(0, 0, 3, True), (2, 1, 3, True), (4, 2, 1, True)]
+
+
+@pytest.mark.parametrize("bits", [decontam.FILTER_BITS, 0])
+def test_a_passage_of_a_long_item(spark, monkeypatch, bits):
+    monkeypatch.setattr(decontam, "FILTER_BITS", bits)
+    words = [f"{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(300)]
+    cut = lambda a, b: " ".join(["some", "lead", *words[a:b], "and", "so", "on"])
+    texts = [cut(90, 210), cut(31, 81), cut(31, 80), cut(250, 300), cut(0, 50), cut(0, 300), cut(100, 140) + " " + cut(200, 240)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = sorted((r.doc_id, r.run, r.short) for r in leaks(docs, bench).collect())
+    assert got == [(0, 120, False), (1, 50, False), (3, 50, False), (4, 50, False), (5, 300, False)]
+
+
+def test_rows_with_one_id_or_none_are_judged_alone(spark):
+    other = ITEM.replace("Paris", "Rome").replace("120 km", "75 miles").replace("2 hours", "1 hour")
+    mixed = ITEM.replace("to Paris", "to Rome")
+    for i in (7, None):
+        docs = spark.createDataFrame([(i, ITEM), (i, other), (i, "nothing here"), (8, mixed), (8, "x")], "doc_id long, text string")
+        bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+        got = [(r.doc_id, r.item_id, r.cover) for r in leaks(docs, bench).collect()]
+        assert got == [(i, 1, 1.0)]
 
 
 @pytest.mark.parametrize("bits", [decontam.FILTER_BITS, 0])

@@ -16,6 +16,7 @@ def brute(ids, rows, query, own, k):
                                                 (5, -1, 2, 0.8), (6, -10**9, 10**9, 0.1)])
 def test_shard_equals_brute_force(seed, low, high, zero, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "FIRST", 10)
     r = np.random.default_rng(seed)
     rows = r.integers(low, high + 1, (700, 16)) * (r.random((700, 16)) >= zero)
     rows[100:140] = rows[7]
@@ -52,3 +53,20 @@ def test_nulls_ties_repeats_empty(spark):
     one = v.filter("vec_id = 150")
     assert topk.search(one, one).collect() == []
     assert topk.search(v.limit(0), v.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("first", [16, 256])
+def test_more_rows_of_the_query_s_id_than_k(monkeypatch, first):
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    monkeypatch.setattr(topk, "FIRST", first)
+    ids = np.array([7] * 60 + list(range(100, 110)) + list(range(200, 300)))
+    rows = np.array([[10, 10]] * 60 + [[5, 5]] * 10 + [[0, 1]] * 50 + [[1, 1]] * 50)
+    for order in (np.arange(len(ids)), np.random.default_rng(1).permutation(len(ids))):
+        got = topk.Shard(ids[order], list(rows[order])).search(np.array([10, 10]), 7, 5)
+        assert list(zip(*(x.tolist() for x in got))) == [(100 + i, 100) for i in range(5)]
+
+
+def test_scores_that_do_not_fit():
+    rows = [np.array(v) for v in ([2**62, 1], [-2**63, 0], [4, 4], [2**62, 2])]
+    got = topk.Shard(np.arange(4), rows).search(np.array([5, 1]), 9, 4)
+    assert list(zip(*(x.tolist() for x in got))) == [(0, topk.TOP), (3, topk.TOP), (2, 24), (1, -topk.TOP)]

@@ -60,3 +60,22 @@ def test_edge_rows(spark):
     assert [r.score for r in fit(docs, labels.limit(0)).score(docs).collect()] == [0.0] * 4
     assert model.score(docs.limit(0)).collect() == []
     assert [r[0] for r in docs.select(held_out(F.col("doc_id"))).collect()][0] is False
+
+
+def test_one_shouted_sentence_in_a_long_text():
+    calm = "the weather was fine and we went home early " * 40
+    f = dict(zip(FEATURES, features(calm + "YOU ARE AWFUL SHUT UP NOW \u00c9COUTEZ", Lexicon({}))))
+    assert f["capital_words"] == pytest.approx(7 / (9 * 40 + 7))
+    assert dict(zip(FEATURES, features(calm, Lexicon({}))))["capital_words"] == 0
+
+
+def test_repeated_rows_and_long_texts(spark):
+    from ledgerlens.llm.toxicity import ToxicityModel, dense
+    rows = [(1, "you fool"), (1, "you fool"), (None, "you fool"), (2, "calm " * 300_000 + "FOOL"), (3, None), (4, "")]
+    df = spark.createDataFrame([(i, t, 0.5) for i, t in rows], "doc_id long, text string, score double")
+    lex = {"fool": 2.0}
+    got = sorted(((r.doc_id, r.x) for r in dense(df, lex).collect()), key=str)
+    assert got == sorted(((i, features(t or "", Lexicon(lex))) for i, t in rows), key=str)
+    assert sorted(map(tuple, ToxicityModel(lex, constant=0.25).score(df).collect()), key=str) == sorted(
+        ((i, 0.25) for i, _ in rows), key=str)
+    assert ToxicityModel(lex).score(df.limit(0)).collect() == []
