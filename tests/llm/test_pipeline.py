@@ -96,3 +96,27 @@ def test_edge_rows(spark):
         for df in (docs, docs.limit(0)):
             out = stage(spark, df, SF_ORACLE)
             assert out.count() <= 3 * df.count() and (name == "token_output" or out.columns == docs.columns)
+
+
+def test_copies_with_one_id_or_none_and_clashing_columns(spark):
+    import random
+    r = random.Random(2)
+    prose = " ".join(f"w{r.randrange(10**6)}" for _ in range(60))
+    item = spark.read.parquet(f"{SF_ORACLE}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(1, prose), (1, prose), (None, prose), (7, prose), (None, f"Now: {item}"), (9, "short and clean"), (None, None), (None, None)]
+    docs = spark.createDataFrame([(i, t, "s", 1, 2, "r", 3.5, 4, k) for k, (i, t) in enumerate(rows)],
+                                 "doc_id long, text string, source string, size int, target long, _row string, taken double, id int, n int")
+    path = scratch_path(spark, "clash")
+    docs.write.parquet(path)
+    for df in (docs, spark.read.parquet(path)):
+        left = corpus_pipeline.near_dedup(spark, df, SF_ORACLE)
+        assert left.dtypes == docs.dtypes
+        kept = [x.n for x in left.collect()]
+        assert len(kept) == 5 and len({0, 1} & set(kept)) == 1 and {4, 5, 6, 7} <= set(kept)
+        left = corpus_pipeline.decontamination(spark, df, SF_ORACLE)
+        assert left.dtypes == docs.dtypes and sorted(x.n for x in left.collect()) == [0, 1, 2, 3, 5, 6, 7]
+        left = corpus_pipeline.mixing(spark, df, SF_ORACLE)
+        assert left.dtypes == docs.dtypes
+        assert all((x["size"], x["target"], x["_row"], x["id"]) == (1, 2, "r", 4) for x in left.collect())
+        left = corpus_pipeline.toxicity(spark, df, SF_ORACLE)
+        assert left.dtypes == docs.dtypes
