@@ -260,10 +260,11 @@ def _by_key(key: str, values) -> Column:
 
 
 def sustained_alert(firing: DataFrame, ts: str, key: str = "metric", for_seconds: int | dict = 120,
-                    max_gap_seconds: int | dict | None = None) -> DataFrame:
+                    max_gap_seconds: int | dict | None = None, covers_seconds: int | dict = 0) -> DataFrame:
     """Gaps-and-islands over time-ordered checks per alert: each run of consecutive firing checks is one island; the alert
     fires when the run lasts at least ``for_seconds`` (one number or one a key).  A pause between two checks of more
-    than ``max_gap_seconds`` ends a run: nothing is known of the time between."""
+    than ``max_gap_seconds`` ends a run: nothing is known of the time between.  ``covers_seconds``: time that a check at its
+    ``ts`` stands for (the width of a window that starts there; 0 for a check at one moment); it counts to the run."""
     w = W.partitionBy(key).orderBy(ts)
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     gap = F.lit(False) if max_gap_seconds is None else (us - F.lag(us).over(w)) / 1e6 > _by_key(key, max_gap_seconds)
@@ -271,6 +272,7 @@ def sustained_alert(firing: DataFrame, ts: str, key: str = "metric", for_seconds
     runs = firing.withColumn("_chg", change).withColumn("_run", F.sum("_chg").over(w.rowsBetween(W.unboundedPreceding, 0)))
     isl = runs.filter("firing").groupBy(key, "_run").agg(F.min(ts).alias("start"), F.max(ts).alias("end"),
                                                         F.count(F.lit(1)).alias("checks"))
-    dur = (F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6
+    dur = ((F.unix_micros(F.col("end").cast("timestamp")) - F.unix_micros(F.col("start").cast("timestamp"))) / 1e6
+           + _by_key(key, covers_seconds))
     return isl.select(key, "start", "end", "checks", dur.alias("duration_seconds"),
                       (dur >= _by_key(key, for_seconds)).alias("fired")).drop("_run")

@@ -279,20 +279,20 @@ def q_threshold_alert(spark, sf):
     return M.threshold_alert(_gauges(spark, sf), GAUGE_LIMITS)
 
 
-def _runs_sql(firing: str, key: str, ts: str, limits: dict) -> str:
-    """``limits``: key -> (seconds it must fire, longest pause between its checks)."""
-    rows = ", ".join(f"('{k}', {f}, {g})" for k, (f, g) in limits.items())
+def _runs_sql(firing: str, key: str, ts: str, limits: dict, covers: dict | None = None) -> str:
+    """``limits``: key -> (seconds it must fire, longest pause between its checks); ``covers``: seconds a check stands for."""
+    rows = ", ".join(f"('{k}', {f}, {g}, {(covers or {}).get(k, 0)})" for k, (f, g) in limits.items())
     return f"""
-WITH t AS (SELECT t.*, l.f, l.g FROM ({firing}) t JOIN (VALUES {rows}) l(key, f, g) ON t.{key} = l.key),
+WITH t AS (SELECT t.*, l.f, l.g, l.c FROM ({firing}) t JOIN (VALUES {rows}) l(key, f, g, c) ON t.{key} = l.key),
 c AS (SELECT *, CASE WHEN lag(firing) OVER w IS NULL OR lag(firing) OVER w <> firing
                        OR (epoch_us({ts}) - lag(epoch_us({ts})) OVER w) / 1e6 > g THEN 1 ELSE 0 END AS chg
       FROM t WINDOW w AS (PARTITION BY {key} ORDER BY {ts})),
 r AS (SELECT *, sum(chg) OVER (PARTITION BY {key} ORDER BY {ts} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
       FROM c),
-i AS (SELECT {key}, run, f, min({ts}) AS start, max({ts}) AS "end", count(*) AS checks FROM r WHERE firing
-      GROUP BY {key}, run, f)
-SELECT {key}, start, "end", checks, (epoch_us("end") - epoch_us(start)) / 1e6 AS duration_seconds,
-       (epoch_us("end") - epoch_us(start)) / 1e6 >= f AS fired
+i AS (SELECT {key}, run, f, c, min({ts}) AS start, max({ts}) AS "end", count(*) AS checks FROM r WHERE firing
+      GROUP BY {key}, run, f, c)
+SELECT {key}, start, "end", checks, (epoch_us("end") - epoch_us(start)) / 1e6 + c AS duration_seconds,
+       (epoch_us("end") - epoch_us(start)) / 1e6 + c >= f AS fired
 FROM i"""
 
 
@@ -309,15 +309,16 @@ UNION ALL SELECT 'fraud_share', window_start, firing FROM ({ORACLE["fraud_share_
 UNION ALL SELECT 'no_predictions', window_start, no_data FROM ({ORACLE["no_data_alert"]})"""
 
 
-@register("alert_runs", _runs_sql(_WINDOWED_SQL, "alert", "checked_at", RULES))
+@register("alert_runs", _runs_sql(_WINDOWED_SQL, "alert", "checked_at", RULES, {k: v[1] for k, v in RULES.items()}))
 def q_alert_runs(spark, sf):
-    """The windowed rules with the time each must hold before it fires."""
+    """The windowed rules with the time each must hold before it fires; a window that fires has held for its width."""
     parts = [q_error_rate_alert(spark, sf).select(F.lit("error_rate").alias("alert"), "window_start", "firing"),
              q_latency_p95_alert(spark, sf).select(F.lit("slow_response"), "window_start", "p95_alert"),
              q_fraud_share_alert(spark, sf).select(F.lit("fraud_share"), "window_start", "firing"),
              q_no_data_alert(spark, sf).select(F.lit("no_predictions"), "window_start", "no_data")]
     rows = reduce(DataFrame.union, parts).withColumnRenamed("window_start", "checked_at")
-    return M.sustained_alert(rows, "checked_at", "alert", {k: v[0] for k, v in RULES.items()}, {k: v[1] for k, v in RULES.items()})
+    widths = {k: v[1] for k, v in RULES.items()}
+    return M.sustained_alert(rows, "checked_at", "alert", {k: v[0] for k, v in RULES.items()}, widths, widths)
 
 
 _REQ_P_SQL = S.request_risk_score_sql("tx_amount", "tx_time_seconds", "customer_id", large=LARGE, medium=MEDIUM)

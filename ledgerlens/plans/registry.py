@@ -21,5 +21,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     # importing the plan modules fills the registry
-    from ledgerlens.plans import batch, features, evaluation, monitoring, ml, streams  # noqa: F401
+    from ledgerlens.plans import batch, features, evaluation, monitoring, ml, ranges, streams  # noqa: F401
     return QUERIES, ORACLE

@@ -247,6 +247,70 @@ SELECT topic, "partition", CASE WHEN topic = 'signup' THEN NULL ELSE e - n END A
 FROM c"""
 
 
+# --------------------------------------------------------------------------------------------------------------
+# counter samples: what three instances (user_id mod 3) would show when read once a minute, an hour of events a minute
+#   counters of requests, errors and fraud predictions, and duration buckets (value / 100 seconds); an instance starts
+#   again every 37 minutes, a tenth of the reads is missing, a tenth comes twice, the second time with a stale value;
+#   and a gauge: replicas, three and the requests of the hour modulo 4
+# --------------------------------------------------------------------------------------------------------------
+
+#: fixed values: upper bounds of the duration buckets in seconds
+DURATION_BOUNDS = (0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, float("inf"))
+
+
+def counter_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(instance, metric, le, read_at, value)."""
+    from pyspark.sql import Window as W
+    from ledgerlens.functions.scoring import request_risk_score
+    seconds = F.hour("ts") * 3600 + F.minute("ts") * 60 + F.second("ts")
+    fraud = request_risk_score(F.col("value"), seconds, F.col("user_id"), large=100.0, medium=50.0) > 0.5
+    ev = table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 3).alias("i"), F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(3_600_000_000)).alias("hour"),
+        (F.col("event_type") == "error").alias("error"), fraud.alias("fraud"), (F.col("value") / 100.0).alias("lat"))
+    bounds = {f"b{k}": b for k, b in enumerate(DURATION_BOUNDS)}
+    hours = ev.groupBy("i", "hour").agg(
+        F.count(F.lit(1)).alias("requests"), F.count_if("error").alias("errors"), F.count_if("fraud").alias("fraud"),
+        *(F.count_if(F.col("lat") <= F.lit(b)).alias(c) for c, b in bounds.items()))
+    life = W.partitionBy("i", F.floor((F.col("hour") + 11 * F.col("i")) / 37)).orderBy("hour").rowsBetween(W.unboundedPreceding, 0)
+    row = lambda metric, c, le=None: F.struct(F.lit(metric).alias("metric"), F.lit(le).cast("double").alias("le"),
+                                              c.cast("double").alias("value"))
+    sums = hours.select("i", "hour", (3 + F.col("requests") % 4).alias("replicas"),
+                        *(F.sum(c).over(life).alias(c) for c in ("requests", "errors", "fraud", *bounds)))
+    shown = sums.select("i", "hour", F.explode(F.array(
+        row("http_requests_total", F.col("requests")), row("http_errors_total", F.col("errors")),
+        row("ml_model_predictions_fraud", F.col("fraud")), row("replicas", F.col("replicas")),
+        *(row("http_request_duration_seconds_bucket", F.col(c), b) for c, b in bounds.items()))).alias("m"))
+    key = F.concat_ws(":", F.col("i").cast("string"), F.col("hour").cast("string"))
+    read = shown.withColumn("key", key).filter(uniform("key", "gap") >= 0.1)
+    read = read.select("i", "hour", "m.*", F.explode(F.when((uniform("key", "late") < 0.1) & (F.col("m.metric") != "replicas"), F.array(
+        F.col("m.value"), F.floor(F.col("m.value") / 2).cast("double"))).otherwise(F.array("m.value"))).alias("v"))
+    return read.select(F.concat(F.lit("api-"), F.col("i").cast("string")).alias("instance"), "metric", "le",
+                       F.timestamp_seconds(F.col("hour") * 60).cast("timestamp_ntz").alias("read_at"), F.col("v").alias("value"))
+
+
+def counter_samples_sql() -> str:
+    from ledgerlens.functions.scoring import request_risk_score_sql
+    p = request_risk_score_sql("value", "(hour(ts) * 3600 + minute(ts) * 60 + second(ts))", "user_id", large=100.0, medium=50.0)
+    le = lambda b: "CAST('inf' AS DOUBLE)" if b == float("inf") else f"{b}::DOUBLE"
+    shown = [("http_requests_total", "NULL", "requests"), ("http_errors_total", "NULL", "errors"),
+             ("ml_model_predictions_fraud", "NULL", "fraud")]
+    shown += [("http_request_duration_seconds_bucket", le(b), f"b{k}") for k, b in enumerate(DURATION_BOUNDS)]
+    counters = " UNION ALL ".join(
+        f"SELECT i, hour, '{m}' AS metric, CAST({b} AS DOUBLE) AS le, CAST(sum({c}) OVER (PARTITION BY i, (hour + 11 * i) // 37 "
+        f"ORDER BY hour) AS DOUBLE) AS value FROM hours" for m, b, c in shown)
+    buckets = ", ".join(f"count(*) FILTER (WHERE lat <= {le(b)}) AS b{k}" for k, b in enumerate(DURATION_BOUNDS))
+    return f"""
+WITH ev AS (SELECT user_id % 3 AS i, epoch_us(ts) // 3600000000 AS hour, event_type = 'error' AS error, {p} > 0.5 AS fraud,
+                   value / 100.0 AS lat FROM events),
+hours AS (SELECT i, hour, count(*) AS requests, count(*) FILTER (WHERE error) AS errors, count(*) FILTER (WHERE fraud) AS fraud,
+                 {buckets} FROM ev GROUP BY i, hour),
+shown AS ({counters} UNION ALL SELECT i, hour, 'replicas', NULL, CAST(3 + requests % 4 AS DOUBLE) FROM hours),
+kept AS (SELECT *, concat_ws(':', i, hour) AS key FROM shown WHERE {sql_uniform("concat_ws(':', i, hour)", 'gap')} >= 0.1),
+again AS (SELECT i, hour, metric, le, value FROM kept UNION ALL
+          SELECT i, hour, metric, le, floor(value / 2) FROM kept WHERE metric <> 'replicas' AND {sql_uniform('key', 'late')} < 0.1)
+SELECT 'api-' || i AS instance, metric, le, make_timestamp(hour * 60000000) AS read_at, value FROM again"""
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw text read back with the explicit schema (malformed and header lines removed)."""
     from ledgerlens.sources.files import read_transactions
