@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.hashing import poisson1, uniform
+from ledgerlens.functions.hashing import poisson
 from ledgerlens.functions.stats import t_quantile, t_two_sided_p
 
 
@@ -115,22 +115,10 @@ def eval_auc_score(df: DataFrame, label: str, score: str, levels: int | None = N
 
 # ---- bootstrap and comparison ------------------------------------------------------------------------------
 
-EXACT_BELOW = 50                     # rows of a cell whose Poisson(1) weights are drawn one by one
-
-
 def cell_weight(n: Column, cell: Column, replicate: Column, seed: int) -> Column:
-    """A Poisson(n) draw: what the Poisson(1) weights of the n rows of a cell add up to in a replicate.
-
-    Cells of fewer than ``EXACT_BELOW`` rows add up n draws; for larger ones the sum is drawn as a whole, from a normal
-    deviate with the skewness term of the Cornish-Fisher expansion (its cost doesn't depend on n).  All draws are stable
-    hashes of cell and replicate."""
-    name = F.concat_ws(":", cell, replicate.cast("string"))
-    each = F.aggregate(F.sequence(F.lit(1), F.least(n, F.lit(EXACT_BELOW)).cast("int")), F.lit(0), lambda acc, i: acc + poisson1(
-        uniform(F.concat_ws(":", name, i.cast("string")), seed)))
-    u, v = uniform(name, f"{seed}r"), uniform(name, f"{seed}a")
-    z = F.sqrt(-2 * F.log(1 - u)) * F.cos(F.lit(2 * math.pi) * v)
-    whole = F.floor(n + F.sqrt(n.cast("double")) * z + (z * z - 1) / 6 + 0.5)
-    return F.when(n < EXACT_BELOW, each).otherwise(F.greatest(whole, F.lit(0))).cast("bigint")
+    """A Poisson(n) draw: what the Poisson(1) weights of the n rows of a cell add up to in a replicate.  Exact for any n, at
+    a cost that doesn't grow with it; a stable function of cell, replicate and seed."""
+    return poisson(n, F.concat_ws(":", cell, replicate.cast("string")), seed)
 
 
 def bootstrap_metrics(df: DataFrame, label: str, predictions: dict[str, str], n_iter: int = 100,

@@ -8,7 +8,7 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 from ledgerlens.functions import scoring as S
-from ledgerlens.functions.hashing import sql_poisson1, sql_uniform
+from ledgerlens.functions.hashing import sql_poisson
 from ledgerlens.functions.stats import t_quantile_sql, t_two_sided_p_sql
 from ledgerlens.operators import aggregates as A
 from ledgerlens.operators import evaluation as E
@@ -96,9 +96,6 @@ def q_eval_auc_score(spark, sf):
 
 def _boot_sql():
     name = "concat_ws(':', cell, CAST(replicate AS VARCHAR))"
-    each = (f"list_sum(list_transform(range(1, least(n, {E.EXACT_BELOW}) + 1), lambda i: "
-            f"{sql_poisson1(sql_uniform(f'concat_ws(chr(58), {name}, CAST(i AS VARCHAR))', SEED))}))")
-    z = (f"sqrt(-2 * ln(1 - {sql_uniform(name, f'{SEED}r')})) * cos({D(2 * math.pi)} * {sql_uniform(name, f'{SEED}a')})")
     cells = " UNION ALL ".join(
         f"SELECT '{m}' AS model, replicate, " + ", ".join(
             f"CAST(sum(CASE WHEN cell[1] = '{y}' AND cell[{k}] = '{p}' THEN w ELSE 0 END) AS BIGINT) AS {c}"
@@ -108,9 +105,7 @@ def _boot_sql():
     cells = f"""
 WITH cells AS (SELECT CASE WHEN y_test = 1 THEN '1' ELSE '0' END || {flags} AS cell, count(*) AS n FROM ({EVAL_SQL}) GROUP BY 1),
 rep AS (SELECT cell, n, CAST(g.range AS INTEGER) AS replicate FROM cells CROSS JOIN range({N_ITER}) g),
-normal AS (SELECT *, {z} AS z FROM rep),
-drawn AS (SELECT *, CASE WHEN n < {E.EXACT_BELOW} THEN {each}
-                         ELSE greatest(floor(n + sqrt(n::DOUBLE) * z + (z * z - 1) / 6 + 0.5), 0) END AS w FROM normal)
+drawn AS (SELECT *, {sql_poisson("n", name, SEED)} AS w FROM rep)
 {cells}"""
     metrics = _metrics_sql(cells, "model, replicate", None)
     return f"SELECT model, replicate, f1, precision, recall, auc FROM ({metrics}) WHERE tp + fn > 0 AND tn + fp > 0"

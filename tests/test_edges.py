@@ -139,36 +139,51 @@ def test_t_distribution_against_known_values(spark):
 
 
 def test_bootstrap_against_brute_force(spark):
-    import hashlib
+    """Replicates from the drawn weight of each row: a cell's weight is drawn as one, its rows' cells are counted here."""
     from collections import Counter
     rows = [(i, int(i % 3 == 0), float(i % 4 == 0)) for i in range(60)]
     df = spark.createDataFrame(rows, "k long, y int, p double")
     got = {r.replicate: r for r in EV.bootstrap_metrics(df, "y", {"m": "p"}, n_iter=5, seed=7).collect()}
-    cdf = []
-    acc, term = 0.0, math.exp(-1)
-    for k in range(21):
-        if k:
-            term /= k
-        acc += term
-        cdf.append(acc)
     cells = Counter((y, int(p >= 0.5)) for _, y, p in rows)
-    assert max(cells.values()) < EV.EXACT_BELOW
+    drawn = spark.createDataFrame([(f"{y}{p}", n, r) for (y, p), n in cells.items() for r in range(5)], "c string, n long, r int")
+    w = {(x.c, x.r): x.w for x in drawn.select("c", "r", EV.cell_weight(F.col("n"), F.col("c"), F.col("r"), 7).alias("w")).collect()}
     for rep in range(5):
-        w = {}
-        for (y, p), n in cells.items():
-            u = [int(hashlib.md5(f"{y}{p}:{rep}:{i}:7".encode()).hexdigest()[:8], 16) / 4294967296.0 for i in range(1, n + 1)]
-            w[y, p] = sum(next((i for i, c in enumerate(cdf[:-1]) if x < c), 20) for x in u)
-        f1 = 2 * w[1, 1] / (2 * w[1, 1] + w[0, 1] + w[1, 0])
+        f1 = 2 * w["11", rep] / (2 * w["11", rep] + w["01", rep] + w["10", rep])
         assert abs(got[rep].f1 - f1) < 1e-12
 
 
-def test_cell_weights_have_the_moments_of_poisson(spark):
-    df = spark.range(4000).withColumn("i", F.col("id").cast("int"))
-    for n in (3, 49, 50, 400, 10**12):
-        w = [r[0] for r in df.select(EV.cell_weight(F.lit(n).cast("bigint"), F.lit("c"), F.col("i"), 1)).collect()]
-        mean = sum(w) / len(w)
-        var = sum((x - mean) ** 2 for x in w) / (len(w) - 1)
-        assert abs(mean - n) < 4 * (n / len(w)) ** 0.5 and 0.9 < var / n < 1.1, n
+def test_small_cells_add_up_single_draws(spark):
+    import hashlib
+    from ledgerlens.functions.hashing import SMALL_MEAN, poisson1_cdf
+    cdf = poisson1_cdf()
+    df = spark.createDataFrame([(n, r) for n in range(SMALL_MEAN) for r in range(20)], "n long, r int")
+    for x in df.select("n", "r", EV.cell_weight(F.col("n"), F.lit("c"), F.col("r"), 7).alias("w")).collect():
+        u = [int(hashlib.md5(f"c:{x.r}:{i}:7".encode()).hexdigest()[:8], 16) / 4294967296.0 for i in range(1, x.n + 1)]
+        assert x.w == sum(next((i for i, c in enumerate(cdf[:-1]) if v < c), 20) for v in u)
+
+
+@pytest.mark.parametrize("n", [1, 3, 9, 10, 11, 49, 50, 400, 10**6, 10**9])
+def test_cell_weights_are_poisson(spark, n):
+    """Mean, variance and tails of 20,000 draws, and for small means every probability (within 5 standard errors)."""
+    from collections import Counter
+    size = 20_000
+    df = spark.range(size).withColumn("i", F.col("id").cast("int"))
+    w = [r[0] for r in df.select(EV.cell_weight(F.lit(n).cast("bigint"), F.lit("c"), F.col("i"), 1)).collect()]
+    mean = sum(w) / size
+    var = sum((x - mean) ** 2 for x in w) / (size - 1)
+    assert abs(mean - n) < 4 * (n / size) ** 0.5
+    assert abs(var / n - 1) < 4 * ((2 + 1 / n) / size) ** 0.5
+    log_p = lambda k: k * math.log(n) - n - math.lgamma(k + 1)
+    if n <= 400:
+        seen, p = Counter(w), {k: math.exp(log_p(k)) for k in range(n + 12 * int(n**0.5 + 2))}
+        for cut in ([k for k in p if p[k] * size > 20] + [n - 2 * int(n**0.5), n + 2 * int(n**0.5)]):
+            for got, want in ((seen[cut], p.get(cut, 0)), (sum(c for k, c in seen.items() if k > cut), sum(x for k, x in p.items() if k > cut))):
+                assert abs(got / size - want) <= 5 * (want * (1 - want) / size) ** 0.5 + 1e-9, (cut, got, want * size)
+    else:
+        z = [(x - n) / n**0.5 for x in w]
+        for cut, tail in ((1.0, 0.1586553), (2.0, 0.0227501), (3.0, 0.0013499)):
+            for got in (sum(x > cut for x in z), sum(x < -cut for x in z)):
+                assert abs(got / size - tail) < 5 * (tail / size) ** 0.5, (cut, got)
 
 
 def test_auc_score_against_pairs(spark):
