@@ -5,7 +5,6 @@ Everything is computed from aggregated counts, so the evaluated table never leav
 
 from __future__ import annotations
 
-import math
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame

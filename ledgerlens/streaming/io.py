@@ -111,11 +111,17 @@ def drain(q: StreamingQuery, timeout_s: float | None = None) -> StreamingQuery:
     return q
 
 
-def bounded_run(q: StreamingQuery, timeout_s: float = 120.0) -> StreamingQuery:
-    """Run a query for at most ``timeout_s`` seconds and stop it.  The early stop is the feature here: the sink then
-    holds the micro-batches done so far (the one in flight may finish).  To process everything use :func:`drain`."""
-    if not q.awaitTermination(timeout_s) and q.isActive:
-        q.stop()
+def bounded_run(q: StreamingQuery, timeout_s: float = 120.0, grace_s: float = 30.0) -> StreamingQuery:
+    """Run a query for ``timeout_s`` seconds and stop it.  The early stop is the feature here: the sink then holds the
+    micro-batches done so far.  The one in flight gets ``grace_s`` more to end, then it is cut off and the next run from
+    the checkpoint does it again.  To process everything use :func:`drain`."""
+    import time
+    if not q.awaitTermination(timeout_s):
+        end = time.monotonic() + grace_s
+        while q.isActive and q.status["isTriggerActive"] and time.monotonic() < end:
+            time.sleep(0.02)
+        if q.isActive:
+            q.stop()
     return q
 
 
@@ -177,12 +183,33 @@ def console_sink(df: DataFrame, truncate: bool = False, num_rows: int = 20, chec
     return ended(q, timeout_s) if available_now else q
 
 
+def time_slices(df: DataFrame, path: str, ts: str, rows_per_slice: int = 1_000_000, least: int = 4) -> str:
+    """Write ``df`` as files of consecutive time ranges, one after the other, so a file stream reads them in order of time."""
+    spark = df.sparkSession
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    b = df.agg(F.min(us).alias("lo"), F.max(us).alias("hi"), F.count(F.lit(1)).alias("n")).collect()[0]
+    n = max(least, -(-b["n"] // rows_per_slice))
+    width = max(1, -(-((b["hi"] or 0) - (b["lo"] or 0) + 1) // n))
+    for k in range(n):
+        part = df.filter(F.floor((us - F.lit(b["lo"] or 0)) / F.lit(width)) == k)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+_PROGRESS = ("run_id string, batch_id long, started_at string, num_input_rows long, input_rows_per_second double, "
+             "processed_rows_per_second double, trigger_execution_ms long, rows_dropped_by_watermark long")
+
+
 class ProgressLog(StreamingQueryListener):
-    """Keeps every progress report of the queries started while it is registered (one small row a micro-batch; the
-    engine's own ``recentProgress`` keeps the last 100 only)."""
+    """Keeps every progress report of the queries started while it is registered, as rows in the shared folder: at most
+    ``HELD`` of them wait on the driver (the engine's own ``recentProgress`` keeps the last 100 only)."""
+
+    HELD = 100
 
     def __init__(self, spark: SparkSession):
+        import threading
         self.spark, self.rows, self.ended = spark, [], set()
+        self.path, self.files, self.lock = scratch_path(spark, "progress"), 0, threading.Lock()
 
     def __enter__(self) -> ProgressLog:
         self.spark.streams.addListener(self)
@@ -199,8 +226,18 @@ class ProgressLog(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         p = event.progress
-        self.rows.append((str(p.runId), int(p.batchId), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
-                          float(p.processedRowsPerSecond or 0.0), int((p.durationMs or {}).get("triggerExecution", 0))))
+        dropped = sum(int(s.numRowsDroppedByWatermark) for s in p.stateOperators)
+        row = (str(p.runId), int(p.batchId), str(p.timestamp), int(p.numInputRows), float(p.inputRowsPerSecond or 0.0),
+               float(p.processedRowsPerSecond or 0.0), int((p.durationMs or {}).get("triggerExecution", 0)), dropped)
+        with self.lock:
+            self.rows.append(row)
+            if len(self.rows) >= self.HELD:
+                self._flush()
+
+    def _flush(self) -> None:
+        if self.rows:
+            self.spark.createDataFrame(self.rows, _PROGRESS).coalesce(1).write.parquet(f"{self.path}/part={self.files}")
+            self.rows, self.files = [], self.files + 1
 
     def onQueryTerminated(self, event):
         self.ended.add(str(event.runId))
@@ -213,6 +250,8 @@ class ProgressLog(StreamingQueryListener):
             if time.monotonic() > end:
                 raise TimeoutError("the end of the query was not reported")
             time.sleep(0.05)
-        rows = [r[1:] for r in self.rows if r[0] == str(q.runId)]
-        return self.spark.createDataFrame(rows, "batch_id long, num_input_rows long, input_rows_per_second double, "
-                                                "processed_rows_per_second double, trigger_execution_ms long")
+        with self.lock:
+            self._flush()
+        if not self.files:
+            return self.spark.createDataFrame([], _PROGRESS).drop("run_id")
+        return self.spark.read.schema(_PROGRESS).parquet(self.path).filter(F.col("run_id") == str(q.runId)).drop("run_id", "part")
