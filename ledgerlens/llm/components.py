@@ -21,7 +21,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     spark = links.sparkSession
     links = links.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
     path = scratch_path(spark, "links")
-    links.union(links.select("b", "a")).write.parquet(path)
+    # a link that several regions have confirmed is walked once a round
+    links.union(links.select("b", "a")).distinct().write.parquet(path)
     links = spark.read.parquet(path)
     path = scratch_path(spark, "labels0")
     (links.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
