@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -9,8 +10,10 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.scoring import is_large_tx
 from ledgerlens.operators.joins import (FeatureView, latest_per_key, online_lookup, point_in_time_join,
                                         point_in_time_now, push_upsert)
+from ledgerlens.operators.online import OnlineTable, bucketed_lookup, publish_buckets
 from ledgerlens.plans.common import EVENTS_FEATURES_SQL, LARGE, D
 from ledgerlens.plans.registry import register
+from ledgerlens.session import scratch_path
 from ledgerlens.sources import testdata as T
 
 AS_OF = "2024-01-31 00:00:00"      # batch-scoring time just after the stand-in data ends
@@ -121,3 +124,61 @@ def q_push_upsert(spark, sf):
     _, new_online = push_upsert(offline, online, pushed, ["customer_id"], "ts", ["tx_amount", "event_type", "event_id"],
                                 tie_breaker="event_id")
     return new_online.drop("event_id")
+
+
+# ---- the online table by increments ---------------------------------------------------------------------------------
+
+def _online(spark, name):
+    return OnlineTable(spark, scratch_path(spark, name), ["customer_id"], "ts", ["tx_amount", "event_type"],
+                       tie_breaker="event_id", buckets=16)
+
+
+@register("push_incremental", _latest_sql())
+def q_push_incremental(spark, sf):
+    """The table up to PUSH_FROM, then the later rows by two pushes in the wrong order and one of them twice."""
+    f, t = T.events_features(spark, sf), _online(spark, "push-incremental")
+    start = F.lit(PUSH_FROM).cast("timestamp_ntz")
+    t.push(f.filter(F.col("ts") < start), "load")
+    late, later = F.col("ts") < start + F.expr("INTERVAL 3 DAYS"), F.col("ts") >= start + F.expr("INTERVAL 3 DAYS")
+    for rows, push_id in ((later, "b"), (late, "a"), (later, "b")):
+        t.push(f.filter((F.col("ts") >= start) & rows), push_id)
+    return t.read().drop("event_id")
+
+
+ARRIVED_SQL = "CAST(CAST(ts AS DATE) + CASE WHEN event_id % 20 = 0 THEN 3 ELSE 0 END AS DATE)"
+INCREMENTS = ("2024-01-10", "2024-01-20", "2024-01-31")
+
+
+def arrived_features(spark, sf):
+    """The features in partitions by the day they arrived; every twentieth is three days late."""
+    def build(path):
+        day = F.date_add(F.to_date("ts"), F.when(F.col("event_id") % 20 == 0, 3).otherwise(0))
+        f = T.events_features(spark, sf).withColumn("arrived", day)
+        f.repartition("arrived", F.pmod(F.hash("event_id"), F.lit(4))).write.partitionBy("arrived").parquet(path)
+    return spark.read.parquet(T.written(spark, sf, "features-by-arrival", build))
+
+
+@register("materialize_incremental", _latest_sql(f"{ARRIVED_SQL} <= DATE '{INCREMENTS[-1]}'"))
+def q_materialize_incremental(spark, sf):
+    """Three increments by arrival, the last one asked for twice."""
+    t = _online(spark, "materialize")
+    for end in (*INCREMENTS, INCREMENTS[-1]):
+        t.materialize(arrived_features(spark, sf), "arrived", end)
+    return t.read().drop("event_id")
+
+
+# requests: one an order; a third of them for one customer, some without a key, some for customers nobody knows
+_REQUEST_SQL = """CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderkey % 50 = 1 THEN NULL
+                       WHEN o_orderkey % 50 = 2 THEN -o_custkey ELSE o_custkey END"""
+
+
+@register("online_lookup_buckets", f"""
+SELECT k.customer_id, k.o_orderkey, l.ts, l.tx_amount, l.event_type
+FROM (SELECT o_orderkey, {_REQUEST_SQL} AS customer_id FROM orders) k LEFT JOIN ({_latest_sql()}) l USING (customer_id)""")
+def q_online_lookup_buckets(spark, sf):
+    name = f"online_{zlib.crc32(sf.encode()):x}_{spark.sparkContext.applicationId}".replace("-", "_")
+    T.written(spark, sf, "online-buckets", lambda path: publish_buckets(
+        latest_per_key(T.events_features(spark, sf).dropna(subset=["customer_id"]), ["customer_id"], "ts",
+                       ["tx_amount", "event_type"], tie_breaker="event_id"), name, path, ["customer_id"], 16))
+    asked = T.table(spark, sf, "orders").select(F.expr(_REQUEST_SQL).alias("customer_id"), "o_orderkey")
+    return bucketed_lookup(asked, name, ["customer_id"])
