@@ -7,12 +7,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.hashing import sql_uniform, uniform
+from ledgerlens.functions.scoring import is_large_tx
 from ledgerlens.operators import evaluation as E
 from ledgerlens.operators import labels as L
 from ledgerlens.operators import ml as ML
 from ledgerlens.plans import evaluation  # noqa: F401  its SQL is used below
-from ledgerlens.plans.common import EVAL_SQL, URLS_SQL, D, clean_sql
+from ledgerlens.plans.common import EVAL_SQL, LARGE, URLS_SQL, D, clean_sql
 from ledgerlens.plans.registry import ORACLE, register
+from ledgerlens.session import scratch_path
 from ledgerlens.sources import testdata as T
 
 FEATURES = ["customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days", "tx_fraud_scenario"]
@@ -76,6 +78,26 @@ def q_train_forest_candidate(spark, sf):
     return out.withColumn("depth_ok", F.col("depth").between(1, 8)).drop("depth")
 
 
+_CLEAR = f"tx_amount NOT BETWEEN {LARGE * 0.8} AND {LARGE * 1.25}"
+
+
+@register("train_forest_learns", f"""
+SELECT transaction_id, CASE WHEN {_CLEAR} THEN CAST(tx_amount > {D(LARGE)} AS DOUBLE) END AS prediction, TRUE AS same_after_load
+FROM ({clean_sql()}) WHERE {SPLIT_SQL} >= {D(0.8)}""")
+def q_train_forest_learns(spark, sf):
+    """A forest taught which amounts are large says so of every held-out row that isn't near the limit (those have no
+    prediction here), and gives the same probabilities after it was saved and loaded."""
+    train, test = _split(spark, sf)
+    large = is_large_tx("tx_amount", LARGE)
+    model = ML.train_forest(train.withColumn("tx_fraud", large), FEATURES, "tx_fraud", num_trees=20, max_depth=8)
+    loaded = ML.load_model(ML.save_model(model, scratch_path(spark, "forest")))
+    said = ML.batch_predict(model, test).select("transaction_id", *[c for c in FEATURES if c != "transaction_id"],
+                                                F.col("prediction").alias("p"), F.col("probability_1").alias("q"))
+    again = ML.batch_predict(loaded, said)
+    return again.select("transaction_id", F.when(F.expr(_CLEAR), F.col("p")).alias("prediction"),
+                        (F.col("q").eqNullSafe(F.col("probability_1"))).alias("same_after_load"))
+
+
 def champion_table(spark, sf):
     """The model table of two saved forests; the newer one is the champion.  Models are trained on the 80 % split and
     saved once per state of the input."""

@@ -22,6 +22,7 @@ from ledgerlens.streaming import io as IO
 from ledgerlens.streaming.alerts import alert_events, with_rocksdb
 from ledgerlens.streaming.jobs import (PARSE_ERROR, dead_letters, parse_stream, predictions_output,
                                         score_with_heuristic_udf, to_envelope, well_formed, windowed_rates)
+from ledgerlens.streaming.positions import read_once, stream_offsets
 from ledgerlens.streaming.udfs import external_scoring, request_scorer
 from ledgerlens.functions.hashing import sql_uniform, uniform
 
@@ -374,16 +375,18 @@ def q_console_sink(spark, sf):
         return log.table(q).agg(F.sum("num_input_rows").alias("shown_rows"))
 
 
+def _click_records(spark, sf):
+    ev = T.table(spark, sf, "events").filter(F.col("event_type") == "click")
+    page = F.get_json_object("props", "$.k").cast("long")
+    value = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
+                               F.col("user_id"), page.alias("page_id")))
+    return ev.select(page.alias("_page"), value.alias("_value"), "event_id", F.col("ts").cast("timestamp").alias("_ts"),
+                     F.pmod(page, F.lit(3)).alias("_part"))
+
+
 def _clicks_dir(spark, sf):
-    def build(path):
-        ev = T.table(spark, sf, "events").filter(F.col("event_type") == "click")
-        page = F.get_json_object("props", "$.k").cast("long")
-        value = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("ts"),
-                                   F.col("user_id"), page.alias("page_id")))
-        df = ev.select(page.alias("_page"), value.alias("_value"), "event_id", F.col("ts").cast("timestamp").alias("_ts"),
-                       F.pmod(page, F.lit(3)).alias("_part"))
-        IO.write_records(df, path, "_page", "_value", "clicks", "_part", "event_id", "_ts", ROWS_PER_FILE, least_files=2)
-    return T.written(spark, sf, "records-clicks", build)
+    return T.written(spark, sf, "records-clicks", lambda path: IO.write_records(
+        _click_records(spark, sf), path, "_page", "_value", "clicks", "_part", "event_id", "_ts", ROWS_PER_FILE, least_files=2))
 
 
 @register("click_consumer", """
@@ -391,10 +394,56 @@ SELECT 'clicks' AS topic, CAST(CAST(props->>'k' AS BIGINT) % 3 AS INTEGER) AS "p
        props->>'k' AS "key", ts, user_id, CAST(props->>'k' AS BIGINT) AS page_id
 FROM events WHERE event_type = 'click'""")
 def q_click_consumer(spark, sf):
-    src = IO.replay_source(spark, _clicks_dir(spark, sf), FILES_PER_TRIGGER)
+    return _drain(_clicks(IO.replay_source(spark, _clicks_dir(spark, sf), FILES_PER_TRIGGER)), "clicks")
+
+
+def _clicks(src):
     dec = src.select("topic", "partition", "offset", F.col("key").cast("string").alias("key"),
                      F.from_json(F.col("value").cast("string"), CLICK_SCHEMA).alias("c"))
-    out = dec.select("topic", "partition", "offset", "key",
-                     F.to_timestamp("c.ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").cast("timestamp_ntz").alias("ts"),
-                     "c.user_id", "c.page_id")
-    return _drain(out, "clicks")
+    return dec.select("topic", "partition", "offset", "key",
+                      F.to_timestamp("c.ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").cast("timestamp_ntz").alias("ts"),
+                      "c.user_id", "c.page_id")
+
+
+def _clicks_again_dir(spark, sf):
+    """The clicks in slices of time; every fourth is delivered a second time three days later, every twentieth at once."""
+    def build(path):
+        c = _click_records(spark, sf).select(
+            F.col("_page").cast("string").cast("binary").alias("key"), F.col("_value").cast("binary").alias("value"),
+            F.lit("clicks").alias("topic"), F.col("_part").cast("int").alias("partition"),
+            F.col("event_id").cast("long").alias("offset"), F.col("_ts").alias("timestamp"))
+        again = c.filter("offset % 4 = 0").withColumn("sent", F.col("timestamp") + F.expr("INTERVAL 3 DAYS"))
+        sent = c.withColumn("sent", F.col("timestamp")).unionByName(again).unionByName(
+            c.filter("offset % 20 = 0").withColumn("sent", F.col("timestamp")))
+        IO.time_slices(sent, path, "sent", rows_per_slice=ROWS_PER_FILE, least=6)
+    return T.written(spark, sf, "records-clicks-again", build)
+
+
+@register("click_consumer_once", ORACLE["click_consumer"])
+def q_click_consumer_once(spark, sf):
+    """A history with repeats, within files and across them, gives each click once."""
+    src = IO.replay_source(spark, _clicks_again_dir(spark, sf), 1)
+    with with_rocksdb(spark):
+        return _drain(_clicks(read_once(src, "4 days")), "clicks-once")
+
+
+@register("stream_lag", """
+SELECT 'transactions-input' AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", count(*) AS total, 0::BIGINT AS lag_at_end,
+       TRUE AS as_in_sink, TRUE AS falls
+FROM events GROUP BY ALL""")
+def q_stream_lag(spark, sf):
+    """The lag of a throttled replay from its own checkpoint: after every batch it is what the sink doesn't hold yet, it
+    never grows, and it ends at 0."""
+    records, out, ckpt = _records(spark, sf, least_files=PROGRESS_FILES), scratch_path(spark, "sink-lag"), scratch_path(spark, "ckpt")
+    src = IO.replay_source(spark, records, 1).select("topic", "partition", "offset")
+    IO.foreach_batch_sink(src, IO.idempotent_batch_writer(out), ckpt)
+    at = stream_offsets(spark, records, ckpt).withColumn("lag", F.col("end") - F.col("committed"))
+    sink = spark.read.schema("topic string, partition int, offset bigint, batch_id bigint").parquet(out)
+    sink = sink.groupBy("topic", "partition", "batch_id").agg(F.count(F.lit(1)).alias("written"))
+    by = Window.partitionBy("topic", "partition").orderBy("batch_id")     # one row a batch and partition
+    both = at.join(sink, ["topic", "partition", "batch_id"], "left").withColumn(
+        "in_sink", F.sum(F.coalesce("written", F.lit(0))).over(by)).withColumn("before", F.lag("lag").over(by))
+    return both.groupBy("topic", "partition").agg(
+        F.max("end").alias("total"), F.max_by("lag", "batch_id").alias("lag_at_end"),
+        F.every(F.col("lag") == F.col("end") - F.col("in_sink")).alias("as_in_sink"),
+        (F.every(F.coalesce(F.col("lag") <= F.col("before"), F.lit(True))) & (F.count(F.lit(1)) > 1)).alias("falls"))
