@@ -5,10 +5,15 @@ piece of the vocabulary goes across such a cut, which is checked when the model
 not known yet lie in one ragged numpy array of symbols; every round merges, in all sequences at once, the pair of
 lowest rank of each, until no pair of the vocabulary is left.  The surviving symbols are counted; a symbol outside the
 vocabulary counts as its UTF-8 bytes (byte fallback).  Counts of pre-tokens are kept per Python worker, up to a bound.
+
+Rounds over the whole array cost its length each.  That is cheap for words, but not for a pre-token of a megabyte, so
+the long ones keep their pairs in buckets by rank, and a round touches only the places that merge (and their
+neighbours, which are linked by arrays).
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -21,6 +26,8 @@ from ledgerlens.llm.registry import register, table
 
 MARK = "▁"
 MAX_CACHED = 400_000                 # pre-tokens whose counts a worker keeps
+LONG = 400                           # characters from which a pre-token's pairs are kept by rank; same counts either way
+LONG_TOGETHER = 1_000_000            # characters of long pre-tokens that are merged at once (or one longer pre-token)
 _RUN = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _NO_RANK = np.int64(1 << 40)
 _LOADED: dict[str, PieceMerger] = {}
@@ -116,6 +123,78 @@ class PieceMerger:
         leftmost = np.append(True, seq[at][1:] != seq[at][:-1])
         return at[~bad | leftmost]
 
+    def count_long(self, sequences: list[str]) -> np.ndarray:
+        """Tokens of each (non-empty) pre-token, at a cost that follows the merges instead of rounds x length.
+
+        Place i holds a symbol and ``rank[i]`` the rank of its pair with the next living place.  Sequences don't touch
+        each other, so the lowest rank of all goes first, in all of them.
+        """
+        size = np.array([len(s) for s in sequences], np.int64)
+        text = "".join(sequences)
+        n, get = len(text), self.symbols.get
+        sym = np.fromiter((get(c, -1) for c in text), np.int64, n)
+        seq = np.repeat(np.arange(len(sequences)), size)
+        total = np.zeros(len(sequences), np.int64)
+        if (foreign := np.flatnonzero(sym < 0)).size:
+            np.add.at(total, seq[foreign], [len(text[i].encode("utf-8", "replace")) for i in foreign])
+        sym = np.append(sym, -1)                 # place n stands for "none"
+        end = np.cumsum(size)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[end - 1], before[end - size] = n, n
+        rank = self._look_up(sym[:n], sym[after[:n]])[0]
+        alive = np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        lowest: list[int] = []
+
+        def wait(places: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            places, ranks = places[order], ranks[order]
+            cut = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for r, group in zip(ranks[np.append(0, cut)].tolist(), np.split(places, cut)):
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(lowest, r)
+                waiting[r].append(group)
+
+        if (open_ := np.flatnonzero(rank < _NO_RANK)).size:
+            wait(open_, rank[open_])
+        while lowest:
+            r = heapq.heappop(lowest)
+            groups = waiting.pop(r)
+            at = groups[0] if len(groups) == 1 else np.unique(np.concatenate(groups))
+            every = at = at[rank[at] == r]       # others have merged or changed since
+            if not len(at):
+                continue
+            # of overlapping pairs in a row, every second one from the left
+            run = np.append(True, at[1:] != after[at[:-1]])
+            if not run.all():
+                begin = np.flatnonzero(run)
+                at = at[(np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))) % 2 == 0]
+            into = self._look_up(sym[at], sym[after[at]])[1]
+            # up to the first one that opens a pair of the same or a lower rank: that pair may come before the rest
+            left = sym[before[at]]
+            hit = np.flatnonzero(before[at[1:]] == after[at[:-1]]) + 1
+            left[hit] = into[hit - 1]
+            opens = np.minimum(self._look_up(left, into)[0], self._look_up(into, sym[after[after[at]]])[0]) <= r
+            if opens.any():
+                k = int(opens.argmax()) + 1
+                at, into = at[:k], into[:k]
+                if (rest := every[every > at[-1]]).size:
+                    wait(rest, rank[rest])
+            gone = after[at]
+            beyond = after[gone]
+            sym[at], after[at], before[beyond] = into, beyond, at
+            alive[gone], rank[gone] = False, _NO_RANK
+            touched = before[at]
+            touched = np.unique(np.append(at, touched[touched < n]))
+            now = self._look_up(sym[touched], sym[after[touched]])[0]
+            rank[touched] = now
+            if (more := now < _NO_RANK).any():
+                wait(touched[more], now[more])
+        left = np.flatnonzero(alive & (sym[:n] >= 0))
+        np.add.at(total, seq[left], self.cost[sym[left]])
+        return total
+
     def count_texts(self, texts: list[str]) -> list[int]:
         cut = []
         for t in texts:
@@ -129,9 +208,19 @@ class PieceMerger:
         if len(known) + len(new) > MAX_CACHED:
             known.clear()
             new = list({w for words in cut for w in words})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
+        short = [w for w in new if len(w) < LONG]
+        for i in range(0, len(short), 20_000):
+            part = short[i:i + 20_000]
             known.update(zip(part, self.count([MARK + w for w in part]).tolist()))
+        part, n = [], 0
+        for w in (w for w in new if len(w) >= LONG):
+            part.append(w)
+            n += len(w)
+            if n >= LONG_TOGETHER:
+                known.update(zip(part, self.count_long([MARK + w for w in part]).tolist()))
+                part, n = [], 0
+        if part:
+            known.update(zip(part, self.count_long([MARK + w for w in part]).tolist()))
         return [sum(map(known.__getitem__, words)) for words in cut]
 
 

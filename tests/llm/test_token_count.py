@@ -1,6 +1,7 @@
 """Token counts against the library itself."""
 
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -40,6 +41,41 @@ def test_random_pieces(sp):
     assert merger(PATH).count_texts(texts) == [len(x) for x in sp.encode(texts)]
 
 
+def _blobs(n):
+    r = random.Random(7)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return ["".join(r.choice(letters) for _ in range(n)), "".join(r.choice("ab") for _ in range(n)), "a" * n, "ab" * (n // 2),
+            "".join(r.choice(letters + letters.upper() + "0123456789+/") for _ in range(n)), "=-" * (n // 2) + "x",
+            "".join(r.choice("あ一é\U0001f600a") for _ in range(n)), "ing" * (n // 3), "aab" * (n // 3), "\n" * n,
+            "".join(r.choice(["the", "ing", "tion", "er", "qz"]) for _ in range(n // 3))]
+
+
+@pytest.mark.parametrize("n", [399, 400, 1200, 9000])
+def test_long_pre_tokens(sp, n):
+    blobs = _blobs(n)
+    want = [len(x) for x in sp.encode(blobs)]
+    assert merger(PATH).count_texts(blobs) == want
+    marked = ["▁" + b for b in blobs]
+    assert merger(PATH).count_long(marked).tolist() == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeinorst\n▁é-.=1", min_size=1, max_size=60), min_size=1, max_size=8))
+def test_both_ways_agree(sequences):
+    m = merger(PATH)
+    assert m.count_long(sequences).tolist() == m.count(sequences).tolist()
+
+
+def test_a_megabyte_without_a_blank(sp):
+    blob = _blobs(1_000_000)[0]
+    m = merger(PATH)
+    m.known.clear()
+    begin = time.perf_counter()
+    got = m.count_texts([blob])
+    assert time.perf_counter() - begin < 30         # the cost of rounds over the whole array is half an hour
+    assert got == [len(sp.encode(blob))]
+
+
 def test_whole_table(spark, sp):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in count_tokens(docs, "piece_bpe_32k.model").collect()}
