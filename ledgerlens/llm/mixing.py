@@ -4,8 +4,12 @@ Per source: size = words; the targets share all words by weight, capped at ``cap
 shared again by weight (water-filling, solved in closed form by one pass over the sources in order of cap / weight).
 Each document of a source with ratio r = target / size gets floor(r) certain copies.  The rest of the target is met by
 a Pareto order sample: documents are ranked by (u / (1 - u)) / (p / (1 - p)), u a repeatable draw of the document and
-p its inclusion probability (unequal between sources; within one too if a weight column is given), and taken in rank
-order until the words left over are used up; the document at the edge is taken if that lands nearer.
+p its inclusion probability, and taken in rank order until the words left over are used up; the document at the edge is
+taken if that lands nearer.
+
+Within a source p is proportional to a weight: the number of binary digits of the document's size, so long documents
+are likelier but not by their whole length, or a given column.  Documents whose p would pass 1 are certain, and the
+factor of the others is solved again without them, over the distinct weights of the source.
 
 Everything is DataFrame expressions.  The running sum over a source never sorts the source in one task: ranks are
 cut into buckets of about ``bucket_rows`` rows by the draw's known distribution, bucket sums are scanned per source,
@@ -52,41 +56,70 @@ def source_targets(sizes: DataFrame, cap: int = CAP) -> DataFrame:
     w = (w.withColumn("level", (F.sum("total").over(whole) - cap * F.coalesce(F.sum("total").over(upto), F.lit(0)))
                       / (F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(upto), F.lit(0))))
          .withColumn("full", F.col("level") * F.col("weight") >= F.col("total") * cap))
-    # the level that holds is that of the first source that is not full
-    w = w.withColumn("level", F.min(F.when(~F.col("full"), F.struct(F.col("total") * cap / F.col("weight"), "level")))
-                     .over(whole)["level"])
-    return w.select("source", "n", "total", "boosted", "weight", F.coalesce(F.least(
+    # the level that holds is that of the first source that is not full: of sources that tie, the highest one
+    w = w.withColumn("level", -F.min(F.when(~F.col("full"), F.struct(F.col("total") * cap / F.col("weight"),
+                                                                     (-F.col("level")).alias("minus")))).over(whole)["minus"])
+    return w.select(*sizes.columns, "weight", F.coalesce(F.least(
         F.col("weight") * F.col("level"), (F.col("total") * cap).cast("double")),
         F.lit(0.0)).alias("target"))
 
 
+def five_digits(weight: Column) -> Column:
+    """A weight cut to its first five binary digits after the leading one, so a source has few distinct ones; whole
+    numbers below 64 stay.  Null or NaN is 1; at most 1e200, and 0 below 1e-200."""
+    w = F.least(F.coalesce(F.nanvl(weight.cast("double"), F.lit(1.0)), F.lit(1.0)), F.lit(1e200))
+    unit = F.pow(F.lit(2.0), F.floor(F.log2(w)) - 5)
+    return F.when(w >= 1e-200, F.floor(w / unit) * unit).otherwise(F.lit(0.0))
+
+
+def factor(classes: Column, rest: Column, total: Column) -> Column:
+    """p0 such that documents taken with p = min(1, p0 * weight) hold ``rest`` words on average.
+
+    ``classes``: (boost, words) of a source's distinct weights, ascending.  If the classes after the k-th are certain,
+    p0 is what is left of ``rest`` by the weighted words of the first k; it holds for the largest k that stays below 1.
+    """
+    def step(acc, x):
+        words, weighted = acc["words"] + x["words"], acc["weighted"] + x["boost"] * x["words"]
+        level = (rest - (total - words).cast("double")) / F.when(weighted > 0, weighted)
+        return F.struct(words.alias("words"), weighted.alias("weighted"),
+                        F.when((x["words"] > 0) & (level * x["boost"] < 1), level).otherwise(acc["p0"]).alias("p0"))
+
+    start = F.struct(F.lit(0).cast("bigint").alias("words"), F.lit(0.0).alias("weighted"),
+                     F.lit(None).cast("double").alias("p0"))
+    return F.aggregate(classes, start, step, lambda acc: F.coalesce(
+        acc["p0"], F.when(acc["weighted"] > 0, F.lit(1e300)).otherwise(F.lit(0.0))))
+
+
 def mix(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source",
         weight_col: str | None = None, cap: int = CAP, seed: str = "mix", bucket_rows: int = 1000) -> DataFrame:
     """The rows of ``df`` with ``size``, ``source_size``, ``target``, ``copies`` and ``taken`` (= copies * size).
 
     Null text: size 0, never taken beyond its certain copies.  Null source: a source of its own.  Null or repeated
     ids: rows with the same id and text draw the same number and stay in a fixed order only up to exchange of equal
-    rows.  A source without words has target 0.  Columns of ``df`` with the added names are replaced.
+    rows.  ``weight_col``: inclusion weights within a source (first binary digits count, see ``five_digits``), else by
+    size; documents of weight 0 come last.  A source without words has target 0.  Columns of ``df`` with the added names are replaced.
     """
     spark = df.sparkSession
     keep = [c for c in df.columns if c not in ("size", "source_size", "target", "copies", "taken")]
     key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
                       F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     drawn = {"_source": F.col(source_col), "_size": word_count(F.col(text_col)), "_u": draw(key, seed), "_tie": key,
-             "_boost": F.greatest(F.coalesce(F.col(weight_col).cast("double"), F.lit(1.0)), F.lit(0.0)) if weight_col
-             else F.lit(1.0)}
+             "_boost": five_digits(F.col(weight_col)) if weight_col
+             else F.length(F.bin(word_count(F.col(text_col)))).cast("double")}
     light_path, plan_path = scratch_path(spark, "mix-draws"), scratch_path(spark, "mix-plan")
     # the texts are read here once and once more for the result; the steps between read only these few columns
     df.select(*(v.alias(k) for k, v in drawn.items())).write.parquet(light_path)
     light = spark.read.parquet(light_path)
-    sums = light.groupBy("_source").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("total"),
-                                        F.sum(F.col("_size") * F.col("_boost")).alias("boosted"))
+    # distinct weights are few (five_digits, or the digits of a size), so a source's fit into one array
+    sums = (light.groupBy("_source", "_boost").agg(F.count(F.lit(1)).alias("n"), F.sum("_size").alias("words"))
+            .groupBy("_source").agg(F.sum("n").alias("n"), F.sum("words").alias("total"),
+                                    F.sort_array(F.collect_list(F.struct(F.col("_boost").alias("boost"), "words")))
+                                    .alias("classes")))
     plan = (source_targets(sums.withColumnRenamed("_source", "source"), cap)
             .withColumn("certain", F.when(F.col("total") > 0, F.floor(F.col("target") / F.greatest(F.col("total"), F.lit(1))))
                         .otherwise(F.lit(0)).cast("bigint"))
             .withColumn("rest", F.col("target") - F.col("certain") * F.col("total"))
-            .withColumn("p0", F.when(F.col("boosted") > 0, F.col("rest") / F.greatest(F.col("boosted"), F.lit(1e-9)))
-                        .otherwise(F.lit(0.0)))
+            .withColumn("p0", factor(F.col("classes"), F.col("rest"), F.col("total"))).drop("classes")
             .withColumn("buckets", F.ceil(F.col("n") / bucket_rows)))
     plan.write.parquet(plan_path)
     plan = spark.read.parquet(plan_path)
@@ -121,9 +154,13 @@ def _ranked(rows: DataFrame, plan: DataFrame) -> DataFrame:
     if few:
         plan = F.broadcast(plan)
     p = F.least(F.col("_plan.p0") * F.col("_boost"), F.lit(1.0))
-    odds = F.when(p > 0, F.col("_u") * (1 - p) / ((1 - F.col("_u")) * F.greatest(p, F.lit(1e-300)))).otherwise(1e300)
+    odds = (F.when(p > 0, F.col("_u") * (1 - p) / ((1 - F.col("_u")) * F.greatest(p, F.lit(1e-300))))
+            .otherwise(1e300 * (1 + F.col("_u"))))
+    # certain rows stand before all others (they never hold more than ``rest``), rows of no weight behind them
+    bucket = (F.when(p >= 1, -1).when(p > 0, F.floor(F.col("_q") / (1 + F.col("_q")) * F.col("_plan.buckets")))
+              .otherwise(F.floor((1 + F.col("_u")) * F.col("_plan.buckets"))))
     return (rows.join(plan, F.col("_source").eqNullSafe(F.col("_key"))).drop("_key").withColumn("_q", odds)
-            .withColumn("_bucket", F.floor(F.col("_q") / (1 + F.col("_q")) * F.col("_plan.buckets"))))
+            .withColumn("_bucket", bucket))
 
 
 def _cuts(rows: DataFrame, few: bool) -> DataFrame:
@@ -172,7 +209,7 @@ WITH d AS (
 ]+')) AS BIGINT) AS size,
          concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), 'null'), md5(coalesce(text, ''))) AS tie
   FROM documents),
-u AS (SELECT *, (CAST(('0x' || substr(md5(concat_ws(':', tie, 'mix')), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
+u AS (SELECT *, length(bin(size))::DOUBLE AS boost, (CAST(('0x' || substr(md5(concat_ws(':', tie, 'mix')), 1, 13)) AS BIGINT) + 0.5::DOUBLE)
                 / 4503599627370496.0::DOUBLE AS u FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS total FROM u GROUP BY source),
 w AS (SELECT *, (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS weight FROM s),
@@ -181,18 +218,24 @@ l AS (SELECT *, (sum(total) OVER () - 3 * coalesce(sum(total) OVER o, 0))::DOUBL
          total * 3 / weight::DOUBLE AS fill
   FROM w WINDOW o AS (ORDER BY total * 3 / weight::DOUBLE, encode(source) NULLS LAST
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-v AS (SELECT (min({'f': fill, 'l': level}) FILTER (WHERE level * weight < total * 3)).l AS level FROM l),
+v AS (SELECT -(min({'f': fill, 'l': -level}) FILTER (WHERE level * weight < total * 3)).l AS level FROM l),
 t AS (SELECT source, total, coalesce(least(weight * v.level, (total * 3)::DOUBLE), 0.0::DOUBLE) AS target FROM l, v),
 p AS (SELECT *, CASE WHEN total > 0 THEN floor(target / total::DOUBLE) ELSE 0 END::BIGINT AS certain FROM t),
-q AS (SELECT *, target - certain * total AS rest,
-         CASE WHEN total > 0 THEN (target - certain * total) / total::DOUBLE ELSE 0 END AS p FROM p),
-r AS (SELECT u.doc_id, u.size, u.tie, q.*,
-         CASE WHEN p > 0 THEN u.u * (1 - least(p, 1)) / ((1 - u.u) * least(p, 1)) ELSE 1e300 END AS odds
+q0 AS (SELECT *, target - certain * total AS rest FROM p),
+cl AS (SELECT source, boost, sum(size) AS words FROM u GROUP BY source, boost HAVING sum(size) > 0),
+cu AS (SELECT source, boost, sum(words) OVER upto AS cw, sum(boost * words) OVER upto AS cb
+       FROM cl WINDOW upto AS (PARTITION BY source ORDER BY boost ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+lv AS (SELECT q0.source, boost, (rest - (total - cw)::DOUBLE) / cb::DOUBLE AS level
+       FROM q0 JOIN cu ON q0.source IS NOT DISTINCT FROM cu.source),
+z AS (SELECT source, arg_max(level, boost) AS p0 FROM lv WHERE level * boost < 1 GROUP BY source),
+q AS (SELECT q0.*, coalesce(z.p0, 1e300) AS p0 FROM q0 LEFT JOIN z ON q0.source IS NOT DISTINCT FROM z.source),
+r0 AS (SELECT u.doc_id, u.size, u.tie, u.u, q.*, least(q.p0 * u.boost, 1.0::DOUBLE) AS p
   FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source),
+r AS (SELECT * EXCLUDE u, CASE WHEN p > 0 THEN u * (1 - p) / ((1 - u) * p) ELSE 1e300 * (1 + u) END AS odds FROM r0),
 c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY odds, tie
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS after FROM r),
-b AS (SELECT *, least(floor(odds / (1 + odds) * ceil(count(*) OVER (PARTITION BY source) / 1000.0::DOUBLE)), 1e15)
-         AS bucket FROM c),
+b AS (SELECT *, CASE WHEN p >= 1 THEN -1 ELSE least(floor(
+           odds / (1 + odds) * ceil(count(*) OVER (PARTITION BY source) / 1000.0::DOUBLE)), 1e15) END AS bucket FROM c),
 e AS (SELECT source, min(bucket) AS edge FROM b WHERE after > rest GROUP BY source),
 f0 AS (SELECT b.* EXCLUDE after, e.edge, bucket = e.edge AS here, after <= rest AS taken_in,
               rest - coalesce(max(CASE WHEN after <= rest THEN after END) OVER (PARTITION BY b.source), 0) AS gap

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.mixing import mix, source_targets
+from ledgerlens.llm.mixing import factor, five_digits, mix, source_targets
 from tests.conftest import SF_SMALL
 
 
@@ -26,6 +26,7 @@ def water_fill(totals, cap=3):
 
 @pytest.mark.parametrize("totals", [
     {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1, "c": 1, "d": 1000, "e": 5, None: 7}, {"a": 0, "b": 10, "c": 0},
+    {s: 100 for s in "abcdefgh"}, {"a": 1, "b": 2, "c": 3, "d": 100, "e": 200, "f": 300, "g": 100},
     {"a": 9}, {None: 4, "Z": 50, "a": 1, "\U0001f600": 3, "￿": 3}, {"a": 0}])
 def test_targets(spark, totals):
     rows = spark.createDataFrame([(s, 1, t, float(t)) for s, t in totals.items()],
@@ -72,3 +73,39 @@ def test_weights_change_the_odds(spark):
     out = mix(docs, weight_col="q").filter("target < source_size").groupBy((F.col("doc_id") % 2).alias("k"))
     got = {r.k: r.c for r in out.agg(F.avg("copies").alias("c")).collect()}
     assert got[1] > got[0]
+
+
+@pytest.mark.parametrize("sizes, rest", [
+    ({1.0: 10, 2.0: 30, 3.0: 60}, 20.0), ({1.0: 1000, 7.0: 3, 20.0: 500}, 900.0), ({4.0: 8}, 7.5), ({1.0: 0, 2.0: 5}, 2.0),
+    ({0.0: 50, 2.0: 5}, 20.0), ({0.0: 50, 0.5: 5, 8.0: 5}, 7.0), ({1.0: 5}, 0.0)])
+def test_factor_meets_the_words(spark, sizes, rest):
+    rows = spark.createDataFrame([(sorted(sizes.items()), rest, sum(sizes.values()))],
+                                 "c array<struct<boost: double, words: long>>, rest double, total long")
+    p0 = rows.select(factor(F.col("c"), F.col("rest"), F.col("total")).alias("p0")).first().p0
+    can = sum(w for b, w in sizes.items() if b > 0)
+    assert sum(min(1.0, p0 * b) * w for b, w in sizes.items()) == pytest.approx(min(rest, can))
+
+
+def test_weights_keep_five_digits(spark):
+    rows = spark.createDataFrame([(float(x),) for x in [*range(64), 65, 1000, 0.1, 1e-300, float("nan"), float("inf")]] + [(None,)],
+                                 "w double")
+    got = [r.b for r in rows.select(five_digits(F.col("w")).alias("b")).collect()]
+    assert got[:64] == [float(x) for x in range(64)] and got[64:66] == [64.0, 992.0]
+    assert 0.097 < got[66] <= 0.1 and got[67:] == [0.0, 1.0, pytest.approx(1e200, rel=0.04), 1.0]
+
+
+def test_ranks_follow_the_inclusion_odds(spark):
+    """A thousand sources of the same documents are a thousand draws: those with p = 1 are always taken, the others as often as
+    p says, within three standard errors and the words that filling up at the edge moves (at most those of one document)."""
+    runs, sizes = 1002, [1] * 200 + [6] * 20 + [40] * 3
+    docs = spark.range(runs * len(sizes)).select(
+        F.col("id").alias("doc_id"), F.format_string("s%06d", F.floor(F.col("id") / len(sizes))).alias("source"),
+        F.element_at(F.array(*(F.lit("w " * k) for k in sizes)), (F.col("id") % len(sizes) + 1).cast("int")).alias("text"))
+    out = mix(docs).filter("target < source_size").groupBy("size", "target").agg(F.avg("copies").alias("share")).collect()
+    assert [r.target for r in out] == [pytest.approx(220)] * 3
+    p0 = (220 - 120) / (200 * 1 + 120 * 3)               # 40 words have six binary digits: certain
+    for r in out:
+        n = sizes.count(r["size"])
+        p = {1: p0, 6: 3 * p0, 40: 1.0}[r["size"]]
+        error = (p * (1 - p) / (n * runs / 3)) ** 0.5
+        assert abs(r.share - p) <= (3 * error + 6 / (n * r["size"]) if p < 1 else 0), (r, p)
