@@ -154,3 +154,35 @@ def test_progress_rows_beyond_those_held(spark, monkeypatch):
         told = log.table(q).filter("num_input_rows > 0")
     assert told.count() == 5 and log.rows == [] and log.files >= 2
     assert sorted(r.batch_id for r in told.collect()) == [0, 1, 2, 3, 4]
+
+
+def _hours(spark, rows):
+    """(id, ts): ``rows`` rows an hour apart, and one without a time."""
+    return spark.range(rows).select("id", F.timestamp_seconds(F.col("id") * 3600).alias("ts")).union(
+        spark.sql("SELECT 1000000L, CAST(NULL AS timestamp)"))
+
+
+def test_slices_take_a_few_passes_whatever_their_number(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    path = scratch_path(spark, "slices")
+    IO.time_slices(_hours(spark, 100).mapInArrow(counted, "id long, ts timestamp"), path, "ts", rows_per_slice=5)
+    assert seen.value <= 3 * 101
+    files = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("ts").alias("n"),
+        F.max("_metadata.file_modification_time").alias("at")).orderBy("at").collect()
+    assert [r.lo for r in files] == sorted(r.lo for r in files) and all(a.hi < b.lo for a, b in zip(files, files[1:]))
+    assert sum(r.n for r in files) == 100 and len(files) == 21
+
+
+def test_a_long_history_has_larger_files_not_more(spark):
+    path = scratch_path(spark, "slices")
+    IO.time_slices(_hours(spark, 100), path, "ts", rows_per_slice=1)
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() <= IO.MOST_FILES
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100))
+    assert [IO.history_files(n, 12_500, 2) for n in (0, 100, 100_000, 6_000_000, 36_000_000)] == [2, 2, 8, 24, 72]
