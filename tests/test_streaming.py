@@ -186,3 +186,13 @@ def test_a_long_history_has_larger_files_not_more(spark):
     assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() <= IO.MOST_FILES
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(100))
     assert [IO.history_files(n, 12_500, 2) for n in (0, 100, 100_000, 6_000_000, 36_000_000)] == [2, 2, 8, 24, 72]
+
+
+def test_records_of_a_long_history_come_in_few_micro_batches(spark):
+    path = scratch_path(spark, "records")
+    rows = spark.range(60).select("id", F.lit("v").alias("v"), F.lit(0).alias("p"), F.timestamp_seconds("id").alias("ts"))
+    IO.write_records(rows, path, "id", "v", "t", "p", "id", "ts", rows_per_file=1)
+    with IO.ProgressLog(spark) as log:
+        q = IO.console_sink(IO.replay_source(spark, path, 2).select("offset"), num_rows=1)
+        told = log.table(q).filter("num_input_rows > 0").agg(F.count("batch_id").alias("batches"), F.sum("num_input_rows").alias("rows")).first()
+    assert told.batches <= IO.MOST_FILES // 2 and told.rows == 60
