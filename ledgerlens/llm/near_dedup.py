@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.arrays import U64, batch_shingles, mix64, release_memory
@@ -251,8 +251,19 @@ def tied_pairs(regions: DataFrame, classes: DataFrame, least: int) -> DataFrame:
 
     low_bytes = _low_bytes(classes)
     rows = regions.join(low_bytes, "id").select("region", "id", "sketch")
-    return (rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "a bigint, b bigint")
-            .filter("a <> b").distinct())
+    return thinned(rows.repartition("region").sortWithinPartitions("region").mapInArrow(run, "a bigint, b bigint"))
+
+
+def thinned(links: DataFrame) -> DataFrame:
+    """Fewer links (a, b) with the same components: each b stays with its smallest a, and its other ones are linked with
+    that a instead of b.
+
+    The roots of a large family differ from region to region, so its members come with up to a root a tree; the links
+    among those few roots are mostly the same ones.  Needs a < b, where b has no more links than it has regions."""
+    first = F.min("a").over(Window.partitionBy("b"))
+    links = links.filter("a <> b").select("a", "b", first.alias("first"))
+    return links.select(F.col("first").alias("a"), F.when(F.col("a") == F.col("first"), F.col("b")).otherwise(F.col("a"))
+                        .alias("b")).distinct()
 
 
 def _low_bytes(classes: DataFrame) -> DataFrame:
@@ -435,7 +446,7 @@ def near_duplicates(df: DataFrame, percent: int = 80, k: int = 5, id_col: str =
     if has_large:
         inside = regions.join(large.select("id"), "id").select(F.col("region").alias("grp"), "id")
         big = kept(found.filter("NOT small").select("id", "text"), "large-family-texts")
-        links = kept(links.union(confirmed_links(inside.join(big, "id").select("grp", "id", "text"), percent, k)), "links")
+        links = kept(thinned(links.union(confirmed_links(inside.join(big, "id").select("grp", "id", "text"), percent, k))), "links")
     components = connected_components(links)
     if has_large:
         joined = components.withColumnRenamed("component", "part")

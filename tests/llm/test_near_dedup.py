@@ -162,3 +162,28 @@ def test_signatures_estimate_similarity():
     j = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
     assert abs((s[0] == s[1]).mean() - j) < 0.12 and (s[0] == s[1]).sum() >= least_agreement(j)
     assert [(int(x), y.tolist()) for x, y in confirmed(np.array([4, 9]), [a, b], 80)] == [(4, [9])]
+
+
+def test_a_large_family_has_about_a_link_a_member(spark, monkeypatch):
+    """Regions of a family have different roots; its links don't come once for every tree."""
+    seen = []
+
+    def counted(links):
+        seen.append(links.count())
+        return connected_components(links)
+
+    monkeypatch.setattr(near_dedup, "REGION", 24)
+    monkeypatch.setattr(near_dedup, "connected_components", counted)
+    texts = variants(1, 300, 200, 1)
+    got = near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 80).collect()
+    assert {r.component_id for r in got} == {0}
+    assert seen and max(seen) <= 2 * 300
+
+
+def test_thinned_links_have_the_same_components(spark):
+    r = random.Random(5)
+    links = [tuple(sorted(r.sample(range(60), 2))) for _ in range(50)] * 2 + [(7, 7)]
+    df = spark.createDataFrame(links, "a long, b long")
+    few = near_dedup.thinned(df)
+    parts = lambda d: sorted(map(tuple, connected_components(d).collect()))
+    assert parts(few) == parts(df) and few.count() <= len(set(links)) - 1
