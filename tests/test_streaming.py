@@ -196,3 +196,42 @@ def test_records_of_a_long_history_come_in_few_micro_batches(spark):
         q = IO.console_sink(IO.replay_source(spark, path, 2).select("offset"), num_rows=1)
         told = log.table(q).filter("num_input_rows > 0").agg(F.count("batch_id").alias("batches"), F.sum("num_input_rows").alias("rows")).first()
     assert told.batches <= IO.MOST_FILES // 2 and told.rows == 60
+
+
+def test_a_record_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"data":{"transaction_id":1,"tx_amount":5.0}}',), ("{",), (None,)], "value string")
+    out = well_formed(unwrap_envelope(df)).select("transaction_id", "tx_amount")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1, plan
+    assert [tuple(r) for r in out.collect()] == [("1", 5.0)]
+
+
+def test_a_record_file_is_read_by_several_tasks(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+    path = scratch_path(spark, "row-groups")
+    text = F.concat(*[F.sha2(F.concat_ws(":", "id", F.lit(k)), 256) for k in range(6)])
+    rows = spark.range(0, 30_000, 1, 2).select("id", F.lit(0).alias("p"), F.timestamp_seconds("id").alias("ts"))
+    IO.write_records(rows, path, "id", text, "t", "p", "id", "ts")
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{path}/*.parquet")]
+    assert len(files) == 1 and files[0].num_row_groups >= 3, files
+    got = spark.read.parquet(path)
+    assert got.schema.simpleString() == KAFKA_RECORD_SCHEMA.simpleString() and got.count() == 30_000
+    want = rows.select(F.col("id").cast("string").cast("binary").alias("key"), text.cast("binary").alias("value"))
+    assert got.select("key", "value").exceptAll(want).isEmpty()
+
+
+def test_a_long_history_is_dealt_by_time_before_its_values_are_made(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def value(i):
+        seen.add(1)
+        return f"v{i}"
+
+    rows = spark.range(100).select("id", F.lit(0).alias("p"), F.timestamp_seconds("id").alias("ts"))
+    IO.write_records(rows, path := scratch_path(spark, "made-once"), "id", value("id"), "t", "p", "id", "ts", rows_per_file=25)
+    assert seen.value == 100
+    got = spark.read.parquet(path).orderBy("offset").select(F.col("value").cast("string").alias("v"), "offset").collect()
+    assert [(r.v, r.offset) for r in got] == [(f"v{i}", i) for i in range(100)]
